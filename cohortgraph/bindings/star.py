@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from cohortgraph import schemas as S
 from cohortgraph.functions import cleaning as C
-from cohortgraph.operators import edges, entities, parse, states
+from cohortgraph.operators import edges, entities, states
 from cohortgraph.operators.model import Graph
 
 AS_OF = "2001-12-31"
@@ -396,12 +396,6 @@ def skill_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return names.select(C.skill_id(F.col("name")).alias("id"), "name", C.skill_category(F.col("name")).alias("category"))
 
 
-@per_session
-def flat_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Typed flat table over the raw rows."""
-    return parse.silver(raw_rows(spark, sf_dir))
-
-
 @per_session
 def graph(spark: SparkSession, sf_dir: str) -> Graph:
     """Stored-graph view. Every member is lazy; a query reads only the tables it touches."""

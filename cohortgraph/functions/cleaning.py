@@ -88,11 +88,8 @@ def norm_gender(c: Column) -> Column:
 
 def norm_education(c: Column) -> Column:
     """Case-insensitive match to the known levels, else NULL."""
-    s = F.lower(norm_str(c))
-    out = None
-    for level in S.EDUCATION_LEVELS:
-        out = (F if out is None else out).when(s == level.lower(), F.lit(level))
-    return out
+    levels = F.create_map(*[F.lit(v) for level in S.EDUCATION_LEVELS for v in (level.lower(), level)])
+    return F.element_at(levels, F.lower(norm_str(c)))
 
 
 def hash_id(c: Column) -> Column:

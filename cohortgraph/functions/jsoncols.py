@@ -12,10 +12,11 @@ def parse_json_array(c: Column, schema: T.ArrayType) -> Column:
 
     Empty arrays, invalid text and non-arrays give NULL ("no entries").
     """
-    text = F.trim(c)
-    inner = F.when(text.startswith('"'), F.get_json_object(F.concat(F.lit('{"v":'), text, F.lit("}")), "$.v")).otherwise(text)
-    array = F.when(F.trim(inner).startswith("["), F.from_json(inner, schema, {"mode": "PERMISSIVE"}))
-    return F.when(F.size(array) > 0, array)
+    inner = F.when(
+        F.ltrim(c).startswith('"'), F.get_json_object(F.concat(F.lit('{"v":'), c, F.lit("}")), "$.v")
+    ).otherwise(c)
+    is_array = c.rlike(r'^\s*"?\s*\[\s*[^\]\s]')
+    return F.when(is_array, F.from_json(inner, schema, {"mode": "PERMISSIVE"}))
 
 
 def has_fields(entry: Column, fields: tuple[str, ...]) -> Column:

@@ -120,29 +120,39 @@ def learner_skills(raw: DataFrame, delimiter: str = ",", limit: int = S.MAX_SKIL
     ).select("learner", "row_ord", "pos", F.col("s.id").alias("skill_id"), "s.name", "s.category")
 
 
-def silver(raw: DataFrame) -> DataFrame:
-    """Typed flat table: flags as integers, first JSON entries as structs, parsed once.
-
-    Catalyst keeps only the JSON fields a question uses.
+_FLAGS = (
+    "is_graduate_learner", "is_active_learner", "is_a_dropped_out", "is_running_a_venture",
+    "is_a_freelancer", "is_wage_employed",
+)
+
+
+def silver(
+    raw: DataFrame,
+    learning: tuple[str, ...] = (),
+    employment: tuple[str, ...] = (),
+    placement: tuple[str, ...] = (),
+) -> DataFrame:
+    """Typed flat table: integer flags, clean text, and the named fields of the first entry of
+    each JSON array as the structs ``le``, ``em`` and ``pl``.
+
+    Each array is parsed once per row, to the named fields only. The explode of the single
+    first entry keeps later filters from being pushed into (and repeating) the JSON parse.
     """
-    flags = (
-        "is_graduate_learner", "is_active_learner", "is_a_dropped_out", "is_running_a_venture",
-        "is_a_freelancer", "is_wage_employed",
-    )
     known = F.col("country_of_residence").isNotNull() & ~F.col("country_of_residence").isin("n/a", "")
-    le = F.get(parse_json_array(F.col("learning_details"), S.LEARNING_ARRAY), F.lit(0))
-    em = F.get(parse_json_array(F.col("employment_details"), S.EMPLOYMENT_ARRAY), F.lit(0))
-    pl = F.get(parse_json_array(F.col("placement_details"), S.PLACEMENT_ARRAY), F.lit(0))
-    df = raw.withColumns({f: F.coalesce(C.parse_int(F.col(f)), F.lit(0)).cast("int") for f in flags})
-    return df.withColumns(
+    df = raw.withColumns(
         {
+            **{f: F.coalesce(C.parse_int(F.col(f)), F.lit(0)).cast("int") for f in _FLAGS},
             "gender": C.norm_gender(F.col("gender")),
             "country": F.when(known, F.col("country_of_residence")),
             "city": C.norm_str(F.col("city_of_residence")),
             "education_level": C.norm_str(F.col("education_level_of_study")),
             "education_field": C.norm_str(F.col("education_field_of_study")),
-            "le": le,
-            "em": em,
-            "pl": pl,
         }
     )
+    for name, column, fields in (
+        ("le", "learning_details", learning), ("em", "employment_details", employment), ("pl", "placement_details", placement),
+    ):
+        if fields:
+            first = F.slice(parse_json_array(F.col(column), S.entry_array(fields)), 1, 1)
+            df = df.select("*", F.explode_outer(first).alias(name))
+    return df

@@ -1,4 +1,4 @@
-"""Questions over the flat typed table (``operators.parse.silver``), one row per enrolment record.
+"""Questions over the flat landing table, one row per enrolment record.
 
 Each is filter, one grouped aggregate, having, order, limit. Thresholds, terms and
 countries are parameters; every order has a full tie-break.
@@ -6,12 +6,29 @@ countries are parameters; every order has a full tie-break.
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortgraph.functions import cleaning as C
 from cohortgraph.functions.rates import asc, desc, mean, rates_by, share_of_total, top_k, top_n_per_group
+from cohortgraph.operators.parse import silver
+
+
+
+def reads(learning: str = "", employment: str = "", placement: str = ""):
+    """Name the JSON fields a question needs; only these are parsed, once per row."""
+
+    def decorate(question):
+        @wraps(question)
+        def run(raw: DataFrame, *args, **options) -> DataFrame:
+            flat = silver(raw, tuple(learning.split()), tuple(employment.split()), tuple(placement.split()))
+            return question(flat, *args, **options)
+
+        return run
 
+    return decorate
 
 
 def _program() -> Column:
@@ -44,12 +61,14 @@ def q00_describe(df: DataFrame, spark) -> DataFrame:
     return spark.createDataFrame(rows, "position int, column_name string, column_type string")
 
 
+@reads()
 def q01_country_share(df: DataFrame, limit: int = 20) -> DataFrame:
     known = df.filter(F.col("country").isNotNull())
     out = share_of_total(known, ["country"], "total_learners", "percentage")
     return top_k(out, desc("total_learners") + asc("country"), limit)
 
 
+@reads(learning="program_name")
 def programs_matching(df: DataFrame, country: str, term: str) -> DataFrame:
     """Distinct first programs that contain a term, in a country."""
     hit = df.filter(C.contains_term(F.col("country"), country) & C.contains_term(_program(), term))
@@ -74,11 +93,13 @@ def match_terms(specific: str, broad: str) -> dict[str, str]:
     return {f"{specific} (SPECIFIC)": specific, f"{broad} (BROAD)": broad}
 
 
+@reads(learning="program_name enrollment_status")
 def q02_program_in_country(df: DataFrame, country: str, specific: str = "data analytics", broad: str = "data") -> DataFrame:
     """Outcomes for a specific and a broad program term; one scan tags a row with every term it meets."""
     return _outcomes(df, country, match_terms(specific, broad)).orderBy("match_type")
 
 
+@reads(learning="program_name")
 def q02b_by_city(df: DataFrame, country: str, term: str, min_n: int = 3, limit: int = 15) -> DataFrame:
     hit = df.filter(
         C.contains_term(F.col("country"), country) & C.contains_term(_program(), term) & F.col("city").isNotNull()
@@ -90,6 +111,7 @@ def q02b_by_city(df: DataFrame, country: str, term: str, min_n: int = 3, limit:
     return top_k(out, desc("learner_count") + asc("city"), limit)
 
 
+@reads(learning="program_name enrollment_status")
 def q03b_two_country_compare(
     df: DataFrame, first: str, second: str, specific: str = "data analytics", broad: str = "data"
 ) -> DataFrame:
@@ -107,6 +129,7 @@ def q03b_two_country_compare(
     return out.orderBy("country", "match_type")
 
 
+@reads()
 def q04_active_by_country(df: DataFrame, limit: int = 20) -> DataFrame:
     hit = df.filter(_is("is_active_learner") & F.col("country").isNotNull())
     out = rates_by(
@@ -122,6 +145,7 @@ def _state_counts() -> dict[str, Column]:
     }
 
 
+@reads()
 def q05_grad_rate_country(df: DataFrame, min_n: int = 1000) -> DataFrame:
     out = rates_by(
         df.filter(F.col("country").isNotNull()), ["country"], _state_counts(),
@@ -134,6 +158,7 @@ def q05_grad_rate_country(df: DataFrame, min_n: int = 1000) -> DataFrame:
     return out.orderBy(*desc("graduation_rate_pct"), *asc("country"))
 
 
+@reads()
 def q06_top_cities(df: DataFrame, min_n: int = 500, limit: int = 30) -> DataFrame:
     out = rates_by(
         df.filter(F.col("city").isNotNull()), ["country", "city"], {"graduates": _is("is_graduate_learner")},
@@ -142,12 +167,14 @@ def q06_top_cities(df: DataFrame, min_n: int = 500, limit: int = 30) -> DataFram
     return top_k(out, desc("total_learners") + asc("country", "city"), limit)
 
 
+@reads(learning="program_name")
 def q07_program_enrolments(df: DataFrame) -> DataFrame:
     """Share of all rows, also of rows without a program: the NULL group counts in the whole."""
     out = share_of_total(df.select(_program().alias("program_name")), ["program_name"], "total_enrollments", "pct_of_total")
     return out.filter(F.col("program_name").isNotNull()).orderBy(*desc("total_enrollments"), *asc("program_name"))
 
 
+@reads(learning="program_name enrollment_status")
 def q08_program_grad_rate(df: DataFrame, min_n: int = 100) -> DataFrame:
     out = rates_by(
         df.select("le", _program().alias("program_name")), ["program_name"],
@@ -157,6 +184,7 @@ def q08_program_grad_rate(df: DataFrame, min_n: int = 100) -> DataFrame:
     return out.orderBy(*desc("graduation_rate_pct"), *asc("program_name"))
 
 
+@reads(learning="program_name cohort_code enrollment_status lms_overall_score")
 def q09_cohort_performance(df: DataFrame, min_n: int = 100, limit: int = 30) -> DataFrame:
     out = rates_by(
         df.select("le", F.col("le.cohort_code").alias("cohort_code"), _program().alias("program_name")),
@@ -167,6 +195,7 @@ def q09_cohort_performance(df: DataFrame, min_n: int = 100, limit: int = 30) ->
     return top_k(out, desc("enrollments") + asc("cohort_code", "program_name"), limit)
 
 
+@reads(learning="program_name program_start_date program_end_date")
 def q10_program_duration(df: DataFrame, min_n: int = 100) -> DataFrame:
     days = F.datediff(C.safe_date(F.col("le.program_end_date")), C.safe_date(F.col("le.program_start_date")))
     out = rates_by(
@@ -180,6 +209,7 @@ def q10_program_duration(df: DataFrame, min_n: int = 100) -> DataFrame:
     return out.orderBy(*desc("avg_duration_days"), *asc("program_name"))
 
 
+@reads(learning="program_name assignment_completion_rate test_completion_rate milestone_completion_rate")
 def q11_completion_rates(df: DataFrame, min_n: int = 100) -> DataFrame:
     metrics = ("assignment", "test", "milestone")
     out = rates_by(
@@ -191,6 +221,7 @@ def q11_completion_rates(df: DataFrame, min_n: int = 100) -> DataFrame:
     return out.orderBy(*desc("avg_assignment_completion_pct"), *asc("program_name"))
 
 
+@reads(learning="program_name lms_overall_score")
 def q12_top_performers(df: DataFrame, n: int = 5, limit: int | None = 50) -> DataFrame:
     score = C.safe_double(F.col("le.lms_overall_score"))
     rows = df.select(
@@ -209,11 +240,13 @@ def state_label() -> Column:
     )
 
 
+@reads()
 def q13_state_distribution(df: DataFrame) -> DataFrame:
     out = share_of_total(df.select(state_label().alias("learning_state")), ["learning_state"], "learner_count")
     return out.orderBy(*desc("learner_count"), *asc("learning_state"))
 
 
+@reads()
 def q14_state_by_country(df: DataFrame, min_n: int = 1000) -> DataFrame:
     out = rates_by(
         df.filter(F.col("country").isNotNull()), ["country"],
@@ -223,6 +256,7 @@ def q14_state_by_country(df: DataFrame, min_n: int = 1000) -> DataFrame:
     return out.orderBy(*desc("graduation_rate_pct"), *asc("country"))
 
 
+@reads()
 def q15_by_gender(df: DataFrame) -> DataFrame:
     out = rates_by(
         df.withColumn("gender", F.coalesce("gender", F.lit("Unknown"))), ["gender"],
@@ -232,6 +266,7 @@ def q15_by_gender(df: DataFrame) -> DataFrame:
     return out.orderBy(*desc("total"), *asc("gender"))
 
 
+@reads()
 def q16_by_education(df: DataFrame, min_n: int = 100) -> DataFrame:
     out = rates_by(
         df.filter(F.col("education_level").isNotNull()), ["education_level"],
@@ -241,6 +276,7 @@ def q16_by_education(df: DataFrame, min_n: int = 100) -> DataFrame:
     return out.orderBy(*desc("graduation_rate_pct"), *asc("education_level"))
 
 
+@reads(learning="program_start_date enrollment_status")
 def q17_monthly_trend(df: DataFrame, since: str = "2020-01-01", until: str | None = None) -> DataFrame:
     """Enrolments per start month; ``until`` bounds the range (inclusive)."""
     day = C.safe_date(F.col("le.program_start_date"))
@@ -254,6 +290,7 @@ def q17_monthly_trend(df: DataFrame, since: str = "2020-01-01", until: str | Non
     return out.orderBy("start_month")
 
 
+@reads()
 def q18_employment_by_country(df: DataFrame, min_n: int = 100) -> DataFrame:
     rows = df.filter(F.col("country").isNotNull() & _is("is_graduate_learner"))
     out = rates_by(
@@ -263,6 +300,7 @@ def q18_employment_by_country(df: DataFrame, min_n: int = 100) -> DataFrame:
     return out.orderBy(*desc("employment_rate_pct"), *asc("country"))
 
 
+@reads()
 def q19_employment_types(df: DataFrame) -> DataFrame:
     w, v, f = F.col("is_wage_employed"), F.col("is_running_a_venture"), F.col("is_a_freelancer")
     kind = (
@@ -278,6 +316,7 @@ def q19_employment_types(df: DataFrame) -> DataFrame:
     return out.orderBy(*desc("learner_count"), *asc("employment_type"))
 
 
+@reads(placement="salary_range")
 def q20_salary_distribution(df: DataFrame) -> DataFrame:
     rows = df.select(F.col("pl.salary_range").alias("salary_range"))
     rows = rows.filter(F.col("salary_range").isNotNull() & ~F.col("salary_range").isin("n/a", ""))
@@ -285,6 +324,7 @@ def q20_salary_distribution(df: DataFrame) -> DataFrame:
     return out.orderBy(*desc("learner_count"), *asc("salary_range"))
 
 
+@reads(employment="job_title")
 def q21_job_titles(df: DataFrame, min_n: int = 10, limit: int = 30) -> DataFrame:
     rows = df.select("hashed_email", F.col("em.job_title").alias("job_title"))
     rows = rows.filter(F.col("job_title").isNotNull() & ~F.col("job_title").isin("n/a", ""))
@@ -295,6 +335,7 @@ def q21_job_titles(df: DataFrame, min_n: int = 10, limit: int = 30) -> DataFrame
     return top_k(out, desc("occurrence_count") + asc("job_title"), limit)
 
 
+@reads(placement="jobs_created_to_date female_opp_todate")
 def q22_ventures(df: DataFrame, min_n: int = 10, limit: int = 20) -> DataFrame:
     def total(name: str) -> Column:
         return F.sum(F.coalesce(F.col(f"pl.{name}").try_cast("int"), F.lit(0)).cast("bigint"))
@@ -308,6 +349,7 @@ def q22_ventures(df: DataFrame, min_n: int = 10, limit: int = 20) -> DataFrame:
     return top_k(out.filter(F.col("entrepreneurs") >= min_n), desc("entrepreneurs") + asc("country"), limit)
 
 
+@reads(learning="program_name enrollment_status")
 def q23_employment_by_program(df: DataFrame, min_n: int = 50) -> DataFrame:
     rows = df.filter(_is("is_graduate_learner") & _graduated()).withColumn("program_name", _program())
     out = rates_by(
@@ -327,6 +369,7 @@ def _female_employed(df: DataFrame, country: str) -> DataFrame:
     )
 
 
+@reads(learning="program_name")
 def q24_female_employed(df: DataFrame, country: str, min_n: int = 3, limit: int = 20) -> DataFrame:
     out = rates_by(
         _female_employed(df, country).withColumn("program_name", _program()), ["city", "program_name"],
@@ -342,10 +385,12 @@ def q24_female_employed(df: DataFrame, country: str, min_n: int = 3, limit: int
     return top_k(out, desc("employed_female_graduates") + asc("city", "program_name"), limit)
 
 
+@reads()
 def q24_total(df: DataFrame, country: str) -> DataFrame:
     return _female_employed(df, country).agg(F.count(F.lit(1)).alias("total_employed_female_graduates"))
 
 
+@reads(learning="program_name")
 def q25_venture_grads(df: DataFrame, country: str, term: str, limit: int = 20) -> DataFrame:
     """City and program of graduates with a venture whose learning details contain a term."""
     rows = df.filter(
@@ -356,6 +401,7 @@ def q25_venture_grads(df: DataFrame, country: str, term: str, limit: int = 20) -
     return top_k(out, desc("entrepreneurs") + asc("city", "program_name"), limit)
 
 
+@reads(learning="program_name")
 def q25_fallback(df: DataFrame, country: str) -> DataFrame:
     """Every graduate venture of the country by program, for when the term finds none."""
     rows = df.filter(
@@ -370,6 +416,7 @@ def q25_with_fallback(df: DataFrame, country: str, term: str, limit: int = 20) -
     return q25_fallback(df, country) if found.isEmpty() else found
 
 
+@reads()
 def q26_skill_employment(df: DataFrame, min_n: int = 100, limit: int = 25) -> DataFrame:
     rows = df.filter(_is("is_graduate_learner") & F.col("skills_list").isNotNull() & (F.col("skills_list") != ""))
     exploded = rows.select(
@@ -382,6 +429,7 @@ def q26_skill_employment(df: DataFrame, min_n: int = 100, limit: int = 25) -> Da
     return top_k(out, desc("employed_pct") + asc("skill_name"), limit)
 
 
+@reads(learning="program_name enrollment_status")
 def q27_field_program(df: DataFrame, min_n: int = 100, limit: int = 30) -> DataFrame:
     rows = df.filter(F.col("education_field").isNotNull()).select(
         "le", F.col("education_field").alias("prior_education_field"), _program().alias("program_name")
@@ -393,6 +441,7 @@ def q27_field_program(df: DataFrame, min_n: int = 100, limit: int = 30) -> DataF
     return top_k(out, desc("graduation_rate_pct") + asc("prior_education_field", "program_name"), limit)
 
 
+@reads(learning="program_name lms_overall_score")
 def q28_high_performers(df: DataFrame, score: float = 90, min_n: int = 10, limit: int = 30) -> DataFrame:
     value = C.safe_double(F.col("le.lms_overall_score"))
     rows = df.withColumn("_score", value).filter(F.col("_score") >= score).withColumn("program_name", _program())
@@ -405,6 +454,7 @@ def q28_high_performers(df: DataFrame, score: float = 90, min_n: int = 10, limit
     return top_k(out, order, limit)
 
 
+@reads(learning="program_name enrollment_status")
 def q29_dropout_risk(df: DataFrame, min_n: int = 100, limit: int = 30) -> DataFrame:
     rows = df.filter(F.col("education_level").isNotNull()).withColumn("program_name", _program())
     out = rates_by(
@@ -414,6 +464,7 @@ def q29_dropout_risk(df: DataFrame, min_n: int = 100, limit: int = 30) -> DataFr
     return top_k(out, desc("dropout_rate_pct") + asc("gender", "education_level", "program_name"), limit)
 
 
+@reads(learning="program_name enrollment_status no_of_submissions")
 def q30_funnel(df: DataFrame, min_n: int = 100) -> DataFrame:
     started = F.coalesce(C.safe_int(F.col("le.no_of_submissions")) > 0, F.lit(False))
     out = rates_by(
