@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cohortgraph.bindings import star
+from cohortgraph.plans.shape import as_text
 from cohortgraph.plans import graph as G
 from cohortgraph.plans import journeys as J
 from cohortgraph.plans import tools as T
@@ -13,7 +14,7 @@ FIVE = ["CA", "CB", "CC", "CW", "CV"]
 
 
 def _on_graph(question, **options):
-    return lambda spark, sf_dir: question(star.graph(spark, sf_dir), **options)
+    return lambda spark, sf_dir: as_text(question(star.graph(spark, sf_dir), **options))
 
 
 def _on_raw(question, **options):
@@ -25,7 +26,7 @@ def _of_one(question, **options):
 
     def run(spark, sf_dir):
         g = star.graph(spark, sf_dir)
-        return question(g, J.most_skilled(g), **options)
+        return as_text(question(g, J.most_skilled(g), **options))
 
     return run
 
@@ -43,7 +44,7 @@ def _reach(spark, sf_dir):
 def _path(spark, sf_dir):
     g = star.graph(spark, sf_dir)
     start = _first_learner(g).select(F.concat(F.lit("learner:"), "learner").alias("node"))
-    return G.g43_shortest_path(G.node_edges(g), start, "program:VA-C2001", 3)
+    return as_text(G.g43_shortest_path(G.node_edges(g), start, "program:VA-C2001", 3))
 
 
 QUERIES = {

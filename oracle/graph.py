@@ -35,12 +35,18 @@ STATS = f"""count(*) AS total_transitions, {r('avg(days)', 0)} AS avg_days, {r('
 STATE_COLS = ", ".join(
     f"{n(f'lstate = {chr(39)}{s}{chr(39)}')} AS {s.lower().replace(' ', '_')}" for s in ("Active", "Graduate", "Dropped Out", "Inactive")
 )
+
+
+def packed(*cols: str) -> str:
+    parts = ", ".join(f"coalesce(CAST({c} AS VARCHAR), 'null')" for c in cols)
+    return f"array_to_string(list_sort(list(DISTINCT concat_ws('|', {parts}))), ';')"
+
+
 PROFILE_CTES = TOP1 + f""",
-  s1 AS (SELECT learner, list_sort(list(DISTINCT {{'skill': skill, 'category': category}})) AS skills FROM skl WHERE learner IN (SELECT learner FROM top1) GROUP BY 1),
-  p1 AS (SELECT learner, list_sort(list(DISTINCT {{'program': program_name, 'program_id': cohort_code, 'enrollment_status': status,
-      'start_date': start_date, 'completion_rate': completion::DOUBLE, 'lms_overall_score': score::DOUBLE}})) AS programs
+  s1 AS (SELECT learner, {packed('skill', 'category')} AS skills FROM skl WHERE learner IN (SELECT learner FROM top1) GROUP BY 1),
+  p1 AS (SELECT learner, {packed('program_name', 'cohort_code', 'status', 'start_date', 'completion::DOUBLE', 'score::DOUBLE')} AS programs
       FROM enr WHERE learner IN (SELECT learner FROM top1) GROUP BY 1),
-  e1 AS (SELECT learner, list_sort(list(DISTINCT {{'company': company, 'position': position, 'start_date': start_date, 'is_current': is_current}})) AS employment
+  e1 AS (SELECT learner, {packed('company', 'position', 'start_date', 'is_current')} AS employment
       FROM works WHERE learner IN (SELECT learner FROM top1) GROUP BY 1)"""
 
 
@@ -158,11 +164,11 @@ ORACLES = {
           JOIN cmp c ON c.name = company WHERE orig_code IS NOT NULL AND res_code IS NOT NULL AND country_code IS NOT NULL
             AND orig_code <> country_code GROUP BY 1, 2, 3) x
         JOIN ctry c1 ON c1.code = orig_code JOIN ctry c2 ON c2.code = wc ORDER BY n DESC, orig_code, wc, res_code LIMIT 15"""),
-    "g30_journey_paths": sql("""SELECT program, skills AS top_skills, industry, count(*) AS learner_count FROM (
+    "g30_journey_paths": sql("""SELECT program, array_to_string(skills, ',') AS top_skills, industry, count(*) AS learner_count FROM (
           SELECT DISTINCT e.learner, program_name AS program, skills, company, industry FROM enr e JOIN f5 ON f5.learner = e.learner
           JOIN works w ON w.learner = e.learner JOIN cmp c ON c.name = company JOIN lrn l ON l.learner = e.learner
           WHERE lstate = 'Graduate' AND pstatus IN ('Wage Employed', 'Entrepreneur'))
-        GROUP BY 1, 2, 3 ORDER BY 4 DESC, 1, 2, 3 NULLS LAST LIMIT 20""", FIRST5),
+        GROUP BY program, skills, industry ORDER BY count(*) DESC, program, skills, industry NULLS LAST LIMIT 20""", FIRST5),
     "g31_duration": sql(f"""SELECT program_name AS program, count(*) AS enrollment_count, {r('avg(end_date - start_date)', 0)} AS avg_duration_days,
         {r('avg(end_date - start_date) / 30.0::DOUBLE', 1)} AS avg_duration_months, CAST(min(end_date - start_date) AS INTEGER) AS min_days,
         CAST(max(end_date - start_date) AS INTEGER) AS max_days FROM enr WHERE start_date IS NOT NULL GROUP BY 1 HAVING count(*) > 100
@@ -180,7 +186,7 @@ ORACLES = {
     "g34_reachable": sql("""SELECT node, 0 AS depth FROM d0 UNION ALL SELECT node, 1 FROM d1 UNION ALL SELECT node, 2 FROM d2
         UNION ALL SELECT node, 3 FROM d3""", EDGES),
     "g35_multi_hop": sql(f"{HOP} WHERE lower(skill) LIKE '%python%' AND lower(program_name) LIKE '%data%' ORDER BY 1, 3, 5, 6 LIMIT 10"),
-    "g36_program_skills_sample": sql("""SELECT e.learner, full_name, program_name AS program, cohort_code AS program_id, skills
+    "g36_program_skills_sample": sql("""SELECT e.learner, full_name, program_name AS program, cohort_code AS program_id, array_to_string(skills, ',') AS skills
         FROM enr e JOIN f5 ON f5.learner = e.learner JOIN lrn l ON l.learner = e.learner""", FIRST5),
     "g37_avg_completion": sql(f"""SELECT program_name AS program, {r('avg(completion::DOUBLE)')} AS completion_rate, count(*) AS enrollments
         FROM enr GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5"""),
@@ -194,11 +200,11 @@ ORACLES = {
           SELECT * FROM works WHERE start_date IS NOT NULL ORDER BY start_date DESC, learner, {HASH} LIMIT 10) w JOIN lrn l ON l.learner = w.learner"""),
     "g41_rural": sql("SELECT count(*) AS learners FROM lrn WHERE res_code = 'CB' AND is_rural"),
     "g42_single": sql("SELECT count(*) AS learners FROM lrn WHERE res_code = 'CB' AND gender = 'female'"),
-    "g43_shortest_path": sql("""SELECT path, length FROM (
+    "g43_shortest_path": sql("""SELECT array_to_string(path, ',') AS path, length FROM (
         SELECT [node, dst] AS path, 1 AS length FROM d0 JOIN both_ways ON src = node WHERE dst = 'program:VA-C2001'
         UNION ALL SELECT [node, a.dst, b.dst], 2 FROM d0 JOIN both_ways a ON a.src = node JOIN both_ways b ON b.src = a.dst WHERE b.dst = 'program:VA-C2001'
         UNION ALL SELECT [node, a.dst, b.dst, c.dst], 3 FROM d0 JOIN both_ways a ON a.src = node JOIN both_ways b ON b.src = a.dst
-          JOIN both_ways c ON c.src = b.dst WHERE c.dst = 'program:VA-C2001') ORDER BY length, path LIMIT 1""", EDGES),
+          JOIN both_ways c ON c.src = b.dst WHERE c.dst = 'program:VA-C2001') p ORDER BY length, p.path LIMIT 1""", EDGES),
     "g44_region_rollup": sql("""SELECT region, ct.name AS country, CAST(grouping(region, ct.name) AS INTEGER) AS level, count(*) AS learners
         FROM lrn JOIN ctry ct ON res_code = code GROUP BY ROLLUP (region, ct.name)"""),
     "g45_program_country_learners": sql("""SELECT program_name AS program, count(DISTINCT e.learner) AS learners FROM enr e
@@ -219,14 +225,14 @@ ORACLES = {
         {r('avg(completion::DOUBLE)', 1)} AS avg_completion_rate, {r('avg(score::DOUBLE)', 1)} AS avg_lms_score
         FROM enr WHERE completion >= 0.5 GROUP BY 1, 2 HAVING count(*) >= 3"""),
     "j04_flat": sql("SELECT count(*) AS enrollment_count FROM prow"),
-    "j05_skill_combos": sql("""SELECT skills[1:5] AS top_skills, CAST(len(skills) AS INTEGER) AS total_skills, n AS learner_count FROM (
+    "j05_skill_combos": sql("""SELECT array_to_string(skills[1:5], ',') AS top_skills, CAST(len(skills) AS INTEGER) AS total_skills, n AS learner_count FROM (
         SELECT skills, count(*) AS n FROM (SELECT s.learner, list_sort(list(skill)) AS skills FROM skl s JOIN lrn l ON s.learner = l.learner
           WHERE lstate = 'Graduate' AND pstatus IN ('Wage Employed', 'Freelancer', 'Multiple') AND s.learner IN (SELECT learner FROM works) GROUP BY 1)
         WHERE len(skills) >= 3 GROUP BY 1) ORDER BY n DESC, skills LIMIT 10"""),
     "j05_flat": sql("""SELECT ['Python','Data Analysis','Project Management','SQL','Communication','Graphic Design','Cloud','Sales'][row_ord % 8 + 1] || ', ' ||
         lower(['Python','Data Analysis','Project Management','SQL','Communication','Graphic Design','Cloud','Sales'][c_custkey % 8 + 1]) || ',n/a, ' AS skills_list,
         count(*) AS learner_count FROM prow WHERE grad AND employed GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10"""),
-    "j08_similar_learners": sql("""SELECT s.learner, full_name, count(*) AS shared_skills, list_sort(list(skill))[1:5] AS sample_skills
+    "j08_similar_learners": sql("""SELECT s.learner, full_name, count(*) AS shared_skills, array_to_string(list_sort(list(skill))[1:5], ',') AS sample_skills
         FROM skl s JOIN lrn l ON s.learner = l.learner WHERE skill_id IN (SELECT skill_id FROM skl WHERE learner IN (SELECT learner FROM top1))
           AND s.learner NOT IN (SELECT learner FROM top1) GROUP BY 1, 2 HAVING count(*) >= 3 ORDER BY 3 DESC, 1 LIMIT 10""", TOP1),
     "j09_recommend_programs": sql(f"""SELECT program_name AS recommended_program, cohort_code AS program_id,
@@ -277,11 +283,9 @@ ORACLES = {
     "t5_learner_journey": sql(f"""SELECT l.learner, full_name, gender, education_level, ct.name AS country_of_residence, ci.name AS city_of_residence,
         lstate AS learning_state, pstatus AS professional_status, s.skills, p.programs, e.employment
         FROM lrn l JOIN top1 t ON t.learner = l.learner LEFT JOIN ctry ct ON ct.code = res_code LEFT JOIN city ci ON ci.id = city_id
-        LEFT JOIN (SELECT learner, list_sort(list(DISTINCT skill)) AS skills FROM skl GROUP BY 1) s ON s.learner = l.learner
-        LEFT JOIN (SELECT learner, list_sort(list(DISTINCT {{'program': program_name, 'enrollment_status': status,
-          'completion_rate': completion::DOUBLE, 'lms_overall_score': score::DOUBLE}})) AS programs FROM enr GROUP BY 1) p ON p.learner = l.learner
-        LEFT JOIN (SELECT learner, list_sort(list(DISTINCT {{'company': company, 'position': position, 'is_current': is_current,
-          'start_date': start_date}})) AS employment FROM works WHERE {VALID} GROUP BY 1) e ON e.learner = l.learner""", TOP1),
+        LEFT JOIN (SELECT learner, array_to_string(list_sort(list(DISTINCT skill)), ',') AS skills FROM skl GROUP BY 1) s ON s.learner = l.learner
+        LEFT JOIN (SELECT learner, {packed('program_name', 'status', 'completion::DOUBLE', 'score::DOUBLE')} AS programs FROM enr GROUP BY 1) p ON p.learner = l.learner
+        LEFT JOIN (SELECT learner, {packed('company', 'position', 'is_current', 'start_date')} AS employment FROM works WHERE {VALID} GROUP BY 1) e ON e.learner = l.learner""", TOP1),
     **{
         key: sql(f"""SELECT skill, count(DISTINCT s.learner) AS employed_learners_with_skill FROM skl s JOIN lrn l ON l.learner = s.learner
         WHERE s.learner IN (SELECT learner FROM works WHERE {VALID}) {cond} GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20""")
