@@ -39,9 +39,9 @@ def with_country_code(
         raise ValueError(f"unknown mode: {mode}")
     clean = C.norm_str(F.col(name))
     joined = df.withColumn("_key", F.lower(clean)).join(
-        dim.select(F.col("country_key").alias("_key"), F.col("code").alias("_code")), "_key", "left"
+        dim.select(F.col("country_key").alias("_key"), F.col("code").alias("_mapped_code")), "_key", "left"
     )
-    code = F.col("_code")
+    code = F.col("_mapped_code")
     if mode == "auto":
         code = F.coalesce(code, F.upper(F.substring(clean, 1, 2)))
     elif mode == "strict":
@@ -49,7 +49,7 @@ def with_country_code(
             code.isNull() & clean.isNotNull(),
             F.raise_error(F.concat(F.lit("country not in mapping: "), clean)).cast("string"),
         ).otherwise(code)
-    return joined.withColumn(out, code).drop("_key", "_code")
+    return joined.withColumn(out, code).drop("_key", "_mapped_code")
 
 
 def unmapped_countries(df: DataFrame, dim: DataFrame, name: str = "country_of_residence") -> DataFrame:
