@@ -53,6 +53,15 @@ def check_types(df: DataFrame, cols: tuple[str, ...] = ("sand_id", "hashed_email
     ]
 
 
+def type_errors(df: DataFrame, cols: tuple[str, ...] = ("sand_id", "hashed_email")) -> DataFrame:
+    """Wrongly typed text columns with the number of rows that hold a value in them."""
+    wrong = {c: e for c in cols for e in check_types(df, (c,))}
+    counts = df.agg(F.count(F.lit(1)), *[F.count(c).alias(c) for c in wrong])
+    rows = F.array(*[F.struct(F.lit(e).alias("error"), F.col(c).alias("n")) for c, e in wrong.items()]) if wrong else (
+        F.array().cast("array<struct<error:string,n:bigint>>"))
+    return counts.select(F.explode(rows).alias("r")).select("r.*")
+
+
 def check_learners(df: DataFrame, fields: tuple[str, ...] = ("hashed_email", "full_name")) -> DataFrame:
     checks = required(fields) + [
         code_length("country_of_residence_code", "Invalid country_of_residence_code"),

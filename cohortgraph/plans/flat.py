@@ -55,10 +55,17 @@ def _is(flag: str) -> Column:
     return F.col(flag) == 1
 
 
-def q00_describe(df: DataFrame, spark) -> DataFrame:
-    """Schema listing."""
-    rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
-    return spark.createDataFrame(rows, "position int, column_name string, column_type string")
+def q00_describe(raw: DataFrame) -> DataFrame:
+    """Columns with type and number of values, from one aggregate."""
+    counts = raw.agg(*[F.count(F.col(c)).alias(c) for c in raw.columns])
+    rows = F.array(*[
+        F.struct(
+            F.lit(i).alias("position"), F.lit(f.name).alias("column_name"),
+            F.lit(f.dataType.simpleString()).alias("column_type"), F.col(f.name).alias("non_null"),
+        )
+        for i, f in enumerate(raw.schema.fields)
+    ])
+    return counts.select(F.explode(rows).alias("r")).select("r.*")
 
 
 @reads()

@@ -16,6 +16,7 @@ from cohortgraph import schemas as S
 from cohortgraph.functions.cleaning import valid_company
 from cohortgraph.functions.rates import asc, desc, mean, pct, round_to, share_of_total, top_k
 from cohortgraph.operators.model import Graph
+from cohortgraph.operators.temporal import full_months
 
 EMPLOYED = ("Wage Employed", "Entrepreneur", "Multiple")
 N = F.count
@@ -566,7 +567,7 @@ def job_gaps(g: Graph, only_valid: bool = False, strict: bool = False) -> DataFr
 
 def component_days(start: Column, end: Column) -> Column:
     """Day component left after whole months, as a calendar duration reports it."""
-    return F.datediff(end, F.add_months(start, F.floor(F.months_between(end, start)).cast("int")))
+    return F.datediff(end, F.add_months(start, full_months(start, end)))
 
 
 def gap_stats(df: DataFrame, keys: list[str], total: str = "total_transitions") -> DataFrame:
@@ -719,10 +720,15 @@ def cat_counts(g: Graph) -> DataFrame:
     return out.select("element", F.when(F.col("gid") == 1, "TOTAL").otherwise(F.col("name")).alias("name"), "n")
 
 
-def cat_schema(g: Graph, spark) -> DataFrame:
-    """Node kinds and relationship types with their properties."""
-    rows = []
+def cat_schema(g: Graph) -> DataFrame:
+    """Node kinds and relationship types with their properties and how many hold a value."""
+    parts = []
     for what, tables in (("node", g.nodes()), ("relationship", g.relationships())):
         for name, df in tables.items():
-            rows += [(what, name, f.name, f.dataType.simpleString()) for f in df.schema.fields]
-    return spark.createDataFrame(rows, "element string, name string, property string, type string")
+            counts = df.agg(*[F.count(F.col(c)).alias(c) for c in df.columns])
+            rows = F.array(*[
+                F.struct(F.lit(f.name).alias("property"), F.lit(f.dataType.simpleString()).alias("type"), F.col(f.name).alias("n"))
+                for f in df.schema.fields
+            ])
+            parts.append(counts.select(F.lit(what).alias("element"), F.lit(name).alias("name"), F.explode(rows).alias("r")))
+    return reduce(DataFrame.unionByName, parts).select("element", "name", "r.*")

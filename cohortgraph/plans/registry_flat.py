@@ -14,7 +14,7 @@ def _on_raw(question, **options):
 
 
 QUERIES = {
-    "q00_describe": lambda spark, sf: flat.q00_describe(star.raw_rows(spark, sf), spark),
+    "q00_describe": _on_raw(flat.q00_describe),
     "q01_country_share": _on_raw(flat.q01_country_share),
     "q02_programs_matching": _on_raw(flat.programs_matching, country="nation_5", term="data"),
     "q02_program_in_country": _on_raw(flat.q02_program_in_country, country="nation_5"),

@@ -49,7 +49,7 @@ def _path(spark, sf_dir):
 
 QUERIES = {
     "cat_counts": _on_graph(G.cat_counts),
-    "cat_schema": lambda spark, sf: G.cat_schema(star.graph(spark, sf), spark),
+    "cat_schema": _on_graph(G.cat_schema),
     "g01_top_countries": _on_graph(G.g01_top_countries),
     "g02_program_country_grads": _on_graph(G.g02_program_country_grads, country="CB", term="AI"),
     "g03_gender_country": _on_graph(G.g03_gender_country, codes=FIVE),

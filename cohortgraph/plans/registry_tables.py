@@ -113,7 +113,7 @@ def _dedup_first(spark, sf):
 def _dedup_batched(spark, sf):
     df = typed(spark, sf).select("learner", "row_ord", "program_id", "start_date")
     df = df.withColumn("batch", F.floor(F.col("row_ord") / 1000)).drop("start_date")
-    return keyed.dedup_batched(df, "learner", "row_ord", "batch")
+    return keyed.dedup_batched(df, "learner", "row_ord", "batch").select("learner", "program_id", "batch")
 
 
 def _upsert_nodes(spark, sf):
@@ -352,9 +352,7 @@ QUERIES = {
     "snk_nodes_typed": _typed_nodes,
     # validation and quality
     "val_required": lambda spark, sf: as_text(_checked_learners(spark, sf).select("row_ord", "errors")),
-    "val_type": lambda spark, sf: spark.createDataFrame(
-        [(e,) for e in quality.check_types(star.raw_rows(spark, sf), ("sand_id", "hashed_email", "row_ord"))], "error string"
-    ),
+    "val_type": lambda spark, sf: quality.type_errors(star.raw_rows(spark, sf), ("sand_id", "hashed_email", "row_ord")),
     "val_country_len": lambda spark, sf: quality.errors_by_field(_checked_learners(spark, sf)),
     "val_split_good": _split(0),
     "val_split_bad": _split(1),

@@ -50,6 +50,10 @@ PROFILE_CTES = TOP1 + f""",
       FROM works WHERE learner IN (SELECT learner FROM top1) GROUP BY 1)"""
 
 
+MONTHS = """((year(job_start) - year(graduation_date)) * 12 + month(job_start) - month(graduation_date)
+    - CASE WHEN day(job_start) < day(graduation_date) THEN 1 ELSE 0 END)"""
+
+
 def tcount(name: str, extra: str = "") -> str:
     return f"SELECT ct.name AS country, ct.code AS country_code, {name} FROM x JOIN ctry ct ON x.code = ct.code ORDER BY 3 DESC, 2 LIMIT 20{extra}"
 
@@ -299,6 +303,10 @@ ORACLES = {
     "t7_geo_unknown_metric": sql(tcount('x."count" AS "count"'), 'x AS (SELECT res_code AS code, count(*) AS "count" FROM lrn GROUP BY 1)'),
     "t8_time_to_employment": sql(f"""SELECT program_name AS program, count(*) AS sample_size, {r('avg(days)', 0)} AS avg_days,
         {r('quantile_cont(days::DOUBLE, 0.5)', 0)} AS median_days FROM gaps WHERE {VALID} GROUP BY 1 HAVING count(*) > 10 ORDER BY 3, 1 LIMIT 20""", GAPS),
+    "t8_day_component": sql(f"""SELECT program_name AS program, count(*) AS sample_size, {r('avg(c)', 0)} AS avg_days,
+        {r('quantile_cont(c::DOUBLE, 0.5)', 0)} AS median_days FROM (
+          SELECT *, job_start - CAST(graduation_date + to_months(CAST({MONTHS} AS INTEGER)) AS DATE) AS c FROM gaps)
+        WHERE {VALID} GROUP BY 1 HAVING count(*) > 10 ORDER BY 3, 1 LIMIT 20""", GAPS),
     "t8_one_program": sql(f"""SELECT program_name AS program, count(*) AS sample_size, {r('avg(days)', 0)} AS avg_days,
         {r('quantile_cont(days::DOUBLE, 0.5)', 0)} AS median_days, CAST(min(days) AS INTEGER) AS min_days, CAST(max(days) AS INTEGER) AS max_days
         FROM gaps WHERE {VALID} AND program_name = 'Data Science' GROUP BY 1""", GAPS),
