@@ -67,6 +67,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fact(spark: SparkSession, sf_dir: str, name: str, small: int = 1 << 20) -> DataFrame:
+    """A large table. One that reads as fewer tasks than there are cores (a single row group)
+    is spread over the cores first; with enough splits the scan is left as it is.
+    """
+    df = table(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if size > small and df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def pick(values: tuple[str, ...], index: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
 
@@ -145,7 +157,7 @@ def _array(*items: Column) -> Column:
 @per_session
 def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat landing table, one row per order, plus ``row_ord`` as the row order."""
-    o = table(spark, sf_dir, "orders")
+    o = fact(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
     df = o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
@@ -271,13 +283,29 @@ def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @per_session
-def enrolment_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Enrolment entries straight from orders: learner, row_ord, pos and the text fields."""
-    return table(spark, sf_dir, "orders").select(
+def enrolments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed enrolment entries straight from orders, as ``edges.typed_enrollments`` gives them."""
+    f = enrolment_fields()
+    key = F.col("o_orderkey")
+    day = F.to_date("o_orderdate")
+    end = F.date_add(day, (F.lit(30) + key % 120).cast("int"))
+
+    def number(name: str, kind: str) -> Column:
+        return F.when(f[name] != "-99", f[name].cast(kind))
+
+    return fact(spark, sf_dir, "orders").select(
         learner_key(F.col("o_custkey")).alias("learner"),
-        F.col("o_orderkey").alias("row_ord"),
+        f["cohort_code"].alias("program_id"),
+        key.alias("row_ord"),
         F.lit(0).alias("pos"),
-        *[c.alias(n) for n, c in enrolment_fields().items()],
+        F.lit(1).cast("bigint").alias("index"),
+        f["program_name"].alias("program_name"),
+        f["enrollment_status"].alias("enrollment_status"),
+        F.when(key % 97 != 0, day).alias("start_date"),
+        end.alias("end_date"),
+        F.when((F.col("o_orderstatus") == "F") & (key % 200 != 3), end).alias("graduation_date"),
+        number("lms_overall_score", "double").alias("lms_overall_score"),
+        number("completion_rate", "double").alias("completion_rate"),
     )
 
 
@@ -291,25 +319,27 @@ def skill_name(part_name: Column) -> Column:
 
 
 @per_session
-def job_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Job entries, one per line item: learner, row_ord and the text fields."""
-    li = table(spark, sf_dir, "lineitem")
+def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed job entries, one per line item, as ``edges.typed_jobs`` gives them."""
+    li = fact(spark, sf_dir, "lineitem")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_size")
     df = li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
     ship = F.to_date("l_shipdate")
     running = F.col("l_linestatus") == "O"
+    name = company_name(F.col("l_suppkey"))
+    flag = running | (F.col("l_orderkey") % 31 == 0)
     return df.select(
         learner_key(F.col("o_custkey")).alias("learner"),
+        C.hash_id(name).alias("company_id"),
+        name.alias("organization_name"),
         (F.col("l_orderkey") * 1_000_000 + F.col("l_linenumber") * 10_000 + F.col("l_partkey") % 10_000).alias("row_ord"),
         F.col("l_suppkey").alias("pos"),
-        company_name(F.col("l_suppkey")).alias("organization_name"),
-        F.when((F.col("l_orderkey") + F.col("l_linenumber")) % 89 == 0, F.lit("1970-01-01"))
-        .otherwise(text(ship)).alias("start_date"),
-        F.when(running, F.lit("9999-12-31"))
-        .otherwise(text(F.date_add(ship, F.col("l_quantity").cast("int")))).alias("end_date"),
-        pick(TITLES, F.col("p_size") % 8).alias("job_title"),
-        F.when(running | (F.col("l_orderkey") % 31 == 0), F.lit("1")).otherwise(F.lit("0")).alias("is_current"),
+        pick(TITLES, F.col("p_size") % 8).alias("position"),
+        F.when((F.col("l_orderkey") + F.col("l_linenumber")) % 89 != 0, ship).alias("start_date"),
+        F.when(~running, F.date_add(ship, F.col("l_quantity").cast("int"))).alias("end_date"),
+        flag.alias("is_current"),
+        flag.alias("flagged"),
     )
 
 
@@ -381,7 +411,7 @@ def company_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def has_skill_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    li = fact(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     df = li.join(p, li.l_partkey == p.p_partkey).join(o, li.l_orderkey == o.o_orderkey)
@@ -399,7 +429,7 @@ def skill_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @per_session
 def graph(spark: SparkSession, sf_dir: str) -> Graph:
     """Stored-graph view. Every member is lazy; a query reads only the tables it touches."""
-    entries = enrolment_entries(spark, sf_dir)
+    entries = enrolments(spark, sf_dir)
     return Graph(
         learner=learner_nodes(spark, sf_dir),
         country=country_nodes(spark, sf_dir),
@@ -409,5 +439,5 @@ def graph(spark: SparkSession, sf_dir: str) -> Graph:
         company=company_nodes(spark, sf_dir),
         has_skill=has_skill_edges(spark, sf_dir),
         enrolled_in=edges.enrolled_in(entries),
-        works_for=edges.works_for(job_entries(spark, sf_dir)),
+        works_for=edges.works_for(jobs(spark, sf_dir)),
     )

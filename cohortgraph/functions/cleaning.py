@@ -38,17 +38,22 @@ def city_id(city: Column, country_code: Column) -> Column:
 
 
 def parse_date(c: Column, years: tuple[int, int] | None = (1970, 2030)) -> Column:
-    """Date of ``Y-m-d`` or ISO date-time text; sentinels, junk and out-of-window years are NULL."""
+    """Date of ``Y-m-d`` or ISO date-time text; sentinels, junk and out-of-window years are NULL.
+
+    A four-digit year sorts as text, so the window is checked before anything is parsed. The
+    common ten-character form needs neither a pattern nor a formatter.
+    """
+    low, high = years or (1, 9999)
     iso_time = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}(:?\d{2}(:?\d{2}([.,]\d+)?)?)?(Z|[+-]\d{2}:?\d{2})?$"
-    day = (
-        F.when(c.isin(*S.INVALID_DATES), F.lit(None).cast("date"))
-        .when(c.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), F.try_to_date(c, "yyyy-M-d"))
-        .when(c.rlike(iso_time), F.try_to_date(F.substring(c, 1, 10), "yyyy-MM-dd"))
-        .when(c.rlike(r"^\d{8}$"), F.try_to_date(c, "yyyyMMdd"))
+    in_window = c.between(f"{low:04d}", f"{high + 1:04d}") & ~c.isin(*S.INVALID_DATES)
+    dashed = F.substring(c, 5, 1) == "-"
+    plain = dashed & F.length(c).between(8, 10) & ~c.contains(" ") & ~c.contains("T")
+    return F.when(
+        in_window,
+        F.when(plain, c.try_cast("date"))
+        .when(dashed, F.when(c.rlike(iso_time), F.substring(c, 1, 10).try_cast("date")))
+        .when(c.rlike(r"^\d{8}$"), F.try_to_date(c, "yyyyMMdd")),
     )
-    if years is None:
-        return day
-    return F.when(F.year(day).between(*years), day)
 
 
 def parse_num(c: Column) -> Column:
@@ -107,10 +112,8 @@ def safe_int(c: Column) -> Column:
 
 def safe_date(c: Column) -> Column:
     """Plain ISO date or NULL; a bare year is not a date."""
-    return F.when(
-        ~c.isin("1970-01-01", "", "n/a") & c.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"),
-        F.try_to_date(c, "yyyy-M-d"),
-    )
+    plain = (F.substring(c, 5, 1) == "-") & F.length(c).between(8, 10)
+    return F.when(~c.isin("1970-01-01", "", "n/a") & plain, c.try_cast("date"))
 
 
 def contains_term(c: Column, term: str) -> Column:
@@ -152,12 +155,9 @@ def employment_class(title: Column, organization: Column, venture_placement: Col
 
 def is_current_by_date(end: Column, snapshot: str = SNAPSHOT_DATE) -> Column:
     """Open, unreadable or future end text means the job is current at the snapshot date."""
-    day = F.when(end.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), F.try_to_date(end, "yyyy-M-d"))
-    return (
-        F.when(end.isNull() | strip(end).isin(*S.OPEN_END_TOKENS), True)
-        .when(day.isNull(), True)
-        .otherwise(day >= F.lit(snapshot).cast("date"))
-    )
+    plain = (F.substring(end, 5, 1) == "-") & F.length(end).between(8, 10) & ~end.contains(" ") & ~end.contains("T")
+    past = F.when(plain, end.try_cast("date") < F.lit(snapshot).cast("date"))
+    return ~F.coalesce(past, F.lit(False))
 
 
 def is_set(c: Column) -> Column:

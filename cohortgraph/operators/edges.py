@@ -41,7 +41,8 @@ def typed_enrollments(enrollments: DataFrame, keep_missing_ints: bool = False) -
         "row_ord",
         "pos",
         C.parse_int(F.col("index")).alias("index"),
-        F.col("enrollment_status"),
+        "program_name",
+        "enrollment_status",
         C.parse_date(F.col("program_start_date")).alias("start_date"),
         C.parse_date(F.col("program_end_date")).alias("end_date"),
         C.parse_date(F.col("program_graduation_date")).alias("graduation_date"),
@@ -61,30 +62,34 @@ def with_enrollment_flags(df: DataFrame) -> DataFrame:
     )
 
 
-def enrolled_in(enrollments: DataFrame, keep_missing_ints: bool = False) -> DataFrame:
-    """(learner, program_id) edges with metrics and derived flags."""
-    typed = typed_enrollments(enrollments, keep_missing_ints)
-    order = F.struct("row_ord", "pos")
-    cols = [c for c in typed.columns if c not in ("row_ord", "pos")]
-    return with_enrollment_flags(last_by(typed, ["learner", "program_id"], order, cols))
+def enrolled_in(typed: DataFrame) -> DataFrame:
+    """(learner, program_id) edges of typed enrolments with metrics and derived flags."""
+    cols = [c for c in typed.columns if c not in ("row_ord", "pos", "program_name")]
+    return with_enrollment_flags(last_by(typed, ["learner", "program_id"], F.struct("row_ord", "pos"), cols))
 
 
 def typed_jobs(jobs: DataFrame) -> DataFrame:
+    """Job entries with dates, one row per entry.
+
+    ``is_current`` is the flag of the stored edge, ``flagged`` accepts every true token.
+    """
+    flag = F.lower(C.strip(F.coalesce("is_current", F.lit("0"))))
     return jobs.filter(F.col("learner").isNotNull()).select(
         "learner",
         C.hash_id(F.col("organization_name")).alias("company_id"),
+        "organization_name",
         "row_ord",
         "pos",
         F.col("job_title").alias("position"),
         C.parse_date(F.col("start_date")).alias("start_date"),
         C.parse_date(F.col("end_date")).alias("end_date"),
         F.coalesce(F.col("is_current") == "1", F.lit(False)).alias("is_current"),
+        flag.isin("1", "true", "yes").alias("flagged"),
     )
 
 
-def works_for(jobs: DataFrame) -> DataFrame:
-    """(learner, company_id) edges; several jobs at one company become one edge."""
-    typed = typed_jobs(jobs)
+def works_for(typed: DataFrame) -> DataFrame:
+    """(learner, company_id) edges of typed jobs; several jobs at one company become one edge."""
     order = F.struct("row_ord", "pos")
     out = last_by(typed, ["learner", "company_id"], order, ["position", "start_date", "end_date", "is_current"])
     return out.withColumn("source", F.lit("employment_details"))

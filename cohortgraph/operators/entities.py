@@ -98,9 +98,10 @@ def learner_rows(
     """Learner record of every raw row with codes and current states."""
     df = with_country_code(raw, dim, "country_of_residence", "_res", country_mode)
     df = with_country_code(df, dim, "country_of_origin", "_orig", country_mode)
-    jobs = parse_json_array(F.col("employment_details"), S.EMPLOYMENT_ARRAY)
-    n_current = F.size(F.filter(jobs, lambda j: C.is_current_by_date(j["end_date"], snapshot)))
-    placement = parse.first_placement(F.col("placement_details"))
+    df = parse.with_placement(parse.once(df, employment_details=F.col("employment_details")))
+    ends = parse_json_array(F.col("employment_details"), S.entry_array(("end_date",)))
+    n_current = F.size(F.filter(ends, lambda j: C.is_current_by_date(j["end_date"], snapshot)))
+    placement = F.col("entry")
     venture = F.lit(False) if parity else (placement.isNotNull() & (parse.placement_kind(placement) == "venture"))
     derived = {
         "country_of_residence_code": F.col("_res"),
@@ -110,7 +111,7 @@ def learner_rows(
             C.is_set(F.col("is_graduate_learner")), C.is_set(F.col("is_active_learner")), C.is_set(F.col("is_a_dropped_out"))
         ),
         "current_professional_status": states.professional_status(
-            F.when(jobs.isNotNull(), n_current), venture,
+            n_current, venture,
             C.is_set(F.col("is_running_a_venture")), C.is_set(F.col("is_wage_employed")),
         ),
     }
@@ -164,9 +165,8 @@ def skills(learner_skills: DataFrame) -> DataFrame:
 
 def programs(enrollments: DataFrame) -> DataFrame:
     """Programs keyed by cohort code."""
-    df = enrollments.select(
-        F.col("cohort_code").alias("id"), F.col("program_name").alias("name"), "row_ord", "pos"
-    )
+    key = "program_id" if "program_id" in enrollments.columns else "cohort_code"
+    df = enrollments.select(F.col(key).alias("id"), F.col("program_name").alias("name"), "row_ord", "pos")
     out = first_by(df, ["id"], F.struct("row_ord", "pos"), ["id", "name"])
     return out.select("id", "name", F.col("id").alias("cohort_code"), F.lit(S.PROVIDER).alias("provider"))
 

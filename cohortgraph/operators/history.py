@@ -20,22 +20,19 @@ def _date(value: str | Column) -> Column:
     return F.lit(value).cast("date") if isinstance(value, str) else value
 
 
-def _row(value: Column, start: Column, end: Column, current: Column, note: Column, unknown: bool) -> Column:
+def _row(value: Column, start: Column, end: Column, current: Column, note: Column, unknown: bool, step: Column | int) -> Column:
     return F.struct(
         value.alias("value"), start.cast("date").alias("start_date"), end.cast("date").alias("end_date"),
         current.alias("is_current"), note.alias("note"), F.lit(unknown).alias("date_unknown"),
+        (F.lit(step) if isinstance(step, int) else step).alias("step"),
     )
 
 
 def _emit(df: DataFrame, rows: list[Column], value: str, note: str) -> DataFrame:
-    """Explode the non-null rows; the last row of the learner's last entry is current."""
-    kept = df.select("learner", "entry_ord", "last_entry", F.array_compact(F.array(*rows)).alias("rows"))
-    out = kept.select(
-        "learner", "entry_ord", "last_entry", F.size("rows").alias("n"), F.posexplode("rows").alias("step", "r")
-    )
+    """One output row per non-null item of ``rows``."""
+    out = df.select("learner", "entry_ord", F.explode(F.array(*rows)).alias("r")).filter(F.col("r").isNotNull())
     return out.select(
-        "learner", "entry_ord", "step", F.col("r.value").alias(value), "r.start_date", "r.end_date",
-        (F.col("r.is_current") | (F.col("last_entry") & (F.col("step") == F.col("n") - 1))).alias("is_current"),
+        "learner", "entry_ord", "r.step", F.col("r.value").alias(value), "r.start_date", "r.end_date", "r.is_current",
         F.col("r.note").alias(note), "r.date_unknown",
     )
 
@@ -52,17 +49,15 @@ def end_state(status: Column) -> Column:
 def learning_history(enrollments: DataFrame, as_of: str, gap_months: int = 6) -> DataFrame:
     """Learning-state rows of every learner with enrolment entries.
 
-    ``enrollments`` has learner, row_ord, pos and the entry texts. The output order of a
+    ``enrollments`` are typed entries (``edges.typed_enrollments``). The output order of a
     learner is (date_unknown first, start_date of the entry, entry_ord, step).
     """
     gap_days = gap_months * 30
-    start, end, grad = (
-        C.parse_date(F.col(c)) for c in ("program_start_date", "program_end_date", "program_graduation_date")
-    )
-    e = enrollments.filter(F.col("learner").isNotNull()).select(
-        "learner", F.struct("row_ord", "pos").alias("entry_ord"), start.alias("start"), end.alias("end"), grad.alias("grad"),
+    e = enrollments.select(
+        "learner", F.struct("row_ord", "pos").alias("entry_ord"), F.col("start_date").alias("start"),
+        F.col("end_date").alias("end"), F.col("graduation_date").alias("grad"),
         end_state(F.col("enrollment_status")).alias("fin"),
-        F.concat("program_name", F.lit(" ("), "cohort_code", F.lit(")")).alias("what"),
+        F.concat("program_name", F.lit(" ("), "program_id", F.lit(")")).alias("what"),
     )
     closed = (
         F.when((F.col("fin") == "Graduate") & F.col("grad").isNotNull(), F.col("grad"))
@@ -84,20 +79,23 @@ def learning_history(enrollments: DataFrame, as_of: str, gap_months: int = 6) ->
             "next_start": next_start,
         }
     )
-    no = F.lit(False)
+    no, last = F.lit(False), F.col("last_entry")
     known, fin, closed, gap = F.col("start").isNotNull(), F.col("fin"), F.col("closed"), F.col("gap")
+    ended = F.col("ended")
+    df = df.withColumn("ended", known & closed.isNotNull() & (fin != "Active"))
     null_date = F.lit(None).cast("date")
     rows = [
         F.when(~known, _row(
-            fin, null_date, F.coalesce("end", "grad"), no,
-            F.concat(F.lit("Enrolled in "), "what", F.lit(" (date unknown)")), True)),
-        F.when(known, _row(F.lit("Active"), F.col("start"), closed, no, F.concat(F.lit("Enrolled in "), "what"), False)),
-        F.when(known & closed.isNotNull() & (fin != "Active"), _row(
-            fin, closed, F.when(gap.isNotNull(), closed), no,
-            F.concat(F.when(fin == "Graduate", "Graduated from ").otherwise("Dropped out of "), F.col("what")), False)),
+            fin, null_date, F.coalesce("end", "grad"), last,
+            F.concat(F.lit("Enrolled in "), "what", F.lit(" (date unknown)")), True, 0)),
+        F.when(known, _row(
+            F.lit("Active"), F.col("start"), closed, last & ~ended, F.concat(F.lit("Enrolled in "), "what"), False, 0)),
+        F.when(ended, _row(
+            fin, closed, F.when(gap.isNotNull(), closed), last,
+            F.concat(F.when(fin == "Graduate", "Graduated from ").otherwise("Dropped out of "), F.col("what")), False, 1)),
         F.when(gap.isNotNull(), _row(
             F.lit("Inactive"), closed, F.col("next_start"), no,
-            F.concat(F.lit("Gap of "), gap, F.lit(" days between programs")), False)),
+            F.concat(F.lit("Gap of "), gap, F.lit(" days between programs")), False, F.when(ended, 2).otherwise(1))),
     ]
     return _emit(df, rows, "state", "reason")
 
@@ -122,7 +120,7 @@ def professional_history(
     infer_initial: bool = True,
     learners: DataFrame | None = None,
 ) -> DataFrame:
-    """Professional-status rows from job entries.
+    """Professional-status rows from typed job entries (``edges.typed_jobs``).
 
     ``flags`` (learner, is_venture, is_wage, is_freelancer, optional placement_is_venture)
     decides the status after an ended last job; without it the learner is unemployed then.
@@ -130,14 +128,12 @@ def professional_history(
     """
     gap_days = gap_months * 30
     today = _date(as_of)
-    base = jobs.filter(F.col("learner").isNotNull())
     venture = F.col("placement_is_venture") if "placement_is_venture" in jobs.columns else None
-    end = C.parse_date(F.col("end_date"))
-    e = base.select(
-        "learner", F.struct("row_ord", "pos").alias("entry_ord"), C.parse_date(F.col("start_date")).alias("start"), end.alias("end"),
-        (F.lower(C.strip(F.coalesce("is_current", F.lit("0")))).isin("1", "true", "yes") & end.isNull()).alias("current"),
-        C.employment_class(F.col("job_title"), F.col("organization_name"), venture).alias("cls"),
-        F.concat("job_title", F.lit(" at "), "organization_name").alias("what"),
+    e = jobs.select(
+        "learner", F.struct("row_ord", "pos").alias("entry_ord"), F.col("start_date").alias("start"), F.col("end_date").alias("end"),
+        (F.col("flagged") & F.col("end_date").isNull()).alias("current"),
+        C.employment_class(F.col("position"), F.col("organization_name"), venture).alias("cls"),
+        F.concat("position", F.lit(" at "), "organization_name").alias("what"),
     )
     e = e.withColumn("day", F.coalesce("start", _date(NO_DAY)))
 
@@ -163,7 +159,6 @@ def professional_history(
     )
     df = dated.unionByName(undated).join(by_day, ["learner", "day"])
 
-    known = F.col("start").isNotNull()
     first_in_day = F.col("nth") == 1
     last_in_day = F.col("entry_ord") == F.col("last_ord")
     has_prev = ~first_in_day | (F.col("prev_day").isNotNull() & (F.col("prev_day") != _date(NO_DAY)))
@@ -189,19 +184,29 @@ def professional_history(
     no, yes = F.lit(False), F.lit(True)
     null_date = F.lit(None).cast("date")
     start, end = F.col("start"), F.col("end")
-    gap = F.datediff("start", "prev_end")
+    known = F.col("start").isNotNull()
+    df = df.withColumns(
+        {
+            "before": known & ~F.col("has_prev") & ~F.col("has_unknown") & F.lit(infer_initial),
+            "gap": F.when(known & F.col("has_prev"), F.datediff("start", "prev_end")),
+            "after": known & F.col("last_entry") & end.isNotNull(),
+        }
+    )
+    gap, gapped = F.col("gap"), F.coalesce(F.col("gap") > gap_days, no)
+    earlier = F.col("before").cast("int") + gapped.cast("int")
     rows = [
         F.when(~known, _row(
-            F.col("cls"), null_date, end, F.col("current") & F.col("only_unknown"),
-            F.concat("what", F.lit(" (date unknown)")), True)),
-        F.when(known & ~F.col("has_prev") & ~F.col("has_unknown") & F.lit(infer_initial), _row(
-            F.lit("Unemployed"), F.date_sub(start, 365), start, no, F.lit("Before first employment"), False)),
-        F.when(known & F.col("has_prev") & (gap > gap_days), _row(
+            F.col("cls"), null_date, end, (F.col("current") & F.col("only_unknown")) | F.col("last_entry"),
+            F.concat("what", F.lit(" (date unknown)")), True, 0)),
+        F.when(F.col("before"), _row(
+            F.lit("Unemployed"), F.date_sub(start, 365), start, no, F.lit("Before first employment"), False, 0)),
+        F.when(gapped, _row(
             F.lit("Unemployed"), F.col("prev_end"), start, no,
-            F.concat(F.lit("Gap of "), gap, F.lit(" days between jobs")), False)),
+            F.concat(F.lit("Gap of "), gap, F.lit(" days between jobs")), False, 0)),
         F.when(known, _row(
-            F.col("cls"), start, F.when(F.col("closes"), today).otherwise(end), F.col("current"), F.col("what"), False)),
-        F.when(known & F.col("last_entry") & end.isNotNull(), _row(final, end, null_date, yes, note, False)),
+            F.col("cls"), start, F.when(F.col("closes"), today).otherwise(end),
+            F.col("current") | (F.col("last_entry") & ~F.col("after")), F.col("what"), False, earlier)),
+        F.when(F.col("after"), _row(final, end, null_date, yes, note, False, earlier + 1)),
     ]
     out = _emit(df, rows, "status", "details")
     if learners is None or not infer_initial:

@@ -2,23 +2,51 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortgraph.functions import cleaning as C
 from cohortgraph.operators import edges, entities, history, parse
 from cohortgraph.operators.model import Graph
+from cohortgraph.sources.writers import write_graph
+
+
+def load_graph(raw: DataFrame, dim: DataFrame, path: str, as_of: str, **options) -> None:
+    """Build and store the graph, dimensions first.
+
+    The typed enrolment and job entries feed several tables each, so they are kept
+    (memory, then disk) for the length of the load instead of being parsed again.
+    """
+    kept = [edges.typed_enrollments(parse.enrollments_raw(raw)), edges.typed_jobs(parse.jobs_raw(raw))]
+    for df in kept:
+        df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        write_graph(build_graph(raw, dim, as_of, entries=tuple(kept), **options), path)
+    finally:
+        for df in kept:
+            df.unpersist()
 
 
 def build_graph(
-    raw: DataFrame, dim: DataFrame, as_of: str, snapshot: str = C.SNAPSHOT_DATE, parity: bool = False, with_history: bool = True
+    raw: DataFrame,
+    dim: DataFrame,
+    as_of: str,
+    snapshot: str = C.SNAPSHOT_DATE,
+    parity: bool = False,
+    with_history: bool = True,
+    entries: tuple[DataFrame, DataFrame] | None = None,
 ) -> Graph:
     """Node and edge tables from a raw table (with ``row_ord``) and a country dimension.
 
-    About a dozen outputs read the raw table; write the graph, or persist ``raw``, rather
-    than querying the returned plans again and again.
+    About a dozen outputs read the raw table, each only its own columns; store the graph
+    (``load_graph``) rather than querying the returned plans again and again. ``entries`` are
+    already parsed and typed (enrolments, jobs).
     """
-    enrolments, jobs, skills = parse.enrollments_raw(raw), parse.jobs_raw(raw), parse.learner_skills(raw)
+    enrolments, jobs = entries or (
+        edges.typed_enrollments(parse.enrollments_raw(raw)), edges.typed_jobs(parse.jobs_raw(raw))
+    )
+    skills = parse.learner_skills(raw)
     learner = entities.learners(raw, dim, snapshot=snapshot, parity=parity)
     states = statuses = None
     if with_history:

@@ -11,12 +11,22 @@ from cohortgraph.functions import cleaning as C
 from cohortgraph.functions.jsoncols import has_fields, parse_json_array
 
 
+def once(df: DataFrame, **cols: Column) -> DataFrame:
+    """Add columns that are computed a single time per row.
+
+    The one-item explode is a boundary: filters and projections above it refer to the finished
+    values, and are not rewritten into copies of the expressions.
+    """
+    kept = [c for c in df.columns if c not in cols]
+    item = F.struct(*[c.alias(name) for name, c in cols.items()])
+    out = df.select("*", F.explode(F.array(item)).alias("_once"))
+    return out.select(*kept, *[F.col(f"_once.{name}").alias(name) for name in cols])
+
+
 def entries(raw: DataFrame, column: str, schema: T.ArrayType, required: tuple[str, ...]) -> DataFrame:
     """One row per array entry that has every required key: learner, row_ord, pos, fields."""
-    array = parse_json_array(F.col(column), schema)
-    exploded = raw.select(
-        F.col("hashed_email").alias("learner"), "row_ord", F.posexplode(array).alias("pos", "entry")
-    )
+    rows = once(raw.select(F.col("hashed_email").alias("learner"), "row_ord", F.col(column)), text=F.col(column))
+    exploded = rows.select("learner", "row_ord", F.posexplode(parse_json_array(F.col("text"), schema)).alias("pos", "entry"))
     kept = exploded.filter(has_fields(F.col("entry"), required))
     return kept.select("learner", "row_ord", "pos", "entry.*")
 
@@ -54,17 +64,21 @@ def first_placement(c: Column) -> Column:
     return F.when(entry["job_start_date"].isNotNull(), entry)
 
 
+def with_placement(raw: DataFrame) -> DataFrame:
+    """Add the first placement as the struct ``entry``."""
+    rows = once(raw, text=F.col("placement_details"))
+    return once(rows, entry=first_placement(F.col("text"))).drop("text")
+
+
 def placements(raw: DataFrame, parity: bool = False) -> DataFrame:
     """First placement per row with its kind.
 
     With ``parity`` the wage reading wins whenever the start date exists, as in the
     original load, so a venture is never seen.
     """
-    df = raw.select(
-        F.col("hashed_email").alias("learner"),
-        "row_ord",
-        first_placement(F.col("placement_details")).alias("entry"),
-    ).filter(F.col("entry").isNotNull())
+    df = with_placement(raw.select(F.col("hashed_email").alias("learner"), "row_ord", "placement_details")).filter(
+        F.col("entry").isNotNull()
+    )
     kind = F.lit("wage") if parity else placement_kind(F.col("entry"))
     return df.select(
         "learner",
@@ -79,9 +93,10 @@ def placements(raw: DataFrame, parity: bool = False) -> DataFrame:
 
 def placement_flags(raw: DataFrame, parity: bool = False) -> DataFrame:
     """Whether the row's placement is a venture."""
-    entry = first_placement(F.col("placement_details"))
+    rows = with_placement(raw.select("hashed_email", "row_ord", "placement_details"))
+    entry = F.col("entry")
     venture = F.lit(False) if parity else F.coalesce(placement_kind(entry) == "venture", F.lit(False))
-    return raw.select(
+    return rows.select(
         F.col("hashed_email").alias("learner"),
         "row_ord",
         entry.isNotNull().alias("has_placement"),
@@ -153,6 +168,7 @@ def silver(
         ("le", "learning_details", learning), ("em", "employment_details", employment), ("pl", "placement_details", placement),
     ):
         if fields:
+            df = once(df, **{column: F.col(column)})
             first = F.slice(parse_json_array(F.col(column), S.entry_array(fields)), 1, 1)
             df = df.select("*", F.explode_outer(first).alias(name))
     return df

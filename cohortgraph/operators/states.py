@@ -53,18 +53,23 @@ def status_from_flags(
     )
 
 
-def job_is_current(rule: str, end: Column, flag: Column, snapshot: str = C.SNAPSHOT_DATE) -> Column:
-    """The three definitions of a current job: ``flag``, ``date`` or ``open_end``."""
+def job_is_current(rule: str, end: Column, flag: Column, snapshot: str = C.SNAPSHOT_DATE, text: bool = True) -> Column:
+    """The three definitions of a current job: ``flag``, ``date`` or ``open_end``.
+
+    ``text`` tells entries as they arrive from typed ones. The unknown-date marker is a past
+    end by the date rule only in text form; typed, it is NULL like an open end.
+    """
     if rule == "flag":
-        return F.coalesce(flag == "1", F.lit(False))
+        return F.coalesce(flag == "1" if text else flag, F.lit(False))
     if rule == "date":
-        return C.is_current_by_date(end, snapshot)
+        return C.is_current_by_date(end, snapshot) if text else F.coalesce(end >= F.lit(snapshot).cast("date"), F.lit(True))
     if rule == "open_end":
-        return C.parse_date(end).isNull()
+        return (C.parse_date(end) if text else end).isNull()
     raise ValueError(f"unknown rule: {rule}")
 
 
 def current_jobs(jobs: DataFrame, snapshot: str = C.SNAPSHOT_DATE, rule: str = "date") -> DataFrame:
     """Current-job count per learner."""
-    current = job_is_current(rule, F.col("end_date"), F.col("is_current"), snapshot)
+    text = dict(jobs.dtypes)["end_date"] == "string"
+    current = job_is_current(rule, F.col("end_date"), F.col("is_current"), snapshot, text)
     return jobs.groupBy("learner").agg(F.count_if(current).alias("current_jobs"))

@@ -14,22 +14,22 @@ AS_OF = star.AS_OF
 
 @star.per_session
 def learning(spark, sf_dir):
-    return history.learning_history(star.enrolment_entries(spark, sf_dir), AS_OF)
+    return history.learning_history(star.enrolments(spark, sf_dir), AS_OF)
 
 
 @star.per_session
 def learning_from_json(spark, sf_dir):
-    return history.learning_history(parse.enrollments_raw(star.raw_rows(spark, sf_dir)), AS_OF)
+    return history.learning_history(edges.typed_enrollments(parse.enrollments_raw(star.raw_rows(spark, sf_dir))), AS_OF)
 
 
 @star.per_session
 def professional(spark, sf_dir):
-    return history.professional_history(star.job_entries(spark, sf_dir), AS_OF, star.learner_flags(spark, sf_dir))
+    return history.professional_history(star.jobs(spark, sf_dir), AS_OF, star.learner_flags(spark, sf_dir))
 
 
 @star.per_session
 def professional_no_flags(spark, sf_dir):
-    return history.professional_history(star.job_entries(spark, sf_dir), AS_OF)
+    return history.professional_history(star.jobs(spark, sf_dir), AS_OF)
 
 
 @star.per_session
@@ -49,7 +49,7 @@ def _flat(df):
 
 
 def _snapshot(spark, sf_dir):
-    entries = star.enrolment_entries(spark, sf_dir).filter(F.col("enrollment_status") == "Graduated")
+    entries = star.enrolments(spark, sf_dir).filter(F.col("enrollment_status") == "Graduated")
     people = star.learner_nodes(spark, sf_dir).select(
         F.col("hashed_email").alias("learner"), F.col("current_learning_state").alias("state")
     )
@@ -77,7 +77,7 @@ def _st_flags(spark, sf):
 
 
 def _st_professional(spark, sf):
-    jobs = states.current_jobs(star.job_entries(spark, sf), snapshot=AS_OF)
+    jobs = states.current_jobs(star.jobs(spark, sf), snapshot=AS_OF)
     df = star.learner_flags(spark, sf).join(jobs, "learner", "left")
     status = states.professional_status(F.col("current_jobs"), F.col("is_freelancer"), F.col("is_venture"), F.col("is_wage"))
     return df.select("learner", status.alias("status"))
@@ -87,9 +87,9 @@ QUERIES = {
     "st_learning": _st_learning,
     "st_professional": _st_professional,
     "st_status_flags": _st_flags,
-    "st_job_count": lambda spark, sf: states.current_jobs(star.job_entries(spark, sf), snapshot=AS_OF),
-    "st_job_count_flag": lambda spark, sf: states.current_jobs(star.job_entries(spark, sf), rule="flag"),
-    "st_job_count_open_end": lambda spark, sf: states.current_jobs(star.job_entries(spark, sf), rule="open_end"),
+    "st_job_count": lambda spark, sf: states.current_jobs(star.jobs(spark, sf), snapshot=AS_OF),
+    "st_job_count_flag": lambda spark, sf: states.current_jobs(star.jobs(spark, sf), rule="flag"),
+    "st_job_count_open_end": lambda spark, sf: states.current_jobs(star.jobs(spark, sf), rule="open_end"),
     "hist_learning": lambda spark, sf: _flat(learning(spark, sf)),
     "hist_learning_json": lambda spark, sf: _flat(learning_from_json(spark, sf)),
     "hist_learning_fallback": _snapshot,

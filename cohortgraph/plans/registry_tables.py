@@ -88,7 +88,7 @@ def _skill_ids(spark, sf):
 
 
 def _job_class(spark, sf):
-    df = star.job_entries(spark, sf).select("job_title", "organization_name").distinct()
+    df = star.jobs(spark, sf).select(F.col("position").alias("job_title"), "organization_name").distinct()
     return df.select("job_title", "organization_name", C.employment_class(F.col("job_title"), F.col("organization_name")).alias("cls"))
 
 
@@ -339,12 +339,12 @@ QUERIES = {
     "ent_counts": _entity_counts,
     # edges
     "edge_has_skill": lambda spark, sf: edges.has_skill(skills(spark, sf)),
-    "edge_enrolled_in": lambda spark, sf: edges.enrolled_in(enrolments(spark, sf)),
+    "edge_enrolled_in": lambda spark, sf: edges.enrolled_in(typed(spark, sf)),
     "edge_enroll_derived": lambda spark, sf: edges.with_enrollment_flags(typed(spark, sf)).select(
         "row_ord", "is_completed", "is_dropped", "duration"
     ),
-    "edge_works_for": lambda spark, sf: edges.works_for(jobs(spark, sf)),
-    "edge_work_derived": lambda spark, sf: edges.with_employment_derived(edges.works_for(jobs(spark, sf))),
+    "edge_works_for": lambda spark, sf: edges.works_for(edges.typed_jobs(jobs(spark, sf))),
+    "edge_work_derived": lambda spark, sf: edges.with_employment_derived(edges.works_for(edges.typed_jobs(jobs(spark, sf)))),
     "edge_venture": lambda spark, sf: edges.runs_venture(parse.placements(star.raw_rows(spark, sf))),
     "edge_geo": _geo,
     "snk_nodes": _upsert_nodes,
