@@ -12,9 +12,15 @@ from cohortgraph import schemas as S
 SNAPSHOT_DATE = "2025-10-06"
 
 
+# every character that counts as white space at the ends of a text
+_BLANKS = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(
+    chr(c) for c in range(0x2000, 0x200B)
+)
+
+
 def strip(c: Column) -> Column:
-    """Trim every kind of whitespace, not only blanks."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    """Trim every kind of whitespace, not only blanks. No pattern matching, as it runs on every cell."""
+    return F.btrim(c, F.lit(_BLANKS))
 
 
 def norm_str(c: Column) -> Column:
@@ -57,18 +63,17 @@ def parse_date(c: Column, years: tuple[int, int] | None = (1970, 2030)) -> Colum
 
 
 def parse_num(c: Column) -> Column:
-    """Double; empty and missing-value markers become NULL."""
-    s = strip(c.cast("string"))
-    value = s.try_cast("double")
-    return F.when(~F.lower(s).isin(*S.NULL_TOKENS) & (value != -99.0), value)
+    """Double; text that is no number and the missing-value marker become NULL.
+
+    The cast itself ignores blanks and turns null tokens into NULL; each value is read once.
+    """
+    return F.nullif(c.try_cast("double"), F.lit(-99.0))
 
 
 def parse_int(c: Column, keep_missing: bool = False) -> Column:
     """Integer part of a number. The -99 marker becomes NULL unless ``keep_missing``."""
-    value = strip(c.cast("string")).try_cast("double")
-    if not keep_missing:
-        value = F.when(value != -99.0, value)
-    return value.cast("bigint")
+    value = c.try_cast("double") if keep_missing else parse_num(c)
+    return value.try_cast("bigint")
 
 
 def _flag(c: Column, yes: tuple[str, ...], no: tuple[str, ...]) -> Column:

@@ -11,7 +11,10 @@ from cohortgraph.functions.jsoncols import parse_json_array
 from cohortgraph.functions.rates import asc, desc, pct, round_to, share_of_total, top_k
 
 FLAG_OF_STATUS = {"is_graduate_learner": "graduated", "is_active_learner": "enrolled", "is_a_dropped_out": "dropped out"}
-N = F.count(F.lit(1))
+
+
+def _n() -> Column:
+    return F.count(F.lit(1))
 
 
 def _one(c: str) -> Column:
@@ -38,7 +41,7 @@ def p01_flag_check(raw: DataFrame) -> DataFrame:
     statuses = F.transform(parse_json_array(F.col("learning_details"), S.entry_array(("enrollment_status",))), lambda e: F.lower(e["enrollment_status"]))
     df = raw.select(*FLAG_OF_STATUS, statuses.alias("statuses"))
     same = {f: F.count_if(_one(f) == F.coalesce(F.array_contains("statuses", v), F.lit(False))).alias(f) for f, v in FLAG_OF_STATUS.items()}
-    out = df.agg(N.alias("total"), *same.values())
+    out = df.agg(_n().alias("total"), *same.values())
     return _long(out, "flag", {
         f: {"matches": F.col(f), "total": F.col("total"), "match_rate": pct(F.col(f), F.col("total"), 4)} for f in FLAG_OF_STATUS
     })
@@ -52,7 +55,7 @@ def p02_field_completeness(entries: DataFrame, fields: tuple[str, ...] = S.LEARN
     def sentinel(c: Column) -> Column:
         return c.isin("1970-01-01", *S.MISSING_NUMBERS)
 
-    aggs = [N.alias("total")]
+    aggs = [_n().alias("total")]
     for f in fields:
         aggs += [F.count_if(missing(F.col(f))).alias(f"m_{f}"), F.count_if(sentinel(F.col(f))).alias(f"s_{f}")]
     out = entries.agg(*aggs)
@@ -90,8 +93,8 @@ def p05_exclusive(raw: DataFrame) -> DataFrame:
 
 def p06_value_share(df: DataFrame, column: str, limit: int | None = None) -> DataFrame:
     """Values of a column by count and share. The whole is a second pass, as values may be many."""
-    grouped = df.groupBy(F.col(column).alias("value")).agg(N.alias("n"))
-    whole = df.agg(N.alias("n")).scalar()
+    grouped = df.groupBy(F.col(column).alias("value")).agg(_n().alias("n"))
+    whole = df.agg(_n().alias("n")).scalar()
     return top_k(grouped.withColumn("share_pct", pct(F.col("n"), whole)), desc("n") + asc("value"), limit)
 
 
@@ -117,7 +120,7 @@ def p08_completion_by_status(typed: DataFrame) -> DataFrame:
 def p09_identity(raw: DataFrame) -> DataFrame:
     sand, name = C.norm_str(F.col("sand_id")), C.norm_str(F.col("full_name"))
     out = raw.agg(
-        N.alias("total_rows"), F.countDistinct("hashed_email").alias("unique_hashed_email"), F.countDistinct(name).alias("unique_full_name"),
+        _n().alias("total_rows"), F.countDistinct("hashed_email").alias("unique_hashed_email"), F.countDistinct(name).alias("unique_full_name"),
         F.countDistinct(sand).alias("unique_sand_id"), F.count_if(sand.isNull()).alias("missing_sand_id"),
     )
     return out.withColumn("missing_sand_id_pct", pct(F.col("missing_sand_id"), F.col("total_rows")))
@@ -129,7 +132,7 @@ def _people(raw: DataFrame, *cols: str) -> DataFrame:
 
 def p10_multi_program(raw: DataFrame) -> DataFrame:
     """People by name with one or several enrolments, and whether their keys differ."""
-    per = _people(raw).groupBy("person").agg(N.alias("rows"), F.countDistinct("hashed_email").alias("keys"))
+    per = _people(raw).groupBy("person").agg(_n().alias("rows"), F.countDistinct("hashed_email").alias("keys"))
     kind = F.when(F.col("rows") == 1, "single").when(F.col("keys") == 1, "multi_same_key").otherwise("multi_different_keys")
     return share_of_total(per.select(kind.alias("category")), ["category"]).orderBy("category")
 
@@ -137,8 +140,8 @@ def p10_multi_program(raw: DataFrame) -> DataFrame:
 def p11_status_combos(raw: DataFrame) -> DataFrame:
     """Sets of statuses of people with several enrolments; the set is bounded by the statuses."""
     df = _people(_with_status(raw), "status")
-    per = df.groupBy("person").agg(N.alias("rows"), F.array_sort(F.collect_set(F.initcap(F.lower("status")))).alias("set"))
-    combos = per.filter(F.col("rows") > 1).groupBy(F.array_join("set", " + ").alias("combination")).agg(N.alias("n"))
+    per = df.groupBy("person").agg(_n().alias("rows"), F.array_sort(F.collect_set(F.initcap(F.lower("status")))).alias("set"))
+    combos = per.filter(F.col("rows") > 1).groupBy(F.array_join("set", " + ").alias("combination")).agg(_n().alias("n"))
     return combos.orderBy(*desc("n"), *asc("combination"))
 
 
@@ -149,13 +152,13 @@ def p12_concurrent(people: DataFrame) -> DataFrame:
     day first, so the running maximum sees at most one row per person and calendar day.
     """
     days = people.filter(F.col("start_date").isNotNull() & F.col("end_date").isNotNull()).groupBy("person", "start_date").agg(
-        N.alias("n"), F.max("end_date").alias("last_end")
+        _n().alias("n"), F.max("end_date").alias("last_end")
     )
     before = Window.partitionBy("person").orderBy("start_date").rowsBetween(Window.unboundedPreceding, -1)
     df = days.withColumn("open_until", F.max("last_end").over(before))
     hit = (F.col("open_until") > F.col("start_date")) | ((F.col("n") > 1) & (F.col("last_end") > F.col("start_date")))
     per = df.groupBy("person").agg(F.bool_or(F.coalesce(hit, F.lit(False))).alias("overlaps"))
-    out = per.agg(N.alias("people"), F.count_if("overlaps").alias("concurrent"))
+    out = per.agg(_n().alias("people"), F.count_if("overlaps").alias("concurrent"))
     return out.withColumn("concurrent_pct", pct(F.col("concurrent"), F.col("people")))
 
 
@@ -164,7 +167,7 @@ def p13_same_person(raw: DataFrame) -> DataFrame:
 
     Only names with several rows are linked; ``has_other_enrollments`` holds for all of them.
     """
-    keys = _people(raw).groupBy("person", "hashed_email").agg(N.alias("rows"))
+    keys = _people(raw).groupBy("person", "hashed_email").agg(_n().alias("rows"))
     per = keys.groupBy("person").agg(F.min("hashed_email").alias("same_as"), F.count(F.lit(1)).alias("keys"), F.sum("rows").alias("enrollments"))
     out = keys.join(per.filter(F.col("enrollments") > 1), "person")
     return out.select("hashed_email", "person", "same_as", "keys", "enrollments", F.lit(True).alias("has_other_enrollments"))
@@ -178,7 +181,7 @@ HAS_FLAGS = {
 
 def p14_has_flags(raw: DataFrame, flags: dict[str, str] = HAS_FLAGS) -> DataFrame:
     """Flags against real content; ``[]`` and ``"[]"`` are empty."""
-    aggs = [N.alias("total")]
+    aggs = [_n().alias("total")]
     for flag, column in flags.items():
         content = C.norm_str(F.col(column)).isNotNull() & ~F.regexp_replace(column, r'["\s]', "").isin("[]", "")
         aggs += [F.count_if(_one(flag)).alias(f"o_{flag}"), F.count_if(_one(flag) == F.coalesce(content, F.lit(False))).alias(f"m_{flag}")]
@@ -200,8 +203,8 @@ def p15_edu_entries(raw: DataFrame) -> DataFrame:
 
 def p16_edu_top(education: DataFrame, column: str, limit: int = 20) -> DataFrame:
     """Institutions, levels or fields by entries, with their graduation rate."""
-    grouped = education.groupBy(F.col(column).alias("value")).agg(N.alias("n"), F.count_if(F.col("graduated") == "1").alias("graduated"))
-    whole = education.agg(N.alias("n")).scalar()
+    grouped = education.groupBy(F.col(column).alias("value")).agg(_n().alias("n"), F.count_if(F.col("graduated") == "1").alias("graduated"))
+    whole = education.agg(_n().alias("n")).scalar()
     out = grouped.withColumns(
         {"share_pct": pct(F.col("n"), whole), "graduation_rate": pct(F.col("graduated"), F.col("n"))}
     )
@@ -249,7 +252,7 @@ def p19_edu_duration(education: DataFrame) -> DataFrame:
     for n in range(1, 6):
         bucket = bucket.when(years < n + 1, f"{n}-{n + 1} years")
     df = _edu_days(education).withColumn("bucket", bucket.otherwise("6+ years"))
-    out = df.groupBy("bucket").agg(N.alias("n"), F.sum("days").alias("sum_days"), F.min("days").alias("lo"), F.max("days").alias("hi"))
+    out = df.groupBy("bucket").agg(_n().alias("n"), F.sum("days").alias("sum_days"), F.min("days").alias("lo"), F.max("days").alias("hi"))
     w = Window.partitionBy()
     total = F.sum("n").over(w)
     return out.select(
@@ -267,7 +270,7 @@ def p20_edu_progression(raw: DataFrame, limit: int = 20) -> DataFrame:
         F.slice(levels, 1, F.greatest(F.size(levels) - 1, F.lit(0))), F.slice(levels, 2, F.greatest(F.size(levels), F.lit(0))),
         lambda a, b: F.concat(a, F.lit(" → "), b),
     )
-    df = raw.select(F.explode(pairs).alias("progression")).groupBy("progression").agg(N.alias("n"))
+    df = raw.select(F.explode(pairs).alias("progression")).groupBy("progression").agg(_n().alias("n"))
     return top_k(df, desc("n") + asc("progression"), limit)
 
 
@@ -281,7 +284,7 @@ def p21_edu_issues(education: DataFrame, as_of: str) -> DataFrame:
         "invalid_start_date": F.col("start_date") == "1970-01-01", "end_before_start": end < start,
         "field_missing": F.col("field_of_study") == "n/a",
     }
-    out = education.agg(N.alias("total"), *[F.count_if(c).alias(k) for k, c in issues.items()])
+    out = education.agg(_n().alias("total"), *[F.count_if(c).alias(k) for k, c in issues.items()])
     return _long(out, "issue", {k: {"n": F.col(k), "share_pct": pct(F.col(k), F.col("total"))} for k in issues})
 
 
@@ -310,7 +313,7 @@ def p23_stale_jobs(jobs: DataFrame, as_of: str, days: int = 30) -> DataFrame:
 
 
 def p24_jobs_per_person(jobs: DataFrame) -> DataFrame:
-    out = jobs.filter(F.col("is_current") == "1").agg(N.alias("current_jobs"), F.countDistinct("learner").alias("people"))
+    out = jobs.filter(F.col("is_current") == "1").agg(_n().alias("current_jobs"), F.countDistinct("learner").alias("people"))
     ratio = F.col("current_jobs") / F.when(F.col("people") > 0, F.col("people").cast("double"))
     return out.withColumn("jobs_per_person", round_to(ratio, 2))
 
@@ -326,7 +329,7 @@ def p25_source_discrepancy(left: DataFrame, right: DataFrame, key: str = "key",
 def name_and_code_counts(raw: DataFrame, learners: DataFrame, countries: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Learners per country by the flat table's names and by the loaded codes."""
     by_name = raw.groupBy(C.norm_str(F.col("country_of_residence")).alias("key")).agg(F.countDistinct("hashed_email").alias("n"))
-    coded = learners.groupBy(F.col("country_of_residence_code").alias("code")).agg(N.alias("n"))
+    coded = learners.groupBy(F.col("country_of_residence_code").alias("code")).agg(_n().alias("n"))
     names = countries.select("code", F.col("name").alias("key"))
     by_code = coded.join(names, "code").select("key", "n")
     return by_name.filter(F.col("key").isNotNull()), by_code

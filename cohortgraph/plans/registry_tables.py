@@ -19,7 +19,7 @@ from cohortgraph.sources import readers, writers
 from cohortgraph.streaming import incremental
 
 AS_OF = star.AS_OF
-N = F.count(F.lit(1))
+
 
 
 @star.per_session
@@ -57,13 +57,17 @@ def learners(spark, sf):
     return entities.learners(star.raw_rows(spark, sf), dim(spark, sf), snapshot=AS_OF)
 
 
-def per_row(**columns):
-    """Expressions over the raw table, beside the row order."""
-    return lambda spark, sf: star.raw_rows(spark, sf).select("row_ord", *[c.alias(n) for n, c in columns.items()])
+def _n():
+    return F.count(F.lit(1))
+
 
+def per_row(columns):
+    """Expressions over the raw table, beside the row order; built when the query runs."""
+    return lambda spark, sf: star.raw_rows(spark, sf).select("row_ord", *[c.alias(n) for n, c in columns().items()])
 
-def per_entry(**columns):
-    return lambda spark, sf: enrolments(spark, sf).select("row_ord", *[c.alias(n) for n, c in columns.items()])
+
+def per_entry(columns):
+    return lambda spark, sf: enrolments(spark, sf).select("row_ord", *[c.alias(n) for n, c in columns().items()])
 
 
 def on_raw(question, **options):
@@ -75,7 +79,7 @@ def on(table, question, **options):
 
 
 def counted(table, *keys):
-    return lambda spark, sf: table(spark, sf).groupBy(*keys).agg(N.alias("n"))
+    return lambda spark, sf: table(spark, sf).groupBy(*keys).agg(_n().alias("n"))
 
 
 def _field(name):
@@ -95,14 +99,14 @@ def _job_class(spark, sf):
 def _country_code(mode):
     def run(spark, sf):
         df = entities.with_country_code(star.raw_rows(spark, sf), dim(spark, sf), mode=mode)
-        return df.groupBy("country_of_residence", "country_code").agg(N.alias("n"))
+        return df.groupBy("country_of_residence", "country_code").agg(_n().alias("n"))
 
     return run
 
 
 def _country_code_strict(spark, sf):
     known = star.raw_rows(spark, sf).join(dim(spark, sf), F.lower("country_of_residence") == F.col("country_key"), "left_semi")
-    return entities.with_country_code(known, dim(spark, sf), mode="strict").groupBy("country_code").agg(N.alias("n"))
+    return entities.with_country_code(known, dim(spark, sf), mode="strict").groupBy("country_code").agg(_n().alias("n"))
 
 
 def _dedup_first(spark, sf):
@@ -141,7 +145,7 @@ def _typed_nodes(spark, sf):
 def _geo(spark, sf):
     people = star.learner_nodes(spark, sf)
     city = star.city_nodes(spark, sf).select(F.col("id").alias("city_of_residence_id"), F.col("country_code").alias("city_country"))
-    df = people.groupBy("city_of_residence_id", "country_of_residence_code", "country_of_origin_code").agg(N.alias("n"))
+    df = people.groupBy("city_of_residence_id", "country_of_residence_code", "country_of_origin_code").agg(_n().alias("n"))
     return df.join(city, "city_of_residence_id").groupBy("city_country", "country_of_residence_code", "country_of_origin_code").agg(F.sum("n").alias("n"))
 
 
@@ -218,14 +222,14 @@ def _csv(spark, sf):
         header="true", escape='"', quoteAll="true"
     ).csv(path)
     back = readers.read_learners(spark, "csv", {"path": path, "multi_line": False})
-    return parse.enrollments_raw(back).groupBy("program_name", "enrollment_status").agg(N.alias("n"))
+    return parse.enrollments_raw(back).groupBy("program_name", "enrollment_status").agg(_n().alias("n"))
 
 
 def _csv_nulls(spark, sf):
     path = _folder(spark)
     enrolments(spark, sf).select("row_ord", "lms_overall_score", "completion_rate").write.option("header", "true").csv(path)
     back = readers.read_learners_csv(spark, path, null_tokens=readers.DEFAULT_NULL_TOKENS, multi_line=False)
-    return back.agg(N.alias("n"), F.count("lms_overall_score").alias("scores"), F.count("completion_rate").alias("rates"))
+    return back.agg(_n().alias("n"), F.count("lms_overall_score").alias("scores"), F.count("completion_rate").alias("rates"))
 
 
 def _export(spark, sf):
@@ -235,7 +239,7 @@ def _export(spark, sf):
 def _round_trip(spark, sf):
     path = _folder(spark)
     writers.export_parquet(typed(spark, sf), path)
-    return readers.read_learners(spark, "parquet", {"path": path}).groupBy("program_id").agg(N.alias("n"), F.sum("number_of_submissions").alias("submissions"))
+    return readers.read_learners(spark, "parquet", {"path": path}).groupBy("program_id").agg(_n().alias("n"), F.sum("number_of_submissions").alias("submissions"))
 
 
 def _stored_graph(spark, sf):
@@ -264,24 +268,24 @@ def _run_report(spark, sf):
 
 QUERIES = {
     # scalar cleaning
-    "fn_norm_str": per_row(full_name=C.norm_str(_field("full_name")), sand_id=C.norm_str(_field("sand_id"))),
+    "fn_norm_str": per_row(lambda: dict(full_name=C.norm_str(_field("full_name")), sand_id=C.norm_str(_field("sand_id")))),
     "fn_skill_id": _skill_ids,
-    "fn_city_id": per_row(city_id=C.city_id(_field("city_of_residence"), F.substring("gender", 1, 2))),
-    "fn_parse_date": per_entry(
+    "fn_city_id": per_row(lambda: dict(city_id=C.city_id(_field("city_of_residence"), F.substring("gender", 1, 2)))),
+    "fn_parse_date": per_entry(lambda: dict(
         start_date=C.parse_date(_field("program_start_date")), graduation_date=C.parse_date(_field("program_graduation_date"))
-    ),
-    "fn_parse_num": per_entry(score=C.parse_num(_field("lms_overall_score")), completion=C.parse_num(_field("completion_rate"))),
-    "fn_parse_int": per_entry(
+    )),
+    "fn_parse_num": per_entry(lambda: dict(score=C.parse_num(_field("lms_overall_score")), completion=C.parse_num(_field("completion_rate")))),
+    "fn_parse_int": per_entry(lambda: dict(
         submissions=C.parse_int(_field("no_of_submissions")), kept=C.parse_int(_field("no_of_submissions"), keep_missing=True)
-    ),
-    "fn_parse_bool": per_row(has_disability=C.parse_bool(_field("has_disability")), is_placed=C.parse_bool(_field("is_placed"))),
-    "fn_is_rural": per_row(is_rural=C.parse_rural(_field("is_rural"))),
-    "fn_gender": per_row(gender=C.norm_gender(_field("gender"))),
-    "fn_education": per_row(education_level=C.norm_education(_field("education_level_of_study"))),
+    )),
+    "fn_parse_bool": per_row(lambda: dict(has_disability=C.parse_bool(_field("has_disability")), is_placed=C.parse_bool(_field("is_placed")))),
+    "fn_is_rural": per_row(lambda: dict(is_rural=C.parse_rural(_field("is_rural")))),
+    "fn_gender": per_row(lambda: dict(gender=C.norm_gender(_field("gender")))),
+    "fn_education": per_row(lambda: dict(education_level=C.norm_education(_field("education_level_of_study")))),
     "fn_hash_id": lambda spark, sf: star.company_nodes(spark, sf).select("name", C.hash_id(F.col("name")).alias("id")),
-    "fn_safe_casts": per_entry(
+    "fn_safe_casts": per_entry(lambda: dict(
         d=C.safe_double(_field("lms_overall_score")), i=C.safe_int(_field("no_of_test")), t=C.safe_date(_field("program_start_date"))
-    ),
+    )),
     "fn_program_match": lambda spark, sf: enrolments(spark, sf).agg(
         F.count_if(C.contains_term(F.col("program_name"), "Data Analytics")).alias("specific"),
         F.count_if(C.contains_term(F.col("program_name"), "DATA")).alias("broad"),
@@ -294,17 +298,17 @@ QUERIES = {
     "fn_employment_class": _job_class,
     "fn_is_current_date": lambda spark, sf: jobs(spark, sf).groupBy(
         C.is_current_by_date(F.col("end_date"), AS_OF).alias("is_current")
-    ).agg(N.alias("n")),
+    ).agg(_n().alias("n")),
     "fn_field_map": lambda spark, sf: entities.learner_base(star.raw_rows(spark, sf)),
     "src_country_map": lambda spark, sf: dim(spark, sf),
     # JSON and arrays
-    "js_array": per_row(
+    "js_array": per_row(lambda: dict(
         learning=F.size(parse.parse_json_array(_field("learning_details"), S.LEARNING_ARRAY)),
         employment=F.coalesce(F.size(parse.parse_json_array(_field("employment_details"), S.EMPLOYMENT_ARRAY)), F.lit(0)),
         education=F.coalesce(F.size(parse.parse_json_array(_field("education_details"), S.EDUCATION_ARRAY)), F.lit(0)),
         doubly_encoded=F.coalesce(F.size(parse.parse_json_array(F.to_json(F.struct("employment_details")).substr(
             F.lit(23), F.length(F.to_json(F.struct("employment_details"))) - 23), S.EMPLOYMENT_ARRAY)), F.lit(0)),
-    ),
+    )),
     "js_learning": lambda spark, sf: enrolments(spark, sf).select(
         "learner", "row_ord", "pos", "index", "program_name", "cohort_code", "program_start_date", "program_end_date", "enrollment_status",
         "program_graduation_date", "lms_overall_score", "completion_rate",
@@ -321,10 +325,10 @@ QUERIES = {
     "js_placement_type": lambda spark, sf: parse.placement_flags(star.raw_rows(spark, sf)).select("row_ord", "has_placement", "placement_is_venture"),
     "js_placement_type_parity": lambda spark, sf: parse.placement_flags(star.raw_rows(spark, sf), parity=True).groupBy(
         "has_placement", "placement_is_venture"
-    ).agg(N.alias("n")),
+    ).agg(_n().alias("n")),
     "js_first_field": lambda spark, sf: star.raw_rows(spark, sf).groupBy(
         parse.first_entry(star.raw_rows(spark, sf), "learning_details", "cohort_code", S.LEARNING_ARRAY).alias("cohort_code")
-    ).agg(N.alias("n")),
+    ).agg(_n().alias("n")),
     "arr_skills": lambda spark, sf: skills(spark, sf),
     # entities
     "ent_learner": learners,
