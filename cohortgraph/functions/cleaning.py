@@ -51,7 +51,7 @@ def parse_date(c: Column, years: tuple[int, int] | None = (1970, 2030)) -> Colum
     """
     low, high = years or (1, 9999)
     iso_time = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}(:?\d{2}(:?\d{2}([.,]\d+)?)?)?(Z|[+-]\d{2}:?\d{2})?$"
-    in_window = c.between(f"{low:04d}", f"{high + 1:04d}") & ~c.isin(*S.INVALID_DATES)
+    in_window = c.between(f"{low:04d}", f"{high:04d}~") & ~c.isin(*S.INVALID_DATES)
     dashed = F.substring(c, 5, 1) == "-"
     plain = dashed & F.length(c).between(8, 10) & ~c.contains(" ") & ~c.contains("T")
     return F.when(
