@@ -1,4 +1,5 @@
 import datetime as dt
+import hashlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -56,7 +57,7 @@ def test_enumerations(one):
 
 
 def test_hash_id(one):
-    assert one(["Acme"], C.hash_id) == ["96aa33a9e62fae52"] or len(one(["Acme"], C.hash_id)[0]) == 16
+    assert one(["Acme", " Acme"], C.hash_id) == [hashlib.sha256(v.encode()).hexdigest()[:16] for v in ("Acme", " Acme")]
 
 
 def test_skill_category(one):
