@@ -493,10 +493,10 @@ def g26_peer_pairs(g: Graph, min_pairs: int = 10, limit: int = 20) -> DataFrame:
     """Pairs of learners of one cohort at one company: n(n-1)/2 of the group size, no pair is made."""
     both = g.enrolled_in.select("learner", "program_id").join(g.works_for.select("learner", "company_id"), "learner")
     sizes = both.groupBy("program_id", "company_id").agg(N("*").alias("n"))
-    pairs = sizes.withColumn("peer_pairs", F.expr("n * (n - 1) div 2")).filter(F.col("peer_pairs") > 0)
+    pairs = sizes.withColumn("peer_pairs", F.expr("n * (n - 1) div 2")).filter(F.col("peer_pairs") >= max(min_pairs, 1))
     named = pairs.join(program_names(g), "program_id").join(company_names(g), "company_id")
-    out = named.groupBy("program", F.col("program_id").alias("cohort"), "company").agg(F.sum("peer_pairs").alias("peer_pairs"))
-    return top_k(out.filter(F.col("peer_pairs") >= min_pairs), desc("peer_pairs") + asc("cohort", "company"), limit)
+    out = named.select("program", F.col("program_id").alias("cohort"), "company", "peer_pairs")
+    return top_k(out, desc("peer_pairs") + asc("cohort", "company"), limit)
 
 
 def g27_program_to_company(g: Graph, min_n: int = 50, limit: int = 25) -> DataFrame:
