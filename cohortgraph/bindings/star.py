@@ -7,14 +7,14 @@ edge tables the way a finished load would have stored them.
 
 from __future__ import annotations
 
-from functools import wraps
+from functools import cached_property, wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortgraph import schemas as S
 from cohortgraph.functions import cleaning as C
-from cohortgraph.operators import edges, entities, states
+from cohortgraph.operators import edges, states
 from cohortgraph.operators.model import Graph
 
 AS_OF = "2001-12-31"
@@ -54,15 +54,16 @@ def per_session(build):
     plans: dict[tuple, object] = {}
 
     @wraps(build)
-    def cached(spark: SparkSession, sf_dir: str):
-        key = (spark.sparkContext.applicationId, id(spark), sf_dir)
+    def cached(spark: SparkSession, sf_dir: str, *rest):
+        key = (spark.sparkContext.applicationId, id(spark), sf_dir, *rest)
         if key not in plans:
-            plans[key] = build(spark, sf_dir)
+            plans[key] = build(spark, sf_dir, *rest)
         return plans[key]
 
     return cached
 
 
+@per_session
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -426,18 +427,30 @@ def skill_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return names.select(C.skill_id(F.col("name")).alias("id"), "name", C.skill_category(F.col("name")).alias("category"))
 
 
+def program_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cohort code decides the program name, so distinct rows are already one per cohort."""
+    names = enrolments(spark, sf_dir).select(F.col("program_id").alias("id"), F.col("program_name").alias("name")).distinct()
+    return names.select("id", "name", F.col("id").alias("cohort_code"), F.lit(S.PROVIDER).alias("provider"))
+
+
+class StoredGraph(Graph):
+    """Graph whose tables are planned when they are first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        object.__setattr__(self, "source", (spark, sf_dir))
+
+    learner = cached_property(lambda self: learner_nodes(*self.source))
+    country = cached_property(lambda self: country_nodes(*self.source))
+    city = cached_property(lambda self: city_nodes(*self.source))
+    skill = cached_property(lambda self: skill_nodes(*self.source))
+    program = cached_property(lambda self: program_nodes(*self.source))
+    company = cached_property(lambda self: company_nodes(*self.source))
+    has_skill = cached_property(lambda self: has_skill_edges(*self.source))
+    enrolled_in = cached_property(lambda self: edges.enrolled_in(enrolments(*self.source)))
+    works_for = cached_property(lambda self: edges.works_for(jobs(*self.source)))
+
+
 @per_session
 def graph(spark: SparkSession, sf_dir: str) -> Graph:
-    """Stored-graph view. Every member is lazy; a query reads only the tables it touches."""
-    entries = enrolments(spark, sf_dir)
-    return Graph(
-        learner=learner_nodes(spark, sf_dir),
-        country=country_nodes(spark, sf_dir),
-        city=city_nodes(spark, sf_dir),
-        skill=skill_nodes(spark, sf_dir),
-        program=entities.programs(entries),
-        company=company_nodes(spark, sf_dir),
-        has_skill=has_skill_edges(spark, sf_dir),
-        enrolled_in=edges.enrolled_in(entries),
-        works_for=edges.works_for(jobs(spark, sf_dir)),
-    )
+    """Stored-graph view; a query plans and reads only the tables it touches."""
+    return StoredGraph(spark, sf_dir)
