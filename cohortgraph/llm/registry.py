@@ -2,17 +2,26 @@
 
 from __future__ import annotations
 
-from cohortgraph.llm import bpe, decontamination, exact_dedup, sharding
+import corpus_pipeline
+from cohortgraph.llm import bpe, brown, decontamination, exact_dedup, line_dedup, sharding, simhash, substrings, toxicity, warc
 
 QUERIES = {
+    "op1_brown_lm": brown.op1,
     "op2_exact_dedup": exact_dedup.op2,
     "op3_decontamination": decontamination.op3,
+    "op4_suffix_dedup": substrings.op4,
     "op5_sharding": sharding.op5,
+    "op6_toxicity": toxicity.op6,
+    "op7_warc": warc.op7,
+    "op8_line_dedup": line_dedup.op8,
+    "op9_simhash": simhash.op9,
     "op10_bpe": bpe.op10,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES = {
     "op2_exact_dedup": exact_dedup.SQL,
     "op3_decontamination": decontamination.SQL,
     "op5_sharding": sharding.SQL,
+    "op8_line_dedup": line_dedup.SQL,
 }
