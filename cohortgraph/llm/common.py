@@ -10,6 +10,7 @@ Conventions of all operators:
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -26,6 +27,14 @@ WHITE = " \t\n\x0b\x0c\r"
 SLICE_BYTES = 4 << 20
 
 
+def ship(spark: SparkSession) -> None:
+    """Let Python workers find this package where it lies (clusters without a shared folder for it: --py-files)."""
+    here = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if here not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([here, known]) if known else here
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

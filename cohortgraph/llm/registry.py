@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from cohortgraph.llm import bpe, brown, decontamination, exact_dedup, line_dedup, sharding, simhash, substrings, toxicity, warc
+from cohortgraph.llm import bpe, brown, common, decontamination, exact_dedup, line_dedup, sharding, simhash, substrings, toxicity, warc
 
-QUERIES = {
+_QUERIES = {
     "op1_brown_lm": brown.op1,
     "op2_exact_dedup": exact_dedup.op2,
     "op3_decontamination": decontamination.op3,
@@ -19,6 +19,16 @@ QUERIES = {
     "pipeline": corpus_pipeline.run,
 }
 
+def _shipped(query):
+    def run(spark, sf_dir):
+        common.ship(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+QUERIES = {name: _shipped(query) for name, query in _QUERIES.items()}
+
 ORACLES = {
     "op2_exact_dedup": exact_dedup.SQL,
     "op3_decontamination": decontamination.SQL,

@@ -24,6 +24,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from cohortgraph.llm import common
 
@@ -34,6 +35,8 @@ LEAST_TEXTS, LEAST_ODDS, WORDS = 5, 3.0, 5_000
 FOLDS = {"words": (0, 4), "trees": (4, 8), "calibration": (8, 10)}
 INSULTS = frozenset("idiot moron stupid loser pathetic worthless scum trash clown disgusting dumb fool jerk bastard".encode().split())
 SECOND = frozenset("you your yours yourself u ur du dich dir dein deine tu te toi ton ta tes vous votre usted ustedes ti tuyo vos".encode().split())
+#: Bytes of the stem of a longer word: inflected words share it.
+STEM = 4
 NEAR = 5
 WINDOW = 50
 _TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -44,6 +47,7 @@ _PLAIN = bytes.maketrans(b"0134578@$!|+", b"oieastbasiit")
 _SPACED = re.compile(rb"(?:\b[a-z][ .\-_]){3,}[a-z]\b")
 FEATURES = (
     "lexicon_density", "lexicon_count", "lexicon_kinds", "lexicon_window", "learned_density", "learned_count", "learned_weight", "learned_window",
+    "stem_density", "stem_count", "stem_weight",
     "second_density", "second_near", "second_near_share", "capitals", "capital_words", "exclamations", "questions", "punctuation", "mixed_words", "hidden_lexicon",
     "spaced_letters", "digits", "non_ascii", "length",
 )
@@ -55,14 +59,15 @@ def _window(hits: np.ndarray) -> float:
     return float((c[WINDOW:] - c[:-WINDOW]).max()) if len(hits) > WINDOW else float(c[-1])
 
 
-def features(text: bytes, learned: dict[bytes, float]) -> list[float]:
+def features(text: bytes, learned: dict[bytes, float], stems: dict[bytes, float]) -> list[float]:
     words = text.translate(_TABLE).split()
     n, size = len(words), max(1, len(text))
     base = max(1, n)
     insults = np.fromiter(map(INSULTS.__contains__, words), bool, n)
     weights = np.fromiter(map(learned.get, words, repeat(0.0)), np.float64, n)
+    stemmed = np.fromiter(map(stems.get, [w[:STEM] for w in words], repeat(0.0)), np.float64, n) if stems else np.zeros(n)
     second = np.fromiter(map(SECOND.__contains__, words), bool, n)
-    hits = insults | (weights > 0)
+    hits = insults | (weights > 0) | (stemmed > 0)
     beside = np.concatenate([[0], np.cumsum(second)])
     at = np.flatnonzero(hits)
     near = int((beside[np.minimum(at + NEAR + 1, n)] > beside[np.maximum(at - NEAR, 0)]).sum()) if len(at) else 0
@@ -75,6 +80,7 @@ def features(text: bytes, learned: dict[bytes, float]) -> list[float]:
     return [
         k / base, math.log1p(k), len({words[i] for i in np.flatnonzero(insults)}), _window(insults),
         float((weights > 0).sum()) / base, math.log1p(float((weights > 0).sum())), float(weights.max()) if n else 0.0, _window(weights > 0),
+        float((stemmed > 0).sum()) / base, math.log1p(float((stemmed > 0).sum())), float(stemmed.max()) if n else 0.0,
         float(second.sum()) / base, math.log1p(near), near / max(1, len(at)), upper / size, shouted / base,
         text.count(b"!") / size, text.count(b"?") / size, (len(text) - len(text.translate(None, _PUNCT))) / size, len(mixed) / base, float(hidden),
         float(len(_SPACED.findall(lower))), (len(text) - len(text.translate(None, b"0123456789"))) / size,
@@ -82,22 +88,22 @@ def features(text: bytes, learned: dict[bytes, float]) -> list[float]:
     ]
 
 
-def with_features(docs: DataFrame, text_col: str, learned: dict[bytes, float], name: str = "_features") -> DataFrame:
+def with_features(docs: DataFrame, text_col: str, learned: tuple[dict[bytes, float], dict[bytes, float]], name: str = "_features") -> DataFrame:
     """All columns of ``docs`` and an array of features."""
     words = docs.sparkSession.sparkContext.broadcast(learned)
 
     def make():
-        lexicon = words.value
+        lexicon, stems = words.value
 
         def step(part: pa.RecordBatch) -> pa.RecordBatch:
-            rows = [features((t or "").encode(), lexicon) for t in part.column(text_col).to_pylist()]
+            rows = [features((t or "").encode(), lexicon, stems) for t in part.column(text_col).to_pylist()]
             flat = pa.array(np.array(rows, np.float64).reshape(-1))
             offsets = pa.array(np.arange(len(rows) + 1, dtype=np.int32) * len(FEATURES))
             return pa.RecordBatch.from_arrays([*part.columns, pa.ListArray.from_arrays(offsets, flat)], names=[*part.schema.names, name])
 
         return step
 
-    schema = docs.schema.add(name, "array<double>")
+    schema = StructType([*docs.schema.fields, StructField(name, ArrayType(DoubleType()))])
     return common.map_arrow(docs, make, schema, text_col)
 
 
@@ -108,7 +114,7 @@ def held_out(id_col: Column) -> Column:
 class Model:
     """Fitted words, trees and calibration; ``score`` adds a column to any table of documents."""
 
-    def __init__(self, learned: dict[bytes, float], trees, calibration, prior: float):
+    def __init__(self, learned: tuple[dict[bytes, float], dict[bytes, float]], trees, calibration, prior: float):
         self.learned, self.trees, self.calibration, self.prior = learned, trees, calibration, prior
 
     def score(self, docs: DataFrame, *, text_col: str = "text", name: str = "score") -> DataFrame:
@@ -137,14 +143,21 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     everything = sum(counts.values())
     prior = sum(v for (_, y), v in counts.items() if y == 1) / everything if everything else 0.0
     if not all(total(name, label) for name in FOLDS for label in (True, False)):
-        return Model({}, None, None, prior)
+        return Model(({}, {}), None, None, prior)
 
     lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    words = fold("words").select("_label", F.explode(F.array_distinct(F.split(F.regexp_replace(lowered, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " "), " "))).alias("w"))
+    cells = F.transform(F.split(F.regexp_replace(lowered, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " "), " "), lambda w: w.cast("binary"))
     toxic, clean = F.sum(F.when(F.col("_label") == 1, 1).otherwise(0)), F.sum(F.when(F.col("_label") == 1, 0).otherwise(1))
     odds = F.log((F.col("t") + 0.5) / (total("words", True) + 1)) - F.log((F.col("c") + 0.5) / (total("words", False) + 1))
-    found = words.filter("w <> ''").groupBy("w").agg(toxic.alias("t"), clean.alias("c")).filter(F.col("t") >= LEAST_TEXTS).withColumn("odds", odds)
-    learned = {r.w.encode(): float(r.odds) for r in found.filter(F.col("odds") >= LEAST_ODDS).orderBy(F.desc("odds"), "w").limit(WORDS).collect()}
+
+    def tellers(keys: Column) -> dict[bytes, float]:
+        """The keys whose texts are mostly toxic, with their log odds."""
+        each = fold("words").select("_label", F.explode(F.array_distinct(keys)).alias("w")).filter(F.octet_length("w") > 0)
+        found = each.groupBy("w").agg(toxic.alias("t"), clean.alias("c")).filter(F.col("t") >= LEAST_TEXTS).withColumn("odds", odds)
+        return {bytes(r.w): float(r.odds) for r in found.filter(F.col("odds") >= LEAST_ODDS).orderBy(F.desc("odds"), "w").limit(WORDS).collect()}
+
+    longer = F.filter(cells, lambda w: F.octet_length(w) > STEM)
+    learned = tellers(cells), tellers(F.transform(longer, lambda w: F.substring(w, 1, STEM)))
 
     def fed(name: str) -> DataFrame:
         return with_features(fold(name), "text", learned).select(

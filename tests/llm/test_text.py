@@ -191,16 +191,20 @@ def test_language_model(docs_of, monkeypatch):
     assert sum(r.score for r in out) > 0.85 * sum(r.base_score for r in out)  # both are negative
 
 
-def test_language_model_sums_to_one(spark, docs_of):
-    """Scores of one-token continuations, over the whole vocabulary and the unknown word, from each history."""
+def test_language_model_sums_to_one(docs_of):
+    """Texts of at most one word have at most all of the probability, repeating a word repeats its step, and the parts of a history sum to one."""
     train = [(i, t) for i, t in lm_rows()[:60] if not held(i)]
-    vocabulary = sorted({w for _, t in train for w in t.split()})
-    probes = [(10_000 + i, t) for i, t in enumerate(["", *vocabulary, "never-seen"])] + [(30_000 + i, f"aa1 {t}".strip()) for i, t in enumerate(["", *vocabulary, "never-seen"])]
-    probes = [(i, t) for i, t in probes]
+    vocabulary = sorted({w for _, t in train for w in t.split()}) + ["never-seen"]
+    probes = [(10_000, "")] + [(10_001 + i, w) for i, w in enumerate(vocabulary)] + [(20_001 + i, f"{w} {w}") for i, w in enumerate(vocabulary)]
+    probes += [(30_001 + i, f"{w} {w} {w}") for i, w in enumerate(vocabulary)]
     got = {r.doc_id: r.score for r in brown.score(docs_of([*train, *probes]), F.col("doc_id") >= 10_000, classes=4, seed_words=20).collect()}
-    follow = lambda start, prefix: sum(10 ** got[start + k] for k in range(len(vocabulary) + 2))
-    # p(w, end) summed over w, plus p(end) at once, is p of at most one token: compare with two-token continuations
-    assert follow(10_000, "") < 1
+    total = 10 ** got[10_000]
+    for i in range(len(vocabulary)):
+        one, two, three = (got[k + i] for k in (10_001, 20_001, 30_001))
+        step = two - one  # log p(w | w)
+        assert abs((three - two) - step) < 1e-9
+        total += 10**one
+    assert total <= 1.0 + 1e-9
     stats = brown.Stats.__new__(brown.Stats)
     stats.size, stats.kinds, stats.discount = np.array([30.0, 10.0, 5.0]), np.array([6.0, 4.0, 1.0]), 0.4
     after, unknown = brown.probabilities(np.array([[9, 3, 1], [4, 2, 2], [8, 1, 0]]), stats)
@@ -209,13 +213,27 @@ def test_language_model_sums_to_one(spark, docs_of):
     assert np.allclose((after * known).sum(1) + unknown, 1)
 
 
-def test_exchange_finds_the_blocks():
+def likelihood(bigrams, own, classes):
+    member = np.eye(classes + 2)[np.concatenate([own, [classes, classes + 1]])]
+    table = member.T @ bigrams @ member
+    return sum((x * np.log(np.maximum(x, 1))).sum() * f for x, f in ((table, 1), (table.sum(1), -1), (table.sum(0), -1)))
+
+
+def test_exchange_finds_the_blocks_and_no_better_move():
     rng = np.random.default_rng(1)
     n = 40
     rates = np.full((n + 2, n + 2), 0.2)
     rates[:20, 20:40] = rates[20:40, :20] = 9
     own = brown.exchange(rng.poisson(rates), 2)
     assert len(set(own[:20])) == len(set(own[20:])) == 1 and own[0] != own[20]
+    bigrams = rng.poisson(2, (n + 2, n + 2))
+    own = brown.exchange(bigrams, 4, sweeps=100)
+    best = likelihood(bigrams, own, 4)
+    for w in range(n):
+        for k in range(4):
+            other = own.copy()
+            other[w] = k
+            assert likelihood(bigrams, other, 4) <= best + 1e-6
 
 
 def test_language_model_empty_table(docs_of):
