@@ -36,11 +36,13 @@ def skill_id(c: Column) -> Column:
     return F.regexp_replace(joined, r"^_+|_+$", "")
 
 
-def city_id(city: Column, country_code: Column) -> Column:
-    """``CC-`` and the first three letters of the city; NULL unless both are known."""
-    return F.concat(
-        F.upper(country_code), F.lit("-"), F.upper(F.substring(norm_str(city), 1, 3))
-    )
+def city_id(city: Column, country_code: Column, parity: bool = False) -> Column:
+    """``CC-`` and the city's name in upper case; NULL unless both are known.
+
+    ``parity`` keeps three letters only, as the original does: cities with the same prefix fall together.
+    """
+    name = norm_str(city)
+    return F.concat(F.upper(country_code), F.lit("-"), F.upper(F.substring(name, 1, 3) if parity else name))
 
 
 def parse_date(c: Column, years: tuple[int, int] | None = (1970, 2030)) -> Column:
@@ -112,13 +114,16 @@ def safe_double(c: Column) -> Column:
 
 
 def safe_int(c: Column) -> Column:
-    return F.when(~c.isin("-99", "", "n/a"), c.try_cast("int"))
+    """Whole number, decimals rounded half away from zero; a type suffix is no number."""
+    number = F.when(~c.rlike(r"[dDfF]\s*$"), c.try_cast("double"))
+    return F.when(~c.isin("-99", "", "n/a"), F.coalesce(c.try_cast("int"), F.round(number).try_cast("int")))
 
 
 def safe_date(c: Column) -> Column:
-    """Plain ISO date or NULL; a bare year is not a date."""
+    """Date of ``Y-m-d`` or ``Y/m/d`` text, with or without a time; a bare year is not a date."""
     plain = (F.substring(c, 5, 1) == "-") & F.length(c).between(8, 10)
-    return F.when(~c.isin("1970-01-01", "", "n/a") & plain, c.try_cast("date"))
+    day = F.regexp_extract(c, r"^\s*(\d{4}[-/]\d{1,2}[-/]\d{1,2})([ T]\d{1,2}:\d{2}(:\d{2}([.]\d+)?)?(Z|[+-]\d{2}(:?\d{2})?)?)?\s*$", 1)
+    return F.when(~c.isin("1970-01-01", "", "n/a"), F.when(plain, c.try_cast("date")).otherwise(F.translate(day, "/", "-").try_cast("date")))
 
 
 def contains_term(c: Column, term: str) -> Column:

@@ -50,10 +50,10 @@ def share_of_total(
 ) -> DataFrame:
     """Counts per key with the share of the whole (or of the ``by`` group).
 
-    The window runs over the already aggregated groups, one row each, never over the input.
+    The whole is a scalar subquery; a window over the aggregated groups serves ``by``.
     """
     grouped = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count))
-    whole = F.sum(count).over(Window.partitionBy(*(by or [])))
+    whole = F.sum(count).over(Window.partitionBy(*by)) if by else grouped.agg(F.sum(count)).scalar()
     return grouped.withColumn(share, pct(F.col(count), whole))
 
 

@@ -30,7 +30,7 @@ def country_dim(mappings: DataFrame, aliases: DataFrame | None = None) -> DataFr
 def with_country_code(
     df: DataFrame, dim: DataFrame, name: str = "country_of_residence", out: str = "country_code", mode: str = "null"
 ) -> DataFrame:
-    """Add the code of a country name. ``mode``: null, auto (first two letters) or strict (error).
+    """Add the code of a country name. ``mode``: null, auto (``auto:`` and the name, so that no two countries fall together) or strict (error).
 
     A left join on the lower-case name; Spark broadcasts the dimension when its measured
     size allows.
@@ -43,7 +43,7 @@ def with_country_code(
     )
     code = F.col("_mapped_code")
     if mode == "auto":
-        code = F.coalesce(code, F.upper(F.substring(clean, 1, 2)))
+        code = F.coalesce(code, F.concat(F.lit("auto:"), F.upper(clean)))
     elif mode == "strict":
         code = F.when(
             code.isNull() & clean.isNotNull(),
@@ -144,11 +144,11 @@ def countries(raw: DataFrame, dim: DataFrame, mode: str = "null") -> DataFrame:
     return first_by(both, ["code"], "o", ["code", "name", "latitude", "longitude"])
 
 
-def cities(raw: DataFrame, dim: DataFrame, mode: str = "null") -> DataFrame:
-    """Cities of a known country, first occurrence wins; ids may collide by design."""
+def cities(raw: DataFrame, dim: DataFrame, mode: str = "null", parity: bool = False) -> DataFrame:
+    """Cities of a known country, first occurrence of an id wins; with ``parity`` ids are three-letter prefixes."""
     df = with_country_code(raw, dim, "country_of_residence", "country_code", mode)
     df = df.select(
-        C.city_id(F.col("city_of_residence"), F.col("country_code")).alias("id"),
+        C.city_id(F.col("city_of_residence"), F.col("country_code"), parity).alias("id"),
         C.norm_str(F.col("city_of_residence")).alias("name"),
         "country_code",
         C.parse_num(F.col("city_of_residence_latitude")).alias("latitude"),

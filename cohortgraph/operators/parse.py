@@ -109,14 +109,15 @@ def first_entry(raw: DataFrame, column: str, field: str, schema: T.ArrayType) ->
     return F.get(parse_json_array(raw[column], schema), F.lit(0))[field]
 
 
-def skill_array(c: Column, delimiter: str = ",", limit: int = S.MAX_SKILLS) -> Column:
-    """Skills of one cell as (id, name, category), first spelling per id, at most ``limit`` names.
+def skill_array(c: Column, delimiter: str = ",", limit: int | None = None) -> Column:
+    """Skills of one cell as (id, name, category), first spelling per id.
 
-    The limit is the model's own rule, not a safeguard. Works inside the row, no shuffle.
+    ``limit`` keeps the first names only (the original model keeps 50). Works inside the row, no shuffle.
     """
     names = F.transform(F.split(c, delimiter), C.strip)
     names = F.filter(names, lambda s: (s != "") & ~F.lower(s).isin("n/a", "none"))
-    names = F.filter(F.slice(names, 1, limit), lambda s: F.lower(s) != "null")
+    names = names if limit is None else F.slice(names, 1, limit)
+    names = F.filter(names, lambda s: F.lower(s) != "null")
     items = F.transform(names, lambda s: F.struct(C.skill_id(s).alias("id"), s.alias("name")))
     items = F.filter(items, lambda x: x["id"] != "")
     ids = F.transform(items, lambda x: x["id"])
@@ -126,7 +127,7 @@ def skill_array(c: Column, delimiter: str = ",", limit: int = S.MAX_SKILLS) -> C
     )
 
 
-def learner_skills(raw: DataFrame, delimiter: str = ",", limit: int = S.MAX_SKILLS) -> DataFrame:
+def learner_skills(raw: DataFrame, delimiter: str = ",", limit: int | None = None) -> DataFrame:
     """(learner, row_ord, pos, skill_id, name, category)."""
     return raw.select(
         F.col("hashed_email").alias("learner"),

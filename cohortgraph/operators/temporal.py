@@ -112,13 +112,41 @@ def _with_next(rows: DataFrame, targets: DataFrame, k: int) -> DataFrame:
 
 
 def state_sequence(edges: DataFrame, state: str, sequence: list[str], limit: int | None = 20) -> DataFrame:
-    """Learners passing the states of ``sequence`` in order, strictly later each time.
-
-    With a ``limit`` the result is the exact first ``limit`` of all combinations by months to
-    the second state. Without, every first-state row gives its earliest completion.
+    """Learners passing the states of ``sequence`` in order, strictly later each time: all combinations,
+    or the exact first ``limit`` of them by months to the second state.
     """
-    k = limit or 1
+    if limit is None:
+        return _all_combinations(edges, state, sequence)
+    return top_k(_completions(edges, state, sequence, max(1, limit)), _sequence_order(sequence), limit)
+
+
+def earliest_completion(edges: DataFrame, state: str, sequence: list[str]) -> DataFrame:
+    """For each row in the first state its earliest way through the states of ``sequence``."""
+    return _completions(edges, state, sequence, 1).orderBy(*_sequence_order(sequence))
+
 
+def _sequence_order(sequence: list[str]) -> list[Column]:
+    return asc("months_1", "learner", *[f"date_{i + 1}" for i in range(len(sequence))])
+
+
+def _with_months(df: DataFrame, names: list[str]) -> DataFrame:
+    for i in range(len(names) - 1):
+        df = df.withColumn(f"months_{i + 1}", full_months(F.col(names[i]), F.col(names[i + 1])))
+    return df
+
+
+def _all_combinations(edges: DataFrame, state: str, sequence: list[str]) -> DataFrame:
+    """Every combination, one join per further state; the rows are the answer itself."""
+    names = [f"date_{i + 1}" for i in range(len(sequence))]
+    of = [edges.filter(F.col(state) == v).select("learner", F.col("valid_from").alias(n)) for v, n in zip(sequence, names, strict=True)]
+    df = of[0]
+    for i in range(1, len(names)):
+        df = df.join(of[i], "learner").filter(F.col(names[i]) > F.col(names[i - 1]))
+    return _with_months(df, names).orderBy(*_sequence_order(sequence))
+
+
+def _completions(edges: DataFrame, state: str, sequence: list[str], k: int) -> DataFrame:
+    """Combinations from the first ``k`` later rows of each row."""
     def of(value: str) -> DataFrame:
         return edges.filter(F.col(state) == value).select("learner", F.col("valid_from").alias("start"))
 
@@ -131,9 +159,7 @@ def state_sequence(edges: DataFrame, state: str, sequence: list[str], limit: int
     for i, name in enumerate(names[1:], start=1):
         df = df.withColumn("p", F.explode("next")).drop("next").withColumn(name, F.col("p.at"))
         df = df.withColumn("next", F.col("p.next")).drop("p") if i < len(names) - 1 else df.drop("p")
-    for i in range(len(names) - 1):
-        df = df.withColumn(f"months_{i + 1}", full_months(F.col(names[i]), F.col(names[i + 1])))
-    return top_k(df, asc("months_1", "learner", *names), limit)
+    return _with_months(df, names)
 
 
 def distribution_over_time(edges: DataFrame, state: str, as_of: str, months: int = 1) -> DataFrame:

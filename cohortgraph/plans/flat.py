@@ -56,16 +56,9 @@ def _is(flag: str) -> Column:
 
 
 def q00_describe(raw: DataFrame) -> DataFrame:
-    """Columns with type and number of values, from one aggregate."""
-    counts = raw.agg(*[F.count(F.col(c)).alias(c) for c in raw.columns])
-    rows = F.array(*[
-        F.struct(
-            F.lit(i).alias("position"), F.lit(f.name).alias("column_name"),
-            F.lit(f.dataType.simpleString()).alias("column_type"), F.col(f.name).alias("non_null"),
-        )
-        for i, f in enumerate(raw.schema.fields)
-    ])
-    return counts.select(F.explode(rows).alias("r")).select("r.*")
+    """Columns with their types, from the schema alone."""
+    rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(raw.schema.fields)]
+    return raw.sparkSession.createDataFrame(rows, "position int, column_name string, column_type string")
 
 
 @reads()
@@ -345,7 +338,7 @@ def q21_job_titles(df: DataFrame, min_n: int = 10, limit: int = 30) -> DataFrame
 @reads(placement="jobs_created_to_date female_opp_todate")
 def q22_ventures(df: DataFrame, min_n: int = 10, limit: int = 20) -> DataFrame:
     def total(name: str) -> Column:
-        return F.sum(F.coalesce(F.col(f"pl.{name}").try_cast("int"), F.lit(0)).cast("bigint"))
+        return F.sum(F.coalesce(C.safe_int(F.col(f"pl.{name}")), F.lit(0)).cast("bigint"))
 
     rows = df.filter(_is("is_running_a_venture") & F.col("country").isNotNull())
     out = rows.groupBy("country").agg(
@@ -409,18 +402,22 @@ def q25_venture_grads(df: DataFrame, country: str, term: str, limit: int = 20) -
 
 
 @reads(learning="program_name")
-def q25_fallback(df: DataFrame, country: str) -> DataFrame:
-    """Every graduate venture of the country by program, for when the term finds none."""
+def q25_with_fallback(df: DataFrame, country: str, term: str, limit: int = 20) -> DataFrame:
+    """As ``q25_venture_grads``; where the term finds none, every graduate venture of the country by program.
+
+    One plan: groups carry both counts, the number of matches over all groups is a scalar subquery.
+    """
     rows = df.filter(
         C.contains_term(F.col("country"), country) & _is("is_graduate_learner") & _is("is_running_a_venture")
     )
-    out = rows.groupBy(_program().alias("program_name")).agg(F.count(F.lit(1)).alias("entrepreneurs"))
-    return out.orderBy(*desc("entrepreneurs"), *asc("program_name"))
-
-
-def q25_with_fallback(df: DataFrame, country: str, term: str, limit: int = 20) -> DataFrame:
-    found = q25_venture_grads(df, country, term, limit)
-    return q25_fallback(df, country) if found.isEmpty() else found
+    hit = F.coalesce(C.contains_term(F.col("learning_details"), term), F.lit(False))
+    groups = rows.groupBy("city", _program().alias("program_name")).agg(F.count(F.lit(1)).alias("n"), F.count_if(hit).alias("hits"))
+    matches = groups.agg(F.coalesce(F.sum("hits"), F.lit(0)).alias("hits")).scalar()
+    found = groups.filter("hits > 0").select("city", "program_name", F.col("hits").alias("entrepreneurs"))
+    rest = groups.groupBy("program_name").agg(F.sum("n").alias("entrepreneurs")).filter(matches == 0)
+    rest = rest.select(F.lit(None).cast("string").alias("city"), "program_name", "entrepreneurs")
+    order = desc("entrepreneurs") + asc("city", "program_name")
+    return top_k(found, order, limit).unionByName(rest).orderBy(*order)
 
 
 @reads()

@@ -17,6 +17,7 @@ from cohortgraph.functions.cleaning import valid_company
 from cohortgraph.functions.rates import asc, desc, mean, pct, round_to, share_of_total, top_k
 from cohortgraph.operators.model import Graph
 from cohortgraph.operators.temporal import full_months
+from cohortgraph.session import work_folder, work_table
 
 EMPLOYED = ("Wage Employed", "Entrepreneur", "Multiple")
 N = F.count
@@ -659,37 +660,56 @@ def g34_neighbourhood(g: Graph, learner: DataFrame) -> DataFrame:
     return out
 
 
-def reachable(edges: DataFrame, start: DataFrame, depth: int) -> DataFrame:
-    """Nodes within ``depth`` undirected hops of ``start`` (column ``node``) with their distance.
-
-    Breadth first: per hop one join of the frontier to the edges, a distinct and an anti-join
-    with what was seen. Nodes, not paths, are carried, so hubs do not multiply rows.
-    """
+def _both_ways(edges: DataFrame) -> DataFrame:
+    """Edges in both directions, stored by source once for all hops."""
     both = edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    seen = start.select("node", F.lit(0).alias("depth"))
-    frontier = seen
-    for hop in range(1, depth + 1):
-        step = frontier.select(F.col("node").alias("src")).join(both, "src").select(F.col("dst").alias("node")).distinct()
-        frontier = step.join(seen.select("node"), "node", "left_anti").withColumn("depth", F.lit(hop))
-        seen = seen.unionByName(frontier)
-    return seen
+    return work_table(both, "walk-edges")
+
 
+def reachable(edges: DataFrame, start: DataFrame, depth: int | None = None) -> DataFrame:
+    """Nodes within ``depth`` undirected hops of ``start`` (column ``node``) with their distance; None: all there are.
 
-def g43_shortest_path(edges: DataFrame, start: DataFrame, goal: str, max_depth: int = 4) -> DataFrame:
+    Breadth first: per hop one join of the frontier to the stored edges, a distinct and an
+    anti-join with what was seen. Each frontier is stored, so a hop's plan does not grow. Nodes,
+    not paths, are carried, so hubs do not multiply rows.
+    """
+    both, path = _both_ways(edges), work_folder(start.sparkSession, "walk-seen")
+    start.select("node", F.lit(0).alias("depth")).distinct().write.parquet(f"{path}/hop=0")
+    hop = 0
+    while depth is None or hop < depth:
+        seen = edges.sparkSession.read.parquet(path).select("node", "depth")
+        step = seen.filter(F.col("depth") == hop).select(F.col("node").alias("src")).join(both, "src").select(F.col("dst").alias("node")).distinct()
+        hop += 1
+        step.join(seen.select("node"), "node", "left_anti").withColumn("depth", F.lit(hop)).write.parquet(f"{path}/hop={hop}")
+        if edges.sparkSession.read.parquet(f"{path}/hop={hop}").isEmpty():
+            break
+    return edges.sparkSession.read.parquet(path).select("node", "depth")
+
+
+def g43_shortest_path(edges: DataFrame, start: DataFrame, goal: str, max_depth: int | None = None) -> DataFrame:
     """Shortest undirected path from ``start`` nodes to ``goal``, the alphabetically first one.
 
-    One best path per node and hop is kept.
+    Hops go on until the goal is found or nothing new is reached (no row). With ``max_depth`` a
+    walk that stops at the bound says so: one row without path, its length the bound. One best path
+    per node and hop is kept; each frontier is stored.
     """
-    both = edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    frontier = start.select("node", F.array("node").alias("path"))
-    seen, found = frontier.select("node"), frontier.filter(F.col("node") == goal)
-    for _ in range(max_depth):
+    spark = edges.sparkSession
+    both, path = _both_ways(edges), work_folder(spark, "walk-paths")
+    start.select("node", F.array("node").alias("path")).distinct().write.parquet(f"{path}/hop=0")
+    hop = 0
+    while True:
+        frontier = spark.read.parquet(f"{path}/hop={hop}")
+        found = frontier.filter(F.col("node") == goal)
+        empty = frontier.isEmpty()
+        if empty or not found.isEmpty():
+            return found.select("path", F.lit(hop).alias("length")).orderBy("path").limit(1)
+        if max_depth is not None and hop >= max_depth:
+            return frontier.limit(1).select(F.lit(None).cast("array<string>").alias("path"), F.lit(max_depth).alias("length"))
         step = frontier.select(F.col("node").alias("src"), "path").join(both, "src")
         step = step.groupBy(F.col("dst").alias("node")).agg(F.min("path").alias("path"))
-        frontier = step.join(seen, "node", "left_anti").select("node", F.concat("path", F.array("node")).alias("path"))
-        seen = seen.unionByName(frontier.select("node"))
-        found = found.unionByName(frontier.filter(F.col("node") == goal))
-    return found.select("path", (F.size("path") - 1).alias("length")).orderBy("length", "path").limit(1)
+        seen = spark.read.parquet(path).select("node")
+        hop += 1
+        step.join(seen, "node", "left_anti").select("node", F.concat("path", F.array("node")).alias("path")).write.parquet(f"{path}/hop={hop}")
 
 
 def g39_similar_context(g: Graph, learner: DataFrame, limit: int = 10) -> DataFrame:
@@ -721,14 +741,11 @@ def cat_counts(g: Graph) -> DataFrame:
 
 
 def cat_schema(g: Graph) -> DataFrame:
-    """Node kinds and relationship types with their properties and how many hold a value."""
-    parts = []
-    for what, tables in (("node", g.nodes()), ("relationship", g.relationships())):
-        for name, df in tables.items():
-            counts = df.agg(*[F.count(F.col(c)).alias(c) for c in df.columns])
-            rows = F.array(*[
-                F.struct(F.lit(f.name).alias("property"), F.lit(f.dataType.simpleString()).alias("type"), F.col(f.name).alias("n"))
-                for f in df.schema.fields
-            ])
-            parts.append(counts.select(F.lit(what).alias("element"), F.lit(name).alias("name"), F.explode(rows).alias("r")))
-    return reduce(DataFrame.unionByName, parts).select("element", "name", "r.*")
+    """Node kinds and relationship types with their properties and types, from the schemas alone."""
+    rows = [
+        (what, name, f.name, f.dataType.simpleString())
+        for what, tables in (("node", g.nodes()), ("relationship", g.relationships()))
+        for name, df in tables.items()
+        for f in df.schema.fields
+    ]
+    return g.learner.sparkSession.createDataFrame(rows, "element string, name string, property string, type string")

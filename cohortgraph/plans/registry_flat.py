@@ -19,6 +19,7 @@ QUERIES = {
     "q02_programs_matching": _on_raw(flat.programs_matching, country="nation_5", term="data"),
     "q02_program_in_country": _on_raw(flat.q02_program_in_country, country="nation_5"),
     "q02b_by_city": _on_raw(flat.q02b_by_city, country="nation_5", term="data analytics"),
+    "q02b_by_city_broad": _on_raw(flat.q02b_by_city, country="nation_5", term="data"),
     "q03_program_in_country2": _on_raw(flat.q02_program_in_country, country="nation_1"),
     "q03b_two_country_compare": _on_raw(flat.q03b_two_country_compare, first="nation_5", second="nation_7"),
     "q04_active_by_country": _on_raw(flat.q04_active_by_country),
@@ -45,6 +46,7 @@ QUERIES = {
     "q24_total": _on_raw(flat.q24_total, country="nation_1"),
     "q25_venture_grads": _on_raw(flat.q25_venture_grads, country="nation_1", term="data"),
     "q25_fallback": _on_raw(flat.q25_with_fallback, country="nation_1", term="no such term"),
+    "q25_with_match": _on_raw(flat.q25_with_fallback, country="nation_1", term="data"),
     "q26_skill_employment": _on_raw(flat.q26_skill_employment),
     "q27_field_program": _on_raw(flat.q27_field_program),
     "q28_high_performers": _on_raw(flat.q28_high_performers, min_n=3),

@@ -44,7 +44,7 @@ def _reach(spark, sf_dir):
 def _path(spark, sf_dir):
     g = star.graph(spark, sf_dir)
     start = _first_learner(g).select(F.concat(F.lit("learner:"), "learner").alias("node"))
-    return as_text(G.g43_shortest_path(G.node_edges(g), start, "program:VA-C2001", 3))
+    return as_text(G.g43_shortest_path(G.node_edges(g), start, "program:VA-C2001"))
 
 
 QUERIES = {

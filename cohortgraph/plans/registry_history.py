@@ -49,7 +49,7 @@ def _flat(df):
 
 
 def _snapshot(spark, sf_dir):
-    entries = star.enrolments(spark, sf_dir).filter(F.col("enrollment_status") == "Graduated")
+    entries = star.enrolments(spark, sf_dir)
     people = star.learner_nodes(spark, sf_dir).select(
         F.col("hashed_email").alias("learner"), F.col("current_learning_state").alias("state")
     )
@@ -78,8 +78,9 @@ def _st_flags(spark, sf):
 
 def _st_professional(spark, sf):
     jobs = states.current_jobs(star.jobs(spark, sf), snapshot=AS_OF)
-    df = star.learner_flags(spark, sf).join(jobs, "learner", "left")
-    status = states.professional_status(F.col("current_jobs"), F.col("is_freelancer"), F.col("is_venture"), F.col("is_wage"))
+    placed = parse.placement_flags(star.raw_rows(spark, sf)).groupBy("learner").agg(F.max_by("placement_is_venture", "row_ord").alias("placement_is_venture"))
+    df = star.learner_flags(spark, sf).join(jobs, "learner", "left").join(placed, "learner", "left")
+    status = states.professional_status(F.col("current_jobs"), F.coalesce("placement_is_venture", F.lit(False)), F.col("is_venture"), F.col("is_wage"))
     return df.select("learner", status.alias("status"))
 
 
@@ -108,9 +109,10 @@ QUERIES = {
     "hist_first_transition": _status(temporal.state_sequence, state="status", sequence=["Unemployed", "Wage Employed"]),
     "hist_sequence": _learning(temporal.state_sequence, state="state", sequence=["Dropped Out", "Active", "Graduate"]),
     "hist_sequence_earliest": _learning(
-        temporal.state_sequence, state="state", sequence=["Dropped Out", "Active", "Graduate"], limit=None
+        temporal.earliest_completion, state="state", sequence=["Dropped Out", "Active", "Graduate"]
     ),
-    "hist_reengagement": _learning(temporal.state_sequence, state="state", sequence=["Inactive", "Active"], limit=None),
+    "hist_sequence_all": _learning(temporal.state_sequence, state="state", sequence=["Dropped Out", "Active", "Graduate"], limit=None),
+    "hist_reengagement": _learning(temporal.earliest_completion, state="state", sequence=["Inactive", "Active"]),
     "hist_distribution": _learning(temporal.distribution_over_time, state="state", as_of=AS_OF),
     "hist_distribution_quarter": _learning(temporal.distribution_over_time, state="state", as_of=AS_OF, months=3),
     "hist_progression_paths": _learning(temporal.progression_paths, state="state"),

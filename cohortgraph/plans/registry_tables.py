@@ -123,7 +123,7 @@ def _dedup_batched(spark, sf):
 def _upsert_nodes(spark, sf):
     df = typed(spark, sf)
     cols = ["learner", "program_id", "lms_overall_score"]
-    target = keyed.last_by(df.filter("enrollment_status = 'Enrolled'"), ["learner"], "row_ord", cols)
+    target = keyed.last_by(df.filter("enrollment_status <> 'Graduated'"), ["learner"], "row_ord", cols)
     updates = df.filter("enrollment_status = 'Graduated'").select(*cols, "row_ord")
     return keyed.upsert(target.select(*cols), updates, ["learner"], "row_ord")
 
@@ -132,7 +132,7 @@ def _upsert_edges(spark, sf):
     df = typed(spark, sf).select("learner", "program_id", "enrollment_status", "row_ord")
     people = star.learner_nodes(spark, sf).filter(F.col("gender").isNotNull())
     programs = entities.programs(enrolments(spark, sf)).filter(F.col("name").contains("Data"))
-    target = keyed.last_by(df.filter("enrollment_status = 'Enrolled'"), ["learner", "program_id"], "row_ord", ["enrollment_status"])
+    target = keyed.last_by(df.filter("enrollment_status <> 'Graduated'"), ["learner", "program_id"], "row_ord", ["enrollment_status"])
     updates = df.filter("enrollment_status <> 'Enrolled'")
     ends = (("learner", people, "hashed_email"), ("program_id", programs, "id"))
     return keyed.upsert_edges(target, updates, ends, "row_ord")
@@ -271,6 +271,7 @@ QUERIES = {
     "fn_norm_str": per_row(lambda: dict(full_name=C.norm_str(_field("full_name")), sand_id=C.norm_str(_field("sand_id")))),
     "fn_skill_id": _skill_ids,
     "fn_city_id": per_row(lambda: dict(city_id=C.city_id(_field("city_of_residence"), F.substring("gender", 1, 2)))),
+    "fn_city_id_parity": per_row(lambda: dict(city_id=C.city_id(_field("city_of_residence"), F.substring("gender", 1, 2), parity=True))),
     "fn_parse_date": per_entry(lambda: dict(
         start_date=C.parse_date(_field("program_start_date")), graduation_date=C.parse_date(_field("program_graduation_date"))
     )),

@@ -1,4 +1,4 @@
-"""Parameterised analytics tools. Every ``limit`` is at most 100, as their contract says."""
+"""Parameterised analytics tools. ``limit`` None gives every row."""
 
 from __future__ import annotations
 
@@ -10,21 +10,19 @@ from cohortgraph.operators.model import Graph
 from cohortgraph.plans import graph as G
 from cohortgraph.plans.journeys import _nested
 
-MAX_LIMIT = 100
 
+def t1_top_countries(g: Graph, limit: int | None = 10) -> DataFrame:
+    return G.g01_top_countries(g, limit).select("country", F.col("code").alias("country_code"), "learner_count")
 
-def t1_top_countries(g: Graph, limit: int = 10) -> DataFrame:
-    return G.g01_top_countries(g, min(limit, MAX_LIMIT)).select("country", F.col("code").alias("country_code"), "learner_count")
 
-
-def t2_program_completion(g: Graph, program: str | None = None, limit: int = 20) -> DataFrame:
+def t2_program_completion(g: Graph, program: str | None = None, limit: int | None = 20) -> DataFrame:
     df = G.enrolments(g)
     if program is not None:
         return G.completion_by(df.filter(F.col("program") == program), ["program"])
-    return top_k(G.completion_by(df, ["program"]), desc("completion_rate") + asc("program"), min(limit, MAX_LIMIT))
+    return top_k(G.completion_by(df, ["program"]), desc("completion_rate") + asc("program"), limit)
 
 
-def t3_employment_rate(g: Graph, program: str | None = None, limit: int = 20, min_n: int = 100) -> DataFrame:
+def t3_employment_rate(g: Graph, program: str | None = None, limit: int | None = 20, min_n: int = 100) -> DataFrame:
     """Learners at a valid company over learners; the size threshold applies only without a program."""
     df = G.enrolments(g).select("learner", "program")
     if program is not None:
@@ -37,11 +35,11 @@ def t3_employment_rate(g: Graph, program: str | None = None, limit: int = 20, mi
     if program is not None:
         return out
     out = out.filter(F.col("total_learners") > min_n)
-    return top_k(out, desc("employment_rate") + asc("program"), min(limit, MAX_LIMIT))
+    return top_k(out, desc("employment_rate") + asc("program"), limit)
 
 
-def t4_top_skills(g: Graph, category: str | None = None, limit: int = 20) -> DataFrame:
-    return G.g09_top_skills(g, min(limit, MAX_LIMIT), category)
+def t4_top_skills(g: Graph, category: str | None = None, limit: int | None = 20) -> DataFrame:
+    return G.g09_top_skills(g, limit, category)
 
 
 def t5_learner_journey(g: Graph, learner: DataFrame) -> DataFrame:
@@ -69,17 +67,17 @@ def t5_learner_journey(g: Graph, learner: DataFrame) -> DataFrame:
     return df.join(skills, "learner", "left").join(programs, "learner", "left").join(work, "learner", "left")
 
 
-def t6_skills_employed(g: Graph, country: str | None = None, limit: int = 20) -> DataFrame:
+def t6_skills_employed(g: Graph, country: str | None = None, limit: int | None = 20) -> DataFrame:
     people = G.employees(g, only_valid=True)
     if country is not None:
         here = G.learner_attrs(g, "country_of_residence_code").filter(F.col("country_of_residence_code") == country)
         people = people.join(here.select("learner"), "learner", "left_semi")
     counts = g.has_skill.join(people, "learner", "left_semi").groupBy("skill_id").agg(F.count("*").alias("employed_learners_with_skill"))
     out = counts.join(G.skill_names(g), "skill_id").select("skill", "employed_learners_with_skill")
-    return top_k(out, desc("employed_learners_with_skill") + asc("skill"), min(limit, MAX_LIMIT))
+    return top_k(out, desc("employed_learners_with_skill") + asc("skill"), limit)
 
 
-def t7_geo_distribution(g: Graph, metric: str = "learners", limit: int = 20) -> DataFrame:
+def t7_geo_distribution(g: Graph, metric: str = "learners", limit: int | None = 20) -> DataFrame:
     """Countries by learners, distinct programs or distinct named companies.
 
     An unknown metric counts learners under the name ``count``.
@@ -97,10 +95,10 @@ def t7_geo_distribution(g: Graph, metric: str = "learners", limit: int = 20) ->
         name = "learner_count" if metric == "learners" else "count"
         counts = people.groupBy("country_code").agg(F.count("*").alias(name))
     out = G.with_country_name(counts, g).select("country", "country_code", name)
-    return top_k(out, desc(name) + asc("country_code"), min(limit, MAX_LIMIT))
+    return top_k(out, desc(name) + asc("country_code"), limit)
 
 
-def t8_time_to_employment(g: Graph, program: str | None = None, min_n: int = 10, limit: int = 20, component: bool = False) -> DataFrame:
+def t8_time_to_employment(g: Graph, program: str | None = None, min_n: int = 10, limit: int | None = 20, component: bool = False) -> DataFrame:
     """Days from graduation to jobs at named companies.
 
     ``component`` keeps only the day part after whole months, as a calendar duration reports it.
@@ -119,4 +117,4 @@ def t8_time_to_employment(g: Graph, program: str | None = None, min_n: int = 10,
         )
         return only.select(F.lit(program).alias("program"), "*")
     out = gaps.groupBy("program").agg(*stats).filter(F.col("sample_size") > min_n)
-    return top_k(out, asc("avg_days", "program"), min(limit, MAX_LIMIT))
+    return top_k(out, asc("avg_days", "program"), limit)

@@ -51,7 +51,6 @@ FREELANCE_TERMS = ("freelance", "freelancer", "consultant", "contractor", "self-
 COMPLETED_STATUSES = ("Graduated", "Completed")
 DROPPED_STATUS = "Dropped Out"
 PROVIDER = "ALX"
-MAX_SKILLS = 50
 
 # ---- raw table ------------------------------------------------------------------------------
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -50,3 +51,15 @@ def shared_dir(spark: SparkSession) -> str:
         folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
+
+
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared one."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def work_table(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared folder and read it back: its lineage ends there."""
+    path = work_folder(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

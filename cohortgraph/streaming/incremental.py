@@ -63,10 +63,10 @@ def log(spark: SparkSession, target: str) -> DataFrame:
 
 
 def current(spark: SparkSession, target: str, keys: list[str], order: list[str]) -> DataFrame:
-    """Last write per key over the log."""
+    """Last row per key over the log by ``order``; of equals that of the later batch, so batching does not matter."""
     df = log(spark, target)
     cols = [c for c in df.columns if c not in (*keys, "batch_id")]
-    return last_by(df, keys, F.struct("batch_id", *order), cols)
+    return last_by(df, keys, F.struct(*order, "batch_id"), cols)
 
 
 def compact(spark: SparkSession, target: str, keys: list[str], order: list[str]) -> None:

@@ -161,12 +161,12 @@ ctry AS (
     'Region ' || n_regionkey AS region FROM nation WHERE n_nationkey < 22
 ),
 city AS (
-  SELECT 'C' || chr(65 + n_nationkey) || '-' || upper(nm[1:3]) AS id, nm AS name, 'C' || chr(65 + n_nationkey) AS country_code
+  SELECT 'C' || chr(65 + n_nationkey) || '-' || upper(nm) AS id, nm AS name, 'C' || chr(65 + n_nationkey) AS country_code
   FROM nation CROSS JOIN (SELECT unnest({CITIES}) AS nm) t WHERE n_nationkey < 23
 ),
 lrn AS (
   SELECT c.learner, full_name, gender, edu_node AS education_level, res_code, orig_code,
-    res_code || '-' || upper(city[1:3]) AS city_id,
+    res_code || '-' || upper(city) AS city_id,
     CASE last_status WHEN 'F' THEN 'Graduate' WHEN 'P' THEN 'Dropped Out' WHEN 'O' THEN 'Active' ELSE 'Inactive' END AS lstate,
     CASE WHEN wage::INT + venture::INT + free::INT >= 2 THEN 'Multiple' WHEN venture THEN 'Entrepreneur'
       WHEN wage THEN 'Wage Employed' WHEN free THEN 'Freelancer' ELSE 'Unemployed' END AS pstatus,

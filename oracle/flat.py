@@ -33,6 +33,10 @@ ORACLES = {
         {pct(n('grad'), 'count(*)')} AS graduation_rate_pct FROM prow
         WHERE lower(country) LIKE '%nation_5%' AND lower(program_name) LIKE '%data analytics%'
         GROUP BY city HAVING count(*) >= 3 ORDER BY 2 DESC, 1 LIMIT 15"""),
+    "q02b_by_city_broad": sql(f"""SELECT city, count(*) AS learner_count, {n('grad')} AS graduates,
+        {pct(n('grad'), 'count(*)')} AS graduation_rate_pct FROM prow
+        WHERE lower(country) LIKE '%nation_5%' AND lower(program_name) LIKE '%data%'
+        GROUP BY city HAVING count(*) >= 3 ORDER BY 2 DESC, 1 LIMIT 15"""),
     "q03_program_in_country2": sql(outcomes("lower(country) LIKE '%nation_1%'")),
     "q03b_two_country_compare": sql(outcomes(
         "country IS NOT NULL AND (lower(country) LIKE '%nation_5%' OR lower(country) LIKE '%nation_7%')",
@@ -118,8 +122,11 @@ ORACLES = {
     "q25_venture_grads": sql("""SELECT city, program_name, count(*) AS entrepreneurs
         FROM prow WHERE lower(country) LIKE '%nation_1%' AND grad AND venture AND lower(program_name) LIKE '%data%'
         GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2 LIMIT 20"""),
-    "q25_fallback": sql("""SELECT program_name, count(*) AS entrepreneurs
-        FROM prow WHERE lower(country) LIKE '%nation_1%' AND grad AND venture GROUP BY 1"""),
+    "q25_fallback": sql("""SELECT NULL::VARCHAR AS city, program_name, count(*) AS entrepreneurs
+        FROM prow WHERE lower(country) LIKE '%nation_1%' AND grad AND venture GROUP BY program_name"""),
+    "q25_with_match": sql("""SELECT city, program_name, count(*) AS entrepreneurs
+        FROM prow WHERE lower(country) LIKE '%nation_1%' AND grad AND venture AND lower(program_name) LIKE '%data%'
+        GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2 LIMIT 20"""),
     "q26_skill_employment": sql(f"""SELECT skill_name, {n('employed')} AS employed_count, {n('NOT employed')} AS not_employed_count,
         count(*) AS total_count, {pct(n('employed'), 'count(*)')} AS employed_pct FROM (
           SELECT employed, unnest([['Python','Data Analysis','Project Management','SQL','Communication','Graphic Design','Cloud','Sales'][row_ord % 8 + 1],

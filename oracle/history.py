@@ -98,7 +98,7 @@ def jobs_by(rule: str) -> str:
 ORACLES = {
     "st_learning": sql("""SELECT CASE WHEN grad THEN 'Graduate' WHEN drp THEN 'Dropped Out' WHEN act THEN 'Active' ELSE 'Inactive' END AS state,
         count(*) AS n FROM prow GROUP BY 1"""),
-    "st_professional": sql(f"""SELECT c.learner, CASE WHEN coalesce(current_jobs, 0) >= 2 THEN 'Multiple' WHEN current_jobs = 1 AND free THEN 'Entrepreneur'
+    "st_professional": sql(f"""SELECT c.learner, CASE WHEN coalesce(current_jobs, 0) >= 2 THEN 'Multiple' WHEN current_jobs = 1 AND venture AND NOT wage THEN 'Entrepreneur'
         WHEN current_jobs = 1 THEN 'Wage Employed' WHEN venture THEN 'Entrepreneur' WHEN wage THEN 'Wage Employed' ELSE 'Unemployed' END AS status
         FROM cust c LEFT JOIN ({jobs_by('date')}) j ON j.learner = c.learner"""),
     "st_status_flags": sql("""SELECT learner, CASE WHEN wage::INT + venture::INT + free::INT >= 2 THEN 'Multiple' WHEN venture THEN 'Entrepreneur'
@@ -109,7 +109,7 @@ ORACLES = {
     "hist_learning": sql("SELECT * FROM hl", learning("ent")),
     "hist_learning_json": sql("SELECT * FROM hl", learning("ent")),
     "hist_learning_fallback": sql(f"""SELECT * FROM hl UNION ALL SELECT learner, NULL, NULL, 0, lstate, {AS_OF}, NULL, true, 'Current state', false
-        FROM lrn WHERE learner NOT IN (SELECT learner FROM hl)""", "ge AS (SELECT * FROM ent WHERE status = 'Graduated'), " + learning("ge")),
+        FROM lrn WHERE learner NOT IN (SELECT learner FROM hl)""", learning("ent")),
     "hist_professional": sql("SELECT * FROM hp", professional(True)),
     "hist_professional_no_flags": sql("SELECT * FROM hp", professional(False)),
     "edge_learning_state": sql("SELECT * FROM se", LE),
@@ -129,6 +129,7 @@ ORACLES = {
         CAST({months('from_date', 'to_date')} AS INTEGER) AS months FROM adj WHERE to_date > from_date""", PE + ", " + ADJ.format(v="status", e="pse")),
     "hist_first_transition": sql(PAIR, PE),
     "hist_sequence": sql(SEQ + " ORDER BY months_1, learner, date_1, date_2, date_3 LIMIT 20", LE),
+    "hist_sequence_all": sql(SEQ, LE),
     "hist_sequence_earliest": sql("""SELECT learner, date_1, date_2, date_3, months_1, months_2 FROM (
         SELECT *, row_number() OVER (PARTITION BY learner, date_1 ORDER BY date_2, date_3) AS rn FROM q) WHERE rn = 1""", LE + f", q AS ({SEQ})"),
     "hist_reengagement": sql(f"""SELECT learner, date_1, date_2, CAST({months('date_1', 'date_2')} AS INTEGER) AS months_1 FROM (

@@ -17,7 +17,7 @@ CURR = f"""cur AS (SELECT learner, row_ord, count(*) FILTER (WHERE end_date IS N
 LASTP = """lastp AS (SELECT * FROM (SELECT p.*, row_number() OVER (PARTITION BY p.learner ORDER BY p.row_ord DESC) AS rn FROM prow p) WHERE rn = 1)"""
 NAT = f"""rc AS (SELECT row_ord, 0 AS r, {code('c_nationkey')} AS code, country AS name, c_nationkey * 1.5::DOUBLE AS latitude FROM prow WHERE country IS NOT NULL
   UNION ALL SELECT row_ord, 1, orig_code, 'nation_' || ((c_nationkey + c_custkey % 3) % 25), NULL FROM prow)"""
-CITYQ = """cq AS (SELECT arg_min(city, row_ord) AS name, arg_min(c_custkey % 7, row_ord)::DOUBLE AS latitude, res_code || '-' || upper(city[1:3]) AS id,
+CITYQ = """cq AS (SELECT arg_min(city, row_ord) AS name, arg_min(c_custkey % 7, row_ord)::DOUBLE AS latitude, res_code || '-' || upper(city) AS id,
   arg_min(res_code, row_ord) AS country_code FROM prow WHERE res_code IS NOT NULL GROUP BY 3)"""
 RWORKS = f"""rw AS (SELECT * FROM (SELECT learner, {SHA16.format('org')} AS company_id, title AS position, start_date, end_date, flag AS is_current,
   row_number() OVER (PARTITION BY learner, org ORDER BY row_ord DESC, pos DESC) AS rn FROM rawjob) WHERE rn = 1)"""
@@ -106,7 +106,8 @@ ORACLES = {
     "fn_norm_str": sql(f"SELECT row_ord, full_name, {SAND} AS sand_id FROM prow"),
     "fn_skill_id": sql(f"""SELECT DISTINCT name, {sid('name')} AS id, CASE WHEN regexp_matches(name, 'Python|Data|SQL|Cloud') THEN 'Technical'
         WHEN regexp_matches(name, 'Management|Sales') THEN 'Business' WHEN name LIKE '%Communication' THEN 'Soft Skill' ELSE 'Other' END AS category FROM skn"""),
-    "fn_city_id": sql("SELECT row_ord, ['MA','FE','OT','N/'][c_custkey % 4 + 1] || '-' || upper(city[1:3]) AS city_id FROM prow"),
+    "fn_city_id": sql("SELECT row_ord, ['MA','FE','OT','N/'][c_custkey % 4 + 1] || '-' || upper(city) AS city_id FROM prow"),
+    "fn_city_id_parity": sql("SELECT row_ord, ['MA','FE','OT','N/'][c_custkey % 4 + 1] || '-' || upper(city[1:3]) AS city_id FROM prow"),
     "fn_parse_date": sql("SELECT row_ord, start_date, graduation_date FROM ent"),
     "fn_parse_num": sql("SELECT row_ord, score::DOUBLE AS score, completion::DOUBLE AS completion FROM ent"),
     "fn_parse_int": sql("SELECT row_ord, n_sub AS submissions, coalesce(n_sub, -99) AS kept FROM ent"),
@@ -119,7 +120,7 @@ ORACLES = {
     "fn_program_match": sql(f"""SELECT {n("program_name LIKE '%Data Analytics%'")} AS specific, {n("program_name LIKE '%Data%'")} AS broad FROM ent"""),
     "fn_valid_company": sql("SELECT count(*) AS n FROM rawjob WHERE org <> 'n/a'"),
     "fn_country_code": sql("""SELECT coalesce(country, 'n/a') AS country_of_residence, res_code AS country_code, count(*) AS n FROM prow GROUP BY 1, 2"""),
-    "fn_country_code_auto": sql("""SELECT coalesce(country, 'n/a') AS country_of_residence, coalesce(res_code, upper(country[1:2])) AS country_code, count(*) AS n
+    "fn_country_code_auto": sql("""SELECT coalesce(country, 'n/a') AS country_of_residence, coalesce(res_code, 'auto:' || upper(country)) AS country_code, count(*) AS n
         FROM prow GROUP BY 1, 2"""),
     "fn_country_code_strict": sql("SELECT res_code AS country_code, count(*) AS n FROM prow WHERE res_code IS NOT NULL GROUP BY 1"),
     "fn_unmapped_countries": sql("SELECT country, count(*) AS n FROM prow WHERE country IS NOT NULL AND res_code IS NULL GROUP BY 1"),
@@ -180,7 +181,7 @@ ORACLES = {
     "edge_geo": sql("""SELECT city.country_code AS city_country, res_code AS country_of_residence_code, orig_code AS country_of_origin_code, count(*) AS n
         FROM lrn JOIN city ON city.id = city_id GROUP BY 1, 2, 3"""),
     "snk_nodes": sql("""SELECT learner, cohort_code AS program_id, score::DOUBLE AS lms_overall_score FROM (
-        SELECT *, row_number() OVER (PARTITION BY learner ORDER BY status = 'Graduated' DESC, row_ord DESC) AS rn FROM ent WHERE status IN ('Graduated', 'Enrolled'))
+        SELECT *, row_number() OVER (PARTITION BY learner ORDER BY status = 'Graduated' DESC, row_ord DESC) AS rn FROM ent)
         WHERE rn = 1"""),
     "snk_edges": sql("""SELECT learner, cohort_code AS program_id, status AS enrollment_status FROM (
         SELECT *, row_number() OVER (PARTITION BY learner, cohort_code ORDER BY status <> 'Enrolled' DESC, row_ord DESC) AS rn FROM ent

@@ -19,7 +19,10 @@ def test_skill_id(one):
 
 
 def test_city_id(one):
-    assert one(["Cairo", " alexandria", "n/a"], lambda c: C.city_id(c, F.lit("eg"))) == ["EG-CAI", "EG-ALE", None]
+    assert one(["Cairo", " alexandria", "n/a"], lambda c: C.city_id(c, F.lit("eg"))) == ["EG-CAIRO", "EG-ALEXANDRIA", None]
+    cities = ["Alexandria", "Aleppo Town"]
+    assert one(cities, lambda c: C.city_id(c, F.lit("eg"), parity=True)) == ["EG-ALE"] * 2
+    assert len(set(one(cities, lambda c: C.city_id(c, F.lit("eg"))))) == 2
 
 
 def test_parse_date(one):
