@@ -124,7 +124,8 @@ def professional_history(
 
     ``flags`` (learner, is_venture, is_wage, is_freelancer, optional placement_is_venture)
     decides the status after an ended last job; without it the learner is unemployed then.
-    ``learners`` adds an open Unemployed row for keys without any job.
+    ``learners`` adds an open Unemployed row for keys without any job. Where it has a non-null
+    ``snapshot_status`` (no employment text at all), the row takes this status instead.
     """
     gap_days = gap_months * 30
     today = _date(as_of)
@@ -211,10 +212,11 @@ def professional_history(
     out = _emit(df, rows, "status", "details")
     if learners is None or not infer_initial:
         return out
-    missing = learners.select("learner").join(jobs.select("learner").distinct(), "learner", "left_anti")
+    known_status = F.col("snapshot_status") if "snapshot_status" in learners.columns else F.lit(None).cast("string")
+    missing = learners.select("learner", known_status.alias("snapshot_status")).join(jobs.select("learner").distinct(), "learner", "left_anti")
     empty = missing.select(
         "learner", F.lit(None).cast(out.schema["entry_ord"].dataType).alias("entry_ord"), F.lit(0).alias("step"),
-        F.lit("Unemployed").alias("status"), today.alias("start_date"), null_date.alias("end_date"), yes.alias("is_current"),
-        F.lit("No employment history").alias("details"), no.alias("date_unknown"),
+        F.coalesce("snapshot_status", F.lit("Unemployed")).alias("status"), today.alias("start_date"), null_date.alias("end_date"), yes.alias("is_current"),
+        F.when(F.col("snapshot_status").isNull(), "No employment history").alias("details"), no.alias("date_unknown"),
     )
     return out.unionByName(empty)

@@ -2,30 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortgraph.functions import cleaning as C
 from cohortgraph.operators import edges, entities, history, parse
 from cohortgraph.operators.model import Graph
+from cohortgraph.session import work_table
 from cohortgraph.sources.writers import write_graph
 
 
 def load_graph(raw: DataFrame, dim: DataFrame, path: str, as_of: str, **options) -> None:
     """Build and store the graph, dimensions first.
 
-    The typed enrolment and job entries feed several tables each, so they are kept
-    (memory, then disk) for the length of the load instead of being parsed again.
+    What feeds several tables is written once to the shared folder and read back: the typed
+    enrolment and job entries, and the learner table.
     """
-    kept = [edges.typed_enrollments(parse.enrollments_raw(raw)), edges.typed_jobs(parse.jobs_raw(raw))]
-    for df in kept:
-        df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        write_graph(build_graph(raw, dim, as_of, entries=tuple(kept), **options), path)
-    finally:
-        for df in kept:
-            df.unpersist()
+    entries = (
+        work_table(edges.typed_enrollments(parse.enrollments_raw(raw)), "load-enrolments"),
+        work_table(edges.typed_jobs(parse.jobs_raw(raw)), "load-jobs"),
+    )
+    write_graph(build_graph(raw, dim, as_of, entries=entries, store=True, **options), path)
+
+
+def last_flags(raw: DataFrame, parity: bool = False) -> DataFrame:
+    """The status flags of each learner's last row, as the learner table takes them, with the kind of its placement."""
+    flags = F.struct(*[C.is_set(F.col(c)).alias(n) for c, n in (
+        ("is_running_a_venture", "is_venture"), ("is_wage_employed", "is_wage"), ("is_a_freelancer", "is_freelancer"))])
+    last = raw.groupBy(F.col("hashed_email").alias("learner")).agg(F.max_by(flags, "row_ord").alias("f")).select("learner", "f.*")
+    placed = parse.placement_flags(raw, parity).groupBy("learner").agg(F.max_by("placement_is_venture", "row_ord").alias("placement_is_venture"))
+    return last.join(placed, "learner")
 
 
 def build_graph(
@@ -36,28 +42,31 @@ def build_graph(
     parity: bool = False,
     with_history: bool = True,
     entries: tuple[DataFrame, DataFrame] | None = None,
+    store: bool = False,
 ) -> Graph:
     """Node and edge tables from a raw table (with ``row_ord``) and a country dimension.
 
     About a dozen outputs read the raw table, each only its own columns; store the graph
     (``load_graph``) rather than querying the returned plans again and again. ``entries`` are
-    already parsed and typed (enrolments, jobs).
+    already parsed and typed (enrolments, jobs); ``store`` writes the learner table before the
+    histories read it.
     """
     enrolments, jobs = entries or (
         edges.typed_enrollments(parse.enrollments_raw(raw)), edges.typed_jobs(parse.jobs_raw(raw))
     )
     skills = parse.learner_skills(raw)
     learner = entities.learners(raw, dim, snapshot=snapshot, parity=parity)
+    learner = work_table(learner, "load-learners") if store else learner
     states = statuses = None
     if with_history:
         current = learner.select(F.col("hashed_email").alias("learner"), F.col("current_learning_state").alias("state"))
-        learning = history.with_snapshot(history.learning_history(enrolments, as_of), current, snapshot)
-        flags = raw.groupBy(F.col("hashed_email").alias("learner")).agg(
-            F.bool_or(C.is_set(F.col("is_running_a_venture"))).alias("is_venture"),
-            F.bool_or(C.is_set(F.col("is_wage_employed"))).alias("is_wage"),
-            F.bool_or(C.is_set(F.col("is_a_freelancer"))).alias("is_freelancer"),
-        )
-        work = history.professional_history(jobs, as_of, flags, learners=current)
+        text = raw.groupBy(F.col("hashed_email").alias("learner")).agg(F.max_by(F.coalesce(F.col("employment_details"), F.lit("")) == "", "row_ord").alias("bare"))
+        people = learner.select(F.col("hashed_email").alias("learner"), "current_professional_status").join(text, "learner").select(
+            "learner", F.when(F.col("bare"), F.col("current_professional_status")).alias("snapshot_status"))
+        placed = jobs.join(parse.placement_flags(raw, parity).select("learner", "row_ord", "placement_is_venture"), ["learner", "row_ord"], "left")
+        past = history.learning_history(enrolments, as_of)
+        learning = history.with_snapshot(work_table(past, "load-learning") if store else past, current, snapshot)
+        work = history.professional_history(placed, as_of, last_flags(raw, parity), learners=people)
         states, statuses = edges.has_learning_state(learning), edges.has_professional_status(work)
     return Graph(
         learner=learner,

@@ -249,14 +249,51 @@ def _stored_graph(spark, sf):
     return entities.entity_counts(g.members())
 
 
-def _ingest(spark, sf):
+def _ingest_in_two(spark, sf):
+    """Events in two deliveries, the second with rows older than those already taken in; the second run resumes."""
     path = _folder(spark)
-    schema = spark.read.parquet(f"{sf}/events.parquet").schema
-    stream = incremental.stream_files(spark, sf, schema, glob="events.parquet")
-    incremental.ingest(stream, path, ["user_id"], ["ts", "event_id"])
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    reports = []
+    for late in (0, 1):
+        events.filter(F.col("event_id") % 2 == 1 - late).write.parquet(f"{path}/inbox/{late}")
+        stream = incremental.stream_files(spark, f"{path}/inbox/*", events.schema)
+        reports.append(incremental.ingest(stream, f"{path}/out", ["user_id"], ["ts", "event_id"]))
+    return f"{path}/out", reports
+
+
+def _ingest(spark, sf):
+    path, _ = _ingest_in_two(spark, sf)
     return incremental.current(spark, path, ["user_id"], ["ts", "event_id"]).select("user_id", "event_id", "event_type", "value")
 
 
+def _progress(spark, sf):
+    """Rows that each run of an ingest in two deliveries took in."""
+    _, reports = _ingest_in_two(spark, sf)
+    return spark.createDataFrame([(i, r["batches"], r["rows"]) for i, r in enumerate(reports)], "run int, batches int, rows bigint")
+
+
+def _factory(spark, sf):
+    """The raw table written once in each file format and read back by the reader of that name."""
+    path = _folder(spark)
+    raw = star.raw_rows(spark, sf).drop("row_ord")
+    raw.write.parquet(f"{path}/parquet")
+    spark.read.parquet(f"{path}/parquet").write.option("header", "true").option("escape", '"').csv(f"{path}/csv")
+    parts = [
+        readers.read_learners(spark, name, {"path": f"{path}/{name}"}).agg(
+            F.lit(name).alias("source"), _n().alias("n"), F.countDistinct("hashed_email").alias("learners"), F.count_if(F.col("is_wage_employed") == "1").alias("wage"))
+        for name in ("csv", "parquet")
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+def _clear(spark, sf):
+    """Rows of a stored table, and whether it is gone after the confirmed clear."""
+    path = _folder(spark)
+    rows = writers.export_parquet(star.raw_rows(spark, sf), path).select("rows").first()[0]
+    cleared = writers.clear(spark, path, confirm=True)
+    return spark.createDataFrame([(rows, cleared, writers.clear(spark, path, confirm=True))], "rows bigint, cleared boolean, cleared_again boolean")
+
+
 def _run_report(spark, sf):
     """Counts of a load: raw rows, valid rows and written entities."""
     checked = quality.quality_metrics(_checked_learners(spark, sf))
@@ -412,5 +449,8 @@ QUERIES = {
     "snk_parquet": _export,
     "inc_two_phase": _stored_graph,
     "inc_checkpoint": _ingest,
+    "inc_progress": _progress,
+    "src_factory": _factory,
+    "snk_clear": _clear,
     "inc_metrics": _run_report,
 }

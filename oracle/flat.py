@@ -22,7 +22,17 @@ def outcomes(country_cond: str, keys: str = "", active: bool = True) -> str:
     return f"SELECT {cols} FROM ({inner}) GROUP BY ALL"
 
 
+#: Columns of the raw table, in order; all are text but the first.
+RAW = """row_ord hashed_email sand_id full_name profile_photo_url bio gender country_of_residence country_of_origin city_of_residence
+country_of_residence_latitude country_of_residence_longitude city_of_residence_latitude city_of_residence_longitude education_level_of_study
+education_field_of_study skills_list is_graduate_learner is_active_learner is_a_dropped_out is_running_a_venture is_a_freelancer is_wage_employed
+is_placed is_featured is_rural description_of_living_location has_disability type_of_disability is_from_low_income_household learning_details
+placement_details employment_details education_details snapshot_id has_employment_details has_education_details has_placement_details
+has_profile_profile_photo""".split()
+
 ORACLES = {
+    "q00_describe": "SELECT * FROM (VALUES " + ", ".join(
+        f"({i}, '{c}', '{'string' if i else 'bigint'}')" for i, c in enumerate(RAW)) + ") t(position, column_name, column_type)",
     "q01_country_share": sql(f"""SELECT country, count(*) AS total_learners,
         {pct('count(*)', 'sum(count(*)) OVER ()')} AS percentage
         FROM prow WHERE country IS NOT NULL GROUP BY country ORDER BY 2 DESC, 1 LIMIT 20"""),

@@ -66,7 +66,25 @@ def pairs(where: str = "", having: str = "", limit: int = 15) -> str:
 HOP = f"""SELECT s.learner, full_name, skill, program_name AS program, cohort_code AS program_id, company
     FROM skl s JOIN enr e ON s.learner = e.learner JOIN works w ON s.learner = w.learner JOIN lrn l ON l.learner = s.learner"""
 
+#: Properties of node labels and relationship types; text where no type follows.
+SCHEMA = {
+    ("node", "Learner"): "hashed_email full_name gender education_level country_of_residence_code country_of_origin_code city_of_residence_id "
+                         "current_learning_state current_professional_status is_rural:boolean",
+    ("node", "Country"): "code name latitude:double longitude:double region",
+    ("node", "City"): "id name country_code",
+    ("node", "Skill"): "id name category",
+    ("node", "Program"): "id name cohort_code provider",
+    ("node", "Company"): "id name industry country_code",
+    ("relationship", "HAS_SKILL"): "learner skill_id",
+    ("relationship", "ENROLLED_IN"): "learner program_id index:bigint enrollment_status start_date:date end_date:date graduation_date:date "
+                                     "lms_overall_score:double completion_rate:double is_completed:boolean is_dropped:boolean duration:int",
+    ("relationship", "WORKS_FOR"): "learner company_id position start_date:date end_date:date is_current:boolean source",
+}
+
 ORACLES = {
+    "cat_schema": "SELECT * FROM (VALUES " + ", ".join(
+        f"('{what}', '{name}', '{p.partition(':')[0]}', '{p.partition(':')[2] or 'string'}')" for (what, name), text in SCHEMA.items() for p in text.split()
+    ) + ") t(element, name, property, type)",
     "cat_counts": sql("""
         SELECT 'node' AS element, name, n FROM (
           SELECT 'Learner' AS name, count(*) AS n FROM lrn UNION ALL SELECT 'Country', count(*) FROM ctry

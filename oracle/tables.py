@@ -294,6 +294,10 @@ ORACLES = {
     "inc_two_phase": sql("""SELECT 'learner' AS kind, count(*) AS n FROM lrn UNION ALL SELECT 'country', count(*) FROM ctry UNION ALL SELECT 'city', count(*) FROM city
         UNION ALL SELECT 'skill', count(DISTINCT name) FROM skn UNION ALL SELECT 'program', count(*) FROM prog UNION ALL SELECT 'company', count(*) FROM cmp
         UNION ALL SELECT 'has_skill', count(*) FROM skl UNION ALL SELECT 'enrolled_in', count(*) FROM enr UNION ALL SELECT 'works_for', count(*) FROM works"""),
+    "inc_progress": "SELECT (1 - event_id % 2)::INT AS run, 1 AS batches, count(*) AS rows FROM events GROUP BY 1",
+    "src_factory": sql("""SELECT source, count(*) AS n, count(DISTINCT learner) AS learners, count(*) FILTER (WHERE wage) AS wage
+        FROM prow, (VALUES ('csv'), ('parquet')) s(source) GROUP BY 1"""),
+    "snk_clear": sql("SELECT count(*) AS rows, true AS cleared, false AS cleared_again FROM prow"),
     "inc_checkpoint": """SELECT user_id, event_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
         WHERE rn = 1""",
     "inc_metrics": sql(f"""SELECT 'total_records' AS kind, count(*) AS n FROM el UNION ALL SELECT 'valid_records', {n("errors = ''")} FROM el

@@ -88,3 +88,10 @@ def test_is_current_by_date(one):
 
 def test_valid_company(one):
     assert one(["Acme", "", "N/A", "na", None], C.valid_company) == [True, False, False, False, False]
+
+
+def test_casts_of_the_flat_table(one):
+    numbers = ["3", "3.0", "2.7", "-2.5", "1e2", "3d", "x", "-99", "", None, "99999999999"]
+    assert one(numbers, C.safe_int) == [3, 3, 3, -3, 100, None, None, None, None, None, None]
+    days = ["2020-01-05", "2020-01-05 00:00:00", "2020-01-05T10:00:00", "2020/01/05", "2020-1-5", "2020", "1970-01-01", "2020-13-01", "2020-01-05 junk", None]
+    assert [str(d) if d else None for d in one(days, C.safe_date)] == ["2020-01-05"] * 5 + [None] * 5

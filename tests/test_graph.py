@@ -106,3 +106,13 @@ def test_concurrent_enrolments(spark):
     )
     out = P.p12_concurrent(df).first()
     assert (out.people, out.concurrent) == (len({r[0] for r in rows}), len(want))
+
+
+def test_walks_reach_six_hops_and_say_when_they_stop(spark):
+    edges = spark.createDataFrame([(f"n{i}", f"n{i + 1}") for i in range(6)] + [("x", "y")], "src string, dst string")
+    start = spark.createDataFrame([("n0",)], "node string")
+    assert {r.node: r.depth for r in G.reachable(edges, start).collect()} == {f"n{i}": i for i in range(7)}
+    assert G.reachable(edges, start, 2).count() == 3
+    assert [tuple(r) for r in G.g43_shortest_path(edges, start, "n6").collect()] == [([f"n{i}" for i in range(7)], 6)]
+    assert [tuple(r) for r in G.g43_shortest_path(edges, start, "n6", 3).collect()] == [(None, 3)]
+    assert G.g43_shortest_path(edges, start, "y").count() == 0

@@ -130,3 +130,14 @@ def test_two_batches_equal_one_and_replay_changes_nothing(spark, tmp_path):
     _ingest(spark, inbox, target)
     incremental.compact(spark, target, ["k"], ["o"])
     assert _state(spark, target) == [("a", 2), ("b", 7), ("c", 3)]
+
+
+def test_strict_country_mode_raises_for_an_unmapped_name(spark):
+    rows = spark.createDataFrame([("Egypt",), ("Nowhere",)], "country_of_residence string")
+    dim = entities.country_dim(spark.createDataFrame([("Egypt", "EG")], "name string, code string"))
+    strict = entities.with_country_code(rows, dim, mode="strict")
+    assert [r.country_code for r in strict.filter("country_of_residence = 'Egypt'").collect()] == ["EG"]
+    with pytest.raises(Exception, match="country not in mapping: Nowhere"):
+        strict.collect()
+    auto = entities.with_country_code(rows, dim, mode="auto").collect()
+    assert {r.country_code for r in auto} == {"EG", "auto:NOWHERE"}

@@ -56,7 +56,7 @@ def test_skills_first_spelling_and_limit(spark):
     df = parse.learner_skills(raw(spark, skills_list=["Python, python , N/A,none, ,C++,C#,null", many, None]))
     rows = df.orderBy("row_ord", "pos").collect()
     assert [(r.skill_id, r.name) for r in rows if r.learner == "h0"] == [("python", "Python"), ("c", "C++")]
-    assert sum(r.learner == "h1" for r in rows) == 50
+    assert sum(r.learner == "h1" for r in rows) == 60
 
 
 def test_country_modes(spark):
@@ -77,3 +77,9 @@ def test_country_modes(spark):
         raise AssertionError("strict mode must fail")
     except Exception as exc:  # the job fails on the unmapped name
         assert "Atlantis" in str(exc)
+
+
+def test_no_skill_is_cut(one):
+    cell = ",".join(f"Skill {i}" for i in range(80))
+    assert len(one([cell], parse.skill_array)[0]) == 80
+    assert len(one([cell], lambda c: parse.skill_array(c, limit=50))[0]) == 50
