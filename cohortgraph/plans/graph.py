@@ -309,9 +309,9 @@ def g24_skills_gap(g: Graph, min_n: int = 100, limit: int = 20) -> DataFrame:
 def skill_pairs(learner_skill: DataFrame, skill: str) -> DataFrame:
     """Co-occurrence counts of skill pairs.
 
-    A learner's skills form one set (at most the number of skills, 50 per source row);
-    equal sets are merged and weighted before any pair is made, so pairs are generated per
-    distinct set and never per learner, and the counts are summed map-side first.
+    A learner's skills form one set; equal sets are merged and weighted before any pair is made,
+    so pairs are generated per distinct set and never per learner, and the counts are summed
+    map-side first. Cut ``learner_skill`` to frequent skills first where a pair must be frequent.
     """
     sets = learner_skill.groupBy("learner").agg(F.array_sort(F.collect_set(skill)).alias("set"))
     weighted = sets.filter(F.size("set") >= 2).groupBy("set").agg(N("*").alias("w"))
@@ -322,7 +322,9 @@ def skill_pairs(learner_skill: DataFrame, skill: str) -> DataFrame:
 
 def g28_skill_cooccurrence(g: Graph, min_n: int = 100, limit: int = 20) -> DataFrame:
     """Pairs among employed learners."""
-    held = g.has_skill.join(employees(g), "learner", "left_semi")
+    held = g.has_skill.join(employees(g), "learner", "left_semi").select("learner", "skill_id").distinct()
+    frequent = held.groupBy("skill_id").agg(N("*").alias("n")).filter(F.col("n") > min_n)  # a pair is no more frequent than its skills
+    held = held.join(frequent, "skill_id", "left_semi")
     pairs = skill_pairs(held, "skill_id").filter(F.col("co_occurrence") > min_n)
     names = g.skill.select("id", "name")
     out = (
@@ -628,8 +630,14 @@ def g35_multi_hop(g: Graph, skill: str = "python", program: str | None = "data",
     if program is not None:
         programs = programs.filter(F.col("program").rlike(f"(?i).*{program}.*"))
     member = g.enrolled_in.join(programs, "program_id").select("learner", "program_id", "program")
-    df = skills.join(member, "learner").join(jobs(g).select("learner", "company"), "learner")
-    df = df.join(learner_attrs(g, "full_name"), "learner")
+    work, people = jobs(g).select("learner", "company"), learner_attrs(g, "full_name")
+    if limit is not None:  # the order begins with the learner: the first learners that have all sides are enough
+        first = people.select("learner")
+        for side in (skills, member, work):
+            first = first.join(side, "learner", "left_semi")
+        people = people.join(top_k(first, asc("learner"), limit), "learner", "left_semi")
+        skills, member, work = (side.join(people, "learner", "left_semi") for side in (skills, member, work))
+    df = skills.join(member, "learner").join(work, "learner").join(people, "learner")
     out = df.select("learner", "full_name", "skill", "program", "program_id", "company")
     return top_k(out, asc("learner", "skill", "program_id", "company"), limit)
 
@@ -648,14 +656,19 @@ def node_edges(g: Graph) -> DataFrame:
     )
 
 
-def g34_neighbourhood(g: Graph, learner: DataFrame) -> DataFrame:
-    """Everything one edge away from the learners in ``learner``; the filter reaches each edge scan."""
-    start = learner.select("learner")
+def learner_key(learner: DataFrame | str) -> Column:
+    """One learner's key: given, or the single row of a table as a scalar subquery that all its uses share."""
+    return F.lit(learner) if isinstance(learner, str) else learner.select("learner").scalar()
+
+
+def g34_neighbourhood(g: Graph, learner: DataFrame | str) -> DataFrame:
+    """Everything one edge away from the learner; the filter reaches each edge scan."""
+    start = learner_key(learner)
     out = None
     for df, key, kind in (
         (g.has_skill, "skill_id", "HAS_SKILL"), (g.enrolled_in, "program_id", "ENROLLED_IN"), (g.works_for, "company_id", "WORKS_FOR"),
     ):
-        one = df.select("learner", F.col(key).alias("node"), F.lit(kind).alias("kind")).join(start, "learner", "left_semi")
+        one = df.select("learner", F.col(key).alias("node"), F.lit(kind).alias("kind")).filter(F.col("learner") == start)
         out = one if out is None else out.unionByName(one)
     return out
 
@@ -712,12 +725,19 @@ def g43_shortest_path(edges: DataFrame, start: DataFrame, goal: str, max_depth:
         step.join(seen, "node", "left_anti").select("node", F.concat("path", F.array("node")).alias("path")).write.parquet(f"{path}/hop={hop}")
 
 
-def g39_similar_context(g: Graph, learner: DataFrame, limit: int = 10) -> DataFrame:
-    """Learners sharing a skill with the given one, with a program and a company of theirs."""
-    wanted = g.has_skill.join(learner.select("learner"), "learner", "left_semi").select("skill_id").distinct()
-    shared = g.has_skill.join(wanted, "skill_id", "left_semi").join(learner.select("learner"), "learner", "left_anti")
+def g39_similar_context(g: Graph, learner: DataFrame | str, limit: int | None = 10) -> DataFrame:
+    """Learners sharing a skill with the given one, with a program and a company of theirs.
+
+    Each learner kept has a row at least, so the first ``limit`` learners hold the answer; only these are expanded.
+    """
+    key = learner_key(learner)
+    wanted = g.has_skill.filter(F.col("learner") == key).select("skill_id").distinct()
+    shared = g.has_skill.filter(F.col("learner") != key).join(wanted, "skill_id", "left_semi")
     similar = shared.groupBy("learner").agg(N("*").alias("shared_skills"))
-    df = similar.join(enrolments(g).select("learner", "program_id", "program"), "learner").join(jobs(g).select("learner", "company"), "learner")
+    member, work = enrolments(g).select("learner", "program_id", "program"), jobs(g).select("learner", "company")
+    similar = similar.join(member, "learner", "left_semi").join(work, "learner", "left_semi")
+    similar = top_k(similar, desc("shared_skills") + asc("learner"), limit)
+    df = similar.join(member, "learner").join(work, "learner")
     out = df.select("learner", "shared_skills", "program", "program_id", "company")
     return top_k(out, desc("shared_skills") + asc("learner", "program_id", "company"), limit)
 

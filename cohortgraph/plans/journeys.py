@@ -99,11 +99,12 @@ def most_skilled(g: Graph, min_skills: int = 3) -> DataFrame:
     return top_k(df, desc("skills") + asc("learner"), 1)
 
 
-def overlap_with(g: Graph, target: DataFrame, min_shared: int = 3) -> DataFrame:
+def overlap_with(g: Graph, target: DataFrame | str, min_shared: int = 3) -> DataFrame:
     """Learners sharing at least so many skills with the target learner: learner, shared_skills."""
-    wanted = g.has_skill.join(target.select("learner"), "learner", "left_semi").select("skill_id")
-    shared = g.has_skill.join(wanted, "skill_id", "left_semi").groupBy("learner").agg(F.count("*").alias("shared_skills"))
-    return shared.filter(F.col("shared_skills") >= min_shared).join(target.select("learner"), "learner", "left_anti")
+    key = G.learner_key(target)
+    wanted = g.has_skill.filter(F.col("learner") == key).select("skill_id")
+    shared = g.has_skill.filter(F.col("learner") != key).join(wanted, "skill_id", "left_semi").groupBy("learner").agg(F.count("*").alias("shared_skills"))
+    return shared.filter(F.col("shared_skills") >= min_shared)
 
 
 def j08_similar_learners(g: Graph, min_shared: int = 3, limit: int = 10) -> DataFrame:
@@ -113,7 +114,7 @@ def j08_similar_learners(g: Graph, min_shared: int = 3, limit: int = 10) -> Data
     """
     target = most_skilled(g, min_shared)
     best = top_k(overlap_with(g, target, min_shared), desc("shared_skills") + asc("learner"), limit)
-    wanted = G.learner_skills(g).join(target.select("learner"), "learner", "left_semi").select("skill_id", "skill")
+    wanted = G.learner_skills(g).filter(F.col("learner") == G.learner_key(target)).select("skill_id", "skill")
     names = g.has_skill.join(best.select("learner"), "learner", "left_semi").join(wanted, "skill_id").groupBy("learner").agg(
         F.slice(F.array_sort(F.collect_set("skill")), 1, 5).alias("sample_skills")
     )
@@ -164,38 +165,38 @@ def _nested(df: DataFrame, name: str, *cols: str) -> DataFrame:
     return df.groupBy("learner").agg(F.array_sort(F.collect_set(F.struct(*cols))).alias(name))
 
 
-def j12_profile(g: Graph, learner: DataFrame) -> DataFrame:
+def j12_profile(g: Graph, learner: DataFrame | str) -> DataFrame:
     """Nested skills, programs and employment of one learner.
 
     Edges are cut to the learner before anything is collected and are unique on their end
     points, so the arrays are bounded by the number of skills, programs and companies.
     """
-    who = learner.select("learner")
+    who = F.col("learner") == G.learner_key(learner)
     skills = G.skill_names(g, category=True)
-    s = _nested(g.has_skill.join(who, "learner", "left_semi").join(skills, "skill_id"), "skills", "skill", "category")
+    s = _nested(g.has_skill.filter(who).join(skills, "skill_id"), "skills", "skill", "category")
     p = _nested(
-        g.enrolled_in.join(who, "learner", "left_semi").join(G.program_names(g), "program_id"), "programs",
+        g.enrolled_in.filter(who).join(G.program_names(g), "program_id"), "programs",
         "program", "program_id", "enrollment_status", "start_date", "completion_rate", "lms_overall_score",
     )
     e = _nested(
-        g.works_for.join(who, "learner", "left_semi").join(G.company_names(g), "company_id"), "employment",
+        g.works_for.filter(who).join(G.company_names(g), "company_id"), "employment",
         "company", "position", "start_date", "is_current",
     )
-    people = g.learner.withColumnRenamed("hashed_email", "learner").join(who, "learner", "left_semi").select(
+    people = g.learner.withColumnRenamed("hashed_email", "learner").filter(who).select(
         "learner", "full_name", "gender", "country_of_residence_code", "education_level", "current_learning_state",
         "current_professional_status",
     )
     return people.join(s, "learner", "left").join(p, "learner", "left").join(e, "learner", "left")
 
 
-def j13_timeline(g: Graph, learner: DataFrame, limit: int = 10) -> DataFrame:
+def j13_timeline(g: Graph, learner: DataFrame | str, limit: int = 10) -> DataFrame:
     """Milestones of a learner: programs, first five current jobs, earliest past job."""
-    who = learner.select("learner")
-    programs = g.enrolled_in.join(who, "learner", "left_semi").filter(F.col("start_date").isNotNull()).join(
+    who = F.col("learner") == G.learner_key(learner)
+    programs = g.enrolled_in.filter(who).filter(F.col("start_date").isNotNull()).join(
         G.program_names(g), "program_id"
     ).select("learner", F.col("start_date").alias("date"), F.lit("Program").alias("type"), F.col("program_id").alias("label"),
              F.col("enrollment_status").alias("detail"), F.lit(1).alias("priority"))
-    work = G.jobs(g).join(who, "learner", "left_semi").filter(F.col("start_date").isNotNull())
+    work = G.jobs(g).filter(who).filter(F.col("start_date").isNotNull())
     w = Window.partitionBy("learner", "is_current").orderBy(*asc("start_date", "company_id"))
     ranked = work.withColumn("r", F.row_number().over(w)).filter(
         (F.col("is_current") & (F.col("r") <= 5)) | (~F.col("is_current") & (F.col("r") == 1))

@@ -42,21 +42,21 @@ def t4_top_skills(g: Graph, category: str | None = None, limit: int | None = 20)
     return G.g09_top_skills(g, limit, category)
 
 
-def t5_learner_journey(g: Graph, learner: DataFrame) -> DataFrame:
+def t5_learner_journey(g: Graph, learner: DataFrame | str) -> DataFrame:
     """One learner with place names, skills, programs and jobs at named companies."""
-    who = learner.select("learner")
-    skills = G.learner_skills(g).join(who, "learner", "left_semi").groupBy("learner").agg(
+    who = F.col("learner") == G.learner_key(learner)
+    skills = G.learner_skills(g).filter(who).groupBy("learner").agg(
         F.array_sort(F.collect_set("skill")).alias("skills")
     )
     programs = _nested(
-        G.enrolments(g).join(who, "learner", "left_semi"), "programs",
+        G.enrolments(g).filter(who), "programs",
         "program", "enrollment_status", "completion_rate", "lms_overall_score",
     )
     work = _nested(
-        G.jobs(g, only_valid=True).join(who, "learner", "left_semi"), "employment",
+        G.jobs(g, only_valid=True).filter(who), "employment",
         "company", "position", "is_current", "start_date",
     )
-    people = g.learner.withColumnRenamed("hashed_email", "learner").join(who, "learner", "left_semi")
+    people = g.learner.withColumnRenamed("hashed_email", "learner").filter(who)
     country = g.country.select(F.col("code").alias("country_of_residence_code"), F.col("name").alias("country_of_residence"))
     city = g.city.select(F.col("id").alias("city_of_residence_id"), F.col("name").alias("city_of_residence"))
     df = people.join(country, "country_of_residence_code", "left").join(city, "city_of_residence_id", "left")
