@@ -279,9 +279,9 @@ def _factory(spark, sf):
     raw.write.parquet(f"{path}/parquet")
     spark.read.parquet(f"{path}/parquet").write.option("header", "true").option("escape", '"').csv(f"{path}/csv")
     parts = [
-        readers.read_learners(spark, name, {"path": f"{path}/{name}"}).agg(
+        readers.read_learners(spark, name, {"path": f"{path}/{name}"} | options).agg(
             F.lit(name).alias("source"), _n().alias("n"), F.countDistinct("hashed_email").alias("learners"), F.count_if(F.col("is_wage_employed") == "1").alias("wage"))
-        for name in ("csv", "parquet")
+        for name, options in (("csv", {"multi_line": True}), ("parquet", {}))
     ]
     return parts[0].unionByName(parts[1])
 

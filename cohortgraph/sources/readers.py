@@ -15,14 +15,14 @@ DEFAULT_NULL_TOKENS = ("-99", "-99.0", "")
 
 
 def read_learners_csv(
-    spark: SparkSession, path: str, null_tokens: tuple[str, ...] = (), keep_corrupt: bool = False, multi_line: bool = True
+    spark: SparkSession, path: str, null_tokens: tuple[str, ...] = (), keep_corrupt: bool = False, multi_line: bool = False
 ) -> DataFrame:
     """RFC-4180 CSV, all columns text.
 
-    Quoted newlines and doubled quotes are read, NUL and undecodable characters removed,
-    short rows filled with NULL and long rows cut. ``null_tokens`` become NULL. A file with
-    quoted newlines cannot be split, so large extracts should come in many files, or be read
-    with ``multi_line=False`` when no field holds a newline.
+    Doubled quotes are read, NUL and undecodable characters removed, short rows filled with
+    NULL and long rows cut. ``null_tokens`` become NULL. Files are split over tasks. Fields with
+    quoted newlines need ``multi_line=True``, which reads a file in one task: deliver such
+    extracts in many files, or convert them to Parquet once.
     """
     options = {"header": "true", "quote": '"', "escape": '"', "encoding": "UTF-8", "mode": "PERMISSIVE"}
     names = [n.lstrip("﻿") for n in spark.read.options(**options).csv(path).columns]

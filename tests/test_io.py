@@ -17,7 +17,7 @@ SF = "/root/testdata/sf0.001"
 def test_csv_edge_cases(spark, tmp_path):
     text = "﻿hashed_email,bio,score\n" "h1,\"line one\nsaid \"\"hi\"\"\",5,extra\n" "h2,nul\u0000byte,-99\n" "h3,short\n"
     (tmp_path / "a.csv").write_bytes(text.encode() + b"h4,bad\xff byte,\n")
-    df = readers.read_learners_csv(spark, str(tmp_path), null_tokens=readers.DEFAULT_NULL_TOKENS)
+    df = readers.read_learners_csv(spark, str(tmp_path), null_tokens=readers.DEFAULT_NULL_TOKENS, multi_line=True)
     assert df.columns == ["hashed_email", "bio", "score"]
     assert {tuple(r) for r in df.collect()} == {
         ("h1", 'line one\nsaid "hi"', "5"), ("h2", "nulbyte", None), ("h3", "short", None), ("h4", "bad byte", None)
