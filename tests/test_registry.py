@@ -12,6 +12,9 @@ SAMPLE = [
     "g28_skill_cooccurrence", "g29_mobility", "j08_similar_learners", "t5_learner_journey", "t8_time_to_employment",
     "hist_learning", "hist_professional", "hist_transitions", "hist_sequence", "hist_distribution", "ent_learner",
     "edge_enrolled_in", "val_emp_consistency", "dq_report", "p12_concurrent", "src_csv", "inc_checkpoint",
+    "inc_progress", "src_factory", "snk_clear", "snk_nodes", "q00_describe", "cat_schema", "q25_fallback", "q25_with_match", "q02b_by_city_broad",
+    "g34_reachable", "g43_shortest_path", "g39_similar_context", "hist_sequence_all", "hist_learning_fallback", "st_professional", "fn_safe_casts",
+    "fn_city_id_parity", "ent_city", "t1_top_countries",
 ]
 
 
