@@ -45,7 +45,11 @@ def city_id(city: Column, country_code: Column, parity: bool = False) -> Column:
     return F.concat(F.upper(country_code), F.lit("-"), F.upper(F.substring(name, 1, 3) if parity else name))
 
 
-def parse_date(c: Column, years: tuple[int, int] | None = (1970, 2030)) -> Column:
+#: Years of usable dates in the original model.
+YEARS = (1970, 2030)
+
+
+def parse_date(c: Column, years: tuple[int, int] | None = YEARS) -> Column:
     """Date of ``Y-m-d`` or ISO date-time text; sentinels, junk and out-of-window years are NULL.
 
     A four-digit year sorts as text, so the window is checked before anything is parsed. The
@@ -104,9 +108,9 @@ def norm_education(c: Column) -> Column:
     return F.element_at(levels, F.lower(norm_str(c)))
 
 
-def hash_id(c: Column) -> Column:
-    """First 16 hex digits of SHA-256 of the text as it is."""
-    return F.substring(F.sha2(c, 256), 1, 16)
+def hash_id(c: Column, digits: int = 16) -> Column:
+    """First hex digits of SHA-256 of the text as it is: 16 (64 bits) serve up to some 10^8 names, 64 is the whole digest."""
+    return F.substring(F.sha2(c, 256), 1, digits)
 
 
 def safe_double(c: Column) -> Column:

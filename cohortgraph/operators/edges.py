@@ -33,8 +33,10 @@ def has_skill(learner_skills: DataFrame) -> DataFrame:
     return learner_skills.filter(F.col("learner").isNotNull()).select("learner", "skill_id").distinct()
 
 
-def typed_enrollments(enrollments: DataFrame, keep_missing_ints: bool = False) -> DataFrame:
-    """Enrolment entries with typed metrics, one row per entry."""
+def typed_enrollments(
+    enrollments: DataFrame, keep_missing_ints: bool = False, years: tuple[int, int] | None = C.YEARS
+) -> DataFrame:
+    """Enrolment entries with typed metrics, one row per entry; dates outside ``years`` are NULL."""
     return enrollments.filter(F.col("learner").isNotNull()).select(
         "learner",
         F.col("cohort_code").alias("program_id"),
@@ -43,9 +45,9 @@ def typed_enrollments(enrollments: DataFrame, keep_missing_ints: bool = False) -
         C.parse_int(F.col("index")).alias("index"),
         "program_name",
         "enrollment_status",
-        C.parse_date(F.col("program_start_date")).alias("start_date"),
-        C.parse_date(F.col("program_end_date")).alias("end_date"),
-        C.parse_date(F.col("program_graduation_date")).alias("graduation_date"),
+        C.parse_date(F.col("program_start_date"), years).alias("start_date"),
+        C.parse_date(F.col("program_end_date"), years).alias("end_date"),
+        C.parse_date(F.col("program_graduation_date"), years).alias("graduation_date"),
         *[C.parse_num(F.col(src)).alias(dst) for dst, src in _FLOATS.items()],
         *[C.parse_int(F.col(src), keep_missing_ints).alias(dst) for dst, src in _INTS.items()],
     )
@@ -68,8 +70,8 @@ def enrolled_in(typed: DataFrame) -> DataFrame:
     return with_enrollment_flags(last_by(typed, ["learner", "program_id"], F.struct("row_ord", "pos"), cols))
 
 
-def typed_jobs(jobs: DataFrame) -> DataFrame:
-    """Job entries with dates, one row per entry.
+def typed_jobs(jobs: DataFrame, years: tuple[int, int] | None = C.YEARS) -> DataFrame:
+    """Job entries with dates, one row per entry; dates outside ``years`` are NULL.
 
     ``is_current`` is the flag of the stored edge, ``flagged`` accepts every true token.
     """
@@ -81,8 +83,8 @@ def typed_jobs(jobs: DataFrame) -> DataFrame:
         "row_ord",
         "pos",
         F.col("job_title").alias("position"),
-        C.parse_date(F.col("start_date")).alias("start_date"),
-        C.parse_date(F.col("end_date")).alias("end_date"),
+        C.parse_date(F.col("start_date"), years).alias("start_date"),
+        C.parse_date(F.col("end_date"), years).alias("end_date"),
         F.coalesce(F.col("is_current") == "1", F.lit(False)).alias("is_current"),
         flag.isin("1", "true", "yes").alias("flagged"),
     )

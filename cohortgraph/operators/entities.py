@@ -163,12 +163,12 @@ def skills(learner_skills: DataFrame) -> DataFrame:
     return first_by(df, ["id"], F.struct("row_ord", "pos"), ["id", "name", "category"])
 
 
-def programs(enrollments: DataFrame) -> DataFrame:
-    """Programs keyed by cohort code."""
+def programs(enrollments: DataFrame, provider: str = S.PROVIDER) -> DataFrame:
+    """Programs keyed by cohort code; the source does not name their provider."""
     key = "program_id" if "program_id" in enrollments.columns else "cohort_code"
     df = enrollments.select(F.col(key).alias("id"), F.col("program_name").alias("name"), "row_ord", "pos")
     out = first_by(df, ["id"], F.struct("row_ord", "pos"), ["id", "name"])
-    return out.select("id", "name", F.col("id").alias("cohort_code"), F.lit(S.PROVIDER).alias("provider"))
+    return out.select("id", "name", F.col("id").alias("cohort_code"), F.lit(provider).alias("provider"))
 
 
 def companies(jobs: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortgraph import schemas as S
 from cohortgraph.functions import cleaning as C
 from cohortgraph.operators import edges, entities, history, parse
 from cohortgraph.operators.model import Graph
@@ -18,9 +19,10 @@ def load_graph(raw: DataFrame, dim: DataFrame, path: str, as_of: str, **options)
     What feeds several tables is written once to the shared folder and read back: the typed
     enrolment and job entries, and the learner table.
     """
+    years = options.get("years", C.YEARS)
     entries = (
-        work_table(edges.typed_enrollments(parse.enrollments_raw(raw)), "load-enrolments"),
-        work_table(edges.typed_jobs(parse.jobs_raw(raw)), "load-jobs"),
+        work_table(edges.typed_enrollments(parse.enrollments_raw(raw), years=years), "load-enrolments"),
+        work_table(edges.typed_jobs(parse.jobs_raw(raw), years=years), "load-jobs"),
     )
     write_graph(build_graph(raw, dim, as_of, entries=entries, store=True, **options), path)
 
@@ -43,16 +45,18 @@ def build_graph(
     with_history: bool = True,
     entries: tuple[DataFrame, DataFrame] | None = None,
     store: bool = False,
+    years: tuple[int, int] | None = C.YEARS,
+    provider: str = S.PROVIDER,
 ) -> Graph:
     """Node and edge tables from a raw table (with ``row_ord``) and a country dimension.
 
     About a dozen outputs read the raw table, each only its own columns; store the graph
     (``load_graph``) rather than querying the returned plans again and again. ``entries`` are
-    already parsed and typed (enrolments, jobs); ``store`` writes the learner table before the
+    already parsed and typed (enrolments, jobs); ``years`` bounds usable dates; ``store`` writes the learner table before the
     histories read it.
     """
     enrolments, jobs = entries or (
-        edges.typed_enrollments(parse.enrollments_raw(raw)), edges.typed_jobs(parse.jobs_raw(raw))
+        edges.typed_enrollments(parse.enrollments_raw(raw), years=years), edges.typed_jobs(parse.jobs_raw(raw), years=years)
     )
     skills = parse.learner_skills(raw)
     learner = entities.learners(raw, dim, snapshot=snapshot, parity=parity)
@@ -73,7 +77,7 @@ def build_graph(
         country=entities.countries(raw, dim),
         city=entities.cities(raw, dim),
         skill=entities.skills(skills),
-        program=entities.programs(enrolments),
+        program=entities.programs(enrolments, provider),
         company=entities.companies(jobs),
         has_skill=edges.has_skill(skills),
         enrolled_in=edges.enrolled_in(enrolments),

@@ -92,9 +92,9 @@ def p05_exclusive(raw: DataFrame) -> DataFrame:
 
 
 def p06_value_share(df: DataFrame, column: str, limit: int | None = None) -> DataFrame:
-    """Values of a column by count and share. The whole is a second pass, as values may be many."""
+    """Values of a column by count and share. The whole is a scalar subquery over the groups."""
     grouped = df.groupBy(F.col(column).alias("value")).agg(_n().alias("n"))
-    whole = df.agg(_n().alias("n")).scalar()
+    whole = grouped.agg(F.sum("n")).scalar()
     return top_k(grouped.withColumn("share_pct", pct(F.col("n"), whole)), desc("n") + asc("value"), limit)
 
 
@@ -196,15 +196,14 @@ def p15_edu_entries(raw: DataFrame) -> DataFrame:
     """Histogram of education entries per row, with the average and maximum beside it."""
     sizes = raw.select(F.size(parse_json_array(F.col("education_details"), S.EDUCATION_ARRAY)).alias("entries")).filter(F.col("entries") > 0)
     out = share_of_total(sizes, ["entries"])
-    w = Window.partitionBy()
-    avg = F.sum(F.col("entries") * F.col("n")).over(w) / F.sum("n").over(w).cast("double")
-    return out.withColumns({"average": round_to(avg, 2), "maximum": F.max("entries").over(w)}).orderBy("entries")
+    average = out.agg(round_to(F.sum(F.col("entries") * F.col("n")) / F.sum("n").cast("double"), 2)).scalar()
+    return out.withColumns({"average": average, "maximum": out.agg(F.max("entries")).scalar()}).orderBy("entries")
 
 
 def p16_edu_top(education: DataFrame, column: str, limit: int = 20) -> DataFrame:
     """Institutions, levels or fields by entries, with their graduation rate."""
     grouped = education.groupBy(F.col(column).alias("value")).agg(_n().alias("n"), F.count_if(F.col("graduated") == "1").alias("graduated"))
-    whole = education.agg(_n().alias("n")).scalar()
+    whole = grouped.agg(F.sum("n")).scalar()
     out = grouped.withColumns(
         {"share_pct": pct(F.col("n"), whole), "graduation_rate": pct(F.col("graduated"), F.col("n"))}
     )
@@ -253,13 +252,15 @@ def p19_edu_duration(education: DataFrame) -> DataFrame:
         bucket = bucket.when(years < n + 1, f"{n}-{n + 1} years")
     df = _edu_days(education).withColumn("bucket", bucket.otherwise("6+ years"))
     out = df.groupBy("bucket").agg(_n().alias("n"), F.sum("days").alias("sum_days"), F.min("days").alias("lo"), F.max("days").alias("hi"))
-    w = Window.partitionBy()
-    total = F.sum("n").over(w)
+    whole = out.agg(F.struct(
+        F.sum("n").alias("n"),
+        round_to(F.sum("sum_days") / F.sum("n").cast("double") / F.lit(365.25), 2).alias("average_years"),
+        round_to(F.min("lo") / F.lit(365.25), 2).alias("min_years"),
+        round_to(F.max("hi") / F.lit(365.25), 2).alias("max_years"),
+    )).scalar()
     return out.select(
-        "bucket", "n", pct(F.col("n"), total).alias("percentage"),
-        round_to(F.sum("sum_days").over(w) / total.cast("double") / F.lit(365.25), 2).alias("average_years"),
-        round_to(F.min("lo").over(w) / F.lit(365.25), 2).alias("min_years"),
-        round_to(F.max("hi").over(w) / F.lit(365.25), 2).alias("max_years"),
+        "bucket", "n", pct(F.col("n"), whole["n"]).alias("percentage"),
+        *[whole[c].alias(c) for c in ("average_years", "min_years", "max_years")],
     ).orderBy("bucket")
 
 

@@ -11,7 +11,6 @@ MISSING_NUMBERS = ("-99", "-99.0")
 INVALID_DATES = ("1970-01-01", "9999-12-31")
 TRUE_TOKENS = ("1", "true", "yes", "y")
 FALSE_TOKENS = ("0", "false", "no", "n")
-OPEN_END_TOKENS = ("", "null", "None")
 NO_COMPANY_TOKENS = ("", "n/a", "na")
 OTHER_GENDER_TOKENS = ("other/prefer not to say", "prefer not to say", "other")
 OTHER_GENDER = "other/prefer not to say"
@@ -28,12 +27,8 @@ EDUCATION_LEVELS = (
     "PhD",
     "Professional Certificate",
 )
-ENROLLMENT_STATUSES = ("Enrolled", "Active", "Completed", "Graduated", "Dropped Out", "Suspended")
 LEARNING_STATES = ("Active", "Graduate", "Dropped Out", "Inactive")
 PROFESSIONAL_STATUSES = ("Unemployed", "Wage Employed", "Freelancer", "Entrepreneur", "Multiple")
-EMPLOYMENT_TYPES = ("Full-time", "Part-time", "Contract", "Internship", "Uncategorized")
-SALARY_RANGES = ("$0-$500", "$501-$1000", "$1001-$2000", "$2001+", "n/a")
-LIVING_LOCATIONS = ("Urban", "Rural", "Prefer not to say")
 
 TECHNICAL_TERMS = (
     "python", "java", "javascript", "sql", "data", "machine learning", "ai", "programming", "coding",

@@ -4,6 +4,8 @@ They restate the learner view of the base tables in plain SQL, without JSON: ``p
 is one row per order, ``ent`` the enrolment entries, ``job`` the line-item jobs.
 """
 
+from cohortgraph import schemas as S
+
 SKILLS = "['Python','Data Analysis','Project Management','SQL','Communication','Graphic Design','Cloud','Sales']"
 TITLES = "['Software Engineer','Founder','Freelance Writer','Analyst','Consultant','Teacher','CEO','Product Manager']"
 KINDS = "['Tech','Software House','Bank','Farm']"
@@ -150,9 +152,9 @@ skn AS (
 ),
 skl AS (
   SELECT DISTINCT sha256(CAST(o_custkey AS VARCHAR)) AS learner, s.name AS skill, {sid('s.name')} AS skill_id,
-    CASE WHEN regexp_matches(lower(s.name), 'python|java|javascript|sql|data|machine learning|ai|programming|coding|software|development|web|cloud|database') THEN 'Technical'
-      WHEN regexp_matches(lower(s.name), 'management|leadership|strategy|finance|accounting|marketing|sales|business') THEN 'Business'
-      WHEN regexp_matches(lower(s.name), 'communication|teamwork|problem solving|critical thinking|presentation|collaboration') THEN 'Soft Skill'
+    CASE WHEN regexp_matches(lower(s.name), '{'|'.join(S.TECHNICAL_TERMS)}') THEN 'Technical'
+      WHEN regexp_matches(lower(s.name), '{'|'.join(S.BUSINESS_TERMS)}') THEN 'Business'
+      WHEN regexp_matches(lower(s.name), '{'|'.join(S.SOFT_TERMS)}') THEN 'Soft Skill'
       ELSE 'Other' END AS category
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part p ON l_partkey = p_partkey JOIN skn s ON p.p_name = s.p_name
 ),

@@ -147,7 +147,7 @@ ORACLES = {
     "js_placement_type_parity": sql("SELECT wage OR venture AS has_placement, false AS placement_is_venture, count(*) AS n FROM prow GROUP BY 1"),
     "js_first_field": sql("SELECT cohort_code, count(*) AS n FROM ent GROUP BY 1"),
     "arr_skills": sql("SELECT * FROM skc", SKR),
-    "ent_learner": sql(f"""SELECT {BASECOLS}, res_code AS country_of_residence_code, orig_code AS country_of_origin_code, res_code || '-' || upper(city[1:3]) AS city_of_residence_id,
+    "ent_learner": sql(f"""SELECT {BASECOLS}, res_code AS country_of_residence_code, orig_code AS country_of_origin_code, res_code || '-' || upper(city) AS city_of_residence_id,
         CASE WHEN grad THEN 'Graduate' WHEN drp THEN 'Dropped Out' WHEN act THEN 'Active' ELSE 'Inactive' END AS current_learning_state,
         CASE WHEN coalesce(k, 0) >= 2 THEN 'Multiple' WHEN k = 1 AND venture AND NOT wage THEN 'Entrepreneur' WHEN k = 1 THEN 'Wage Employed'
           WHEN venture THEN 'Entrepreneur' WHEN wage THEN 'Wage Employed' ELSE 'Unemployed' END AS current_professional_status
