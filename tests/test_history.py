@@ -215,3 +215,19 @@ def test_one_hot_learner_is_spread(spark):
     rows = [("hot", i, 0, "P", "C", "Enrolled", str(d), "1970-01-01", "1970-01-01") for i, d in enumerate(days)]
     df = learning(spark, rows)
     assert df.count() == 3000 and df.filter("is_current").count() == 1
+
+
+def test_no_employment_text_takes_the_snapshot_status(spark):
+    people = spark.createDataFrame([("a", None), ("y", "Entrepreneur"), ("z", None)], "learner string, snapshot_status string")
+    job = ("a", 0, 0, "Org", "Clerk", "1999-01-01", None, "1")
+    out = {r.learner: r for r in professional(spark, [job], learners=people).filter("learner <> 'a'").collect()}
+    assert (out["y"].status, out["y"].is_current, out["y"].details) == ("Entrepreneur", True, None)
+    assert (out["z"].status, out["z"].details) == ("Unemployed", "No employment history")
+
+
+def test_venture_placement_of_a_row_makes_its_jobs_ventures(spark):
+    jobs = edges.typed_jobs(spark.createDataFrame([("a", 0, 0, "Org", "Product Manager", "1999-01-01", None, "1")], JOB))
+    plain = [r.status for r in history.professional_history(jobs, str(AS_OF)).orderBy("step").collect()]
+    placed = history.professional_history(jobs.withColumn("placement_is_venture", F.lit(True)), str(AS_OF))
+    assert plain[-1] != "Entrepreneur"
+    assert [r.status for r in placed.orderBy("step").collect()][-1] == "Entrepreneur"
