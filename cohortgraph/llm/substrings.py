@@ -10,7 +10,7 @@ one string and their suffixes are sorted in two stages: suffixes smaller than th
 are sorted directly, the others are induced by one scan over the byte buckets from left to right. Neighbours
 in that order with a common prefix of LENGTH bytes are repeats. A key with more than ``BLOCK`` different
 segments is dealt out over several blocks; windows that a block has only once are then compared across its
-blocks by 128-bit digests, one row for each different window.
+blocks by 128-bit digests, packed by ranges of digests so that no task gets more than a few blocks' worth.
 
 Documents are identified by their content, so repeated rows need no ids. Defined cases: null text is
 empty; texts shorter than LENGTH keep all bytes; matches never cross documents; equal rows are each
@@ -205,9 +205,17 @@ def common_prefix(views: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray
     return np.where(differ.any(axis=1), differ.argmax(axis=1), views.shape[1])
 
 
-_FOUND = "key long, s1 long, s2 long, w1 long, w2 long, runs array<struct<a:int,b:int>>"
-_FOUND_ARROW = pa.schema([("key", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("w1", pa.int64()), ("w2", pa.int64()),
-                          ("runs", pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])))])
+_FOUND = "key long, s1 long, s2 long, runs array<struct<a:int,b:int>>, part int, packed binary"
+_FOUND_ARROW = pa.schema([("key", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("runs", pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))),
+                          ("part", pa.int32()), ("packed", pa.binary())])
+#: A different window of a block: digest, and its place if it occurs there once.
+_WINDOW = np.dtype([("w1", "<i8"), ("w2", "<i8"), ("s1", "<i8"), ("s2", "<i8"), ("at", "<i4"), ("alone", "?")])
+#: Blocks whose windows one range of digests takes on average.
+_TOGETHER = 8
+
+
+def _found(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows, strict=True), _FOUND_ARROW, strict=True)], schema=_FOUND_ARROW)
 
 
 def _runs(flags: np.ndarray) -> list[dict[str, int]]:
@@ -217,23 +225,24 @@ def _runs(flags: np.ndarray) -> list[dict[str, int]]:
 
 def _sorted_groups(length: int):
     """From segments sorted by (key, block, s1, s2): repeated starts of segments that occur once. Of keys with
-    several blocks also each different window by digest, with its place where the block has it once."""
+    several blocks also the different windows, packed by ranges of their digests."""
 
     def solve(rows: list[tuple]) -> Iterator[tuple]:
         flags, owner, start, kind = repeated_windows([r[6] for r in rows], length)
         for r, f in zip(rows, flags, strict=True):
             if r[4] == 1 and f.any():
-                yield (r[0], r[2], r[3], None, None, _runs(f))
+                yield (r[0], r[2], r[3], _runs(f), None, None)
         if rows[0][5] > 1:  # such rows have a sort of their own
             first = np.flatnonzero(np.diff(kind, prepend=0))
-            for i in first.tolist():
-                r, at = rows[owner[i]], int(start[i])
-                w1, w2 = np.frombuffer(xxhash.xxh3_128_digest(r[6][at : at + length]), "<i8").tolist()
-                alone = r[4] == 1 and not flags[owner[i]][at]
-                yield (r[0], r[2], r[3], w1, w2, [{"a": at, "b": at + 1}]) if alone else (r[0], None, None, w1, w2, None)
-
-    def table(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows, strict=True), _FOUND_ARROW, strict=True)], schema=_FOUND_ARROW)
+            out = np.zeros(len(first), _WINDOW)
+            places = list(zip(owner[first].tolist(), start[first].tolist(), strict=True))
+            digests = np.frombuffer(b"".join([xxhash.xxh3_128_digest(rows[o][6][at : at + length]) for o, at in places]), "<i8").reshape(-1, 2)
+            out["w1"], out["w2"], out["at"] = digests[:, 0], digests[:, 1], start[first]
+            out["s1"], out["s2"] = (np.array([r[k] for r in rows])[owner[first]] for k in (2, 3))
+            out["alone"] = [rows[o][4] == 1 and not flags[o][at] for o, at in places]
+            part = out["w1"].view(np.uint64) % np.uint64(max(1, rows[0][5] // _TOGETHER))
+            for p in np.unique(part):
+                yield (rows[0][0], None, None, None, int(p), out[part == p].tobytes())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group: list[tuple] = []  # the segments of a key, or of one of its blocks
@@ -259,17 +268,42 @@ def _sorted_groups(length: int):
                     if group and r[:2] != group[-1][:2]:
                         finish()
                     group.append(r)
-                if len(out) > 1 << 14:
-                    yield table(out)
+                if len(out) > 1 << 12:
+                    yield _found(out)
                     out.clear()
         finish()
         out.extend(solve(held) if held else ())
         if out:
-            yield table(out)
+            yield _found(out)
 
     return run
 
 
+def _across_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From packed windows sorted by (key, part): starts that occur once in their block and again in another."""
+    at, held = None, []
+
+    def close() -> list[tuple]:
+        rows = np.frombuffer(b"".join(held), _WINDOW)
+        rows = rows[np.lexsort((rows["w2"], rows["w1"]))]
+        same = (rows["w1"][1:] == rows["w1"][:-1]) & (rows["w2"][1:] == rows["w2"][:-1])
+        again = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+        rows = rows[again & rows["alone"]]
+        rows = rows[np.lexsort((rows["at"], rows["s2"], rows["s1"]))]
+        new = np.flatnonzero(np.concatenate([[True], (np.diff(rows["s1"]) != 0) | (np.diff(rows["s2"]) != 0)])) if len(rows) else []
+        return [(at[0], int(r["s1"][0]), int(r["s2"][0]), [{"a": int(x), "b": int(x) + 1} for x in r["at"]], None, None) for r in np.split(rows, new)[1:]]
+
+    for batch in batches:
+        for key, part, packed in zip(*(batch.column(c).to_pylist() for c in ("key", "part", "packed")), strict=True):
+            if (key, part) != at:
+                if held and (out := close()):
+                    yield _found(out)
+                at, held = (key, part), []
+            held.append(packed)
+    if held and (out := close()):
+        yield _found(out)
+
+
 def _bytes_of_segments(length: int):
     """From documents with their wanted segments: one row for each segment. Equal documents come one after another."""
 
@@ -311,15 +345,15 @@ def spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", le
     blocks = F.ceil(F.col("kinds") / block).cast("int")
     wanted = folded.join(kinds, "key").select("key", F.pmod("s1", blocks).cast("int").alias("block"), "s1", "s2", "n_occ", blocks.alias("blocks"), "at.*")
     by_doc = wanted.groupBy("u1", "u2").agg(F.collect_list(F.struct("key", "block", "s1", "s2", "n_occ", "blocks", "start", "n")).alias("wanted"))
+    by_doc = common.stored(by_doc, "substring-wanted")  # so that the join can split a text that many rows share
     texts = source.select("u1", "u2", "text").join(by_doc, ["u1", "u2"]).select("u1", "u2", "text", "wanted")
     cut = texts.mapInArrow(_bytes_of_segments(length), "key long, block int, s1 long, s2 long, n_occ long, blocks int, bytes binary")
     ordered = cut.repartition("key", "block").sortWithinPartitions("key", "block", "s1", "s2")
     found = common.stored(ordered.mapInArrow(_sorted_groups(length), _FOUND), "substring-found")
 
-    inside = found.filter("w1 IS NULL").select("key", "s1", "s2", "runs")
-    windows = found.filter("w1 IS NOT NULL")
-    across = windows.groupBy("key", "w1", "w2").agg(F.count("*").alias("m")).filter("m > 1").drop("m")
-    across = windows.filter("runs IS NOT NULL").join(across, ["key", "w1", "w2"]).select("key", "s1", "s2", "runs")
+    inside = found.filter("packed IS NULL").select("key", "s1", "s2", "runs")
+    packed = found.filter("packed IS NOT NULL").repartition("key", "part").sortWithinPartitions("key", "part")
+    across = packed.mapInArrow(_across_blocks, _FOUND).select("key", "s1", "s2", "runs")
     whole = folded.filter("n_occ > 1").select("key", "s1", "s2", F.array(F.struct(F.lit(0).alias("a"), F.col("at.n").alias("b"))).alias("runs"))
     verdict = whole.unionByName(inside).unionByName(across).groupBy("key", "s1", "s2").agg(F.flatten(F.collect_list("runs")).alias("runs"))
     verdict = common.stored(verdict, "substring-verdict")
