@@ -119,7 +119,8 @@ def write(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col: str
                           F.coalesce(F.col(f"`{payload_col}`").cast("binary"), F.lit(b"")).alias("payload"))
     keyed = source.withColumn("sha", F.unhex(F.sha1("payload")))
     # only the id and the digest are read here; equal payloads meet as one row a task
-    keepers = keyed.groupBy("sha").agg(F.max("page_id").alias("keeper"))
+    # stored, so that the join deals out both sides itself and can split a payload that many pages share
+    keepers = common.stored(keyed.groupBy("sha").agg(F.max("page_id").alias("keeper")), "warc-keepers")
     flagged = keyed.join(keepers, "sha").select(
         "page_id", "url", "payload", "keeper",
         (~F.col("page_id").eqNullSafe(F.col("keeper")) & (F.octet_length("payload") >= least_bytes)).alias("revisit"))
@@ -216,7 +217,7 @@ def round_trip(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col:
         "kind", "record_id", F.col("page_id").cast(kind).alias("page_id"), "refers_to", "digest", F.octet_length("payload").cast("long").alias("payload_bytes"))
     back = common.stored(back, "warc-index")
     responses = back.filter("kind = 'response'")
-    targets = responses.groupBy(F.col("record_id").alias("refers_to")).agg(F.first("page_id").alias("target"), F.first("payload_bytes").alias("target_bytes"))
+    targets = common.stored(responses.groupBy(F.col("record_id").alias("refers_to")).agg(F.first("page_id").alias("target"), F.first("payload_bytes").alias("target_bytes")), "warc-targets")
     own = responses.select("page_id", "payload_bytes", F.col("digest").alias("payload_digest"), F.lit("response").alias("record_type"), F.lit(None).cast(kind).alias("refers_to"))
     again = back.filter("kind = 'revisit'").join(targets, "refers_to", "left").select(
         "page_id", F.col("target_bytes").alias("payload_bytes"), F.col("digest").alias("payload_digest"), F.lit("revisit").alias("record_type"), F.col("target").alias("refers_to"))
