@@ -28,6 +28,8 @@ from cohortgraph.llm import common
 
 MIN_CHARS = 30
 BLOCK = 32
+#: 64-bit words of the filter that keeps most lines out of the shuffle of candidate texts (a fixed 2 MB of bits).
+FILTER_WORDS = 1 << 18
 #: Characters removed from both ends of a line before it is compared.
 _BLANKS = " \t\r"
 
@@ -73,6 +75,24 @@ def _block_hashes(line: Column, shift: int) -> Column:
     return F.transform(F.sequence(F.lit(0), count - 1), lambda j: _mix(F.substr(line, j * BLOCK + 1 + shift, F.lit(BLOCK)), j))
 
 
+def _word() -> Column:
+    return F.pmod(F.shiftright("h1", 6), F.lit(FILTER_WORDS)).cast("int")
+
+
+def _bit() -> Column:
+    return F.col("h1").bitwiseAND(F.lit(63)).cast("int")
+
+
+def _prefiltered(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows whose h1 may be in ``wanted``: a Bloom filter with one hash, at most FILTER_WORDS rows, so it may be broadcast.
+
+    It lets everything wanted through; the more there is, the more of the rest passes, which the join behind it removes.
+    """
+    bits = wanted.groupBy(_word().alias("_word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), _bit())).alias("_bits"))
+    hit = F.call_function("shiftright", F.col("_bits"), _bit()).bitwiseAND(F.lit(1)) == 1
+    return rows.join(F.broadcast(bits), (_word() == F.col("_word")) & hit).drop("_word", "_bits")
+
+
 def near(distinct: DataFrame, all_lines: DataFrame) -> DataFrame:
     """(h1, h2) of the distinct lines that have an earlier line within one edit.
 
@@ -80,8 +100,9 @@ def near(distinct: DataFrame, all_lines: DataFrame) -> DataFrame:
     """
     keyed = distinct.select("h1", "h2", "first", F.explode("keys").alias("k"))
     shared = keyed.groupBy("k").agg(F.min("h1").alias("low"), F.max("h1").alias("high")).filter("low <> high").select("k")
-    candidates = keyed.join(shared, "k").groupBy("h1", "h2").agg(F.min("first").alias("first"))
-    texts = all_lines.join(candidates, ["h1", "h2"]).filter(_order() == F.col("first")).groupBy("h1", "h2").agg(
+    # stored, as is ``fate`` below, so that joins of all lines deal out both sides and can split a frequent line
+    candidates = common.stored(keyed.join(shared, "k").groupBy("h1", "h2").agg(F.min("first").alias("first")), "line-near")
+    texts = _prefiltered(all_lines, candidates).join(candidates, ["h1", "h2"]).filter(_order() == F.col("first")).groupBy("h1", "h2").agg(
         F.min("first").alias("first"), F.min("line").alias("line"))
     texts = common.stored(texts, "line-candidates")
 
@@ -128,7 +149,7 @@ def removed(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     distinct = common.stored(distinct, "lines")
     dropped = near(distinct, all_lines).withColumn("near", F.lit(True))
     # a line that occurs once and has no near line needs no look at its occurrences
-    fate = distinct.select("h1", "h2", "first", "n").join(dropped, ["h1", "h2"], "left").filter("n > 1 OR near")
+    fate = common.stored(distinct.select("h1", "h2", "first", "n").join(dropped, ["h1", "h2"], "left").filter("n > 1 OR near"), "line-fate")
     gone = all_lines.select("doc_id", "pos", "h1", "h2").join(fate, ["h1", "h2"]).filter(F.col("near").isNotNull() | (_order() != F.col("first")))
     return gone.groupBy("doc_id").agg(F.collect_set(F.struct("pos", "h1")).alias("gone"))
 
