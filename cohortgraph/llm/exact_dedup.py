@@ -157,7 +157,8 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", su
     own = common.texts(docs, id_col, text_col).select(
         "doc_id", F.char_length("text").cast("long").alias("chars"),
         F.unhex(F.sha2(F.translate("text", common.WHITE, "").cast("binary"), 256)).alias("sha"))
-    found = groups(docs, id_col=id_col, text_col=text_col, subtree_bytes=subtree_bytes)
+    # stored, so that the join deals out both sides itself and can split a text that many rows share
+    found = common.stored(groups(docs, id_col=id_col, text_col=text_col, subtree_bytes=subtree_bytes), "exact-groups")
     return own.join(found, "sha").select(
         "doc_id", F.col("best_id").alias("keep_id"), "group_size",
         (F.col("doc_id").eqNullSafe(F.col("best_id")) & (F.col("chars") == F.col("best_chars"))).alias("kept"),
