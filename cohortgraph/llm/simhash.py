@@ -35,18 +35,24 @@ BUCKET_LIMIT = 4096
 _UPPER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
-def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
-    """A bit is set if it is set in over half of the shingle hashes; 0 without words."""
+def shingle_hashes(text: bytes, shingle: int = SHINGLE) -> np.ndarray:
+    """A hash of each run of ``shingle`` words; fewer words make one shingle, no words none."""
     words = text.translate(_UPPER).split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     n = max(1, len(words) - shingle + 1)
     last = ends[shingle - 1 :] if len(words) >= shingle else ends[-1:]
     pieces = [joined[a:b] for a, b in zip(starts[:n].tolist(), last.tolist(), strict=True)]
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, pieces, repeat(SEED)), np.uint64, n)
+    return np.fromiter(map(xxhash.xxh64_intdigest, pieces, repeat(SEED)), np.uint64, n)
+
+
+def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
+    """A bit is set if it is set in over half of the shingle hashes; 0 without words."""
+    hashes = shingle_hashes(text, shingle)
+    n = len(hashes)
     votes = np.zeros(64, np.int64)
     for i in range(0, n, 1 << 16):
         votes += np.unpackbits(hashes[i : i + (1 << 16)].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
