@@ -1,9 +1,10 @@
 """Line dedup within one edit by a deletion-neighbourhood join, in DataFrame functions only.
 
 A document's lines are its text split at line feeds; a line counts without blanks at its ends. Lines
-of at least ``min_chars`` characters take part, shorter ones (headings, separators) always stay. In
+of at least ``min_chars`` characters take part. Shorter ones of at least ``exact_chars`` (none of them
+where it is not given) lose only exact repeats, all other lines stay. In
 the order of (doc_id, position) a line is removed if an equal line came before it, or if some earlier
-different line is within one edit (substitution, insertion or deletion of a character) of it.
+different line of ``min_chars`` is within one edit (substitution, insertion or deletion of a character) of it.
 
 All variants with one deleted character would be a row for each character of the corpus, so two
 lossless filters come first. (1) Halves: one edit leaves the head or the tail of a line as it is, so
@@ -51,7 +52,7 @@ def _order(id_col: str = "doc_id", pos: str = "pos") -> Column:
 
 
 def lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
-    """(doc_id, pos, line, h1, h2) of the lines that take part."""
+    """(doc_id, pos, line, h1, h2) of the lines of at least ``min_chars``."""
     cells = common.texts(docs, id_col, text_col).select("doc_id", F.posexplode(_split(F.col("text"))).alias("pos", "line"))
     return cells.select("doc_id", "pos", _bare(F.col("line")).alias("line")).filter(F.char_length("line") >= min_chars).select(
         "doc_id", "pos", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("line"), F.col("line")).alias("h2"))
@@ -142,10 +143,12 @@ def near(distinct: DataFrame, all_lines: DataFrame) -> DataFrame:
     return checked.filter(F.levenshtein("line", "other", 1) == 1).select("h1", "h2")
 
 
-def removed(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
+def removed(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, exact_chars: int | None = None) -> DataFrame:
     """(doc_id, gone): for each id the removed lines as an array of (pos, hash)."""
-    all_lines = lines(docs, id_col, text_col, min_chars)
-    distinct = all_lines.groupBy("h1", "h2").agg(F.min(_order()).alias("first"), F.count("*").alias("n"), F.min(_half_keys(F.col("line"))).alias("keys"))
+    all_lines = lines(docs, id_col, text_col, min_chars if exact_chars is None else min(exact_chars, min_chars))
+    # lines without keys do not come near others
+    keys = F.when(F.char_length("line") >= min_chars, _half_keys(F.col("line")))
+    distinct = all_lines.groupBy("h1", "h2").agg(F.min(_order()).alias("first"), F.count("*").alias("n"), F.min(keys).alias("keys"))
     distinct = common.stored(distinct, "lines")
     dropped = near(distinct, all_lines).withColumn("near", F.lit(True))
     # a line that occurs once and has no near line needs no look at its occurrences
@@ -160,9 +163,9 @@ def _kept(text: Column, gone: Column) -> Column:
     return F.when(gone.isNull(), text).otherwise(F.array_join(out, "\n"))
 
 
-def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
+def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, exact_chars: int | None = None) -> DataFrame:
     """The rows of ``docs``, all columns, with the removed lines cut out of the text; the rows stay."""
-    gone = removed(docs, id_col=id_col, text_col=text_col, min_chars=min_chars).select(F.col("doc_id").alias("_gone_id"), F.col("gone").alias("_gone"))
+    gone = removed(docs, id_col=id_col, text_col=text_col, min_chars=min_chars, exact_chars=exact_chars).select(F.col("doc_id").alias("_gone_id"), F.col("gone").alias("_gone"))
     joined = docs.join(gone, docs[id_col].eqNullSafe(gone["_gone_id"]), "left")
     return joined.select(*[_kept(docs[c], F.col("_gone")).alias(c) if c == text_col else docs[c] for c in docs.columns])
 

@@ -9,6 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from cohortgraph.llm import common, exact_dedup, line_dedup, simhash, substrings
 
 WHITE = str.maketrans("", "", common.WHITE)
@@ -143,6 +144,15 @@ def test_line_dedup_edit_at_every_place(docs_of):
     assert got == 0
 
 
+def test_line_dedup_short_repeats(spark, docs_of):
+    """The pipeline's stage: repeats of short lines go, their near lines and blank ones stay."""
+    long = "a line of more than thirty characters"
+    rows = [(2, "All rights reserved.\n\n x\t\n" + long), (1, "top\nAll rights reserved.\ntop \n \nx"), (3, "All rights reserved!\n\n" + long + "s"), (None, "top\nAll rights reserved!\nlast"), (4, None)]
+    want = {2: "\n" + long, 1: "top\nAll rights reserved.\n \nx", 3: "All rights reserved!\n", None: "last", 4: None}
+    out = corpus_pipeline.lines_once(spark, docs_of(rows), "")
+    assert {r.doc_id: r.text for r in out.collect()} == want
+
+
 def test_line_dedup_keeps_columns_and_empty_table(docs_of):
     docs = docs_of([])
     out = line_dedup.dedup(docs)
