@@ -44,10 +44,10 @@ def _above(last: int) -> Column:
                     _shift("leaf.p2", F.lit(max(last - _BITS, 0)) - F.greatest(depth - _BITS, F.lit(0))).alias("p2"))
 
 
-def assign(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT_BYTES, step: int = STEP) -> DataFrame:
-    """For each row: doc_id, shard (its prefix as bits), depth, shard_bytes, shard_docs."""
+def _placed(df: DataFrame, id_col: str, text_col: str, limit: int, step: int, carried: list[str]) -> DataFrame:
+    """For each row: doc_id, the carried columns, shard (its prefix as bits), depth, shard_bytes, shard_docs."""
     keyed = common.texts(df, id_col, text_col).select(
-        "doc_id", F.octet_length("text").cast("long").alias("size"), _key(F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).alias("h1"),
+        "doc_id", *carried, F.octet_length("text").cast("long").alias("size"), _key(F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).alias("h1"),
         F.monotonically_increasing_id().alias("tag"))
     rows = common.stored(keyed, "shard-keys").withColumn("h2", _key(F.col("tag").cast("string")))
     done, open_rows, at = None, rows, 0
@@ -70,13 +70,17 @@ def assign(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lim
         open_rows, at = rest, last
     bits = F.concat(F.lpad(F.bin("node.p1"), F.least("depth", F.lit(_BITS)), "0"),
                     F.when(F.col("depth") > _BITS, F.lpad(F.bin("node.p2"), F.greatest(F.col("depth") - _BITS, F.lit(0)), "0")).otherwise(""))
-    return done.select("doc_id", F.when(F.col("depth") == 0, "").otherwise(bits).alias("shard"), F.col("depth").cast("int").alias("depth"), "shard_bytes", "shard_docs")
+    return done.select("doc_id", *carried, F.when(F.col("depth") == 0, "").otherwise(bits).alias("shard"), F.col("depth").cast("int").alias("depth"), "shard_bytes", "shard_docs")
+
+
+def assign(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT_BYTES, step: int = STEP) -> DataFrame:
+    """For each row: doc_id, shard (its prefix as bits), depth, shard_bytes, shard_docs."""
+    return _placed(df, id_col, text_col, limit, step, [])
 
 
 def write(df: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT_BYTES) -> None:
-    """Write (doc_id, text), one folder for each shard; ids must be unique here."""
-    shards = assign(df, id_col=id_col, text_col=text_col, limit=limit).select("doc_id", "shard")
-    out = common.texts(df, id_col, text_col).join(shards, "doc_id")
+    """Write (doc_id, text), one folder for each shard; the texts are stored with the keys, so each row is written once."""
+    out = _placed(df, id_col, text_col, limit, STEP, ["text"]).select("doc_id", "text", "shard")
     out.withColumn("shard", F.concat(F.lit("s"), "shard")).repartition("shard").write.partitionBy("shard").parquet(path)
 
 

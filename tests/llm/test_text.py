@@ -159,6 +159,20 @@ def test_sharding(docs_of, rows, limit, step):
             assert sum(sizes[n] for n in inside) > limit and sum(len(shards[n]) for n in inside) > 1
 
 
+def test_sharding_write(spark, docs_of, tmp_path):
+    """Null and repeated ids: each row once, in the shard it was given."""
+    rows = [(None, "none " * 20), (None, None), *[(7, f"text {i} " * 9) for i in range(30)], *[(7, "same")] * 3, *[(i, f"t{i}" * 40) for i in range(40)]]
+    path = str(tmp_path / "shards")
+    sharding.write(docs_of(rows), path, limit=400)
+    got = spark.read.option("basePath", path).schema("doc_id long, text string, shard string").parquet(path).collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted(((i, t or "") for i, t in rows), key=str)
+    shards = {}
+    for r in got:
+        shards.setdefault(r.shard, []).append(len(r.text))
+    assert len(shards) > 10
+    assert all(sum(n) <= 400 or len(n) == 1 for n in shards.values())
+
+
 def test_sharding_empty_table(docs_of):
     assert sharding.assign(docs_of([])).count() == 0
 
