@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from cohortgraph.llm import bpe, brown, common, decontamination, exact_dedup, line_dedup, sharding, simhash, substrings, toxicity, warc
+from cohortgraph.llm import bpe, brown, common, decontamination, exact_dedup, language_id, line_dedup, sharding, simhash, spelling, substrings, toxicity, warc, whitening
 
 _QUERIES = {
     "op1_brown_lm": brown.op1,
@@ -16,6 +16,9 @@ _QUERIES = {
     "op8_line_dedup": line_dedup.op8,
     "op9_simhash": simhash.op9,
     "op10_bpe": bpe.op10,
+    "op11_whitening": whitening.op11,
+    "op12_spelling": spelling.op12,
+    "op13_language_id": language_id.op13,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -34,4 +37,5 @@ ORACLES = {
     "op3_decontamination": decontamination.SQL,
     "op5_sharding": sharding.SQL,
     "op8_line_dedup": line_dedup.SQL,
+    "op12_spelling": spelling.SQL,
 }
