@@ -28,10 +28,13 @@ def country_dim(mappings: DataFrame, aliases: DataFrame | None = None) -> DataFr
 
 
 def with_country_code(
-    df: DataFrame, dim: DataFrame, name: str = "country_of_residence", out: str = "country_code", mode: str = "null"
+    df: DataFrame, dim: DataFrame, name: str = "country_of_residence", out: str = "country_code", mode: str = "null", parity: bool = False
 ) -> DataFrame:
     """Add the code of a country name. ``mode``: null, auto (``auto:`` and the name, so that no two countries fall together) or strict (error).
 
+    With ``parity`` the automatic code is the first two letters of the name in capitals, under which different
+    countries, mapped ones too, can fall together.
+
     A left join on the lower-case name; Spark broadcasts the dimension when its measured
     size allows.
     """
@@ -43,7 +46,7 @@ def with_country_code(
     )
     code = F.col("_mapped_code")
     if mode == "auto":
-        code = F.coalesce(code, F.concat(F.lit("auto:"), F.upper(clean)))
+        code = F.coalesce(code, F.upper(F.substring(clean, 1, 2)) if parity else F.concat(F.lit("auto:"), F.upper(clean)))
     elif mode == "strict":
         code = F.when(
             code.isNull() & clean.isNotNull(),

@@ -1,8 +1,8 @@
 """Questions over state edges: (learner, state, valid_from, valid_to), unique on the first three.
 
 The uniqueness bounds a learner's rows by states times calendar days, so ordering them per
-learner is safe. Patterns of several states never build all pairs of a learner's rows: each
-row looks up its next ``k`` successors, which is enough for an exact top ``k``.
+learner is safe. Patterns of several states never build all pairs of a learner's rows: earliest-successor
+pointers say which rows can start and go on, and a top ``k`` keeps k prefixes at each state.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortgraph.functions.rates import asc, desc, round_to, top_k
+from cohortgraph.session import work_table
 
 EPOCH = "1970-01-01"
 
@@ -37,6 +38,34 @@ def states_on(edges: DataFrame, days: list[str]) -> DataFrame:
     return edges.select("*", F.explode(hits).alias("as_of"))
 
 
+def states_on_dates(edges: DataFrame, dates: DataFrame, day: str = "day", bin_days: int = 30) -> DataFrame:
+    """Rows of the histories with the rows of ``dates`` they are valid on: a binned interval join.
+
+    Time is cut into bins of ``bin_days`` days, those into years, and all of it into one bin for what
+    never ends. A history row goes to the bins it covers at the coarsest level at which it spans few:
+    short rows to days' bins, long ones to years, open or very long ones to the single bin. A date goes
+    to one bin of each level. So a row is sent a bounded number of times however long it is, and both
+    sides meet by an equality that AQE can split; the exact condition follows. Of rows without an end
+    only the start decides. Columns of ``dates`` must not clash with those of ``edges``; null days and
+    rows without a start match nothing.
+    """
+    levels = (bin_days, 12 * bin_days, 144 * bin_days)
+    number = lambda c: F.datediff(c, F.lit(EPOCH).cast("date"))
+    start, end = number(F.col("valid_from")), number(F.col("valid_to"))
+    span = end - start
+    level, bins = F.lit(len(levels)), F.array(F.lit(0).cast("long"))
+    for i, width in reversed(list(enumerate(levels))):
+        fits = F.coalesce((span >= 0) & (span < 12 * width), F.lit(False))
+        level = F.when(fits, i).otherwise(level)
+        bins = F.when(fits, F.sequence(F.floor(start / width), F.floor(F.greatest(end, start) / width))).otherwise(bins)
+    usable = F.col("valid_from").isNotNull() & (F.col("valid_to").isNull() | (F.col("valid_to") >= F.col("valid_from")))
+    rows = edges.filter(usable).select("*", level.alias("_level"), F.explode(bins).alias("_bin"))
+    places = [F.struct(F.lit(i).alias("_level"), F.floor(number(F.col(day)) / width).alias("_bin")) for i, width in enumerate(levels)]
+    places.append(F.struct(F.lit(len(levels)).alias("_level"), F.lit(0).cast("long").alias("_bin")))
+    asked = dates.filter(F.col(day).isNotNull()).select("*", F.explode(F.array(*places)).alias("_p")).select(*dates.columns, "_p._level", "_p._bin")
+    return rows.join(asked, ["_level", "_bin"]).filter(_valid_on(F.col(day))).drop("_level", "_bin")
+
+
 def time_to_graduation(edges: DataFrame) -> DataFrame:
     """Days from Active to the Graduate state that starts on the Active end."""
     active = edges.filter((F.col("state") == "Active") & F.col("valid_to").isNotNull()).select(
@@ -97,32 +126,62 @@ def first_transitions(edges: DataFrame, state: str, limit: int = 10) -> DataFram
     return top_k(out, asc("from_date", "learner", "progression", "to_date"), limit)
 
 
-def _with_next(rows: DataFrame, targets: DataFrame, k: int) -> DataFrame:
-    """Attach to each row the payloads of the learner's first ``k`` strictly later targets.
-
-    ``rows`` has learner and start; ``targets`` has learner, start (unique) and payload.
-    """
-    ahead = Window.partitionBy("learner").orderBy("start").rowsBetween(0, k - 1)
-    chained = targets.select("learner", "start", F.collect_list("payload").over(ahead).alias("next"), F.lit(False).alias("is_row"))
-    both = rows.select("learner", "start", F.lit(None).cast(chained.schema["next"].dataType).alias("next"), F.lit(True).alias("is_row"))
-    both = both.unionByName(chained).withColumn("day", F.datediff("start", F.lit(EPOCH).cast("date")))
-    w = Window.partitionBy("learner").orderBy(F.col("day").desc()).rangeBetween(Window.unboundedPreceding, -1)
-    found = both.withColumn("found", F.last("next", ignorenulls=True).over(w))
-    return found.filter(F.col("is_row") & F.col("found").isNotNull()).select("learner", "start", F.col("found").alias("next"))
-
-
 def state_sequence(edges: DataFrame, state: str, sequence: list[str], limit: int | None = 20) -> DataFrame:
     """Learners passing the states of ``sequence`` in order, strictly later each time: all combinations,
     or the exact first ``limit`` of them by months to the second state.
     """
     if limit is None:
         return _all_combinations(edges, state, sequence)
-    return top_k(_completions(edges, state, sequence, max(1, limit)), _sequence_order(sequence), limit)
+    return _first_combinations(edges, state, sequence, max(1, limit)).limit(limit)
 
 
 def earliest_completion(edges: DataFrame, state: str, sequence: list[str]) -> DataFrame:
     """For each row in the first state its earliest way through the states of ``sequence``."""
-    return _completions(edges, state, sequence, 1).orderBy(*_sequence_order(sequence))
+    names = [f"date_{i + 1}" for i in range(len(sequence))]
+    rows = _with_pointers(edges, state, sequence).filter("ok_1")
+    out = rows.select("learner", F.col("start").alias(names[0]), *[F.get("way", F.lit(i)).alias(n) for i, n in enumerate(names[1:])])
+    return _with_months(out, names).orderBy(*_sequence_order(sequence))
+
+
+def _with_pointers(edges: DataFrame, state: str, sequence: list[str]) -> DataFrame:
+    """The rows in any state of ``sequence`` with what lies ahead of them.
+
+    ``ok_i``: the row is in state i and the rest of the sequence can follow, strictly later each time.
+    ``way``: of a row that can start, the dates of its earliest way through the other states, which takes
+    the earliest possible row each time. All pointers come from one sort by learner and day.
+    """
+    n = len(sequence)
+    df = edges.filter(F.col(state).isin(*sequence)).select(
+        "learner", F.col(state).alias("state"), F.col("valid_from").alias("start"), F.datediff("valid_from", F.lit(EPOCH).cast("date")).alias("day"))
+    later = Window.partitionBy("learner").orderBy(F.col("day").desc()).rangeBetween(Window.unboundedPreceding, -1)
+    df = df.withColumns({f"ok_{n}": F.col("state") == sequence[-1], f"way_{n}": F.array().cast("array<date>")})
+    for i in range(n - 1, 0, -1):
+        ahead = F.min(F.when(F.col(f"ok_{i + 1}"), F.struct("start", F.col(f"way_{i + 1}").alias("way")))).over(later)
+        df = df.withColumn("ahead", ahead).withColumns({
+            f"ok_{i}": (F.col("state") == sequence[i - 1]) & F.col("ahead").isNotNull(),
+            f"way_{i}": F.concat(F.array("ahead.start"), F.col("ahead.way"))}).drop("ahead")
+    return df.withColumn("way", F.col("way_1"))
+
+
+def _first_combinations(edges: DataFrame, state: str, sequence: list[str], k: int) -> DataFrame:
+    """The first ``k`` combinations in their order, best prefixes first.
+
+    Every row that can start has a best combination, its earliest way. A combination among the first k
+    starts in one of the k rows with the best earliest ways, and each prefix of it is among the first k
+    prefixes that can be completed. So k rows are kept at each step, and nothing grows with the number of
+    states; only the kept rows' learners are read again.
+    """
+    names = [f"date_{i + 1}" for i in range(len(sequence))]
+    heads = _with_pointers(edges, state, sequence).filter("ok_1").select(
+        "learner", F.col("start").alias("date_1"), F.get("way", F.lit(0)).alias("date_2"))
+    best = top_k(_with_months(heads, names[:2]), _sequence_order(sequence[:2]), k)
+    best = work_table(best.select("learner", "date_1"), "sequence-heads")  # k rows
+    own = work_table(_with_pointers(edges.join(best.select("learner").distinct(), "learner", "left_semi"), state, sequence).drop("way"), "sequence-rows")
+    for i, name in enumerate(names[1:], start=2):
+        ahead = own.filter(f"ok_{i}").select("learner", F.col("start").alias(name))
+        best = best.join(ahead, "learner").filter(F.col(name) > F.col(names[i - 2]))
+        best = top_k(_with_months(best, names[:i]), _sequence_order(sequence[:i]), k)
+    return best.orderBy(*_sequence_order(sequence))
 
 
 def _sequence_order(sequence: list[str]) -> list[Column]:
@@ -145,23 +204,6 @@ def _all_combinations(edges: DataFrame, state: str, sequence: list[str]) -> Data
     return _with_months(df, names).orderBy(*_sequence_order(sequence))
 
 
-def _completions(edges: DataFrame, state: str, sequence: list[str], k: int) -> DataFrame:
-    """Combinations from the first ``k`` later rows of each row."""
-    def of(value: str) -> DataFrame:
-        return edges.filter(F.col(state) == value).select("learner", F.col("valid_from").alias("start"))
-
-    names = [f"date_{i + 1}" for i in range(len(sequence))]
-    tail = of(sequence[-1]).withColumn("payload", F.struct(F.col("start").alias("at")))
-    for value in reversed(sequence[1:-1]):
-        df = _with_next(of(value), tail, k)
-        tail = df.withColumn("payload", F.struct(F.col("start").alias("at"), "next"))
-    df = _with_next(of(sequence[0]), tail, k).select("learner", F.col("start").alias(names[0]), "next")
-    for i, name in enumerate(names[1:], start=1):
-        df = df.withColumn("p", F.explode("next")).drop("next").withColumn(name, F.col("p.at"))
-        df = df.withColumn("next", F.col("p.next")).drop("p") if i < len(names) - 1 else df.drop("p")
-    return _with_months(df, names)
-
-
 def distribution_over_time(edges: DataFrame, state: str, as_of: str, months: int = 1) -> DataFrame:
     """Learner-states valid on each period start (every ``months`` months, aligned to the year).
 

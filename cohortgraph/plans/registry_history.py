@@ -56,6 +56,11 @@ def _snapshot(spark, sf_dir):
     return _flat(history.with_snapshot(history.learning_history(entries, AS_OF), people, AS_OF))
 
 
+def _order_days(spark, sf_dir):
+    """Every day with orders, and how many."""
+    return star.table(spark, sf_dir, "orders").groupBy(F.to_date("o_orderdate").alias("day")).agg(F.count("*").alias("orders"))
+
+
 def _learning(question, **options):
     return lambda spark, sf: question(learning_edges(spark, sf), **options)
 
@@ -102,6 +107,8 @@ QUERIES = {
     "hist_as_of_many": lambda spark, sf: temporal.states_on(
         learning_edges(spark, sf), [f"{y}-06-30" for y in range(1995, 2002)]
     ).groupBy("as_of", "state").agg(F.count("*").alias("n")),
+    "hist_as_of_dates": lambda spark, sf: temporal.states_on_dates(learning_edges(spark, sf), _order_days(spark, sf)).groupBy("day", "state").agg(
+        F.count("*").alias("n"), F.sum("orders").alias("orders")),
     "hist_time_in_state": _learning(temporal.time_to_graduation),
     "hist_transitions": _status(temporal.transition_counts, state="status", values=S.PROFESSIONAL_STATUSES),
     "hist_transitions_first": _status(temporal.first_transitions, state="status"),

@@ -104,9 +104,17 @@ def _country_code(mode):
     return run
 
 
+def _country_code_parity(spark, sf):
+    df = entities.with_country_code(star.raw_rows(spark, sf), dim(spark, sf), mode="auto", parity=True)
+    return df.groupBy("country_code").agg(_n().alias("n"), F.countDistinct("country_of_residence").alias("countries"))
+
+
 def _country_code_strict(spark, sf):
-    known = star.raw_rows(spark, sf).join(dim(spark, sf), F.lower("country_of_residence") == F.col("country_key"), "left_semi")
-    return entities.with_country_code(known, dim(spark, sf), mode="strict").groupBy("country_code").agg(_n().alias("n"))
+    """Strict mode over all rows, with a mapping completed by the automatic codes of what it lacks."""
+    raw, known = star.raw_rows(spark, sf), dim(spark, sf)
+    lacking = entities.unmapped_countries(raw, known).select(F.lower("country").alias("country_key"), F.concat(F.lit("auto:"), F.upper("country")).alias("code"))
+    full = known.select("country_key", "code").unionByName(lacking)
+    return entities.with_country_code(raw, full, mode="strict").groupBy("country_code").agg(_n().alias("n"))
 
 
 def _dedup_first(spark, sf):
@@ -331,6 +339,7 @@ QUERIES = {
     "fn_valid_company": lambda spark, sf: jobs(spark, sf).agg(F.count_if(C.valid_company(F.col("organization_name"))).alias("n")),
     "fn_country_code": _country_code("null"),
     "fn_country_code_auto": _country_code("auto"),
+    "fn_country_code_auto_parity": _country_code_parity,
     "fn_country_code_strict": _country_code_strict,
     "fn_unmapped_countries": lambda spark, sf: entities.unmapped_countries(star.raw_rows(spark, sf), dim(spark, sf)),
     "fn_employment_class": _job_class,

@@ -117,6 +117,8 @@ ORACLES = {
     "hist_as_of": sql("""SELECT * FROM se WHERE valid_from <= DATE '1998-06-30' AND (valid_to IS NULL OR valid_to >= DATE '1998-06-30')""", LE),
     "hist_as_of_many": sql("""SELECT d AS as_of, state, count(*) AS n FROM se JOIN (SELECT make_date(y::INT, 6, 30) AS d FROM range(1995, 2002) t(y)) x
         ON valid_from <= d AND (valid_to IS NULL OR valid_to >= d) GROUP BY 1, 2""", LE),
+    "hist_as_of_dates": sql("""SELECT day, state, count(*) AS n, CAST(sum(orders) AS BIGINT) AS orders FROM (SELECT od AS day, count(*) AS orders FROM o GROUP BY 1) d
+        JOIN se ON valid_from <= day AND (valid_to IS NULL OR valid_to >= day) GROUP BY 1, 2""", LE),
     "hist_time_in_state": sql(f"""SELECT count(*) AS n, {r('avg(b.valid_from - a.valid_from)')} AS avg_days,
         quantile_cont((b.valid_from - a.valid_from)::DOUBLE, 0.5) AS median_days FROM se a JOIN se b ON a.learner = b.learner AND b.valid_from = a.valid_to
         WHERE a.state = 'Active' AND b.state = 'Graduate'""", LE),

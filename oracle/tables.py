@@ -122,7 +122,9 @@ ORACLES = {
     "fn_country_code": sql("""SELECT coalesce(country, 'n/a') AS country_of_residence, res_code AS country_code, count(*) AS n FROM prow GROUP BY 1, 2"""),
     "fn_country_code_auto": sql("""SELECT coalesce(country, 'n/a') AS country_of_residence, coalesce(res_code, 'auto:' || upper(country)) AS country_code, count(*) AS n
         FROM prow GROUP BY 1, 2"""),
-    "fn_country_code_strict": sql("SELECT res_code AS country_code, count(*) AS n FROM prow WHERE res_code IS NOT NULL GROUP BY 1"),
+    "fn_country_code_auto_parity": sql("""SELECT coalesce(res_code, upper(country[1:2])) AS country_code, count(*) AS n, count(DISTINCT coalesce(country, 'n/a')) AS countries
+        FROM prow GROUP BY 1"""),
+    "fn_country_code_strict": sql("SELECT coalesce(res_code, 'auto:' || upper(country)) AS country_code, count(*) AS n FROM prow GROUP BY 1"),
     "fn_unmapped_countries": sql("SELECT country, count(*) AS n FROM prow WHERE country IS NOT NULL AND res_code IS NULL GROUP BY 1"),
     "fn_employment_class": sql("""SELECT DISTINCT position AS job_title, company AS organization_name, CASE WHEN position IN ('Founder', 'CEO') THEN 'Entrepreneur'
         WHEN position IN ('Freelance Writer', 'Consultant') THEN 'Freelancer' ELSE 'Wage Employed' END AS cls FROM job"""),

@@ -3,6 +3,7 @@
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from cohortgraph.operators import edges, history, temporal
@@ -205,6 +206,51 @@ def test_invariants_and_sequences(spark):
         assert [(r.months_1, r.learner, r.date_1, r.date_2, r.date_3) for r in out] == combos[:k]
 
 
+@pytest.mark.parametrize("sequence", [["A", "B", "A", "C"], ["C", "B", "A", "B"], ["A", "B"], ["A", "A", "A"]])
+def test_first_combinations_of_many_states(spark, sequence):
+    """The first 100 by brute force, also for states that come again; no row carries more than one way."""
+    rng = random.Random(len(sequence) + ord(sequence[0]))
+    data = {(f"l{rng.randrange(6)}", rng.choice("ABC"), dt.date(2000, 1, 1) + dt.timedelta(rng.randrange(400))) for _ in range(150)}
+    df = spark.createDataFrame([(*r, None) for r in data], "learner string, state string, valid_from date, valid_to date").repartition(4)
+
+    def ways(learner, rest, after):
+        if not rest:
+            return [()]
+        return [(d, *w) for x, s, d in data if x == learner and s == rest[0] and (after is None or d > after) for w in ways(learner, rest[1:], d)]
+
+    all_ways = sorted((temporal_months(w[0], w[1]), x, *w) for x in {r[0] for r in data} for w in ways(x, sequence, None))
+    dates = [f"date_{i + 1}" for i in range(len(sequence))]
+    for k in (1, 7, 100):
+        out = temporal.state_sequence(df, "state", sequence, limit=k)
+        assert "collect_list" not in out._jdf.queryExecution().toString()
+        assert [(r.months_1, r.learner, *(r[d] for d in dates)) for r in out.collect()] == all_ways[:k]
+    first = {}
+    for w in all_ways:
+        key = (w[1], w[2])
+        first[key] = min(first.get(key, w[2:]), w[2:])
+    assert {(r.learner, r.date_1): tuple(r[d] for d in dates) for r in temporal.earliest_completion(df, "state", sequence).collect()} == first
+
+
+def test_interval_join_with_a_date_table(spark):
+    rng = random.Random(8)
+    day = lambda a, b: dt.date(1960, 1, 1) + dt.timedelta(rng.randrange(a, b))
+    rows = []
+    for i in range(300):
+        start = None if i % 50 == 0 else day(0, 20_000)
+        end = None if i % 7 == 0 or start is None else start + dt.timedelta(rng.choice([-5, 0, 1, 29, 30, 31, 400, 4_000, 30_000]))
+        rows.append((f"l{i}", "S", start, end))
+    rows += [("hot", "T", dt.date(1990, 1, 1), None)] * 50
+    df = spark.createDataFrame(rows, "learner string, state string, valid_from date, valid_to date").repartition(3)
+    days = [(d,) for d in {day(-500, 22_000) for _ in range(120)}] + [(None,), (dt.date(1990, 1, 1),)] * 2
+    dates = spark.createDataFrame(days, "day date").repartition(2)
+    out = temporal.states_on_dates(df, dates)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    want = sorted((x, d) for x, _, a, b in rows for (d,) in days if a and d and a <= d and (b is None or b >= d))
+    assert sorted((r.learner, r.day) for r in out.collect()) == want
+    assert temporal.states_on_dates(df.limit(0), dates).count() == temporal.states_on_dates(df, dates.limit(0)).count() == 0
+
+
 def temporal_months(a, b):
     return (b.year - a.year) * 12 + b.month - a.month - (b.day < a.day)
 

@@ -66,11 +66,12 @@ def test_country_modes(spark):
     )
     df = raw(spark, country_of_residence=["egypt", " Ghana", "Atlantis", "n/a"])
 
-    def codes(mode):
-        return [r.country_code for r in entities.with_country_code(df, dim, mode=mode).orderBy("row_ord").collect()]
+    def codes(mode, **options):
+        return [r.country_code for r in entities.with_country_code(df, dim, mode=mode, **options).orderBy("row_ord").collect()]
 
     assert codes("null") == ["EG", "GX", None, None]
-    assert codes("auto") == ["EG", "GX", "AT", None]
+    assert codes("auto") == ["EG", "GX", "auto:ATLANTIS", None]
+    assert codes("auto", parity=True) == ["EG", "GX", "AT", None]
     assert [(r.country, r.n) for r in entities.unmapped_countries(df, dim).collect()] == [("Atlantis", 1)]
     try:
         codes("strict")
