@@ -271,6 +271,22 @@ def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def flag_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landing table with the optional columns that its presence flags speak of."""
+    key = F.col("row_ord")
+
+    def flag(cond: Column) -> Column:
+        return F.when(cond, F.lit("1")).otherwise(F.lit("0"))
+
+    return raw_rows(spark, sf_dir).withColumns({
+        "demographic_details": F.when(key % 4 == 0, _array(_json({"age_group": text(key % 7)}))).when(key % 4 == 1, F.lit("[]")).when(key % 4 == 2, F.lit('"[]"')),
+        "has_data": flag(key % 8 == 0),
+        "has_social_economic_data": flag(key % 3 == 0),
+        "legacy_points_transaction_history": F.when(key % 5 == 0, _array(_json({"points": text(key % 9)}))).otherwise(F.lit("[]")),
+        "has_legacy_points_transactions": flag(key % 5 == 0),
+    })
+
+
 @per_session
 def enrolments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed enrolment entries straight from orders, as ``edges.typed_enrollments`` gives them."""

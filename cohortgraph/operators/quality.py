@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -99,6 +99,27 @@ def split_valid(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df.filter(ok).drop("errors"), df.filter(~ok)
 
 
+def write_split(df: DataFrame, path: str) -> DataFrame:
+    """Write good and bad rows in one job and report it: total, good and bad rows, one row.
+
+    The table is read and checked once: the rows are written below ``path``, parted by ``kind`` (good, or quarantine with the
+    errors), while the counts are observed.
+    """
+    spark, seen = df.sparkSession, Observation()
+    ok = F.coalesce(F.size("errors") == 0, F.lit(True))
+    kind = F.when(ok, F.lit("good")).otherwise(F.lit("quarantine"))
+    counted = df.withColumn("kind", kind).observe(
+        seen, F.count(F.lit(1)).alias("total"), F.count_if(F.col("kind") == "good").alias("good"), F.count_if(F.col("kind") != "good").alias("bad"))
+    counted.write.mode("overwrite").partitionBy("kind").option("compression", "zstd").parquet(path)
+    return spark.createDataFrame([(seen.get["total"], seen.get["good"], seen.get["bad"])], "total bigint, good bigint, bad bigint")
+
+
+def read_split(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """Good rows, and bad rows with their errors, as written by ``write_split`` from a table of ``schema``; each reads its own folder only."""
+    both = spark.read.schema(T.StructType([*schema.fields, T.StructField("kind", T.StringType())])).parquet(path)
+    return both.filter("kind = 'good'").drop("errors", "kind"), both.filter("kind = 'quarantine'").drop("kind")
+
+
 def quality_metrics(df: DataFrame) -> DataFrame:
     """Totals and rates, one row."""
     bad = F.size("errors") > 0

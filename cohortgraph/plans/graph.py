@@ -306,18 +306,53 @@ def g24_skills_gap(g: Graph, min_n: int = 100, limit: int = 20) -> DataFrame:
     return top_k(out, desc("employment_rate") + asc("skill"), limit)
 
 
-def skill_pairs(learner_skill: DataFrame, skill: str) -> DataFrame:
-    """Co-occurrence counts of skill pairs.
+#: Skills that share a learner's bit mask, and skills of one learner that are paired in one place.
+HEAVY, TILE = 63, 64
 
-    A learner's skills form one set; equal sets are merged and weighted before any pair is made,
-    so pairs are generated per distinct set and never per learner, and the counts are summed
-    map-side first. Cut ``learner_skill`` to frequent skills first where a pair must be frequent.
+
+def skill_pairs(learner_skill: DataFrame, skill: str, top: int | None = None, heavy: int = HEAVY, tile: int = TILE) -> DataFrame:
+    """Co-occurrence counts of skill pairs: a heavy-light split of the product of the sparse learner-skill matrix.
+
+    The ``heavy`` most frequent skills of a learner are one bit mask; equal masks are merged and weighted, and
+    only different masks are expanded, to a bounded number of pairs. Pairs with another skill are made per
+    learner; a learner with many skills is dealt out in tiles of ``tile`` skills, each pair of tiles a group of
+    its own, and equal groups are merged and weighted before they are expanded. So no task expands more than
+    two tiles at a time, however many skills a learner has. With ``top``, other skills than the heavy ones that
+    are less frequent than the ``top``-th pair of heavy ones are left out, as their pairs cannot be more frequent.
     """
-    sets = learner_skill.groupBy("learner").agg(F.array_sort(F.collect_set(skill)).alias("set"))
-    weighted = sets.filter(F.size("set") >= 2).groupBy("set").agg(N("*").alias("w"))
-    first = weighted.select("set", "w", F.posexplode("set").alias("i", "skill1"))
-    second = first.select("skill1", "w", F.explode(F.slice("set", F.col("i") + 2, F.size("set"))).alias("skill2"))
-    return second.groupBy("skill1", "skill2").agg(F.sum("w").alias("co_occurrence"))
+    held = work_table(learner_skill.select("learner", F.col(skill).alias("skill")).distinct(), "skill-pairs")
+    counts = held.groupBy("skill").agg(N("*").alias("n"))
+    common = sorted(r.skill for r in top_k(counts, desc("n") + asc("skill"), heavy).collect())  # at most ``heavy`` names
+    if not common:
+        return held.select(F.col("skill").alias("skill1"), F.col("skill").alias("skill2"), F.lit(0).cast("long").alias("co_occurrence")).limit(0)
+    names = F.array(*[F.lit(x) for x in common])
+    bit = F.array_position(names, F.col("skill"))  # 0 for the others, else from 1 in the order of the names
+    marks = held.withColumn("bit", bit)
+    mask = F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("bit") - 1).cast("int")))
+    masks = marks.filter("bit > 0").groupBy("learner").agg(mask.alias("mask")).groupBy("mask").agg(N("*").alias("w")).filter(F.bit_count("mask") > 1)
+    bits = F.filter(F.sequence(F.lit(1), F.lit(len(common))), lambda i: F.call_function("shiftright", F.col("mask"), (i - 1).cast("int")).bitwiseAND(F.lit(1).cast("long")) == 1)
+    first = masks.select("w", bits.alias("bits")).select("w", "bits", F.posexplode("bits").alias("at", "b1"))
+    second = first.select("w", "b1", F.explode(F.slice("bits", F.col("at") + 2, F.size("bits"))).alias("b2"))
+    both_heavy = second.groupBy("b1", "b2").agg(F.sum("w").alias("co_occurrence"))
+    both_heavy = work_table(both_heavy.select(F.element_at(names, F.col("b1")).alias("skill1"), F.element_at(names, F.col("b2")).alias("skill2"), "co_occurrence"), "skill-pairs")
+
+    others = counts.filter(~F.col("skill").isin(*common))
+    if top is not None:
+        least = both_heavy.agg(F.get(F.sort_array(F.collect_list("co_occurrence"), asc=False), F.lit(top - 1))).first()[0]  # heavy * heavy / 2 rows
+        others = others.filter(F.col("n") >= (least or 0))
+    others = work_table(others.select(F.col("skill").alias("_other")), "skill-light")
+    light = marks.join(others, F.col("skill") == F.col("_other"), "left").filter("bit > 0 OR _other IS NOT NULL").select("learner", "skill", F.col("_other").isNotNull().alias("light"))
+    sizes = work_table(light.groupBy("learner").agg(N("*").alias("n"), F.count_if("light").alias("light_n")).filter("light_n > 0 AND n > 1").select(
+        F.col("learner").alias("_learner"), F.ceil(F.col("n") / tile).cast("int").alias("tiles")), "skill-sizes")
+    dealt = light.join(sizes, F.col("learner") == F.col("_learner")).withColumn("t", F.pmod(F.xxhash64("skill"), F.col("tiles")).cast("int"))
+    dealt = dealt.select("learner", "skill", "light", "t", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("o")).select(
+        "learner", F.least("t", "o").alias("a"), F.greatest("t", "o").alias("b"), F.struct("skill", "light", (F.col("t") > F.col("o")).alias("second")).alias("s"))
+    groups = dealt.groupBy("learner", "a", "b").agg(F.sort_array(F.collect_list("s")).alias("set")).groupBy("set", (F.col("a") == F.col("b")).alias("own")).agg(N("*").alias("w"))
+    one = groups.select("w", "own", "set", F.posexplode("set").alias("at", "x"))
+    two = one.select("w", "own", "x", F.explode(F.slice("set", F.col("at") + 2, F.size("set"))).alias("y"))
+    two = two.filter((F.col("x.light") | F.col("y.light")) & (F.col("own") | (F.col("x.second") != F.col("y.second"))))
+    with_light = two.groupBy(F.col("x.skill").alias("skill1"), F.col("y.skill").alias("skill2")).agg(F.sum("w").alias("co_occurrence"))
+    return both_heavy.unionByName(with_light)
 
 
 def g28_skill_cooccurrence(g: Graph, min_n: int = 100, limit: int = 20) -> DataFrame:
@@ -337,7 +372,7 @@ def g28_skill_cooccurrence(g: Graph, min_n: int = 100, limit: int = 20) -> DataF
 
 def g28_cooccurrence_all(g: Graph, limit: int = 15) -> DataFrame:
     """Pairs by name among all learners."""
-    out = skill_pairs(learner_skills(g), "skill")
+    out = skill_pairs(learner_skills(g), "skill", top=limit)
     return top_k(out, desc("co_occurrence") + asc("skill1", "skill2"), limit)
 
 

@@ -173,18 +173,29 @@ def p13_same_person(raw: DataFrame) -> DataFrame:
     return out.select("hashed_email", "person", "same_as", "keys", "enrollments", F.lit(True).alias("has_other_enrollments"))
 
 
+#: Flag and the column whose content it claims.
 HAS_FLAGS = {
     "has_employment_details": "employment_details", "has_education_details": "education_details",
     "has_placement_details": "placement_details", "has_profile_profile_photo": "profile_photo_url",
+    "has_data": "demographic_details", "has_social_economic_data": "demographic_details",
+    "has_legacy_points_transactions": "legacy_points_transaction_history", "has_disability": "type_of_disability",
 }
 
 
 def p14_has_flags(raw: DataFrame, flags: dict[str, str] = HAS_FLAGS) -> DataFrame:
-    """Flags against real content; ``[]`` and ``"[]"`` are empty."""
+    """Flags against real content; ``[]`` and ``"[]"`` are empty. ``1``, ``yes`` and ``true`` set a flag.
+
+    Flags that the table does not have are left out; a flag whose column it does not have gets no accuracy.
+    """
+    flags = {f: c for f, c in flags.items() if f in raw.columns}
     aggs = [_n().alias("total")]
     for flag, column in flags.items():
-        content = C.norm_str(F.col(column)).isNotNull() & ~F.regexp_replace(column, r'["\s]', "").isin("[]", "")
-        aggs += [F.count_if(_one(flag)).alias(f"o_{flag}"), F.count_if(_one(flag) == F.coalesce(content, F.lit(False))).alias(f"m_{flag}")]
+        is_one = F.coalesce(F.lower(F.trim(flag)).isin("1", "yes", "true"), F.lit(False))
+        match = F.lit(None).cast("long")
+        if column in raw.columns:
+            content = C.norm_str(F.col(column)).isNotNull() & ~F.regexp_replace(column, r'["\s]', "").isin("[]", "")
+            match = F.count_if(is_one == F.coalesce(content, F.lit(False)))
+        aggs += [F.count_if(is_one).alias(f"o_{flag}"), match.alias(f"m_{flag}")]
     out = raw.agg(*aggs)
     total = F.col("total")
     return _long(out, "flag", {

@@ -182,12 +182,18 @@ def _checked_learners(spark, sf):
 
 def _split(which):
     def run(spark, sf):
-        good, bad = quality.split_valid(_checked_learners(spark, sf))
+        checked, path = _checked_learners(spark, sf), _folder(spark)
+        quality.write_split(checked, path)
+        good, bad = quality.read_split(spark, path, checked.schema)
         return as_text((good, bad)[which].select("row_ord", *(["errors"] if which else [])))
 
     return run
 
 
+def _split_report(spark, sf):
+    return quality.write_split(_checked_learners(spark, sf), _folder(spark))
+
+
 def _checked_enrolments(spark, sf):
     return quality.check_enrollments(typed(spark, sf), 0, 90)
 
@@ -405,6 +411,7 @@ QUERIES = {
     "val_required": lambda spark, sf: as_text(_checked_learners(spark, sf).select("row_ord", "errors")),
     "val_type": lambda spark, sf: quality.type_errors(star.raw_rows(spark, sf), ("sand_id", "hashed_email", "row_ord")),
     "val_country_len": lambda spark, sf: quality.errors_by_field(_checked_learners(spark, sf)),
+    "val_split": _split_report,
     "val_split_good": _split(0),
     "val_split_bad": _split(1),
     "val_enrollment": lambda spark, sf: as_text(_checked_enrolments(spark, sf).filter(F.size("errors") > 0).select("row_ord", "errors")),
@@ -435,7 +442,7 @@ QUERIES = {
     "p11_status_combos": on_raw(P.p11_status_combos),
     "p12_concurrent": _concurrent,
     "p13_same_person": on_raw(P.p13_same_person),
-    "p14_has_flags": on_raw(P.p14_has_flags),
+    "p14_has_flags": lambda spark, sf: P.p14_has_flags(star.flag_rows(spark, sf)),
     "p15_edu_entries": on_raw(P.p15_edu_entries),
     "p16_edu_institutions": on(schooling, P.p16_edu_top, column="institution_name"),
     "p16_edu_levels": on(schooling, P.p16_edu_top, column="level_of_study"),

@@ -194,6 +194,7 @@ ORACLES = {
     "val_required": sql("SELECT row_ord, errors FROM el", ERRL),
     "val_type": "SELECT 'row_ord must be string, got bigint' AS error, count(*) AS n FROM orders",
     "val_country_len": sql("SELECT split_part(error, ':', 1) AS field, count(*) AS n FROM ee GROUP BY 1", ERRL),
+    "val_split": sql("SELECT count(*) AS total, count(*) FILTER (WHERE errors = '') AS good, count(*) FILTER (WHERE errors <> '') AS bad FROM el", ERRL),
     "val_split_good": sql("SELECT row_ord FROM el WHERE errors = ''", ERRL),
     "val_split_bad": sql("SELECT row_ord, errors FROM el WHERE errors <> ''", ERRL),
     "val_enrollment": sql("SELECT row_ord, array_to_string(es, ',') AS errors FROM en0 WHERE len(es) > 0", ERRE),
@@ -253,10 +254,17 @@ ORACLES = {
         JOIN (SELECT full_name, min(learner) AS same_as, count(DISTINCT learner) AS keys, count(*) AS enrollments FROM prow WHERE full_name IS NOT NULL GROUP BY 1
           HAVING count(*) > 1) x ON x.full_name = p.full_name"""),
     "p14_has_flags": sql(" UNION ALL ".join(
-        f"SELECT '{f}' AS flag, count(*) - {n(c)} AS flag_0, {n(c)} AS flag_1, 100.0::DOUBLE AS accuracy_pct FROM prow" if f != "has_education_details" else
-        f"SELECT '{f}', count(*) - {n(c)}, {n(c)}, {pct(n('(c_custkey % 17 <> 0) = (c_custkey % 3 = 0 OR c_custkey % 17 <> 0)'), 'count(*)')} FROM prow"
-        for f, c in {"has_employment_details": "row_ord % 3 <> 0", "has_education_details": "c_custkey % 17 <> 0",
-                     "has_placement_details": "wage OR venture", "has_profile_profile_photo": "c_custkey % 10 = 0"}.items())),
+        f"SELECT '{f}' AS flag, count(*) - {n(c)} AS flag_0, {n(c)} AS flag_1, {pct(n(f'({c}) = ({held})'), 'count(*)')} AS accuracy_pct FROM prow"
+        for f, (c, held) in {
+            "has_employment_details": ("row_ord % 3 <> 0", "row_ord % 3 <> 0"),
+            "has_education_details": ("c_custkey % 17 <> 0", "c_custkey % 3 = 0 OR c_custkey % 17 <> 0"),
+            "has_placement_details": ("wage OR venture", "wage OR venture"),
+            "has_profile_profile_photo": ("c_custkey % 10 = 0", "c_custkey % 10 = 0"),
+            "has_data": ("row_ord % 8 = 0", "row_ord % 4 = 0"),
+            "has_social_economic_data": ("row_ord % 3 = 0", "row_ord % 4 = 0"),
+            "has_legacy_points_transactions": ("row_ord % 5 = 0", "row_ord % 5 = 0"),
+            "has_disability": ("c_custkey % 3 = 0", "false"),
+        }.items())),
     "p15_edu_entries": sql(f"""SELECT entries, count(*) AS n, {pct('count(*)', 'sum(count(*)) OVER ()')} AS percentage,
         {r('(sum(sum(entries)) OVER ()) / (sum(count(*)) OVER ())::DOUBLE')} AS average, max(max(entries)) OVER () AS maximum
         FROM (SELECT row_ord, CAST(count(*) AS INTEGER) AS entries FROM sc GROUP BY 1) GROUP BY 1"""),

@@ -56,6 +56,24 @@ def test_cooccurrence_equals_the_self_join(world):
     assert got == dict(want)
 
 
+@pytest.mark.parametrize("heavy, tile", [(0, 3), (4, 2), (4, 1000), (63, 64)])
+def test_skill_pairs_by_masks_and_tiles(spark, heavy, tile):
+    """One learner holds every skill, some share a set; masks and tiles of any size give the self join."""
+    rng = random.Random(heavy + tile)
+    skills = [f"s{i:02d}" for i in range(40)]
+    sets = {"all": set(skills), "none": set(), "one": {"s01"}}
+    sets |= {f"l{i}": set(rng.sample(skills[:12], 5)) if i % 3 else {"s00", "s01", "s39"} for i in range(60)}
+    has = [(x, s) for x, ss in sets.items() for s in ss]
+    df = spark.createDataFrame(has + has[:20], "learner string, skill string").repartition(3)
+    want = Counter(p for ss in sets.values() for p in itertools.combinations(sorted(ss), 2))
+    got = {(r.skill1, r.skill2): r.co_occurrence for r in G.skill_pairs(df, "skill", heavy=heavy or 1, tile=tile).collect()}
+    assert got == dict(want)
+    first = sorted(want.items(), key=lambda x: (-x[1], x[0]))[:10]
+    best = G.skill_pairs(df, "skill", top=10, heavy=heavy or 1, tile=tile).collect()
+    assert sorted((((r.skill1, r.skill2), r.co_occurrence) for r in best), key=lambda x: (-x[1], x[0]))[:10] == first
+    assert G.skill_pairs(df.limit(0), "skill").count() == 0
+
+
 def test_reachable_and_shortest_path(world, spark):
     g, has, enrol, works = world
     near = {}

@@ -118,3 +118,19 @@ def test_employment_consistency(spark):
         ("a", "unemployed_with_current_jobs", None), ("b", "employed_with_past_jobs_only", None),
         ("c", "employed_without_jobs", None), ("d", "info_current_jobs_same_start", "2020-01-01"),
     ]
+
+
+def test_split_is_written_in_one_pass(spark, tmp_path):
+    rows = [(i, None if i % 5 == 0 else "x", "" if i % 7 == 0 else "y") for i in range(100)]
+    df = quality.with_errors(spark.createDataFrame(rows, "id int, hashed_email string, full_name string"), *quality.required())
+    path = str(tmp_path / "split")
+    report = quality.write_split(df, path).first()
+    bad = {i for i, a, b in rows if a is None or b == ""}
+    assert (report.total, report.good, report.bad) == (100, 100 - len(bad), len(bad))
+    good, quarantine = quality.read_split(spark, path, df.schema)
+    assert {r.id for r in good.collect()} == {r[0] for r in rows} - bad and good.columns == ["id", "hashed_email", "full_name"]
+    assert {r.id: len(r.errors) for r in quarantine.collect()} == {i: (a is None) + (b == "") for i, a, b in rows if i in bad}
+    assert "PartitionFilters: [isnotnull(kind" in good._jdf.queryExecution().toString()
+    empty = quality.write_split(df.limit(0), path).first()
+    assert (empty.total, empty.good, empty.bad) == (0, 0, 0)
+    assert all(t.count() == 0 for t in quality.read_split(spark, path, df.schema))
