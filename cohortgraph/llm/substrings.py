@@ -334,14 +334,16 @@ def _identified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, block: int = BLOCK) -> DataFrame:
     """(u1, u2, spans): byte ranges [a, b) to remove for each content that has any; ranges may overlap."""
     source = _identified(docs, id_col, text_col).filter(F.octet_length("text") >= length)
-    rows = common.map_arrow(source.select("text", "u1", "u2"), _segment_rows(length, gram),
-                            "key long, s1 long, s2 long, u1 long, u2 long, start long, n int")
-    keys = rows.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1").select("key")
+    rows = common.stored(common.map_arrow(source.select("text", "u1", "u2"), _segment_rows(length, gram),
+                                          "key long, s1 long, s2 long, u1 long, u2 long, start long, n int"), "substring-rows")
+    # keys and kinds are stored before they are joined with their own source, so that the joins can split a frequent key
+    keys = common.stored(rows.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1").select("key"), "substring-keys")
     met = common.stored(rows.join(keys, "key"), "substring-segments")
+    common.drop_stored(rows)
 
     place = F.struct("u1", "u2", "start", "n")
     folded = common.stored(met.groupBy("key", "s1", "s2").agg(F.count("*").alias("n_occ"), F.min(place).alias("at")), "substring-folded")
-    kinds = folded.groupBy("key").agg(F.count("*").alias("kinds")).filter("kinds > 1")
+    kinds = common.stored(folded.groupBy("key").agg(F.count("*").alias("kinds")).filter("kinds > 1"), "substring-kinds")
     blocks = F.ceil(F.col("kinds") / block).cast("int")
     wanted = folded.join(kinds, "key").select("key", F.pmod("s1", blocks).cast("int").alias("block"), "s1", "s2", "n_occ", blocks.alias("blocks"), "at.*")
     by_doc = wanted.groupBy("u1", "u2").agg(F.collect_list(F.struct("key", "block", "s1", "s2", "n_occ", "blocks", "start", "n")).alias("wanted"))
