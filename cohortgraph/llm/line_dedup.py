@@ -1,9 +1,8 @@
 """Line dedup within one edit by a deletion-neighbourhood join, in DataFrame functions only.
 
-A document's lines are its text split at line feeds; a line counts without blanks at its ends. Lines
-of at least ``min_chars`` characters take part. Shorter ones of at least ``exact_chars`` (none of them
-where it is not given) lose only exact repeats, all other lines stay. In
-the order of (doc_id, position) a line is removed if an equal line came before it, or if some earlier
+A document's lines are its text split at line feeds; a line counts without blanks at its ends. All lines of
+at least ``exact_chars`` characters (every one that is not blank) lose exact repeats, those of at least
+``min_chars`` also lines within one edit: in shorter ones an edit makes another word. In the order of (doc_id, position) a line is removed if an equal line came before it, or if some earlier
 different line of ``min_chars`` is within one edit (substitution, insertion or deletion of a character) of it.
 
 All variants with one deleted character would be a row for each character of the corpus, so two
@@ -27,7 +26,8 @@ from pyspark.sql import functions as F
 
 from cohortgraph.llm import common
 
-MIN_CHARS = 30
+#: Characters of lines that are compared within one edit, and of those that are compared at all.
+MIN_CHARS, EXACT_CHARS = 30, 1
 BLOCK = 32
 #: 64-bit words of the filter that keeps most lines out of the shuffle of candidate texts (a fixed 2 MB of bits).
 FILTER_WORDS = 1 << 18
@@ -101,7 +101,8 @@ def near(distinct: DataFrame, all_lines: DataFrame) -> DataFrame:
     """
     keyed = distinct.select("h1", "h2", "first", F.explode("keys").alias("k"))
     shared = keyed.groupBy("k").agg(F.min("h1").alias("low"), F.max("h1").alias("high")).filter("low <> high").select("k")
-    # stored, as is ``fate`` below, so that joins of all lines deal out both sides and can split a frequent line
+    # what is joined with its own source is stored first, here and below: the joins then deal out both sides and can split a frequent key
+    shared = common.stored(shared, "line-keys")
     candidates = common.stored(keyed.join(shared, "k").groupBy("h1", "h2").agg(F.min("first").alias("first")), "line-near")
     texts = _prefiltered(all_lines, candidates).join(candidates, ["h1", "h2"]).filter(_order() == F.col("first")).groupBy("h1", "h2").agg(
         F.min("first").alias("first"), F.min("line").alias("line"))
@@ -119,6 +120,7 @@ def near(distinct: DataFrame, all_lines: DataFrame) -> DataFrame:
         F.struct(F.col("size").alias("n"), F.col("same").alias("sig")), F.struct((F.col("size") - 1).alias("n"), F.col("less").alias("sig")))).alias("s"))
     signed = signed.select("h1", "h2", "j", F.xxhash64("s.n", "j", "s.sig").alias("s"))
     met = signed.groupBy("s").agg(F.min("h1").alias("low"), F.max("h1").alias("high")).filter("low <> high").select("s")
+    met = common.stored(met, "line-signatures")
     open_blocks = signed.join(met, "s").select("h1", "h2", "j").distinct()
 
     # deletion variants of the open blocks, and the whole lines as what a variant may equal
@@ -132,6 +134,7 @@ def near(distinct: DataFrame, all_lines: DataFrame) -> DataFrame:
     claim = F.struct("first", "h1", "h2")
     by_variant = rows.groupBy("v").agg(F.min(F.when(F.col("at") == 0, claim)).alias("line_first"), F.min(F.when(F.col("at") > 0, claim)).alias("variant_first"), F.count("*").alias("n")).filter("n > 1").drop("n")
     by_place = rows.filter("at > 0").groupBy("v", "at").agg(F.min(claim).alias("place_first"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    by_variant, by_place = common.stored(by_variant, "line-variants"), common.stored(by_place, "line-places")
     met_rows = rows.join(by_variant, "v").join(by_place, ["v", "at"], "left")
     earlier = F.when(F.col("at") == 0, F.col("variant_first")).otherwise(F.least("line_first", "place_first"))
     claims = met_rows.select("h1", "h2", "first", earlier.alias("e")).filter("e.first < first").groupBy("h1", "h2").agg(F.min("e").alias("e"))
@@ -143,9 +146,9 @@ def near(distinct: DataFrame, all_lines: DataFrame) -> DataFrame:
     return checked.filter(F.levenshtein("line", "other", 1) == 1).select("h1", "h2")
 
 
-def removed(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, exact_chars: int | None = None) -> DataFrame:
+def removed(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, exact_chars: int = EXACT_CHARS) -> DataFrame:
     """(doc_id, gone): for each id the removed lines as an array of (pos, hash)."""
-    all_lines = lines(docs, id_col, text_col, min_chars if exact_chars is None else min(exact_chars, min_chars))
+    all_lines = lines(docs, id_col, text_col, min(exact_chars, min_chars))
     # lines without keys do not come near others
     keys = F.when(F.char_length("line") >= min_chars, _half_keys(F.col("line")))
     distinct = all_lines.groupBy("h1", "h2").agg(F.min(_order()).alias("first"), F.count("*").alias("n"), F.min(keys).alias("keys"))
@@ -163,7 +166,7 @@ def _kept(text: Column, gone: Column) -> Column:
     return F.when(gone.isNull(), text).otherwise(F.array_join(out, "\n"))
 
 
-def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, exact_chars: int | None = None) -> DataFrame:
+def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, exact_chars: int = EXACT_CHARS) -> DataFrame:
     """The rows of ``docs``, all columns, with the removed lines cut out of the text; the rows stay."""
     gone = removed(docs, id_col=id_col, text_col=text_col, min_chars=min_chars, exact_chars=exact_chars).select(F.col("doc_id").alias("_gone_id"), F.col("gone").alias("_gone"))
     joined = docs.join(gone, docs[id_col].eqNullSafe(gone["_gone_id"]), "left")
@@ -187,16 +190,16 @@ SQL = rf"""
 WITH l AS (
   SELECT doc_id, i - 1 AS pos, raw, trim(raw, ' ' || chr(9) || chr(13)) AS line
   FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS a FROM documents), unnest(range(1, len(a) + 1)) AS u(i), unnest([a[i]]) AS w(raw)),
-f AS (SELECT line, min((doc_id, pos)) AS first, row_number() OVER () AS id FROM l WHERE length(line) >= {MIN_CHARS} GROUP BY line),
-v AS (SELECT id, first, length(line) AS n, i, hash(substr(line, 1, i - 1) || substr(line, i + 1)) AS h FROM f, unnest(range(1, length(line) + 1)) AS u(i)),
-w AS (SELECT id, first, length(line) AS n, hash(line) AS h FROM f),
+f AS (SELECT line, min((doc_id, pos)) AS first, row_number() OVER () AS id FROM l WHERE length(line) >= {EXACT_CHARS} GROUP BY line),
+v AS (SELECT id, first, length(line) AS n, i, hash(substr(line, 1, i - 1) || substr(line, i + 1)) AS h FROM f, unnest(range(1, length(line) + 1)) AS u(i) WHERE length(line) >= {MIN_CHARS}),
+w AS (SELECT id, first, length(line) AS n, hash(line) AS h FROM f WHERE length(line) >= {MIN_CHARS}),
 c AS (
   SELECT DISTINCT b.id AS a, a.id AS e FROM v a JOIN v b ON a.h = b.h AND a.i = b.i AND a.n = b.n AND a.first < b.first
   UNION SELECT b.id, a.id FROM w a JOIN v b ON a.h = b.h AND a.n = b.n - 1 AND a.first < b.first
   UNION SELECT b.id, a.id FROM v a JOIN w b ON a.h = b.h AND a.n = b.n + 1 AND a.first < b.first),
 near AS (SELECT DISTINCT x.line FROM c JOIN f x ON x.id = c.a JOIN f y ON y.id = c.e WHERE levenshtein(x.line, y.line) = 1),
 r AS (
-  SELECT l.*, length(line) >= {MIN_CHARS} AND (line IN (FROM near) OR (doc_id, pos) <> f.first) AS gone
+  SELECT l.*, length(line) >= {EXACT_CHARS} AND (line IN (FROM near) OR (doc_id, pos) <> f.first) AS gone
   FROM l LEFT JOIN f USING (line)),
 k AS (
   SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE coalesce(gone, false)) AS n_removed,

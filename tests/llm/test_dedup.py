@@ -117,13 +117,14 @@ def test_line_dedup(docs_of):
     for i, t in rows:
         for k, line in enumerate((t or "").split("\n")):
             s = bare(line)
-            if len(s) >= line_dedup.MIN_CHARS:
+            if s:
                 first[s] = min(first.get(s, order(i, k)), order(i, k))
-    near = {s for s in first if any(first[o] < first[s] and within_one(o, s) for o in first if o != s)}
+    long = {s for s in first if len(s) >= line_dedup.MIN_CHARS}
+    near = {s for s in long if any(first[o] < first[s] and within_one(o, s) for o in long if o != s)}
     assert len(near) > 20
     want = []
     for i, t in rows:
-        keep = [x for k, x in enumerate((t or "").split("\n")) if len(bare(x)) < line_dedup.MIN_CHARS or (bare(x) not in near and first[bare(x)] == order(i, k))]
+        keep = [x for k, x in enumerate((t or "").split("\n")) if not bare(x) or (bare(x) not in near and first[bare(x)] == order(i, k))]
         want.append((i, None if t is None else "\n".join(keep)))
     got = line_dedup.dedup(docs_of(rows)).select("doc_id", "text").collect()
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
