@@ -231,19 +231,26 @@ def _folder(spark):
 
 
 def _csv(spark, sf):
+    """All columns with quoted line breaks, byte-order marks and short rows, written, read back and compared cell by cell."""
     path = _folder(spark)
-    star.raw_rows(spark, sf).select("row_ord", "hashed_email", "full_name", "learning_details", "employment_details").write.options(
-        header="true", escape='"', quoteAll="true"
-    ).csv(path)
-    back = readers.read_learners(spark, "csv", {"path": path, "multi_line": False})
-    return parse.enrollments_raw(back).groupBy("program_name", "enrollment_status").agg(_n().alias("n"))
+    raw = star.raw_rows(spark, sf).withColumn("row_ord", F.col("row_ord").cast("string"))
+    raw = raw.withColumn("full_name", F.concat("full_name", F.lit('\nalso "known", as\r\n'), "hashed_email"))
+    columns = sorted(raw.columns, key=lambda c: (c == "type_of_disability", raw.columns.index(c)))  # NULL in all rows: they come short
+    writers.export_csv(raw.select(*columns), path, bom=True)
+    back = readers.read_learners(spark, "csv", {"path": path, "multi_line": True})
+    both = raw.alias("a").join(back.alias("b"), "row_ord")
+    differing = sum((~F.coalesce(F.col(f"a.{c}"), F.lit("")).eqNullSafe(F.coalesce(F.col(f"b.{c}"), F.lit("")))).cast("int") for c in columns if c != "row_ord")
+    entries = parse.enrollments_raw(back).groupBy("row_ord").agg(F.max("program_name").alias("program_name"), F.max("enrollment_status").alias("enrollment_status"))
+    return both.select("row_ord", F.col("b.hashed_email"), F.col("b.full_name"), F.col("b.gender"), differing.alias("differing_cells"), F.lit(len(back.columns)).alias("columns")).join(
+        entries, "row_ord")
 
 
 def _csv_nulls(spark, sf):
     path = _folder(spark)
-    enrolments(spark, sf).select("row_ord", "lms_overall_score", "completion_rate").write.option("header", "true").csv(path)
+    writers.export_csv(enrolments(spark, sf).drop("entry_ord"), path)
     back = readers.read_learners_csv(spark, path, null_tokens=readers.DEFAULT_NULL_TOKENS, multi_line=False)
-    return back.agg(_n().alias("n"), F.count("lms_overall_score").alias("scores"), F.count("completion_rate").alias("rates"))
+    counts = back.agg(*[F.count(f"`{c}`").alias(c) for c in back.columns])
+    return counts.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("filled")) for c in back.columns])).alias("r")).select("r.*")
 
 
 def _export(spark, sf):

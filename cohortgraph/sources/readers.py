@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from urllib.parse import unquote
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortgraph.schemas import raw_schema
+from cohortgraph.session import work_table
 
 CORRUPT = "_corrupt_record"
 DEFAULT_NULL_TOKENS = ("-99", "-99.0", "")
@@ -17,22 +22,24 @@ DEFAULT_NULL_TOKENS = ("-99", "-99.0", "")
 def read_learners_csv(
     spark: SparkSession, path: str, null_tokens: tuple[str, ...] = (), keep_corrupt: bool = False, multi_line: bool = False
 ) -> DataFrame:
-    """RFC-4180 CSV, all columns text.
+    """RFC-4180 CSV, all columns text. Files are split over tasks, also with ``multi_line``.
 
-    Doubled quotes are read, NUL and undecodable characters removed, short rows filled with
-    NULL and long rows cut. ``null_tokens`` become NULL. Files are split over tasks. Fields with
-    quoted newlines need ``multi_line=True``, which reads a file in one task: deliver such
-    extracts in many files, or convert them to Parquet once.
+    Doubled quotes are read, NUL and undecodable characters and a byte-order mark removed, short rows filled
+    with NULL and long rows cut. ``null_tokens`` become NULL. ``multi_line``: fields may hold quoted line
+    breaks; records are put together by ``csv_records``.
     """
     options = {"header": "true", "quote": '"', "escape": '"', "encoding": "UTF-8", "mode": "PERMISSIVE"}
-    names = [n.lstrip("﻿") for n in spark.read.options(**options).csv(path).columns]
+    names = [n.lstrip("\ufeff") for n in spark.read.options(**options).csv(path).columns]
     schema = raw_schema(tuple(names)).add(T.StructField(CORRUPT, T.StringType()))
-    df = spark.read.schema(schema).options(
-        **options, multiLine=str(multi_line).lower(), enforceSchema="true", columnNameOfCorruptRecord=CORRUPT
-    ).csv(path)
+    if multi_line:
+        options |= {"columnNameOfCorruptRecord": CORRUPT, "multiLine": "true", "header": "false"}
+        records = csv_records(spark, path).filter("record > 1")  # the first of each file is its header
+        df = records.select(F.from_csv("text", F.lit(", ".join(f"`{f.name}` STRING" for f in schema)), options).alias("r")).select("r.*")
+    else:
+        df = spark.read.schema(schema).options(**options, enforceSchema="true", columnNameOfCorruptRecord=CORRUPT).csv(path)
     clean = []
     for name in names:
-        c = F.translate(F.col(f"`{name}`"), "\u0000�", "")
+        c = F.translate(F.col(f"`{name}`"), "\u0000\ufffd", "")
         if null_tokens:
             c = F.when(~c.isin(*null_tokens), c)
         clean.append(c.alias(name))
@@ -41,6 +48,70 @@ def read_learners_csv(
     return df.select(*clean)
 
 
+_LINES = "file string, block long, line long, text binary, inside boolean, even int, odd int, odd_quotes boolean"
+
+
+def _line_marker() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The function of a scan task; made here, so that it travels to workers by value."""
+
+    def marked_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Lines of byte ranges in their order: number in the range, and by quote parity what they would be.
+
+        ``inside``: an odd number of quotes came before in the range. ``even`` and ``odd``: records begun so far,
+        this line included, if the range itself begins outside or inside of quotes.
+        """
+        at, line, parity, begun = None, 0, 0, [0, 0]
+        for batch in batches:
+            file, block = batch.column("file"), np.asarray(batch.column("block"))
+            quotes = np.asarray(pc.count_substring(batch.column("text"), b'"')).astype(np.int64) % 2
+            names = file.dictionary_encode() if not isinstance(file, pa.DictionaryArray) else file
+            codes = np.asarray(names.indices)
+            edges = np.flatnonzero((np.diff(codes) != 0) | (np.diff(block) != 0)) + 1
+            for s, e in zip([0, *edges.tolist()], [*edges.tolist(), len(block)], strict=True):
+                if s == e:
+                    continue
+                if (file[s].as_py(), int(block[s])) != at:
+                    at, line, parity, begun = (file[s].as_py(), int(block[s])), 0, 0, [0, 0]
+                own = quotes[s:e]
+                before = (parity + np.cumsum(own) - own) % 2
+                starts = [begun[0] + np.cumsum(before == 0), begun[1] + np.cumsum(before == 1)]
+                yield pa.RecordBatch.from_arrays(
+                    [file.slice(s, e - s).cast(pa.string()), pa.array(block[s:e]), pa.array(np.arange(line, line + e - s)), batch.column("text").slice(s, e - s),
+                     pa.array(before == 1), *(pa.array(x.astype(np.int32)) for x in starts), pa.array(own == 1)],
+                    names=["file", "block", "line", "text", "inside", "even", "odd", "odd_quotes"])
+                line, parity, begun = line + e - s, int(before[-1] + own[-1]) % 2, [int(x[-1]) for x in starts]
+
+    return marked_lines
+
+
+def csv_records(spark: SparkSession, path: str) -> DataFrame:
+    """(file, record, text): the records of CSV files, quoted line breaks included; ``record`` counts from 1 in each file.
+
+    Every byte range of a file is a task. It cannot know if it begins inside of quotes, so it works out both
+    cases; one row a range (quote parity, records begun in either case) gives the true one by a running sum over
+    the ranges before. Lines that are whole records go on as they are, only parts of records with line breaks
+    are shuffled and put together. A quote that is never closed makes one record of the rest of its file. Line
+    breaks inside of fields stay as they are, blank records are left out.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("text"))
+    marked = lines.mapInArrow(_line_marker(), _LINES)
+    last = F.max_by(F.struct((F.col("inside") != F.col("odd_quotes")).alias("flips"), "even", "odd"), "line").alias("end")
+    ranges = work_table(marked.groupBy("file", "block").agg(last).select("file", "block", "end.*"), "csv-ranges")
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranges.select("file", "block", "even", "odd", (F.coalesce(F.sum(F.col("flips").cast("int")).over(before), F.lit(0)) % 2 == 1).alias("quoted"))
+    begun = F.when(F.col("quoted"), F.col("odd")).otherwise(F.col("even"))
+    starts = starts.select(F.col("file").alias("_file"), F.col("block").alias("_block"), "quoted", F.coalesce(F.sum(begun).over(before), F.lit(0)).alias("earlier"))
+    placed = marked.join(starts, (F.col("file") == F.col("_file")) & (F.col("block") == F.col("_block")))
+    inside = F.col("inside") != F.col("quoted")
+    record = F.col("earlier") + F.when(F.col("quoted"), F.col("odd")).otherwise(F.col("even"))
+    placed = placed.select("file", record.alias("record"), "block", "line", "text", (~inside & ~F.col("odd_quotes")).alias("whole"))
+    parts = placed.filter("NOT whole").groupBy("file", "record").agg(F.sort_array(F.collect_list(F.struct("block", "line", F.col("text").cast("string").alias("t")))).alias("parts"))
+    joined = parts.select("file", "record", F.array_join(F.transform("parts", lambda p: p["t"]), "\n").alias("text"))
+    out = placed.filter("whole").select("file", "record", F.col("text").cast("string").alias("text")).unionByName(joined)
+    return out.select("file", "record", F.regexp_replace("text", "\r$", "").alias("text")).filter(F.trim("text") != "")
+
+
 def read_learners_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
@@ -90,23 +161,42 @@ def with_row_ord(df: DataFrame) -> DataFrame:
     return df.select("*", F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")).alias("row_ord"))
 
 
-def row_range(spark: SparkSession, path: str, start_row: int = 0, max_rows: int | None = None) -> DataFrame:
-    """Rows ``start_row`` to ``start_row + max_rows`` of Parquet files in file order.
+def file_index(spark: SparkSession, path: str) -> DataFrame:
+    """(file, n): how many rows each Parquet file of a table holds, counted without reading a column."""
+    file = F.col("_metadata.file_path").alias("file")
+    return spark.read.parquet(path).groupBy(file).agg(F.count(F.lit(1)).alias("n"))
 
-    The ordinal is the row index inside the file plus the rows of earlier files, so nothing
-    is sorted; only one count per file is summed up.
+
+def row_range(spark: SparkSession, path: str, start_row: int = 0, max_rows: int | None = None, index: DataFrame | None = None) -> DataFrame:
+    """Rows ``start_row`` to ``start_row + max_rows`` of Parquet files in file order; only files that hold some of them are read.
+
+    The ordinal is the row index inside the file plus the rows of earlier files, so nothing is sorted. The rows of
+    each file come from ``index`` (a stored ``file_index`` of an unchanged table), else they are counted once,
+    without any column. Offsets are summed up by blocks of files, so no task gets the whole list; the list of
+    the files that overlap is the plan of the scan and passes the driver.
     """
-    df = spark.read.parquet(path)
-    columns = df.columns
-    df = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
-    counts = df.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    whole = spark.read.parquet(path)
+    counts = work_table(file_index(spark, path) if index is None else index, "file-index")
+    in_order = counts.repartitionByRange("file").sortWithinPartitions("file").withColumn("block", F.spark_partition_id())
+    in_order = work_table(in_order, "file-order")  # the blocks are read twice and must not be dealt anew
+    by_block = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = in_order.groupBy("block").agg(F.sum("n").alias("m")).select("block", F.coalesce(F.sum("m").over(by_block), F.lit(0)).alias("base"))
+    inside = Window.partitionBy("block").orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = in_order.withColumn("inside", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(blocks, "block").select("file", "n", (F.col("base") + F.col("inside")).alias("_offset"))
+    wanted = F.col("_offset") + F.col("n") > start_row
+    if max_rows is not None:
+        wanted = wanted & (F.col("_offset") < start_row + max_rows)
+    found = [(r.file, r._offset) for r in offsets.filter(wanted).filter("n > 0").collect()]
+    if not found:
+        return whole.withColumn("row_ordinal", F.lit(0).cast("long")).limit(0)
+    files = spark.read.schema(whole.schema).parquet(*[unquote(f) for f, _ in found])
+    columns = files.columns
+    files = files.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
     ordinal = F.col("_offset") + F.col("_row")
-    wanted = ordinal >= start_row
+    rows = files.join(spark.createDataFrame(found, "_file string, _offset long"), "_file").filter(ordinal >= start_row)
     if max_rows is not None:
-        wanted = wanted & (ordinal < start_row + max_rows)
-    return df.join(offsets, "_file").filter(wanted).select(*columns, ordinal.alias("row_ordinal"))
+        rows = rows.filter(ordinal < start_row + max_rows)
+    return rows.select(*columns, ordinal.alias("row_ordinal"))
 
 
 def source_summary(df: DataFrame) -> DataFrame:

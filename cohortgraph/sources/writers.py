@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,6 +60,24 @@ def export_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> DataFra
     )
 
 
+def export_csv(df: DataFrame, path: str, bom: bool = False) -> None:
+    """RFC-4180 files with a header each, every value quoted, line breaks kept; trailing NULLs make a row short, others are empty.
+
+    ``bom`` puts a byte-order mark before each header.
+    """
+    quoted = lambda c: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+    cells = [F.coalesce(quoted(F.col(f"`{c}`").cast("string")), F.lit("")) for c in df.columns]
+    rows = df.select(F.regexp_replace(F.concat_ws(",", *cells), r",+$", "").alias("value"))
+    header = ("\ufeff" if bom else "") + ",".join('"' + c.replace('"', '""') + '"' for c in df.columns)
+
+    def with_header(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_arrays([pa.array([header])], names=["value"])
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0)], names=["value"])
+
+    rows.mapInArrow(with_header, "value string").write.mode("overwrite").text(path)
+
+
 def clear(spark: SparkSession, path: str, confirm: bool = False) -> bool:
     """Delete a stored table or graph; refuses without ``confirm``."""
     if not confirm:

@@ -1,5 +1,6 @@
 """SQL of the cleaning, parsing, entity, edge, validation, profiling and I/O queries."""
 
+from cohortgraph import schemas as S
 from oracle.ctes import SKILLS, code, pct, r, sid, sql
 from oracle.flat import n
 from oracle.history import learning
@@ -295,8 +296,12 @@ ORACLES = {
     "p25_source_discrepancy": sql("""SELECT coalesce(a.key, b.key) AS key, coalesce(a.n, 0) AS left_n, coalesce(b.n, 0) AS right_n, coalesce(a.n, 0) - coalesce(b.n, 0) AS difference FROM
         (SELECT country AS key, count(DISTINCT learner) AS n FROM prow WHERE country IS NOT NULL GROUP BY 1) a FULL JOIN
         (SELECT ct.name AS key, count(*) AS n FROM lrn JOIN ctry ct ON res_code = code GROUP BY 1) b ON a.key = b.key"""),
-    "src_csv": sql("SELECT program_name, status AS enrollment_status, count(*) AS n FROM ent GROUP BY 1, 2"),
-    "src_csv_nulls": sql("SELECT count(*) AS n, count(score) AS scores, count(completion) AS rates FROM ent"),
+    "src_csv": sql("""SELECT CAST(row_ord AS VARCHAR) AS row_ord, learner AS hashed_email,
+        CASE WHEN c_custkey % 61 = 0 THEN '' ELSE ' ' || full_name || ' ' END || chr(10) || 'also "known", as' || chr(13) || chr(10) || learner AS full_name,
+        ['Male', 'female', 'Other', 'n/a'][c_custkey % 4 + 1] AS gender, 0 AS differing_cells, 39 AS columns, program_name, status AS enrollment_status FROM prow"""),
+    "src_csv_nulls": sql(" UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", count(*){' FILTER (WHERE row_ord % 11 <> 0)' if c == 'completion_rate' else ' FILTER (WHERE row_ord % 10 <> 0)' if i > 9 else ''} AS filled FROM ent"
+        for i, c in enumerate(("learner", "row_ord", "pos", *S.LEARNING_FIELDS)))),
     "src_parquet": sql("SELECT cohort_code AS program_id, count(*) AS n, CAST(sum(n_sub) AS BIGINT) AS submissions FROM ent GROUP BY 1"),
     "src_meta": "SELECT count(*) AS rows, 6 AS columns FROM orders",
     "src_row_range": "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) + 99 AS row_ordinal FROM (SELECT * FROM orders ORDER BY o_orderkey LIMIT 500 OFFSET 100)",
