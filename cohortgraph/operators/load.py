@@ -13,8 +13,8 @@ from cohortgraph.session import work_table
 from cohortgraph.sources.writers import write_graph
 
 
-def load_graph(raw: DataFrame, dim: DataFrame, path: str, as_of: str, **options) -> None:
-    """Build and store the graph, dimensions first.
+def load_graph(raw: DataFrame, dim: DataFrame, path: str, as_of: str, **options) -> dict:
+    """Build and store the graph, dimensions first; returns the manifest that makes it visible as a whole.
 
     What feeds several tables is written once to the shared folder and read back: the typed
     enrolment and job entries, and the learner table.
@@ -24,7 +24,7 @@ def load_graph(raw: DataFrame, dim: DataFrame, path: str, as_of: str, **options)
         work_table(edges.typed_enrollments(parse.enrollments_raw(raw), years=years), "load-enrolments"),
         work_table(edges.typed_jobs(parse.jobs_raw(raw), years=years), "load-jobs"),
     )
-    write_graph(build_graph(raw, dim, as_of, entries=entries, store=True, **options), path)
+    return write_graph(build_graph(raw, dim, as_of, entries=entries, store=True, **options), path)
 
 
 def last_flags(raw: DataFrame, parity: bool = False) -> DataFrame:

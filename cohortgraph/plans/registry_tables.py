@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortgraph import schemas as S
 from cohortgraph.bindings import star
 from cohortgraph.functions import cleaning as C
-from cohortgraph.operators import edges, entities, keyed, parse, quality
+from cohortgraph.operators import edges, entities, keyed, load, parse, quality
 from cohortgraph.operators import states as ST
 from cohortgraph.plans import profiling as P
 from cohortgraph.plans import registry_history as H
@@ -270,6 +272,18 @@ def _stored_graph(spark, sf):
     return entities.entity_counts(g.members())
 
 
+def _load_raw(spark, sf):
+    """The whole load from raw rows, twice, and the rows of the tables of the version that readers see."""
+    path = _folder(spark)
+    for _ in range(2):
+        load.load_graph(star.raw_rows(spark, sf), dim(spark, sf), path, star.AS_OF)
+    manifest = writers.graph_manifest(spark, path)
+    members = writers.read_graph(spark, path, manifest["version"]).members()
+    parts = [df.agg(F.lit(name).alias("kind"), _n().alias("n"), F.lit(manifest["rows"][name]).alias("committed"), F.lit(manifest["version"]).alias("version"))
+             for name, df in members.items() if name != "has_professional_status"]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _ingest_in_two(spark, sf):
     """Events in two deliveries, the second with rows older than those already taken in; the second run resumes."""
     path = _folder(spark)
@@ -471,6 +485,7 @@ QUERIES = {
     "src_row_range": lambda spark, sf: readers.row_range(spark, f"{sf}/orders.parquet", 100, 500).select("o_orderkey", "row_ordinal"),
     "snk_parquet": _export,
     "inc_two_phase": _stored_graph,
+    "inc_load_raw": _load_raw,
     "inc_checkpoint": _ingest,
     "inc_progress": _progress,
     "src_factory": _factory,

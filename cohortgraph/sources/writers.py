@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import time
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -86,21 +88,78 @@ def clear(spark: SparkSession, path: str, confirm: bool = False) -> bool:
     return fs.delete(p, True)
 
 
-def write_graph(graph: Graph, path: str, mode: str = "overwrite") -> None:
-    """Node tables first, then edge tables, each as Parquet below ``path``."""
+MANIFESTS = "_manifests"
+
+
+def graph_versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the committed versions of a stored graph, rising; their count is bounded by ``keep``."""
+    p, fs = _path(spark, f"{path}/{MANIFESTS}")
+    if not fs.exists(p):
+        return []
+    return sorted(int(name) for name in (s.getPath().getName() for s in fs.listStatus(p)) if name.isdigit())
+
+
+def graph_manifest(spark: SparkSession, path: str, version: int | None = None) -> dict:
+    """Folder, tables and row counts of a committed version (None: the last one); empty if there is none."""
+    versions = graph_versions(spark, path)
+    if not versions or version is not None and version not in versions:
+        return {}
+    number = versions[-1] if version is None else version
+    text = spark.read.option("wholetext", "true").text(f"{path}/{MANIFESTS}/{number}").first()[0]
+    return {"version": number, **json.loads(text)}
+
+
+def write_graph(graph: Graph, path: str, mode: str = "overwrite", keep: int = 2) -> dict:
+    """Node tables first, then edge tables, each as Parquet in a new folder below ``path``; then the manifest that names them.
+
+    Readers follow the last manifest, so a load that stops at any point shows nothing: they go on with the version
+    before. The manifest appears by one rename, which fails if another load has committed meanwhile. The last ``keep``
+    versions stay for readers that are under way; older ones are deleted after the commit.
+    Returns the manifest, with the rows of each table as they were written.
+    """
     members = graph.members()
+    spark = members["learner"].sparkSession
+    versions = graph_versions(spark, path)
+    if versions and mode in ("error", "errorifexists"):
+        raise ValueError(f"{path} holds a graph already")
     edges = [n for n in members if n.startswith("has_") or n in ("enrolled_in", "works_for")]
+    folder, rows = f"load-{uuid.uuid4().hex}", {}
     for name in [n for n in members if n not in edges] + edges:
-        members[name].write.mode(mode).option("compression", "zstd").parquet(f"{path}/{name}")
-
-
-def read_graph(spark: SparkSession, path: str) -> Graph:
-    tables = {}
-    for name in Graph.__dataclass_fields__:
-        p, fs = _path(spark, f"{path}/{name}")
-        if fs.exists(p):
-            tables[name] = spark.read.parquet(f"{path}/{name}")
-    return Graph(**tables)
+        seen = Observation()
+        members[name].observe(seen, F.count(F.lit(1)).alias("rows")).write.option("compression", "zstd").parquet(f"{path}/{folder}/{name}")
+        rows[name] = seen.get["rows"]
+    number = (versions[-1] if versions else 0) + 1
+    _publish(spark, path, number, {"folder": folder, "rows": rows})
+    _drop_old(spark, path, keep)
+    return {"version": number, "folder": folder, "rows": rows}
+
+
+def _publish(spark: SparkSession, path: str, number: int, content: dict) -> None:
+    made, fs = _path(spark, f"{path}/{MANIFESTS}/.{uuid.uuid4().hex}")
+    out = fs.create(made, False)
+    out.write(json.dumps(content).encode())
+    out.close()
+    final, _ = _path(spark, f"{path}/{MANIFESTS}/{number}")
+    if fs.exists(final) or not fs.rename(made, final):
+        fs.delete(made, False)
+        raise RuntimeError(f"version {number} of {path} was committed by another load")
+
+
+def _drop_old(spark: SparkSession, path: str, keep: int) -> None:
+    """Delete manifests before the last ``keep``, then the folders of theirs; a load under way writes to a folder that no manifest names yet and keeps it."""
+    for number in graph_versions(spark, path)[:-max(1, keep)]:
+        folder = graph_manifest(spark, path, number)["folder"]
+        for name in (f"{MANIFESTS}/{number}", folder):
+            p, fs = _path(spark, f"{path}/{name}")
+            fs.delete(p, True)
+
+
+def read_graph(spark: SparkSession, path: str, version: int | None = None) -> Graph:
+    """A committed version of a stored graph, the last one unless said otherwise."""
+    manifest = graph_manifest(spark, path, version)
+    if not manifest:
+        raise ValueError(f"no committed graph at {path}" + (f" with version {version}" if version is not None else ""))
+    return Graph(**{name: spark.read.parquet(f"{path}/{manifest['folder']}/{name}") for name in manifest["rows"]})
 
 
 def save_bucketed(graph: Graph, prefix: str, buckets: int) -> None:

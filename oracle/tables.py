@@ -3,7 +3,7 @@
 from cohortgraph import schemas as S
 from oracle.ctes import SKILLS, code, pct, r, sid, sql
 from oracle.flat import n
-from oracle.history import learning
+from oracle.history import learning, state_edges
 
 AS_OF = "DATE '2001-12-31'"
 D0 = "coalesce(CAST({} AS VARCHAR), '1970-01-01')"
@@ -322,3 +322,9 @@ ORACLES = {
         UNION ALL SELECT 'companies', count(DISTINCT org) FROM rawjob UNION ALL SELECT 'learners', count(DISTINCT learner) FROM prow""",
         ERRL + ", " + NAT + ", " + CITYQ + ", " + SKR),
 }
+
+_LOADED = {"learner": "ent_learner", "country": "ent_country", "city": "ent_city", "skill": "ent_skill", "program": "ent_program", "company": "ent_company",
+           "has_skill": "edge_has_skill", "enrolled_in": "edge_enrolled_in", "works_for": "edge_works_for"}
+ORACLES["inc_load_raw"] = " UNION ALL ".join(
+    f"SELECT '{kind}' AS kind, count(*) AS n, count(*) AS committed, 2 AS version FROM ({ORACLES[name]})" for kind, name in _LOADED.items()
+) + f" UNION ALL SELECT 'has_learning_state', count(*), count(*), 2 FROM ({sql('SELECT * FROM se', learning('ent') + ', ' + state_edges('hl', 'state', 'se'))})"

@@ -3,12 +3,14 @@
 import csv
 import json
 import random
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
 from cohortgraph.bindings import star
 from cohortgraph.operators import entities, load
+from cohortgraph.operators.model import Graph
 from cohortgraph.plans import graph as G
 from cohortgraph.sources import readers, writers
 from cohortgraph.streaming import incremental
@@ -114,6 +116,31 @@ def test_load_and_read_back(spark, tmp_path):
     assert writers.clear(spark, path, confirm=True) and not (tmp_path / "graph").exists()
 
 
+def test_stopped_load_shows_the_version_before(spark, tmp_path):
+    path = str(tmp_path / "graph")
+    g = star.graph(spark, SF)
+    small = Graph(**{n: spark.createDataFrame(df.limit(5).collect(), df.schema) for n, df in g.members().items()})
+    with pytest.raises(ValueError, match="no committed graph"):
+        writers.read_graph(spark, path)
+    assert writers.write_graph(small, path)["version"] == 1
+    broken = replace(small, works_for=small.works_for.withColumn("learner", F.raise_error(F.lit("stopped here")).cast("string")), skill=small.skill.limit(1))
+    with pytest.raises(Exception, match="stopped here"):
+        writers.write_graph(broken, path)
+    seen = writers.read_graph(spark, path)
+    assert writers.graph_versions(spark, path) == [1] and seen.skill.count() == 5 and seen.works_for.count() == 5
+    less = replace(small, skill=small.skill.limit(2))
+    under_way = writers.read_graph(spark, path)
+    assert writers.write_graph(less, path)["rows"]["skill"] == 2
+    assert under_way.skill.count() == 5 and writers.read_graph(spark, path, 1).skill.count() == 5  # the version before is kept
+    assert writers.read_graph(spark, path).skill.count() == 2
+    writers.write_graph(small, path)
+    assert writers.graph_versions(spark, path) == [2, 3]
+    with pytest.raises(RuntimeError, match="another load"):
+        writers._publish(spark, path, 3, {})
+    with pytest.raises(ValueError, match="holds a graph"):
+        writers.write_graph(small, path, mode="error")
+
+
 def test_node_table_names(spark):
     df = spark.createDataFrame([("h", "EG")], "hashed_email string, country_of_residence_code string")
     assert writers.to_node_table(df, "Learner").columns == ["hashedEmail", "countryOfResidenceCode"]
