@@ -737,27 +737,50 @@ def reachable(edges: DataFrame, start: DataFrame, depth: int | None = None) -> D
 def g43_shortest_path(edges: DataFrame, start: DataFrame, goal: str, max_depth: int | None = None) -> DataFrame:
     """Shortest undirected path from ``start`` nodes to ``goal``, the alphabetically first one.
 
-    Hops go on until the goal is found or nothing new is reached (no row). With ``max_depth`` a
-    walk that stops at the bound says so: one row without path, its length the bound. One best path
-    per node and hop is kept; each frontier is stored.
+    The search goes on from both ends, each time from the end whose frontier is smaller, until a frontier meets
+    the other's or one end reaches nothing new (no row). With ``max_depth`` a walk that stops at the bound says
+    so: one row without path, its length the bound. Frontiers hold nodes with one pointer to the node before,
+    no paths, and are stored. From where they meet, the nodes of shortest paths are walked back to the start,
+    each with the first of its followers, and the path is read off these pointers.
     """
     spark = edges.sparkSession
-    both, path = _both_ways(edges), work_folder(spark, "walk-paths")
-    start.select("node", F.array("node").alias("path")).distinct().write.parquet(f"{path}/hop=0")
-    hop = 0
+    both, path = _both_ways(edges), work_folder(spark, "walk-ends")
+
+    def level(side: str, hop: int) -> DataFrame:
+        return spark.read.schema("node string, next string").parquet(f"{path}/{side}/hop={hop}")
+
+    def seen(side: str) -> DataFrame:
+        return spark.read.schema("node string, next string").parquet(f"{path}/{side}").select("node")
+
+    none = F.lit(None).cast("string").alias("next")
+    start.select(F.col("node").cast("string").alias("node"), none).distinct().write.parquet(f"{path}/ahead/hop=0")
+    spark.range(1).select(F.lit(goal).alias("node"), none).write.parquet(f"{path}/back/hop=0")
+    hops, sizes = {"ahead": 0, "back": 0}, {"ahead": level("ahead", 0).count(), "back": 1}
     while True:
-        frontier = spark.read.parquet(f"{path}/hop={hop}")
-        found = frontier.filter(F.col("node") == goal)
-        empty = frontier.isEmpty()
-        if empty or not found.isEmpty():
-            return found.select("path", F.lit(hop).alias("length")).orderBy("path").limit(1)
-        if max_depth is not None and hop >= max_depth:
-            return frontier.limit(1).select(F.lit(None).cast("array<string>").alias("path"), F.lit(max_depth).alias("length"))
-        step = frontier.select(F.col("node").alias("src"), "path").join(both, "src")
-        step = step.groupBy(F.col("dst").alias("node")).agg(F.min("path").alias("path"))
-        seen = spark.read.parquet(path).select("node")
-        hop += 1
-        step.join(seen, "node", "left_anti").select("node", F.concat("path", F.array("node")).alias("path")).write.parquet(f"{path}/hop={hop}")
+        met = level("back", hops["back"]).join(level("ahead", hops["ahead"]).select("node"), "node", "left_semi")
+        if not met.isEmpty():
+            break
+        if not all(sizes.values()):
+            return spark.range(0).select(F.array(F.lit("")).alias("path"), F.lit(0).alias("length"))
+        if max_depth is not None and sum(hops.values()) >= max_depth:
+            return spark.range(1).select(F.lit(None).cast("array<string>").alias("path"), F.lit(max_depth).alias("length"))
+        side = min(sizes, key=sizes.get)
+        step = level(side, hops[side]).select(F.col("node").alias("src")).join(both, "src")
+        step = step.groupBy(F.col("dst").alias("node")).agg(F.min("src").alias("next")).join(seen(side), "node", "left_anti")
+        hops[side] += 1
+        step.write.parquet(f"{path}/{side}/hop={hops[side]}")
+        sizes[side] = level(side, hops[side]).count()
+
+    layers = [work_table(met.select("node", "next"), "walk-layer")]
+    for hop in range(hops["ahead"] - 1, -1, -1):
+        before = layers[0].select(F.col("node").alias("src")).join(both, "src").groupBy(F.col("dst").alias("node")).agg(F.min("src").alias("next"))
+        layers.insert(0, work_table(before.join(level("ahead", hop).select("node"), "node", "left_semi"), "walk-layer"))
+    layers += [level("back", hop) for hop in range(hops["back"] - 1, -1, -1)]
+    walk = layers[0].orderBy("node").limit(1).select(F.col("node").alias("n0"), "next")
+    for i, layer in enumerate(layers[1:], start=1):
+        walk = walk.join(layer.select(F.col("node").alias(f"n{i}"), F.col("next").alias("_onward")), F.col("next") == F.col(f"n{i}"))
+        walk = walk.select(*[f"n{j}" for j in range(i + 1)], F.col("_onward").alias("next"))
+    return walk.select(F.array(*[f"n{j}" for j in range(len(layers))]).alias("path"), F.lit(len(layers) - 1).alias("length"))
 
 
 def g39_similar_context(g: Graph, learner: DataFrame | str, limit: int | None = 10) -> DataFrame:

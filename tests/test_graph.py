@@ -92,6 +92,35 @@ def test_reachable_and_shortest_path(world, spark):
     assert all(b in near[a] for a, b in zip(path.path, path.path[1:]))
 
 
+def test_first_of_the_shortest_paths_by_brute_force(spark):
+    rng = random.Random(12)
+    names = [f"n{i:02d}" for i in range(40)]
+    pairs = sorted({tuple(rng.sample(names, 2)) for _ in range(55)} | {("hub", n) for n in names[30:]})
+    near = {}
+    for a, b in pairs:
+        near.setdefault(a, set()).add(b)
+        near.setdefault(b, set()).add(a)
+
+    def brute(starts, goal):
+        paths, reached = sorted([s] for s in starts), set(starts)
+        while paths:
+            found = [p for p in paths if p[-1] == goal]
+            if found:
+                return min(found)
+            best = {}
+            for p in paths:
+                for n in near.get(p[-1], set()) - reached:
+                    best[n] = min(best.get(n, [*p, n]), [*p, n])
+            reached |= set(best)
+            paths = list(best.values())
+
+    df = spark.createDataFrame(pairs, "src string, dst string").repartition(3)
+    for starts, goal in ((["n00"], "n35"), (["n01", "n02", "n07"], "n11"), (["hub"], "n03"), (["n05"], "n05"), (["n06"], "nowhere")):
+        got = [tuple(r) for r in G.g43_shortest_path(df, spark.createDataFrame([(x,) for x in starts], "node string"), goal).collect()]
+        want = brute(starts, goal)
+        assert got == ([(want, len(want) - 1)] if want else [])
+
+
 def test_similar_learners(world):
     g, has, _, _ = world
     sets = {}
