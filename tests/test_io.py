@@ -202,6 +202,58 @@ def test_two_batches_equal_one_and_replay_changes_nothing(spark, tmp_path):
     assert _state(spark, target) == [("a", 2), ("b", 7), ("c", 3)]
 
 
+def test_compaction_beside_readers_and_an_ingest(spark, tmp_path, monkeypatch):
+    inbox, target = str(tmp_path / "in"), str(tmp_path / "out")
+    rng, rows = random.Random(3), []
+
+    def deliver(name):
+        new = [(rng.choice("abcdefghij") + str(rng.randrange(9)), rng.randrange(100), rng.randrange(12)) for _ in range(40)]
+        rows.extend((*r, len(rows) + i) for i, r in enumerate(new))
+        _drop(spark, inbox, name, new)
+        _ingest(spark, inbox, target)
+
+    def want():  # a batch keeps the last row by order; which of equals does not matter to the key's order value
+        last = {}
+        for k, _, o, _ in rows:
+            last[k] = max(last.get(k, o), o)
+        return last
+
+    def seen(df):
+        out = [(r.k, r.o) for r in df.collect()]
+        assert len(out) == len(set(out))
+        return dict(out)
+
+    def now():
+        return incremental.current(spark, target, ["k"], ["o"])
+
+    deliver("f0")
+    deliver("f1")
+    assert incremental.compact(spark, target, ["k"], ["o"], buckets=8) == 1 and seen(now()) == want()
+    reader, before = now(), want()  # planned on the first snapshot
+    deliver("f2")
+    (tmp_path / "out" / "log" / "batch_id=3" / "_temporary").mkdir(parents=True)  # a batch that is being written
+    assert seen(now()) == want()
+    assert incremental.compact(spark, target, ["k"], ["o"]) == 2 and seen(now()) == want()
+    assert seen(reader) == before
+    assert incremental.compact(spark, target, ["k"], ["o"]) == 2  # nothing to fold
+    deliver("f3")
+    monkeypatch.setattr(incremental, "_publish", lambda *a: (_ for _ in ()).throw(RuntimeError("stopped")))
+    with pytest.raises(RuntimeError, match="stopped"):
+        incremental.compact(spark, target, ["k"], ["o"])
+    assert seen(now()) == want()
+    monkeypatch.undo()
+    _drop(spark, inbox, "f4", [("a0", 1, 50)])
+    _ingest(spark, inbox, target)
+    rows.append(("a0", 1, 50, 0))
+    before = incremental.graph_manifest(spark, target)["base"]
+    assert incremental.compact(spark, target, ["k"], ["o"]) == 3 and seen(now()) == want()
+    deliver("f5")
+    _drop(spark, inbox, "f6", [("a0", 2, 60)])
+    _ingest(spark, inbox, target)
+    rows.append(("a0", 2, 60, 0))
+    assert seen(now()) == want() and len(before) <= 8
+
+
 def test_strict_country_mode_raises_for_an_unmapped_name(spark):
     rows = spark.createDataFrame([("Egypt",), ("Nowhere",)], "country_of_residence string")
     dim = entities.country_dim(spark.createDataFrame([("Egypt", "EG")], "name string, code string"))
