@@ -78,7 +78,8 @@ def _chunks(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[list[tupl
 def seeds(source: DataFrame, n: int) -> list[bytes]:
     """The most frequent training words, by the sums of what each chunk has among its 64n most frequent.
 
-    A word among the first n overall is far above that rank in every chunk where it counts, so the sums are exact for these.
+    A chunk where a word ranks below that adds nothing to its sum, so words near rank n overall can be others than by exact
+    counts. That only moves where clustering starts; the counts of the model itself come from the dictionaries and are exact.
     """
 
     def run(batches):
