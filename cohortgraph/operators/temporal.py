@@ -169,16 +169,18 @@ def _first_combinations(edges: DataFrame, state: str, sequence: list[str], k: in
     Every row that can start has a best combination, its earliest way. A combination among the first k
     starts in one of the k rows with the best earliest ways, and each prefix of it is among the first k
     prefixes that can be completed. So k rows are kept at each step, and nothing grows with the number of
-    states; only the kept rows' learners are read again.
+    states.
     """
     names = [f"date_{i + 1}" for i in range(len(sequence))]
-    heads = _with_pointers(edges, state, sequence).filter("ok_1").select(
+    oks = [f"ok_{i + 1}" for i in range(len(sequence))]
+    rows = _with_pointers(edges, state, sequence).select("learner", "start", "way", *oks).filter(" OR ".join(oks))
+    rows = work_table(rows, "sequence-rows")  # read for the heads and once for each further state
+    heads = rows.filter("ok_1").select(
         "learner", F.col("start").alias("date_1"), F.get("way", F.lit(0)).alias("date_2"))
     best = top_k(_with_months(heads, names[:2]), _sequence_order(sequence[:2]), k)
     best = work_table(best.select("learner", "date_1"), "sequence-heads")  # k rows
-    own = work_table(_with_pointers(edges.join(best.select("learner").distinct(), "learner", "left_semi"), state, sequence).drop("way"), "sequence-rows")
     for i, name in enumerate(names[1:], start=2):
-        ahead = own.filter(f"ok_{i}").select("learner", F.col("start").alias(name))
+        ahead = rows.filter(f"ok_{i}").select("learner", F.col("start").alias(name))
         best = best.join(ahead, "learner").filter(F.col(name) > F.col(names[i - 2]))
         best = top_k(_with_months(best, names[:i]), _sequence_order(sequence[:i]), k)
     return best.orderBy(*_sequence_order(sequence))

@@ -322,7 +322,8 @@ def skill_pairs(learner_skill: DataFrame, skill: str, top: int | None = None, he
     """
     held = work_table(learner_skill.select("learner", F.col(skill).alias("skill")).distinct(), "skill-pairs")
     counts = held.groupBy("skill").agg(N("*").alias("n"))
-    common = sorted(r.skill for r in top_k(counts, desc("n") + asc("skill"), heavy).collect())  # at most ``heavy`` names
+    ranked = [r.skill for r in top_k(counts, desc("n") + asc("skill"), heavy + 1).collect()]
+    common = sorted(ranked[:heavy])
     if not common:
         return held.select(F.col("skill").alias("skill1"), F.col("skill").alias("skill2"), F.lit(0).cast("long").alias("co_occurrence")).limit(0)
     names = F.array(*[F.lit(x) for x in common])
@@ -334,7 +335,10 @@ def skill_pairs(learner_skill: DataFrame, skill: str, top: int | None = None, he
     first = masks.select("w", bits.alias("bits")).select("w", "bits", F.posexplode("bits").alias("at", "b1"))
     second = first.select("w", "b1", F.explode(F.slice("bits", F.col("at") + 2, F.size("bits"))).alias("b2"))
     both_heavy = second.groupBy("b1", "b2").agg(F.sum("w").alias("co_occurrence"))
-    both_heavy = work_table(both_heavy.select(F.element_at(names, F.col("b1")).alias("skill1"), F.element_at(names, F.col("b2")).alias("skill2"), "co_occurrence"), "skill-pairs")
+    both_heavy = both_heavy.select(F.element_at(names, F.col("b1")).alias("skill1"), F.element_at(names, F.col("b2")).alias("skill2"), "co_occurrence")
+    if len(ranked) <= heavy:
+        return both_heavy
+    both_heavy = work_table(both_heavy, "skill-pairs")
 
     others = counts.filter(~F.col("skill").isin(*common))
     if top is not None:
