@@ -2,10 +2,12 @@
 
 Texts are compared without white space. Each map task first folds equal texts of a slice into one
 row, so a text that a third of all rows share reaches its owner as a few rows per task. The folded
-rows are dealt out and sorted by (length, content hash); each owner inserts the full byte strings
-into compressed radix tries, one subtree for each (length, hash) key. A terminal node stores the best row
-of its string. When the key moves on, or the subtree holds more than ``subtree_bytes``, the subtree
-is spilled: its terminals leave the task as rows, and a last aggregate by SHA-256 joins the parts.
+rows are dealt out by length and content hash, so equal texts have one owner. An owner goes through its
+length classes (powers of two) and inserts the full byte strings of a class into one compressed radix trie,
+whose strings share prefixes and branch where they differ. A terminal node stores the best row of its string.
+When a trie holds more than ``subtree_bytes``, its largest subtrees are spilled one by one until half of the
+limit is free: their terminals leave the task as rows. A last aggregate by SHA-256 joins what a string left
+before and after a spill.
 
 Defined cases: null counts as empty; of equal texts the row with the most code points, then the
 smallest id stays (a null id comes last); rows equal in id, length and text are one document and all
@@ -25,6 +27,8 @@ from pyspark.sql import functions as F
 from cohortgraph.llm import common
 
 SUBTREE_BYTES = 32 << 20
+#: What a node takes besides its label, in bytes.
+_NODE = 300
 _WHITE = common.WHITE.encode()
 
 
@@ -56,7 +60,7 @@ class Trie:
             child = node.children.get(key[at])
             if child is None:
                 child = node.children[key[at]] = Node(key[at:])
-                self.bytes += len(child.label)
+                self.bytes += len(child.label) + _NODE
                 node, at = child, len(key)
                 break
             label = child.label
@@ -65,6 +69,7 @@ class Trie:
                 continue
             same = _common(label, key[at : at + len(label)])
             upper = node.children[key[at]] = Node(label[:same])
+            self.bytes += _NODE
             child.label = label[same:]
             upper.children[child.label[0]] = child
             node, at = upper, at + same
@@ -73,14 +78,46 @@ class Trie:
 
     def spill(self) -> Iterator[tuple[bytes, tuple, int]]:
         """All terminals as (string, keeper, count); the trie is empty afterwards."""
-        stack = [(self.root, b"")]
-        self.root, self.bytes = Node(b""), 0
-        while stack:
-            node, prefix = stack.pop()
-            key = prefix + node.label
-            if node.count:
-                yield key, node.keeper, node.count
-            stack.extend((c, key) for c in node.children.values())
+        root, self.root, self.bytes = self.root, Node(b""), 0
+        yield from terminals(root, b"")
+
+    def spill_subtrees(self, limit: int) -> Iterator[tuple[bytes, tuple, int]]:
+        """Terminals of the largest subtrees, one subtree after another, until at most ``limit`` bytes are held."""
+        while self.bytes > limit:
+            path, node = b"", self.root
+            while len(node.children) == 1:  # below a prefix that all share
+                (node,) = node.children.values()
+                path += node.label
+            if not node.children:
+                yield from self.spill()
+                return
+            sizes = {first: held(child) for first, child in node.children.items()}
+            for first in sorted(sizes, key=sizes.get, reverse=True):
+                yield from terminals(node.children.pop(first), path)
+                self.bytes -= sizes[first]
+                if self.bytes <= limit:
+                    return
+
+
+def terminals(top: Node, prefix: bytes) -> Iterator[tuple[bytes, tuple, int]]:
+    """(string, keeper, count) of every terminal at or below a node."""
+    stack = [(top, prefix)]
+    while stack:
+        node, before = stack.pop()
+        key = before + node.label
+        if node.count:
+            yield key, node.keeper, node.count
+        stack.extend((c, key) for c in node.children.values())
+
+
+def held(top: Node) -> int:
+    """Bytes of a node and all below it."""
+    total, stack = 0, [top]
+    while stack:
+        node = stack.pop()
+        total += len(node.label) + _NODE
+        stack.extend(node.children.values())
+    return total
 
 
 def _common(a: bytes, b: bytes) -> int:
@@ -99,6 +136,9 @@ def _owned(subtree_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie, at, out = Trie(), None, []
 
+        def leaving(spilled) -> Iterator[tuple]:
+            return ((hashlib.sha256(k).digest(), *keeper, n) for k, keeper, n in spilled)
+
         def flush() -> pa.RecordBatch:
             rows, out[:] = list(out), []
             return pa.RecordBatch.from_arrays(
@@ -110,14 +150,21 @@ def _owned(subtree_bytes: int):
         for batch in batches:
             ids = batch.schema.field("best_id").type
             for part in common.cut(batch, "norm"):
-                for size, h, norm, chars, best, n in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                    if (size, h) != at or trie.bytes > subtree_bytes:
-                        out.extend((hashlib.sha256(k).digest(), *keeper, m) for k, keeper, m in trie.spill())
-                        at = (size, h)
+                for size, _, norm, chars, best, n in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                    gone = ()
+                    if size.bit_length() != at:
+                        gone, at = trie.spill(), size.bit_length()
+                    elif trie.bytes > subtree_bytes:
+                        gone = trie.spill_subtrees(subtree_bytes // 2)
+                    for row in leaving(gone):
+                        out.append(row)
+                        if len(out) >= 4096:
+                            yield flush()
                     trie.add(norm, (chars, best), n)
-                if len(out) >= 4096:
-                    yield flush()
-        out.extend((hashlib.sha256(k).digest(), *keeper, m) for k, keeper, m in trie.spill())
+        for row in leaving(trie.spill()):
+            out.append(row)
+            if len(out) >= 4096:
+                yield flush()
         if out:
             yield flush()
 

@@ -19,7 +19,7 @@ def sha(b):
     return hashlib.sha256(b if isinstance(b, bytes) else b.encode()).hexdigest()
 
 
-@pytest.mark.parametrize("subtree_bytes", [1, 1 << 20])
+@pytest.mark.parametrize("subtree_bytes", [1, 3000, 1 << 20])
 def test_exact_dedup(docs_of, rows, subtree_bytes):
     got = sorted(map(tuple, exact_dedup.dedup(docs_of(rows), subtree_bytes=subtree_bytes).collect()), key=str)
     groups = defaultdict(list)
@@ -46,6 +46,23 @@ def test_trie_keeps_strings_apart():
     assert not list(trie.spill())
 
 
+def test_trie_branches_and_spills_by_subtree():
+    trie = exact_dedup.Trie()
+    keys = [b"shared-" + c * 3 + bytes([48 + k]) * (20 if c == b"a" else 2) for c in (b"a", b"b", b"c") for k in range(8)] + [b"shared-", b"shared-aaa"]
+    for i, key in enumerate(keys):
+        trie.add(key, (1, i), 1)
+    (stem,) = trie.root.children.values()
+    assert stem.label == b"shared-" and stem.count == 1 and sorted(stem.children) == [97, 98, 99]
+    assert len(stem.children[97].children) == 8 and trie.bytes == exact_dedup.held(trie.root) - exact_dedup._NODE
+    gone = list(trie.spill_subtrees(trie.bytes - 1))
+    assert {k for k, _, _ in gone} == {k for k in keys if k.startswith(b"shared-a")}
+    assert trie.bytes == exact_dedup.held(trie.root) - exact_dedup._NODE
+    gone += trie.spill_subtrees(trie.bytes // 2)
+    gone += trie.spill()
+    assert sorted((k, keeper[1]) for k, keeper, _ in gone) == sorted((k, i) for i, k in enumerate(keys))
+    assert trie.bytes == 0 and not list(trie.spill_subtrees(0))
+
+
 @pytest.mark.parametrize(("length", "gram", "block"), [(40, 10, 512), (40, 10, 2), (25, 25, 3)])
 def test_substrings(docs_of, rows, length, gram, block):
     got = sorted(map(tuple, substrings.dedup(docs_of(rows), length=length, gram=gram, block=block).collect()), key=str)
