@@ -3,12 +3,13 @@
 Writing: of pages with equal payloads the one with the largest id becomes a ``response``, the others
 ``revisit`` records that refer to it. A response block (HTTP head and the payload in chunked transfer
 framing) of more than ``segment_bytes`` becomes a first segment and ``continuation`` records.
-Archives are gzip files of at most ``records_per_file`` pages, written by Spark's own text writer, so
-any file system of the cluster will do.
+Archives are gzip files written by Spark's own text writer, so any file system of the cluster will do.
+No block is longer than ``segment_bytes``, so a file of ``archive_bytes // segment_bytes`` records is bounded in
+bytes (headers aside), whatever the pages hold; the segments of a page may lie in several files.
 
-Reading: archives are parsed record by record as streams. Whole records are decoded where they are
-read; only segments are shuffled: continuations are grouped by the origin's record id, ordered by segment
-number, checked against the stated total length, joined, and then freed of the chunked framing.
+Reading: archives are parsed once, record by record as streams, and the records stored. Whole records are
+decoded where they lie; only segments are shuffled: continuations are grouped by the origin's record id, ordered by
+segment number, checked against the stated total length, joined, and then freed of the chunked framing.
 
 Defined cases: a null payload is empty; a null page id is written without id and read back as null;
 rows equal in id and payload are all responses; url may be null; a record whose segments are missing
@@ -31,7 +32,7 @@ from cohortgraph.llm import common
 
 SEGMENT_BYTES = 32 << 10
 CHUNK_BYTES = 4 << 10
-RECORDS_PER_FILE = 2000
+ARCHIVE_BYTES = 64 << 20
 DATE = "2026-01-01T00:00:00Z"
 _HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
 _RECORD = ("kind string, record_id string, page_id string, url string, refers_to string, digest string, "
@@ -113,7 +114,7 @@ def page_records(page_id: object, url: str | None, payload: bytes, keeper: objec
 
 
 def write(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", least_bytes: int = 0,
-          segment_bytes: int = SEGMENT_BYTES, records_per_file: int = RECORDS_PER_FILE) -> None:
+          segment_bytes: int = SEGMENT_BYTES, archive_bytes: int = ARCHIVE_BYTES) -> None:
     """Write the archives. Payloads of fewer than ``least_bytes`` are never revisits."""
     source = pages.select(F.col(f"`{id_col}`").alias("page_id"), F.col(f"`{url_col}`").cast("string").alias("url"),
                           F.coalesce(F.col(f"`{payload_col}`").cast("binary"), F.lit(b"")).alias("payload"))
@@ -128,14 +129,13 @@ def write(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col: str
     def make():
         def step(part: pa.RecordBatch) -> pa.RecordBatch:
             rows = zip(*(part.column(c).to_pylist() for c in ("page_id", "url", "payload", "keeper", "revisit")), strict=True)
-            # the records of a page stay together, with the line ends between them
-            return pa.RecordBatch.from_arrays([pa.array([b"\r\n\r\n".join(page_records(*r, segment_bytes)) for r in rows], pa.binary())], names=["record"])
+            return pa.RecordBatch.from_arrays([pa.array([x for r in rows for x in page_records(*r, segment_bytes)], pa.binary())], names=["record"])
 
         return step
 
     records = common.map_arrow(flagged, make, "record binary", "payload")
     writer = records.select(F.col("record").cast("string").alias("value")).write
-    writer.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", records_per_file).text(path)
+    writer.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", max(1, archive_bytes // segment_bytes)).text(path)
 
 
 def parse(stream: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -150,8 +150,8 @@ def parse(stream: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], bytes]]:
         yield fields, stream.read(int(fields.get("content-length", 0)))
 
 
-def records(spark: SparkSession, path: str, segmented: bool | None = None) -> DataFrame:
-    """The records of all archives below ``path``; segmented: only those that are (or are not) segments."""
+def records(spark: SparkSession, path: str) -> DataFrame:
+    """The records of all archives below ``path``."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,8 +162,6 @@ def records(spark: SparkSession, path: str, segmented: bool | None = None) -> Da
                 rows, size = [], 0
                 for f, block in parse(io.BufferedReader(gzip.GzipFile(fileobj=io.BytesIO(content.as_py())))):
                     number = f.get("warc-segment-number")
-                    if segmented is not None and segmented != (number is not None):
-                        continue
                     digest = f.get("warc-payload-digest")
                     rows.append((f["warc-type"], f.get("warc-record-id"), f.get("page-id"), f.get("warc-target-uri"), f.get("warc-refers-to"),
                                  digest and digest.rpartition(":")[2], number and int(number), f.get("warc-segment-origin-id"),
@@ -192,8 +190,9 @@ def reassembled(segments: DataFrame) -> DataFrame:
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """For each page record: kind, record_id, page_id (text), url, refers_to (record id), digest, payload (null for revisits), complete."""
-    whole = records(spark, path, segmented=False).filter("kind IN ('response', 'revisit')").drop("total")
-    parts = reassembled(records(spark, path, segmented=True)).select(whole.columns)
+    found = common.stored(records(spark, path), "warc-records")
+    whole = found.filter("segment IS NULL AND kind IN ('response', 'revisit')").drop("total")
+    parts = reassembled(found.filter("segment IS NOT NULL")).select(whole.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -209,9 +208,9 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 
 def round_trip(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", least_bytes: int = 0,
-               segment_bytes: int = SEGMENT_BYTES, records_per_file: int = RECORDS_PER_FILE) -> DataFrame:
+               segment_bytes: int = SEGMENT_BYTES, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """Write the archives to ``path`` and describe each page as read back: page_id, payload_bytes, payload_digest, record_type, refers_to."""
-    write(pages, path, id_col=id_col, url_col=url_col, payload_col=payload_col, least_bytes=least_bytes, segment_bytes=segment_bytes, records_per_file=records_per_file)
+    write(pages, path, id_col=id_col, url_col=url_col, payload_col=payload_col, least_bytes=least_bytes, segment_bytes=segment_bytes, archive_bytes=archive_bytes)
     kind = pages.schema[id_col].dataType
     back = read(pages.sparkSession, path).select(
         "kind", "record_id", F.col("page_id").cast(kind).alias("page_id"), "refers_to", "digest", F.octet_length("payload").cast("long").alias("payload_bytes"))
