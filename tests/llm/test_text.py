@@ -1,7 +1,9 @@
 """Decontamination, BPE, WARC, sharding and the language model against brute force and round trips."""
 
 import base64
+import gzip
 import hashlib
+import io
 import math
 import random
 import re
@@ -48,23 +50,27 @@ TEXTS = [(1, "before the QUICK brown-fox jumps over the lazy dog and then runs a
          (3, None), (4, ""), (5, "Alpha; beta gamma"), (5, "Alpha; beta gamma"), (None, "zebra ÄÖ zebra äö"), (6, "clean text " * 50)]
 
 
-@pytest.mark.parametrize("block_bytes", [1, 1 << 20])
-def test_decontamination(docs_of, block_bytes):
+@pytest.mark.parametrize("broadcast_bytes", [1, 1 << 20])
+def test_decontamination(docs_of, broadcast_bytes):
     docs, items = docs_of(TEXTS), docs_of(ITEMS, "item_id")
-    got = decontamination.digest(decontamination.scan(docs, items, block_bytes=block_bytes)).collect()
+    got = decontamination.digest(decontamination.scan(docs, items, broadcast_bytes=broadcast_bytes)).collect()
     assert sorted(map(tuple, got), key=str) == brute_scan(TEXTS, ITEMS)
 
 
-def test_decontamination_removes(docs_of):
+@pytest.mark.parametrize(("broadcast_bytes", "filter_words"), [(1 << 20, 1), (1, 1), (1, 1 << 10)])
+def test_decontamination_removes(docs_of, monkeypatch, broadcast_bytes, filter_words):
+    whole = decontamination.joined_hits
+    monkeypatch.setattr(decontamination, "joined_hits", lambda *a, **k: whole(*a, **k, filter_words=filter_words))
     docs, items = docs_of(TEXTS), docs_of(ITEMS, "item_id")
-    kept = decontamination.remove_documents(docs, items)
+    kept = decontamination.remove_documents(docs, items, broadcast_bytes=broadcast_bytes)
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.collect()) == [2, 3, 4, 6]
-    spans = {r.doc_id: r for r in decontamination.remove_spans(docs, items).collect()}
+    spans = {r.doc_id: r for r in decontamination.remove_spans(docs, items, broadcast_bytes=broadcast_bytes).collect()}
     assert spans[1].text.startswith("before  after") and spans[1].n_spans == 1
-    assert spans[5].text == "" and spans[6].text == TEXTS[-1][1]
-    assert decontamination.scan(docs, docs_of([], "item_id")).filter("contaminated").count() == 0
-    assert decontamination.scan(docs_of([]), items).count() == 0
+    assert spans[5].text == "" and spans[6].text == TEXTS[-1][1] and spans[3].text == ""
+    assert decontamination.scan(docs, docs_of([], "item_id"), broadcast_bytes=broadcast_bytes).filter("contaminated").count() == 0
+    assert decontamination.scan(docs, docs_of([(1, None)], "item_id"), broadcast_bytes=broadcast_bytes).filter("n_hit > 0").count() == 0
+    assert decontamination.scan(docs_of([]), items, broadcast_bytes=broadcast_bytes).count() == 0
 
 
 def library():
@@ -110,7 +116,9 @@ PAGES = [(1, "a" * 100), (2, "a" * 100), (3, "é" * 5000), (4, None), (5, ""), (
 def test_warc_round_trip(spark, docs_of, segment_bytes, least):
     pages = docs_of(PAGES, "page_id", "html").withColumn("url", F.when(F.col("page_id") > 4, F.lit("http://x/\r\ny")))
     path = common.folder(spark, "warc-test")
-    got = warc.round_trip(pages, path, least_bytes=least, segment_bytes=segment_bytes, records_per_file=2)
+    got = warc.round_trip(pages, path, least_bytes=least, segment_bytes=segment_bytes, archive_bytes=2 * segment_bytes)
+    sizes = [(len(list(warc.parse(x))), len(r.content)) for r in spark.read.format("binaryFile").load(f"{path}/*.gz").collect() for x in [io.BytesIO(gzip.decompress(r.content))]]
+    assert len(sizes) > 2 and all(k <= 2 for k, _ in sizes)
     keeper = {}
     for i, h in PAGES:
         keeper[h or ""] = i if keeper.get(h or "") is None else max(keeper[h or ""], i or -1)
@@ -129,7 +137,7 @@ def test_warc_round_trip(spark, docs_of, segment_bytes, least):
 def test_warc_incomplete_segments(spark, docs_of):
     path = common.folder(spark, "warc-test")
     warc.write(docs_of([(1, "q" * 3000), (2, "r" * 10)], "page_id", "html").withColumn("url", F.lit(None).cast("string")), path, segment_bytes=500)
-    parts = warc.records(spark, path, segmented=True)
+    parts = warc.records(spark, path).filter("segment IS NOT NULL")
     whole = warc.reassembled(parts).collect()
     assert warc.block_payload(bytes(whole[0].block)) == b"q" * 3000
     assert warc.reassembled(parts.filter("segment <> 3")).collect()[0].block is None
@@ -137,6 +145,13 @@ def test_warc_incomplete_segments(spark, docs_of):
     assert warc.unchunked(b"5\r\nabc") is None
 
 
+def test_warc_empty_table(spark, docs_of):
+    pages = docs_of([], "page_id", "html").withColumn("url", F.lit(None).cast("string"))
+    path = common.folder(spark, "warc-test")
+    assert warc.round_trip(pages, path).count() == 0
+    assert warc.read(spark, path).count() == 0
+
+
 @pytest.mark.parametrize(("limit", "step"), [(400, 2), (5000, 16), (1 << 30, 3)])
 def test_sharding(docs_of, rows, limit, step):
     got = sharding.assign(docs_of(rows), limit=limit, step=step).collect()
