@@ -161,20 +161,25 @@ def links(fps: DataFrame, *, radius: int = RADIUS, bucket_limit: int = BUCKET_LI
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(fp, root): the smallest fingerprint reachable, for every fingerprint that has a link."""
+    """(fp, root): the smallest fingerprint reachable, for every fingerprint that has a link.
+
+    Minima are stored before they meet the links they come from, so that the join deals out both sides itself and
+    can split a centre that many nodes are linked to.
+    """
     pairs = common.stored(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "simhash-pairs")
     state = None
     while True:
         # large star: larger neighbours of a node are linked to its smallest neighbour
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = common.stored(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "simhash-least")
+        large = common.stored(both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "simhash-large")
         # small star: a node and its smaller neighbours are linked to the smallest of them
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = common.stored(large.groupBy("u").agg(F.min("v").alias("m")), "simhash-low")
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
         last, pairs = pairs, common.stored(small.filter("u <> v").distinct(), "simhash-pairs")
         now = pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        common.drop_stored(last)
+        for done in (last, least, large, low):
+            common.drop_stored(done)
         if now == state:
             return pairs.groupBy(F.col("u").alias("fp")).agg(F.min("v").alias("root"))
         state = now
