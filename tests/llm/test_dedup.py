@@ -126,8 +126,8 @@ def line_rows():
     return [*rows, (500, None), (501, ""), (None, base[0]), (7, rows[7][1]), (8, "other\n" + base[3])]
 
 
-def test_line_dedup(docs_of):
-    rows = line_rows()
+def brute_lines(rows):
+    """(id, text without the lines that came before), and the lines that go because an earlier one is an edit away."""
     bare = lambda s: s.strip(" \t\r")
     order = lambda i, k: (i is None, i or 0, k)
     first = {}
@@ -138,11 +138,17 @@ def test_line_dedup(docs_of):
                 first[s] = min(first.get(s, order(i, k)), order(i, k))
     long = {s for s in first if len(s) >= line_dedup.MIN_CHARS}
     near = {s for s in long if any(first[o] < first[s] and within_one(o, s) for o in long if o != s)}
-    assert len(near) > 20
     want = []
     for i, t in rows:
         keep = [x for k, x in enumerate((t or "").split("\n")) if not bare(x) or (bare(x) not in near and first[bare(x)] == order(i, k))]
         want.append((i, None if t is None else "\n".join(keep)))
+    return want, near
+
+
+def test_line_dedup(docs_of):
+    rows = line_rows()
+    want, near = brute_lines(rows)
+    assert len(near) > 20
     got = line_dedup.dedup(docs_of(rows)).select("doc_id", "text").collect()
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
 
