@@ -2,10 +2,9 @@
 
 p(w | v) = p(class(w) | class(v)) * p(w | class(w)), with classes from exchange clustering.
 
-1. Seeds. The ``SEEDS`` most frequent words (found from each chunk's own most frequent ones) are
-   clustered by the exchange algorithm on their class bigrams over all training text: a word moves to
-   the class that raises the likelihood most until no word moves. The counts are a table of SEEDS^2
-   cells at most. All other words stand in it as one pseudo word.
+1. Seeds. The ``SEEDS`` most frequent words are clustered by the exchange algorithm on their class
+   bigrams over all training text: a word moves to the class that raises the likelihood most until no
+   word moves. The counts are a table of SEEDS^2 cells at most. All other words stand in it as one pseudo word.
 2. Every other word of the corpus then goes to the class under which its left and right neighbours are
    likeliest, the same criterion for one word at a time. These words are distributed by hash.
 3. Documents are coded in chunks of bounded size with a dictionary of the chunk's own words. Only
@@ -76,11 +75,7 @@ def _chunks(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[list[tupl
 
 
 def seeds(source: DataFrame, n: int) -> list[bytes]:
-    """The most frequent training words, by the sums of what each chunk has among its 64n most frequent.
-
-    A chunk where a word ranks below that adds nothing to its sum, so words near rank n overall can be others than by exact
-    counts. That only moves where clustering starts; the counts of the model itself come from the dictionaries and are exact.
-    """
+    """The most frequent training words, by exact counts (a word is one row a chunk); ties by byte order."""
 
     def run(batches):
         for rows in _chunks(batches, CHUNK_BYTES):
@@ -91,9 +86,7 @@ def seeds(source: DataFrame, n: int) -> list[bytes]:
                     found = np.bincount(np.fromiter(map(intern.__getitem__, words(text)), np.int64), minlength=len(intern))
                     found[: len(counts)] += counts
                     counts = found
-            top = np.sort(np.argsort(-counts, kind="stable")[: 64 * n])
-            names = list(intern)
-            yield pa.RecordBatch.from_arrays([pa.array([names[i] for i in top], pa.binary()), pa.array(counts[top], pa.int64())], names=["w", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(list(intern), pa.binary()), pa.array(counts)], names=["w", "n"])
 
     found = source.mapInArrow(run, "w binary, n long").groupBy("w").agg(F.sum("n").alias("n"))
     return [bytes(r.w) for r in found.orderBy(F.desc("n"), "w").limit(n).collect()]

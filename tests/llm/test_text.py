@@ -242,6 +242,61 @@ def test_language_model_sums_to_one(docs_of):
     assert np.allclose((after * known).sum(1) + unknown, 1)
 
 
+def test_language_model_against_a_plain_version(docs_of, monkeypatch):
+    """With every word a seed the classes are those of the exchange, and the score is what plain loops give."""
+    monkeypatch.setattr(brown, "CHUNK_BYTES", 2000)
+    rows, classes = lm_rows()[:120], 5
+    split = lambda t: [w.encode() for w in lower(t).split()]
+    train = [split(t) for i, t in rows if not held(i)]
+    counts = Counter(w for ws in train for w in ws)
+    order = sorted(counts, key=lambda w: (-counts[w], w))
+    at = {w: i for i, w in enumerate(order)}
+    bigrams = np.zeros((len(at) + 2, len(at) + 2), np.int64)
+    for ws in train:
+        seq = [len(at) + 1, *(at[w] for w in ws), len(at) + 1]
+        for a, b in zip(seq, seq[1:], strict=False):
+            bigrams[a, b] += 1
+    group = dict(zip(order, brown.exchange(bigrams, classes).tolist(), strict=True))
+    follow, size, kinds = Counter(), Counter({classes: len(train)}), Counter()
+    for ws in train:
+        before = classes
+        for c in [*(group[w] for w in ws), classes]:
+            follow[before, c] += 1
+            before = c
+    for w, n in counts.items():
+        size[group[w]] += n
+        kinds[group[w]] += 1
+    once, twice = (sum(n == k for n in counts.values()) for k in (1, 2))
+    cut, every = once / (once + 2 * twice), range(classes + 1)
+    after = {}
+    for h in every:
+        row = sum(follow[h, c] for c in every)
+        for c in every:
+            after[h, c] = (follow[h, c] + (size[c] + 1) / (sum(size.values()) + classes + 1)) / (row + 1)
+    want = {}
+    for i, t in rows:
+        before, p = classes, 0.0
+        for w in split(t):
+            if w in counts:
+                c = group[w]
+                p += math.log10(after[before, c] * (counts[w] - cut) / size[c])
+                before = c
+            else:
+                p += math.log10(sum(after[before, c] * (cut * kinds[c] / size[c] if size[c] else 1.0) for c in range(classes)))
+        want[i] = p + math.log10(after[before, classes])
+    got = brown.score(docs_of(rows), common.id_remainder(F.col("doc_id"), 7) == 2, classes=classes, seed_words=10_000).collect()
+    assert len(got) == len(rows) and any(r.held_out and r.n_known < r.n_tokens for r in got)
+    assert all(abs(r.score - want[r.doc_id]) < 1e-6 for r in got)
+
+
+def test_seeds_are_the_most_frequent_words(docs_of, monkeypatch):
+    """Also where a word is never among the first of its chunk: each chunk has many words of its own that are more frequent there."""
+    monkeypatch.setattr(brown, "CHUNK_BYTES", 500)
+    rows = [(i, " ".join(f"own{i}x{j} own{i}x{j}" for j in range(150)) + " spread") for i in range(12)]
+    source = docs_of(rows).select("doc_id", F.lit(False).alias("held_out"), F.col("text").cast("binary").alias("text"))
+    assert brown.seeds(source, 1) == [b"spread"]
+
+
 def likelihood(bigrams, own, classes):
     member = np.eye(classes + 2)[np.concatenate([own, [classes, classes + 1]])]
     table = member.T @ bigrams @ member
