@@ -34,7 +34,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from cohortgraph.llm import common
 
 CLASSES = 32
-SEEDS = 512
+SEEDS = 2048
 SWEEPS = 20
 CHUNK_BYTES = 16 << 20
 _UPPER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
