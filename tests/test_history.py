@@ -277,3 +277,13 @@ def test_venture_placement_of_a_row_makes_its_jobs_ventures(spark):
     placed = history.professional_history(jobs.withColumn("placement_is_venture", F.lit(True)), str(AS_OF))
     assert plain[-1] != "Entrepreneur"
     assert [r.status for r in placed.orderBy("step").collect()][-1] == "Entrepreneur"
+
+
+def test_jobs_are_shuffled_once(spark):
+    """Entries are computed once and shuffled by learner; edges and transitions of the history add no shuffle."""
+    rows = [(f"p{i % 7}", i, 0, "Org", "Clerk", f"19{90 + i % 9}-01-0{1 + i % 5}", None, "1") for i in range(60)]
+    df = professional(spark, rows)
+    for result in (df, edges.has_professional_status(df)):
+        plan = result._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Scan") <= 1
+    assert df.filter("details = 'Clerk at Org'").count() == 60
