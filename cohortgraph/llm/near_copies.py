@@ -7,6 +7,9 @@ where a breadth-first search by exact similarity emits a spanning forest of the
 A bucket of more than ``bucket_limit`` sets is dealt out in tiles of two parts each, so every pair still
 meets and no task holds more than two parts. Components come from the star contraction of ``simhash``.
 
+With a ``radius`` the SimHash fingerprints of op9 give candidates too: the sets of a component of fingerprints
+(covering masks, all pairs within the radius) are a bucket like those of the bands, and checked exactly like them.
+
 Defined cases: fewer than five words make one shingle; null and wordless texts have the empty set and
 are one group; of a group the row with the smallest id stays (a null id comes last, then the text hash
 decides), rows equal in id and text stay together.
@@ -52,19 +55,20 @@ def bands(grams: np.ndarray) -> list[int]:
     return [xxhash.xxh64_intdigest(row.tobytes(), i) - (1 << 63) for i, row in enumerate(least.reshape(BANDS, ROWS))]
 
 
-def _sketches(docs: DataFrame, shingle: int) -> DataFrame:
-    """(doc_id, h1, s, bands): hash of the text, digest of the set, keys of its bands."""
+def _sketches(docs: DataFrame, shingle: int, prints: bool) -> DataFrame:
+    """(doc_id, h1, s, bands, fp): hash of the text, digest of the set, keys of its bands, fingerprint if ``prints``."""
     source = docs.withColumn("text", F.col("text").cast("binary"))
 
     def make():
         def step(part: pa.RecordBatch) -> pa.RecordBatch:
             sets = [grams(t, shingle) for t in part.column("text").to_pylist()]
-            return pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("h1"), pa.array(map(digest, sets), pa.binary()), pa.array(map(bands, sets), pa.list_(pa.int64()))],
-                                              names=["doc_id", "h1", "s", "bands"])
+            fps = np.array([simhash.fingerprint(t) for t in part.column("text").to_pylist()] if prints else [0] * len(sets), np.uint64).view(np.int64)
+            return pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("h1"), pa.array(map(digest, sets), pa.binary()), pa.array(map(bands, sets), pa.list_(pa.int64())), pa.array(fps)],
+                                              names=["doc_id", "h1", "s", "bands", "fp"])
 
         return step
 
-    return common.map_arrow(source, make, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, h1 long, s binary, bands array<long>")
+    return common.map_arrow(source, make, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, h1 long, s binary, bands array<long>, fp long")
 
 
 def _sets(docs: DataFrame, shingle: int) -> DataFrame:
@@ -126,13 +130,25 @@ def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return common.texts(docs, id_col, text_col).withColumn("h1", F.xxhash64("text"))
 
 
+def _fingerprint_keys(own: DataFrame, radius: int) -> DataFrame:
+    """(s, k): a key for each group of fingerprints that links within the radius hold together, beside the sets of its texts."""
+    pairs = common.stored(own.filter(F.size("bands") > 0).select("s", "fp").distinct(), "near-fingerprints")
+    roots = common.stored(simhash.components(simhash.links(pairs.select("fp").distinct(), radius=radius)), "near-fingerprint-roots")
+    return pairs.join(roots, "fp", "left").select("s", F.xxhash64(F.lit("fp"), F.coalesce("root", "fp")).alias("k")).distinct()
+
+
 def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, similarity: int = SIMILARITY,
-           bucket_limit: int = BUCKET_LIMIT) -> DataFrame:
-    """For each row: doc_id, h1 (hash of its text), first (order of the row of its group that stays)."""
+           bucket_limit: int = BUCKET_LIMIT, radius: int | None = None) -> DataFrame:
+    """For each row: doc_id, h1 (hash of its text), first (order of the row of its group that stays).
+
+    ``radius``: texts whose fingerprints links of at most so many bits hold together are candidates as well; None: bands only.
+    """
     source = _source(docs, id_col, text_col)
-    own = common.stored(_sketches(source, shingle), "near-sketches")
+    own = common.stored(_sketches(source, shingle, radius is not None), "near-sketches")
     distinct = common.stored(own.groupBy("s").agg(F.min(_order()).alias("first"), F.min("bands").alias("bands")), "near-distinct")
     keyed = distinct.select("s", F.explode("bands").alias("k"))
+    if radius is not None:
+        keyed = keyed.unionByName(common.stored(_fingerprint_keys(own, radius), "near-fingerprint-keys"))
     ones = [F.bit_xor(F.xxhash64(F.lit(i), "s")).alias(f"x{i}") for i in range(2)]
     buckets = keyed.groupBy("k").agg(F.count("*").alias("n"), *ones).filter("n > 1").groupBy("n", "x0", "x1").agg(F.min("k").alias("k"))
     # stored, as are the tables below, so that the joins behind them can split a bucket or set that many rows share
@@ -156,9 +172,9 @@ def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", s
 
 
 def keep_first(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, similarity: int = SIMILARITY,
-               bucket_limit: int = BUCKET_LIMIT) -> DataFrame:
+               bucket_limit: int = BUCKET_LIMIT, radius: int | None = None) -> DataFrame:
     """The rows of ``docs``, all columns, that stay."""
-    found = groups(docs, id_col=id_col, text_col=text_col, shingle=shingle, similarity=similarity, bucket_limit=bucket_limit)
+    found = groups(docs, id_col=id_col, text_col=text_col, shingle=shingle, similarity=similarity, bucket_limit=bucket_limit, radius=radius)
     gone = found.filter(_order() != F.col("first")).select(F.col("doc_id").alias("_gone_id"), F.col("h1").alias("_gone_h1")).distinct()
     gone = common.stored(gone, "near-gone")
     same = docs[id_col].eqNullSafe(gone["_gone_id"]) & (F.xxhash64(F.coalesce(docs[text_col], F.lit(""))) == gone["_gone_h1"])

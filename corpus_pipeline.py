@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortgraph.llm import bpe, common, decontamination, line_dedup, near_copies, toxicity
+from cohortgraph.llm import bpe, common, decontamination, line_dedup, near_copies, simhash, toxicity
 
 
 def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,8 +28,9 @@ def lines_once(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies (five-word shingles, Jaccard similarity of 0.8)."""
-    return near_copies.keep_first(docs)
+    """The document with the smallest id of each group of near copies: candidates by fingerprints as in op9 (SimHash, 4 bits)
+    and, for copies beyond 4 bits, by bands of minhashes; all checked exactly (five-word shingles, Jaccard similarity of 0.8)."""
+    return near_copies.keep_first(docs, radius=simhash.RADIUS)
 
 
 def benchmark_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from cohortgraph.llm import near_copies
+from cohortgraph.llm import near_copies, simhash
 
 
 def shingles(text):
@@ -93,3 +93,28 @@ def test_forest_links_what_a_pivot_misses():
     order = [0, 3, 5, 1, 4, 2]
     found = list(near_copies.forest([bytes([i]) for i in order], [sets[i] for i in order], 800))
     assert sorted(tuple(sorted((a[0], b[0]))) for a, b in found) == [(i, i + 1) for i in range(5)]
+
+
+def test_pipeline_stage_runs_fingerprints(spark, docs_of, monkeypatch):
+    """Components of op9's fingerprints are buckets of the stage; the exact check parts those whose shingles differ."""
+    rng = random.Random(5)
+    prose = lambda n: " ".join("".join(rng.choice("bdfgklmnprst") + "aeiou"[rng.randrange(5)] for _ in range(3)) for _ in range(n))
+    refrain = prose(13)  # an odd number, so that the rest decides no bit
+    words = prose(2000).split()
+    texts = [" ".join([refrain] * 60 + [prose(14)]) for _ in range(2)] + [" ".join(words), " ".join([*words[:-1], "other"]), prose(60), None, ""]
+    prints = [simhash.fingerprint((t or "").encode()) for t in texts]
+    assert [(prints[i] ^ prints[i + 1]).bit_count() <= simhash.RADIUS for i in range(5)] == [True, False, True, False, False]
+    seen, run = [], near_copies._fingerprint_keys
+
+    def keys(own, radius):
+        out = run(own, radius)
+        named = out.join(own.select("doc_id", "s").distinct(), "s").collect()
+        seen.append((radius, {r.doc_id: r.k for r in named}))
+        return out
+
+    monkeypatch.setattr(near_copies, "_fingerprint_keys", keys)
+    kept = corpus_pipeline.near_duplicates_out(spark, docs_of(list(enumerate(texts))), "").collect()
+    (radius, k), = seen
+    assert radius == simhash.RADIUS and set(k) == set(range(5))
+    assert k[0] == k[1] and k[2] == k[3] and len({k[0], k[2], k[4]}) == 3
+    assert sorted(r.doc_id for r in kept) == [0, 1, 2, 4, 5]
