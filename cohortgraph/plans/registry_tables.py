@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from cohortgraph import schemas as S
 from cohortgraph.bindings import star
 from cohortgraph.functions import cleaning as C
+from cohortgraph.functions.jsoncols import has_fields, parse_json_array
 from cohortgraph.operators import edges, entities, keyed, load, parse, quality
 from cohortgraph.operators import states as ST
 from cohortgraph.plans import profiling as P
@@ -240,11 +241,13 @@ def _csv(spark, sf):
     columns = sorted(raw.columns, key=lambda c: (c == "type_of_disability", raw.columns.index(c)))  # NULL in all rows: they come short
     writers.export_csv(raw.select(*columns), path, bom=True)
     back = readers.read_learners(spark, "csv", {"path": path, "multi_line": True})
-    both = raw.alias("a").join(back.alias("b"), "row_ord")
+    rows = parse.once(back, text=F.col("learning_details"))  # the entries are parsed in their row: the files are read once
+    entries = F.filter(parse_json_array(F.col("text"), S.LEARNING_ARRAY), lambda e: has_fields(e, S.LEARNING_FIELDS))
+    rows = parse.once(rows, entries=entries).filter(F.size("entries") > 0)
+    both = raw.alias("a").join(rows.alias("b"), "row_ord")
     differing = sum((~F.coalesce(F.col(f"a.{c}"), F.lit("")).eqNullSafe(F.coalesce(F.col(f"b.{c}"), F.lit("")))).cast("int") for c in columns if c != "row_ord")
-    entries = parse.enrollments_raw(back).groupBy("row_ord").agg(F.max("program_name").alias("program_name"), F.max("enrollment_status").alias("enrollment_status"))
-    return both.select("row_ord", F.col("b.hashed_email"), F.col("b.full_name"), F.col("b.gender"), differing.alias("differing_cells"), F.lit(len(back.columns)).alias("columns")).join(
-        entries, "row_ord")
+    best = [F.array_max(F.col(f"b.entries.{c}")).alias(c) for c in ("program_name", "enrollment_status")]
+    return both.select("row_ord", F.col("b.hashed_email"), F.col("b.full_name"), F.col("b.gender"), differing.alias("differing_cells"), F.lit(len(back.columns)).alias("columns"), *best)
 
 
 def _csv_nulls(spark, sf):

@@ -34,12 +34,14 @@ def read_learners_csv(
     if multi_line:
         options |= {"columnNameOfCorruptRecord": CORRUPT, "multiLine": "true", "header": "false"}
         records = csv_records(spark, path).filter("record > 1")  # the first of each file is its header
-        df = records.select(F.from_csv("text", F.lit(", ".join(f"`{f.name}` STRING" for f in schema)), options).alias("r")).select("r.*")
+        dirty = F.col("text").contains("\u0000") | F.col("text").contains("\ufffd") | ~F.is_valid_utf8("text")
+        text = F.when(dirty, F.translate("text", "\u0000\ufffd", "")).otherwise(F.col("text"))  # once a record, and only where needed
+        df = records.select(F.from_csv(text, F.lit(", ".join(f"`{f.name}` STRING" for f in schema)), options).alias("r")).select("r.*")
     else:
         df = spark.read.schema(schema).options(**options, enforceSchema="true", columnNameOfCorruptRecord=CORRUPT).csv(path)
     clean = []
     for name in names:
-        c = F.translate(F.col(f"`{name}`"), "\u0000\ufffd", "")
+        c = F.col(f"`{name}`") if multi_line else F.translate(F.col(f"`{name}`"), "\u0000\ufffd", "")
         if null_tokens:
             c = F.when(~c.isin(*null_tokens), c)
         clean.append(c.alias(name))
@@ -48,68 +50,105 @@ def read_learners_csv(
     return df.select(*clean)
 
 
-_LINES = "file string, block long, line long, text binary, inside boolean, even int, odd int, odd_quotes boolean"
+def _scans():
+    """The functions of the scan tasks; made here, so that they travel to workers by value."""
 
+    def segments(batch: pa.RecordBatch) -> Iterator[tuple[tuple[str, int], pa.Array, np.ndarray]]:
+        """Runs of lines of one byte range: (file, block), the lines, and which have an odd number of quotes."""
+        file, block = batch.column("file"), np.asarray(batch.column("block"))
+        odd = np.asarray(pc.count_substring(batch.column("text"), b'"')).astype(np.int64) % 2
+        codes = np.asarray((file.dictionary_encode() if not isinstance(file, pa.DictionaryArray) else file).indices)
+        edges = np.flatnonzero((np.diff(codes) != 0) | (np.diff(block) != 0)) + 1
+        for s, e in zip([0, *edges.tolist()], [*edges.tolist(), len(block)], strict=True):
+            if s < e:
+                yield (file[s].as_py(), int(block[s])), batch.column("text").slice(s, e - s), odd[s:e]
 
-def _line_marker() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The function of a scan task; made here, so that it travels to workers by value."""
-
-    def marked_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Lines of byte ranges in their order: number in the range, and by quote parity what they would be.
-
-        ``inside``: an odd number of quotes came before in the range. ``even`` and ``odd``: records begun so far,
-        this line included, if the range itself begins outside or inside of quotes.
-        """
-        at, line, parity, begun = None, 0, 0, [0, 0]
+    def range_ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """What each part of a byte range does: if it flips the quote parity, records that begin in it if it begins outside (even) or inside (odd) of quotes."""
+        at, step, parity, begun = None, 0, 0, np.zeros(2, np.int64)
         for batch in batches:
-            file, block = batch.column("file"), np.asarray(batch.column("block"))
-            quotes = np.asarray(pc.count_substring(batch.column("text"), b'"')).astype(np.int64) % 2
-            names = file.dictionary_encode() if not isinstance(file, pa.DictionaryArray) else file
-            codes = np.asarray(names.indices)
-            edges = np.flatnonzero((np.diff(codes) != 0) | (np.diff(block) != 0)) + 1
-            for s, e in zip([0, *edges.tolist()], [*edges.tolist(), len(block)], strict=True):
-                if s == e:
-                    continue
-                if (file[s].as_py(), int(block[s])) != at:
-                    at, line, parity, begun = (file[s].as_py(), int(block[s])), 0, 0, [0, 0]
-                own = quotes[s:e]
+            rows = []
+            for here, _, own in segments(batch):
+                if here != at:
+                    at, step, parity, begun = here, 0, 0, np.zeros(2, np.int64)
                 before = (parity + np.cumsum(own) - own) % 2
-                starts = [begun[0] + np.cumsum(before == 0), begun[1] + np.cumsum(before == 1)]
-                yield pa.RecordBatch.from_arrays(
-                    [file.slice(s, e - s).cast(pa.string()), pa.array(block[s:e]), pa.array(np.arange(line, line + e - s)), batch.column("text").slice(s, e - s),
-                     pa.array(before == 1), *(pa.array(x.astype(np.int32)) for x in starts), pa.array(own == 1)],
-                    names=["file", "block", "line", "text", "inside", "even", "odd", "odd_quotes"])
-                line, parity, begun = line + e - s, int(before[-1] + own[-1]) % 2, [int(x[-1]) for x in starts]
-
-    return marked_lines
+                begun = begun + [(before == 0).sum(), (before == 1).sum()]
+                step, parity = step + 1, int(before[-1] + own[-1]) % 2
+                rows.append((*at, step, parity == 1, *map(int, begun)))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names=["file", "block", "step", "flips", "even", "odd"])
+
+    def assembler(starts: dict[tuple[str, int], tuple[bool, int]], whole: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        """Records of byte ranges whose state at their begin is known: those that lie in one range (``whole``), or the pieces of the others."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            at, parity, record, piece, held = None, 0, 0, False, []
+
+            def table(rows: list[tuple]) -> pa.RecordBatch:
+                return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.string(), pa.int64(), pa.int64(), pa.binary()), strict=True)],
+                                                  names=["file", "block", "record", "text"])
+
+            for batch in batches:
+                rows = []
+                for here, lines, own in segments(batch):
+                    if here != at:
+                        if held and not whole:
+                            rows.append((*at, record, b"\n".join(held)))
+                        at, held = here, []
+                        piece, record = starts[here]
+                        parity = int(piece)
+                    after = (parity + np.cumsum(own)) % 2
+                    parity, text = int(after[-1]), lines.to_pylist()
+                    begin = 0
+                    for end in (np.flatnonzero(after == 0) + 1).tolist():  # a record ends where no quote is open
+                        if not (held or piece):
+                            record += 1
+                        if piece != whole:
+                            rows.append((*at, record, b"\n".join([*held, *text[begin:end]])))
+                        begin, piece, held = end, False, []
+                    if begin < len(text):
+                        if not (held or piece):
+                            record += 1
+                        held += text[begin:]
+                if rows:
+                    yield table(rows)
+            if held and not whole:
+                yield table([(*at, record, b"\n".join(held))])
+
+        return run
+
+    return range_ends, assembler
 
 
 def csv_records(spark: SparkSession, path: str) -> DataFrame:
     """(file, record, text): the records of CSV files, quoted line breaks included; ``record`` counts from 1 in each file.
 
-    Every byte range of a file is a task. It cannot know if it begins inside of quotes, so it works out both
-    cases; one row a range (quote parity, records begun in either case) gives the true one by a running sum over
-    the ranges before. Lines that are whole records go on as they are, only parts of records with line breaks
-    are shuffled and put together. A quote that is never closed makes one record of the rest of its file. Line
-    breaks inside of fields stay as they are, blank records are left out.
+    Every byte range of a file is a task. It cannot know if it begins inside of quotes, so a first scan works out
+    both cases; one row a range (quote parity, records begun in either case) gives the true one by a running sum over
+    the ranges before. This list, one entry a range like the list of files of a scan, goes to the tasks that put
+    records together; only pieces of records that pass from range to range are shuffled. A quote that is never
+    closed makes one record of the rest of its file. Line breaks inside of fields stay as they are, blank records
+    are left out.
     """
+    range_ends, assembler = _scans()
     lines = spark.read.option("lineSep", "\n").text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("text"))
-    marked = lines.mapInArrow(_line_marker(), _LINES)
-    last = F.max_by(F.struct((F.col("inside") != F.col("odd_quotes")).alias("flips"), "even", "odd"), "line").alias("end")
-    ranges = work_table(marked.groupBy("file", "block").agg(last).select("file", "block", "end.*"), "csv-ranges")
+    ends = lines.mapInArrow(range_ends, "file string, block long, step long, flips boolean, even long, odd long")
+    ranges = work_table(ends.groupBy("file", "block").agg(F.max_by(F.struct("flips", "even", "odd"), "step").alias("end")).select("file", "block", "end.*"), "csv-ranges")
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = ranges.select("file", "block", "even", "odd", (F.coalesce(F.sum(F.col("flips").cast("int")).over(before), F.lit(0)) % 2 == 1).alias("quoted"))
+    quoted = ranges.select("file", "block", "even", "odd", (F.coalesce(F.sum(F.col("flips").cast("int")).over(before), F.lit(0)) % 2 == 1).alias("quoted"))
     begun = F.when(F.col("quoted"), F.col("odd")).otherwise(F.col("even"))
-    starts = starts.select(F.col("file").alias("_file"), F.col("block").alias("_block"), "quoted", F.coalesce(F.sum(begun).over(before), F.lit(0)).alias("earlier"))
-    placed = marked.join(starts, (F.col("file") == F.col("_file")) & (F.col("block") == F.col("_block")))
-    inside = F.col("inside") != F.col("quoted")
-    record = F.col("earlier") + F.when(F.col("quoted"), F.col("odd")).otherwise(F.col("even"))
-    placed = placed.select("file", record.alias("record"), "block", "line", "text", (~inside & ~F.col("odd_quotes")).alias("whole"))
-    parts = placed.filter("NOT whole").groupBy("file", "record").agg(F.sort_array(F.collect_list(F.struct("block", "line", F.col("text").cast("string").alias("t")))).alias("parts"))
-    joined = parts.select("file", "record", F.array_join(F.transform("parts", lambda p: p["t"]), "\n").alias("text"))
-    out = placed.filter("whole").select("file", "record", F.col("text").cast("string").alias("text")).unionByName(joined)
-    return out.select("file", "record", F.regexp_replace("text", "\r$", "").alias("text")).filter(F.trim("text") != "")
+    found = quoted.select("file", "block", "quoted", F.coalesce(F.sum(begun).over(before), F.lit(0)).alias("earlier")).collect()
+    starts = {(r.file, r.block): (r.quoted, r.earlier) for r in found}
+
+    def records(whole: bool) -> DataFrame:
+        return lines.mapInArrow(assembler(starts, whole), "file string, block long, record long, text binary")
+
+    pieces = records(False).groupBy("file", "record").agg(F.sort_array(F.collect_list(F.struct("block", F.col("text").cast("string").alias("t")))).alias("parts"))
+    joined = pieces.select("file", "record", F.array_join(F.transform("parts", lambda p: p["t"]), "\n").alias("text"))
+    out = records(True).select("file", "record", F.col("text").cast("string").alias("text")).unionByName(joined)
+    bare = F.when(F.col("text").endswith("\r"), F.regexp_replace("text", "\r$", "")).otherwise(F.col("text"))
+    return out.select("file", "record", bare.alias("text")).filter(F.trim("text") != "")
 
 
 def read_learners_parquet(spark: SparkSession, path: str) -> DataFrame:
