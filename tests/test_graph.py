@@ -7,6 +7,8 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from cohortgraph.bindings import star
+from cohortgraph.operators import edges
 from cohortgraph.operators.model import Graph
 from cohortgraph.plans import graph as G
 from cohortgraph.plans import journeys as J
@@ -163,3 +165,12 @@ def test_walks_reach_six_hops_and_say_when_they_stop(spark):
     assert [tuple(r) for r in G.g43_shortest_path(edges, start, "n6").collect()] == [([f"n{i}" for i in range(7)], 6)]
     assert [tuple(r) for r in G.g43_shortest_path(edges, start, "n6", 3).collect()] == [(None, 3)]
     assert G.g43_shortest_path(edges, start, "y").count() == 0
+
+
+def test_job_edges_by_numbers_equal_those_by_names(spark):
+    sf = "/root/testdata/sf0.001"
+    got, want = star.works_for_edges(spark, sf), edges.works_for(star.jobs(spark, sf))
+    assert got.schema.simpleString() == want.schema.simpleString()
+    assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str) != []
+    plan = next(x for x in got._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning(learner" in x)
+    assert "company#" in plan  # shuffled by the numbers, not by ids of 64 characters
