@@ -6,7 +6,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from cohortgraph.bindings import star
 from cohortgraph.operators import edges, history, temporal
+from cohortgraph.plans import registry_history
 
 AS_OF = dt.date(2001, 12, 31)
 ENTRY = "learner string, row_ord bigint, pos int, program_name string, cohort_code string, enrollment_status string, " \
@@ -287,3 +289,17 @@ def test_jobs_are_shuffled_once(spark):
         plan = result._jdf.queryExecution().executedPlan().toString()
         assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Scan") <= 1
     assert df.filter("details = 'Clerk at Org'").count() == 60
+
+
+def test_numbered_learners_give_the_rows_of_keyed_ones(spark):
+    """The registered history joins, shuffles and sorts numbers; the keys of learners come last."""
+    sf = "/root/testdata/sf0.001"
+    keyed = history.professional_history(star.jobs(spark, sf), star.AS_OF, star.learner_flags(spark, sf))
+    got = registry_history.professional(spark, sf)
+    assert got.columns == keyed.columns and got.exceptAll(keyed).isEmpty() and keyed.exceptAll(got).isEmpty()
+    for name in ("first_transitions", "adjacent_transitions"):
+        plain = getattr(temporal, name)(edges.has_professional_status(keyed), "status").collect()
+        numbered = getattr(temporal, name)(registry_history.numbered_status_edges(spark, sf), "status", name=star.learner_key).collect()
+        assert sorted(plain) == sorted(numbered)
+    plan = registry_history.numbered_professional(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "sha2" not in plan
