@@ -17,6 +17,10 @@ def _on_graph(question, **options):
     return lambda spark, sf_dir: as_text(question(star.graph(spark, sf_dir), **options))
 
 
+def _on_numbers(question, **options):
+    return lambda spark, sf_dir: as_text(question(star.numbered_graph(spark, sf_dir), **options))
+
+
 def _on_raw(question, **options):
     return lambda spark, sf_dir: question(star.raw_rows(spark, sf_dir), **options)
 
@@ -62,7 +66,7 @@ QUERIES = {
     "g07_lms_null_as_zero": _on_graph(G.g07_lms, null_as_zero=True),
     "g08_status_dist": _on_graph(G.g08_status_dist),
     "g09_top_skills": _on_graph(G.g09_top_skills),
-    "g10_skills_by_program": _on_graph(G.g10_skills_by_program, term="AI"),
+    "g10_skills_by_program": _on_numbers(G.g10_skills_by_program, term="AI"),
     "g11_skill_pair_filter": _on_graph(G.g11_skill_pair_filter, names=["Blue Python", "Red Python"], terms=["Data", "data"]),
     "g12_avg_skills": _on_graph(G.g12_avg_skills, min_n=100),
     "g13_learning_dist": _on_graph(G.g13_learning_dist),

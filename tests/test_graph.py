@@ -7,6 +7,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from cohortgraph.bindings import star
 from cohortgraph.operators import edges
 from cohortgraph.operators.model import Graph
@@ -174,3 +175,13 @@ def test_job_edges_by_numbers_equal_those_by_names(spark):
     assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str) != []
     plan = next(x for x in got._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning(learner" in x)
     assert "company#" in plan  # shuffled by the numbers, not by ids of 64 characters
+
+
+def test_skills_by_program_shuffle_numbers(spark):
+    """The graph of numbers answers as the stored one, and its plan makes no learner key."""
+    sf = "/root/testdata/sf0.001"
+    got, want = (G.g10_skills_by_program(g(spark, sf), term="AI", limit=1000) for g in (star.numbered_graph, star.graph))
+    assert got.collect() == want.collect()
+    assert "sha2" not in entry.queries()["g10_skills_by_program"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    edges_of = star.has_skill_edges(spark, sf)
+    assert edges_of.count() == edges_of.distinct().count() == star.numbered_skill_edges(spark, sf).count()
