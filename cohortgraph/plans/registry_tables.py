@@ -22,7 +22,7 @@ from cohortgraph.sources import readers, writers
 from cohortgraph.streaming import incremental
 
 AS_OF = star.AS_OF
-
+CSV_RECORDS = 50_000  # of a compressed file
 
 
 @star.per_session
@@ -311,11 +311,15 @@ def _progress(spark, sf):
 
 
 def _factory(spark, sf):
-    """The raw table written once in each file format and read back by the reader of that name."""
+    """The raw table written once in each file format and read back by the reader of that name.
+
+    The CSV files are compressed. Such a file is one task's work, so its records are bounded.
+    """
     path = _folder(spark)
     raw = star.raw_rows(spark, sf).drop("row_ord")
     raw.write.parquet(f"{path}/parquet")
-    spark.read.parquet(f"{path}/parquet").write.option("header", "true").option("escape", '"').csv(f"{path}/csv")
+    csv = spark.read.parquet(f"{path}/parquet").write.option("header", "true").option("escape", '"')
+    csv.option("compression", "gzip").option("maxRecordsPerFile", CSV_RECORDS).csv(f"{path}/csv")
     parts = [
         readers.read_learners(spark, name, {"path": f"{path}/{name}"} | options).agg(
             F.lit(name).alias("source"), _n().alias("n"), F.countDistinct("hashed_email").alias("learners"), F.count_if(F.col("is_wage_employed") == "1").alias("wage"))

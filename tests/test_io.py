@@ -13,6 +13,7 @@ from cohortgraph.bindings import star
 from cohortgraph.operators import entities, load
 from cohortgraph.operators.model import Graph
 from cohortgraph.plans import graph as G
+from cohortgraph.plans import registry_tables
 from cohortgraph.sources import readers, writers
 from cohortgraph.streaming import incremental
 
@@ -279,3 +280,20 @@ def test_strict_country_mode_raises_for_an_unmapped_name(spark):
         strict.collect()
     auto = entities.with_country_code(rows, dim, mode="auto").collect()
     assert {r.country_code for r in auto} == {"EG", "auto:NOWHERE"}
+
+
+def test_compressed_csv_with_line_breaks_is_read_back(spark, tmp_path):
+    """Bounded gzip files, each with its header; the factory's query writes such files."""
+    rows = [(str(i), f'line {i}\nsays "{i}", end') for i in range(25)]
+    spark.createDataFrame(rows, "a string, b string").coalesce(1).write.option("header", "true").option("escape", '"').option(
+        "compression", "gzip").option("maxRecordsPerFile", 10).csv(str(tmp_path / "csv"))
+    assert len(list((tmp_path / "csv").glob("*.csv.gz"))) == 3
+    back = readers.read_learners(spark, "csv", {"path": str(tmp_path / "csv"), "multi_line": True})
+    assert sorted(tuple(r) for r in back.collect()) == sorted(rows)
+
+
+def test_factory_writes_compressed_csv(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(registry_tables, "_folder", lambda spark: str(tmp_path / "f"))
+    registry_tables._factory(spark, "/root/testdata/sf0.001").collect()
+    files = [p.name for p in (tmp_path / "f" / "csv").iterdir() if p.name.startswith("part-")]
+    assert files and all(n.endswith(".csv.gz") for n in files)
