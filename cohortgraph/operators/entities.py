@@ -128,6 +128,11 @@ def learners(raw: DataFrame, dim: DataFrame, **options) -> DataFrame:
     return last_by(rows, ["hashed_email"], "row_ord", list(LEARNER_COLUMNS)).select(*LEARNER_COLUMNS)
 
 
+def learner_keys(raw: DataFrame) -> DataFrame:
+    """The keys of the learner table, without its values."""
+    return raw.select(C.norm_str(F.col("hashed_email")).alias("hashed_email")).filter(F.col("hashed_email").isNotNull()).distinct()
+
+
 def countries(raw: DataFrame, dim: DataFrame, mode: str = "null") -> DataFrame:
     """Countries of residence (with coordinates) and origin (without); first occurrence wins."""
     def side(name: str, lat: str | None, lon: str | None, rank: int) -> DataFrame:

@@ -297,3 +297,11 @@ def test_factory_writes_compressed_csv(spark, tmp_path, monkeypatch):
     registry_tables._factory(spark, "/root/testdata/sf0.001").collect()
     files = [p.name for p in (tmp_path / "f" / "csv").iterdir() if p.name.startswith("part-")]
     assert files and all(n.endswith(".csv.gz") for n in files)
+
+
+def test_learners_are_counted_by_keys(spark):
+    raw = star.raw_rows(spark, SF)
+    dim = entities.country_dim(star.country_mapping(spark, SF))
+    keys = entities.learner_keys(raw)
+    assert keys.count() == entities.learners(raw, dim).count() > 0
+    assert "from_json" not in keys._jdf.queryExecution().optimizedPlan().toString()
