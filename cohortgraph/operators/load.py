@@ -8,32 +8,46 @@ from pyspark.sql import functions as F
 from cohortgraph import schemas as S
 from cohortgraph.functions import cleaning as C
 from cohortgraph.operators import edges, entities, history, parse
+from cohortgraph.operators.keyed import last_by
 from cohortgraph.operators.model import Graph
-from cohortgraph.session import work_table
+from cohortgraph.session import bucketed_table
 from cohortgraph.sources.writers import write_graph
 
 
 def load_graph(raw: DataFrame, dim: DataFrame, path: str, as_of: str, **options) -> dict:
     """Build and store the graph, dimensions first; returns the manifest that makes it visible as a whole.
 
-    What feeds several tables is written once to the shared folder and read back: the typed
-    enrolment and job entries, and the learner table.
+    What feeds several tables is written once to the shared folder and read back: the typed enrolment and job
+    entries, the learner table and the flags. They are stored in buckets of learners, so the entries pass one
+    shuffle, and the edges and histories made of them none.
     """
-    years = options.get("years", C.YEARS)
+    years, parity = options.get("years", C.YEARS), options.get("parity", False)
     entries = (
-        work_table(edges.typed_enrollments(parse.enrollments_raw(raw), years=years), "load-enrolments"),
-        work_table(edges.typed_jobs(parse.jobs_raw(raw), years=years), "load-jobs"),
+        bucketed_table(enrolment_entries(raw, years), "load-enrolments", "learner"),
+        bucketed_table(job_entries(raw, years, parity), "load-jobs", "learner"),
     )
     return write_graph(build_graph(raw, dim, as_of, entries=entries, store=True, **options), path)
 
 
+def enrolment_entries(raw: DataFrame, years: tuple[int, int] | None) -> DataFrame:
+    return edges.typed_enrollments(parse.enrollments_raw(raw), years=years)
+
+
+def job_entries(raw: DataFrame, years: tuple[int, int] | None, parity: bool) -> DataFrame:
+    """Typed jobs with the kind of their row's placement."""
+    rows = parse.with_placement_flags(raw.select("hashed_email", "row_ord", "employment_details", "placement_details"), parity)
+    return edges.typed_jobs(parse.jobs_raw(rows, keep=("placement_is_venture",)), years=years)
+
+
 def last_flags(raw: DataFrame, parity: bool = False) -> DataFrame:
-    """The status flags of each learner's last row, as the learner table takes them, with the kind of its placement."""
-    flags = F.struct(*[C.is_set(F.col(c)).alias(n) for c, n in (
-        ("is_running_a_venture", "is_venture"), ("is_wage_employed", "is_wage"), ("is_a_freelancer", "is_freelancer"))])
-    last = raw.groupBy(F.col("hashed_email").alias("learner")).agg(F.max_by(flags, "row_ord").alias("f")).select("learner", "f.*")
-    placed = parse.placement_flags(raw, parity).groupBy("learner").agg(F.max_by("placement_is_venture", "row_ord").alias("placement_is_venture"))
-    return last.join(placed, "learner")
+    """The status flags of each learner's last row, as the learner table takes them, with the kind of its placement and
+    whether it has no employment text (``bare``). Rows without a key have none."""
+    flags = {n: C.is_set(F.col(c)) for c, n in (
+        ("is_running_a_venture", "is_venture"), ("is_wage_employed", "is_wage"), ("is_a_freelancer", "is_freelancer"))}
+    rows = parse.with_placement_flags(raw.filter(F.col("hashed_email").isNotNull()).select(
+        F.col("hashed_email").alias("learner"), "row_ord", "placement_details",
+        *[c.alias(n) for n, c in flags.items()], (F.coalesce("employment_details", F.lit("")) == "").alias("bare")), parity)
+    return last_by(rows, ["learner"], "row_ord", [*flags, "placement_is_venture", "bare"])
 
 
 def build_graph(
@@ -52,26 +66,27 @@ def build_graph(
 
     About a dozen outputs read the raw table, each only its own columns; store the graph
     (``load_graph``) rather than querying the returned plans again and again. ``entries`` are
-    already parsed and typed (enrolments, jobs); ``years`` bounds usable dates; ``store`` writes the learner table before the
-    histories read it.
+    already parsed and typed (enrolments, jobs with the kind of their row's placement); ``years`` bounds usable dates;
+    ``store`` writes the learner table and the flags before the histories read them.
     """
-    enrolments, jobs = entries or (
-        edges.typed_enrollments(parse.enrollments_raw(raw), years=years), edges.typed_jobs(parse.jobs_raw(raw), years=years)
-    )
+    enrolments, jobs = entries or (enrolment_entries(raw, years), job_entries(raw, years, parity))
     skills = parse.learner_skills(raw)
     learner = entities.learners(raw, dim, snapshot=snapshot, parity=parity)
-    learner = work_table(learner, "load-learners") if store else learner
+    learner = bucketed_table(learner, "load-learners", "hashed_email") if store else learner
     states = statuses = None
     if with_history:
         current = learner.select(F.col("hashed_email").alias("learner"), F.col("current_learning_state").alias("state"))
-        text = raw.groupBy(F.col("hashed_email").alias("learner")).agg(F.max_by(F.coalesce(F.col("employment_details"), F.lit("")) == "", "row_ord").alias("bare"))
-        people = learner.select(F.col("hashed_email").alias("learner"), "current_professional_status").join(text, "learner").select(
+        flags = last_flags(raw, parity)
+        flags = bucketed_table(flags, "load-flags", "learner") if store else flags
+        people = learner.select(F.col("hashed_email").alias("learner"), "current_professional_status").join(flags, "learner").select(
             "learner", F.when(F.col("bare"), F.col("current_professional_status")).alias("snapshot_status"))
-        placed = jobs.join(parse.placement_flags(raw, parity).select("learner", "row_ord", "placement_is_venture"), ["learner", "row_ord"], "left")
-        past = history.learning_history(enrolments, as_of)
-        learning = history.with_snapshot(work_table(past, "load-learning") if store else past, current, snapshot)
-        work = history.professional_history(placed, as_of, last_flags(raw, parity), learners=people)
-        states, statuses = edges.has_learning_state(learning), edges.has_professional_status(work)
+        past = history.learning_history(enrolments, as_of, by_learner=store)
+        work = history.professional_history(jobs, as_of, flags.drop("bare"))
+        # learners with and without entries are different ones: a union of their edges keeps the buckets, edges of their union would not
+        states = edges.has_learning_state(past).unionByName(
+            edges.has_learning_state(history.snapshot_rows(past, enrolments, current, snapshot)))
+        statuses = edges.has_professional_status(work).unionByName(
+            edges.has_professional_status(history.jobless_rows(work, jobs, people, as_of)))
     return Graph(
         learner=learner,
         country=entities.countries(raw, dim),

@@ -23,22 +23,22 @@ def once(df: DataFrame, **cols: Column) -> DataFrame:
     return out.select(*kept, *[F.col(f"_once.{name}").alias(name) for name in cols])
 
 
-def entries(raw: DataFrame, column: str, schema: T.ArrayType, required: tuple[str, ...]) -> DataFrame:
-    """One row per array entry that has every required key: learner, row_ord, pos, fields."""
-    rows = once(raw.select(F.col("hashed_email").alias("learner"), "row_ord", F.col(column)), text=F.col(column))
-    exploded = rows.select("learner", "row_ord", F.posexplode(parse_json_array(F.col("text"), schema)).alias("pos", "entry"))
+def entries(raw: DataFrame, column: str, schema: T.ArrayType, required: tuple[str, ...], keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per array entry that has every required key: learner, row_ord, pos, fields; and the row's ``keep`` columns."""
+    rows = once(raw.select(F.col("hashed_email").alias("learner"), "row_ord", F.col(column), *keep), text=F.col(column))
+    exploded = rows.select("learner", "row_ord", *keep, F.posexplode(parse_json_array(F.col("text"), schema)).alias("pos", "entry"))
     kept = exploded.filter(has_fields(F.col("entry"), required))
-    return kept.select("learner", "row_ord", "pos", "entry.*")
+    return kept.select("learner", "row_ord", *keep, "pos", "entry.*")
 
 
 def enrollments_raw(raw: DataFrame) -> DataFrame:
     return entries(raw, "learning_details", S.LEARNING_ARRAY, S.LEARNING_FIELDS)
 
 
-def jobs_raw(raw: DataFrame) -> DataFrame:
-    """Jobs; both spellings of the organization key are accepted."""
+def jobs_raw(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Jobs, with the row's ``keep`` columns; both spellings of the organization key are accepted."""
     other = tuple(f for f in S.EMPLOYMENT_FIELDS if f != "organization_name")
-    df = entries(raw, "employment_details", S.EMPLOYMENT_ARRAY, other)
+    df = entries(raw, "employment_details", S.EMPLOYMENT_ARRAY, other, keep)
     df = df.withColumn("organization_name", F.coalesce("organization_name", "organisation_name"))
     return df.filter(F.col("organization_name").isNotNull()).drop("organisation_name")
 
@@ -91,17 +91,20 @@ def placements(raw: DataFrame, parity: bool = False) -> DataFrame:
     )
 
 
-def placement_flags(raw: DataFrame, parity: bool = False) -> DataFrame:
-    """Whether the row's placement is a venture."""
-    rows = with_placement(raw.select("hashed_email", "row_ord", "placement_details"))
+def with_placement_flags(raw: DataFrame, parity: bool = False) -> DataFrame:
+    """Add whether the row has a placement and whether it is a venture."""
     entry = F.col("entry")
     venture = F.lit(False) if parity else F.coalesce(placement_kind(entry) == "venture", F.lit(False))
-    return rows.select(
-        F.col("hashed_email").alias("learner"),
-        "row_ord",
-        entry.isNotNull().alias("has_placement"),
-        F.when(entry.isNotNull(), venture).otherwise(F.lit(False)).alias("placement_is_venture"),
-    )
+    return with_placement(raw).withColumns({
+        "has_placement": entry.isNotNull(),
+        "placement_is_venture": F.when(entry.isNotNull(), venture).otherwise(F.lit(False)),
+    }).drop("entry")
+
+
+def placement_flags(raw: DataFrame, parity: bool = False) -> DataFrame:
+    """Whether the row's placement is a venture."""
+    rows = with_placement_flags(raw.select("hashed_email", "row_ord", "placement_details"), parity)
+    return rows.select(F.col("hashed_email").alias("learner"), "row_ord", "has_placement", "placement_is_venture")
 
 
 def first_entry(raw: DataFrame, column: str, field: str, schema: T.ArrayType) -> Column:

@@ -17,7 +17,7 @@ from cohortgraph.operators import states as ST
 from cohortgraph.plans import profiling as P
 from cohortgraph.plans import registry_history as H
 from cohortgraph.plans.shape import as_text
-from cohortgraph.session import shared_dir
+from cohortgraph.session import shared_dir, work_table
 from cohortgraph.sources import readers, writers
 from cohortgraph.streaming import incremental
 
@@ -277,10 +277,11 @@ def _stored_graph(spark, sf):
 
 
 def _load_raw(spark, sf):
-    """The whole load from raw rows, twice, and the rows of the tables of the version that readers see."""
+    """The whole load from raw rows, twice, and the rows of the tables of the version that readers see. The rows are landed once."""
     path = _folder(spark)
+    raw = work_table(star.raw_rows(spark, sf, True), "landing")
     for _ in range(2):
-        load.load_graph(star.raw_rows(spark, sf), dim(spark, sf), path, star.AS_OF)
+        load.load_graph(raw, dim(spark, sf), path, star.AS_OF)
     manifest = writers.graph_manifest(spark, path)
     members = writers.read_graph(spark, path, manifest["version"]).members()
     parts = [df.agg(F.lit(name).alias("kind"), _n().alias("n"), F.lit(manifest["rows"][name]).alias("committed"), F.lit(manifest["version"]).alias("version"))

@@ -10,10 +10,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortgraph.bindings import star
+from cohortgraph.functions import cleaning as C
 from cohortgraph.operators import entities, load
 from cohortgraph.operators.model import Graph
 from cohortgraph.plans import graph as G
 from cohortgraph.plans import registry_tables
+from cohortgraph.session import bucketed_table
 from cohortgraph.sources import readers, writers
 from cohortgraph.streaming import incremental
 
@@ -133,6 +135,21 @@ def test_load_and_read_back(spark, tmp_path):
     assert writers.clear(spark, path, confirm=True) and not (tmp_path / "graph").exists()
 
 
+def test_load_shuffles_the_entries_once(spark):
+    raw = star.raw_rows(spark, SF)
+    key = F.col("row_ord")
+    raw = raw.withColumns({  # learners without any entry, rows without text
+        "learning_details": F.when(F.col("sand_id") != "n/a", "[]").otherwise(F.col("learning_details")),
+        "employment_details": F.when(F.col("gender") == "Other", "").when(key % 13 != 0, F.col("employment_details"))})
+    dim = entities.country_dim(star.country_mapping(spark, SF))
+    stored = [bucketed_table(df, "entries", "learner") for df in (load.enrolment_entries(raw, C.YEARS), load.job_entries(raw, C.YEARS, False))]
+    plain = load.build_graph(raw, dim, star.AS_OF).members()
+    for name, df in load.build_graph(raw, dim, star.AS_OF, entries=tuple(stored), store=True).members().items():
+        if name in ("enrolled_in", "works_for", "has_learning_state", "has_professional_status"):
+            assert "Exchange hashpartitioning" not in df._jdf.queryExecution().executedPlan().toString()
+        assert df.exceptAll(plain[name]).count() == plain[name].exceptAll(df).count() == 0
+
+
 def test_stopped_load_shows_the_version_before(spark, tmp_path):
     path = str(tmp_path / "graph")
     g = star.graph(spark, SF)
