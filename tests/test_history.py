@@ -303,3 +303,11 @@ def test_numbered_learners_give_the_rows_of_keyed_ones(spark):
         assert sorted(plain) == sorted(numbered)
     plan = registry_history.numbered_professional(spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "sha2" not in plan
+
+
+def test_shuffled_jobs_carry_nothing_twice(spark):
+    """The day that orders the entries is their start or a fixed day, so it is made behind the shuffle by learner."""
+    rows = [(f"p{i}", i, 0, "Org", "Clerk", "1999-01-01" if i % 2 else "invalid-date", None, "1") for i in range(4)]
+    plan = professional(spark, rows)._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    shuffled = next(i for i, line in enumerate(plan) if "RepartitionByExpression" in line)
+    assert "start#" in plan[shuffled + 1] and "day#" not in plan[shuffled + 1]
