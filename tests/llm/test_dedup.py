@@ -98,6 +98,30 @@ def test_two_stage_order(letters):
         assert [text[i:] for i in order] == sorted(text[i:] for i in range(len(text)))
 
 
+def test_substrings_passages_by_bytes(docs_of):
+    """At the contract's length: passages of over 50 words that documents share go from 400 bytes on; n_bytes is the input's size either way."""
+    rng = random.Random(6)
+
+    def prose(size):
+        text = ""
+        while len(text) < size:
+            text += "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7))) + " "
+        return text[: size - 1] + "."
+
+    passages = {size: prose(size) for size in (399, 400, 401, 900)}
+    assert all(len(p.split()) > 50 for p in passages.values())
+    rows, want = [], {}
+    for k, (size, passage) in enumerate(passages.items()):
+        for i, edge in ((2 * k, "<>"), (2 * k + 1, "[]")):  # the edges differ, so no match reaches past the passage
+            own = prose(700)
+            rows.append((i, own + edge[0] + passage + edge[1] + prose(300)))
+            want[i] = (1002 + size, size if size >= 400 else 0, int(size >= 400))
+    rows += [(100 + i, prose(1500)) for i in range(4)]
+    want |= {100 + i: (1500, 0, 0) for i in range(4)}
+    got = substrings.dedup(docs_of(rows), kept=False).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans) for r in got} == want
+
+
 def test_substrings_empty_table(docs_of):
     assert substrings.dedup(docs_of([])).count() == 0
 
