@@ -718,24 +718,34 @@ def _both_ways(edges: DataFrame) -> DataFrame:
     return work_table(both, "walk-edges")
 
 
-def reachable(edges: DataFrame, start: DataFrame, depth: int | None = None) -> DataFrame:
+def reachable(edges: DataFrame, start: DataFrame, depth: int | None = None, sides: bool = False) -> DataFrame:
     """Nodes within ``depth`` undirected hops of ``start`` (column ``node``) with their distance; None: all there are.
 
-    Breadth first: per hop one join of the frontier to the stored edges, a distinct and an
-    anti-join with what was seen. Each frontier is stored, so a hop's plan does not grow. Nodes,
-    not paths, are carried, so hubs do not multiply rows.
+    Breadth first: per hop the edges that meet the frontier, a distinct and an anti-join with what was seen. Edges
+    are stored once, as they are, and followed from either end; repeated ones do no harm. Each frontier is stored, so
+    a hop's plan does not grow. Nodes, not paths, are carried, so hubs do not multiply rows. Any type that joins serves as node.
+    ``sides``: no node is both a source and a destination, so nodes found at one end are followed from that end only
+    and the edges are not searched for them from the other.
     """
-    both, path = _both_ways(edges), work_folder(start.sparkSession, "walk-seen")
-    start.select("node", F.lit(0).alias("depth")).distinct().write.parquet(f"{path}/hop=0")
-    hop = 0
-    while depth is None or hop < depth:
-        seen = edges.sparkSession.read.parquet(path).select("node", "depth")
-        step = seen.filter(F.col("depth") == hop).select(F.col("node").alias("src")).join(both, "src").select(F.col("dst").alias("node")).distinct()
-        hop += 1
-        step.join(seen.select("node"), "node", "left_anti").withColumn("depth", F.lit(hop)).write.parquet(f"{path}/hop={hop}")
-        if edges.sparkSession.read.parquet(f"{path}/hop={hop}").isEmpty():
-            break
-    return edges.sparkSession.read.parquet(path).select("node", "depth")
+    spark, path = start.sparkSession, work_folder(start.sparkSession, "walk-seen")
+    stored = work_table(edges.select("src", "dst").filter(F.col("src").isNotNull() & F.col("dst").isNotNull()), "walk-edges")
+    found = start.select("node", F.lit(0).alias("depth")).distinct()
+
+    def keep(df: DataFrame, hop: int, part: int) -> DataFrame:
+        df.write.parquet(f"{path}/hop={hop}/part={part}")
+        return spark.read.schema(found.schema).parquet(f"{path}/hop={hop}/part={part}")
+
+    frontier, hop = dict.fromkeys((("src", "dst"), ("dst", "src")), keep(found, 0, 0)), 0
+    while frontier and (depth is None or hop < depth):
+        seen, hop = spark.read.schema(found.schema).parquet(path).select("node"), hop + 1
+        ends = {(there, here): stored.join(nodes.select(F.col("node").alias(here)), here).select(F.col(there).alias("node")) for (here, there), nodes in frontier.items()}
+        groups = [((way,), df) for way, df in ends.items()] if sides else [((("src", "dst"), ("dst", "src")), reduce(DataFrame.unionByName, ends.values()))]
+        frontier = {}
+        for part, (ways, df) in enumerate(groups):
+            new = keep(df.distinct().join(seen, "node", "left_anti").withColumn("depth", F.lit(hop)), hop, part)
+            if not new.isEmpty():
+                frontier |= dict.fromkeys(ways, new)
+    return spark.read.schema(found.schema).parquet(path).select("node", "depth")
 
 
 def g43_shortest_path(edges: DataFrame, start: DataFrame, goal: str, max_depth: int | None = None) -> DataFrame:

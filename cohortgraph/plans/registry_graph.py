@@ -40,9 +40,9 @@ def _first_learner(g):
 
 
 def _reach(spark, sf_dir):
-    g = star.graph(spark, sf_dir)
-    start = _first_learner(g).select(F.concat(F.lit("learner:"), "learner").alias("node"))
-    return G.reachable(G.node_edges(g), start, 3)
+    """The walk is on numbers for nodes; the nodes found get their names."""
+    found = G.reachable(star.numbered_node_edges(spark, sf_dir), star.first_learner_node(spark, sf_dir), 3, sides=True)
+    return star.named_nodes(spark, sf_dir, found)
 
 
 def _path(spark, sf_dir):

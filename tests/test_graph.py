@@ -15,6 +15,7 @@ from cohortgraph.plans import graph as G
 from cohortgraph.plans import journeys as J
 from cohortgraph.plans import profiling as P
 from cohortgraph.plans import tools as T
+from cohortgraph.session import work_table
 
 
 @pytest.fixture(scope="module")
@@ -185,3 +186,25 @@ def test_skills_by_program_shuffle_numbers(spark):
     assert "sha2" not in entry.queries()["g10_skills_by_program"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     edges_of = star.has_skill_edges(spark, sf)
     assert edges_of.count() == edges_of.distinct().count() == star.numbered_skill_edges(spark, sf).count()
+
+
+def test_reachable_stores_edges_once_by_numbers(spark, tmp_path, monkeypatch):
+    """The registered walk on numbers finds the nodes that the walk on stored texts finds, at the same depths; one-sided edges from either end."""
+    sf, stored = "/root/testdata/sf0.001", []
+
+    def keep(df, name):
+        stored.append((name, df))
+        return work_table(df, name)
+
+    monkeypatch.setattr(G, "work_table", keep)
+    got = entry.queries()["g34_reachable"](spark, sf)
+    [(_, kept)] = stored
+    assert [t for _, t in kept.dtypes] == ["bigint", "bigint"] and kept.filter("src % 4 <> 0 or dst % 4 = 0").count() == 0
+    g = star.graph(spark, sf)
+    start = g.learner.agg(F.concat(F.lit("learner:"), F.min("hashed_email")).alias("node"))
+    rows = sorted(map(tuple, got.collect()))
+    assert rows == sorted(map(tuple, G.reachable(G.node_edges(g), start, 3).collect())) and {d for _, d in rows} == {0, 1, 2, 3}
+    few = spark.createDataFrame([("a", "x"), ("a", "x"), ("b", "x"), ("b", "y"), ("c", "y"), ("c", None), (None, "x"), ("d", "z")], "src string, dst string")
+    for sides in (False, True):
+        for node, want in (("a", {"a": 0, "x": 1, "b": 2, "y": 3, "c": 4}), ("y", {"y": 0, "b": 1, "c": 1, "x": 2, "a": 3})):
+            assert {r.node: r.depth for r in G.reachable(few, spark.createDataFrame([(node,)], "node string"), sides=sides).collect()} == want
