@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohortgraph.operators.parse import once
 from cohortgraph.schemas import raw_schema
 from cohortgraph.session import work_table
 
@@ -20,18 +21,24 @@ DEFAULT_NULL_TOKENS = ("-99", "-99.0", "")
 
 
 def read_learners_csv(
-    spark: SparkSession, path: str, null_tokens: tuple[str, ...] = (), keep_corrupt: bool = False, multi_line: bool = False
+    spark: SparkSession, path: str, null_tokens: tuple[str, ...] = (), keep_corrupt: bool = False, multi_line: bool = False, whole_files: bool = False
 ) -> DataFrame:
     """RFC-4180 CSV, all columns text. Files are split over tasks, also with ``multi_line``.
 
     Doubled quotes are read, NUL and undecodable characters and a byte-order mark removed, short rows filled
     with NULL and long rows cut. ``null_tokens`` become NULL. ``multi_line``: fields may hold quoted line
-    breaks; records are put together by ``csv_records``.
+    breaks; records are put together by ``csv_records``. ``whole_files``: they do, records end with a line feed, and each
+    file is one task's work, as compressed ones are anyway; Spark's own reader of such files takes them in one scan.
     """
     options = {"header": "true", "quote": '"', "escape": '"', "encoding": "UTF-8", "mode": "PERMISSIVE"}
     names = [n.lstrip("\ufeff") for n in spark.read.options(**options).csv(path).columns]
     schema = raw_schema(tuple(names)).add(T.StructField(CORRUPT, T.StringType()))
-    if multi_line:
+    if whole_files:
+        options |= {"multiLine": "true", "lineSep": "\n", "enforceSchema": "true", "columnNameOfCorruptRecord": CORRUPT}
+        cells, df = [F.col(f"`{n}`") for n in names], spark.read.schema(schema).options(**options).csv(path)
+        text = F.concat_ws("", *cells)  # looked through once a record, in a step of its own
+        df = once(df.select("*", text.alias("_text")), _dirty=F.col("_text").contains("\u0000") | F.col("_text").contains("\ufffd")).drop("_text")
+    elif multi_line:
         options |= {"columnNameOfCorruptRecord": CORRUPT, "multiLine": "true", "header": "false"}
         records = csv_records(spark, path).filter("record > 1")  # the first of each file is its header
         dirty = F.col("text").contains("\u0000") | F.col("text").contains("\ufffd") | ~F.is_valid_utf8("text")
@@ -41,7 +48,11 @@ def read_learners_csv(
         df = spark.read.schema(schema).options(**options, enforceSchema="true", columnNameOfCorruptRecord=CORRUPT).csv(path)
     clean = []
     for name in names:
-        c = F.col(f"`{name}`") if multi_line else F.translate(F.col(f"`{name}`"), "\u0000\ufffd", "")
+        c = F.col(f"`{name}`")
+        if whole_files:
+            c = F.when(F.col("_dirty"), F.translate(c, "\u0000\ufffd", "")).otherwise(c)
+        elif not multi_line:
+            c = F.translate(c, "\u0000\ufffd", "")
         if null_tokens:
             c = F.when(~c.isin(*null_tokens), c)
         clean.append(c.alias(name))

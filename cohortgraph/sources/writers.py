@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cohortgraph.operators.model import Graph
+from cohortgraph.operators.parse import once
 
 NODE_COLUMNS = {
     "Learner": (
@@ -60,20 +61,26 @@ def export_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> DataFra
     )
 
 
-def export_csv(df: DataFrame, path: str, bom: bool = False) -> None:
+def export_csv(df: DataFrame, path: str, bom: bool = False, records: int | None = None) -> None:
     """RFC-4180 files with a header each, every value quoted, line breaks kept; trailing NULLs make a row short, others are empty.
 
-    ``bom`` puts a byte-order mark before each header.
+    ``bom`` puts a byte-order mark before each header. ``records``: gzip files of at most so many records, as a reader
+    takes each from its start.
     """
     quoted = lambda c: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
     cells = [F.coalesce(quoted(F.col(f"`{c}`").cast("string")), F.lit("")) for c in df.columns]
-    rows = df.select(F.regexp_replace(F.concat_ws(",", *cells), r",+$", "").alias("value"))
+    parts, rows = range(0, len(cells), 10), df  # a step each: one for all cells is a method too long for the JVM to compile
+    for i in parts:
+        rows = once(rows, **{f"_cells{i}": F.concat_ws(",", *cells[i : i + 10])})
+    rows = rows.select(F.rtrim(F.concat_ws(",", *[F.col(f"_cells{i}") for i in parts]), F.lit(",")).alias("value"))
     header = ("\ufeff" if bom else "") + ",".join('"' + c.replace('"', '""') + '"' for c in df.columns)
 
-    first = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0  # of a task, so of a file
+    number = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)  # in its task
+    first = number == 0 if records is None else number % records == 0  # of a file
     body = rows.select(F.when(first, F.concat(F.lit(header + "\n"), "value")).otherwise(F.col("value")).alias("value"))
     alone = df.sparkSession.range(0, 1, 1, 1).select(F.lit(header).alias("value"))  # a file for tables without rows
-    body.unionByName(alone).write.mode("overwrite").text(path)
+    options = {} if records is None else {"compression": "gzip", "maxRecordsPerFile": records}
+    body.unionByName(alone).write.options(**options).mode("overwrite").text(path)
 
 
 def clear(spark: SparkSession, path: str, confirm: bool = False) -> bool:

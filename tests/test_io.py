@@ -1,6 +1,7 @@
 """Sources, sinks, stored graphs and the incremental change log."""
 
 import csv
+import gzip
 import json
 import random
 from dataclasses import replace
@@ -15,7 +16,7 @@ from cohortgraph.operators import entities, load
 from cohortgraph.operators.model import Graph
 from cohortgraph.plans import graph as G
 from cohortgraph.plans import registry_tables
-from cohortgraph.session import bucketed_table
+from cohortgraph.session import bucketed_table, work_table
 from cohortgraph.sources import readers, writers
 from cohortgraph.streaming import incremental
 
@@ -322,3 +323,45 @@ def test_learners_are_counted_by_keys(spark):
     keys = entities.learner_keys(raw)
     assert keys.count() == entities.learners(raw, dim).count() > 0
     assert "from_json" not in keys._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_csv_query_shuffles_digests_and_counts_cells_that_differ(spark, tmp_path, monkeypatch):
+    """The files are compressed and bounded, rows meet without their wide cells, and what a writer spoils is counted cell by cell."""
+    export, tables, counter = writers.export_csv, [], iter(range(9))
+    query = lambda: registry_tables.QUERIES["src_csv"](spark, SF)
+    monkeypatch.setattr(registry_tables, "_folder", lambda s: str(tmp_path / str(next(counter))))
+    monkeypatch.setattr(registry_tables, "CSV_RECORDS", 100)
+    monkeypatch.setattr(registry_tables, "work_table", lambda df, name: tables.append(df) or work_table(df, name))
+    want = sorted(query().collect())
+    files = [p for p in (tmp_path / "0").iterdir() if p.name.startswith("part-")]
+    assert len(files) >= 15 and all(p.name.endswith(".gz") for p in files)
+    assert len(want) == 1500 and {r.differing_cells for r in want} == {0}
+    plan = tables[0]._jdf.queryExecution().optimizedPlan()
+    joins = [x for x in plan.toString().splitlines() if x.lstrip(" :+-").startswith("Join")]
+    assert joins and "education_details" not in [f for f in tables[0].columns]
+    spoilt = F.col("row_ord").cast("long") % 500 == 7
+    monkeypatch.setattr(writers, "export_csv", lambda df, *a, **k: export(df.withColumns({
+        "bio": F.when(spoilt, F.lit("")).otherwise(F.col("bio")), "type_of_disability": F.when(spoilt, F.lit("x"))}), *a, **k))
+    got = sorted(query().collect())
+    assert [r.differing_cells for r in got] == [2 if int(r.row_ord) % 500 == 7 else 0 for r in got]
+    assert [(*r[:4], *r[5:]) for r in got] == [(*r[:4], *r[5:]) for r in want]
+
+
+def test_whole_csv_files_are_read_in_one_scan(spark, tmp_path):
+    """Quoted breaks, NUL and undecodable bytes, short, long and empty rows in compressed files: as the reader of plain files gives them."""
+    text = '\ufeffid,bio,score\nh1,"line one\r\nsaid ""hi""\n",5,extra\nh2,nul\u0000byte,-99\nh3,short\n\n'.encode() + b'h4,bad\xff byte,\nh5,"",""\n'
+    (tmp_path / "plain").mkdir()
+    (tmp_path / "packed").mkdir()
+    for name in "ab":
+        (tmp_path / "plain" / f"{name}.csv").write_bytes(text)
+        (tmp_path / "packed" / f"{name}.csv.gz").write_bytes(gzip.compress(text))
+    plain = readers.read_learners_csv(spark, str(tmp_path / "plain"), null_tokens=readers.DEFAULT_NULL_TOKENS, multi_line=True)
+    packed = readers.read_learners_csv(spark, str(tmp_path / "packed"), null_tokens=readers.DEFAULT_NULL_TOKENS, whole_files=True)
+    assert "MapInArrow" not in packed._jdf.queryExecution().executedPlan().toString()
+    assert packed.columns == plain.columns and sorted(map(tuple, packed.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+    assert packed.count() == 10
+
+
+def test_whole_raw_rows_are_the_raw_rows(spark):
+    rows, whole = star.raw_rows(spark, SF), star.raw_rows(spark, SF, False, True)
+    assert whole.schema == rows.schema and whole.exceptAll(rows).isEmpty() and whole.count() == rows.count()
