@@ -62,28 +62,29 @@ def unmapped_countries(df: DataFrame, dim: DataFrame, name: str = "country_of_re
     return counts.join(dim, F.lower("country") == F.col("country_key"), "left_anti")
 
 
-def learner_base(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Renamed and cleaned learner columns, plus the ``keep`` columns as they are."""
+def learner_base(raw: DataFrame, keep: tuple[str, ...] = (), whole: bool = False) -> DataFrame:
+    """Renamed and cleaned learner columns, plus the ``keep`` columns as they are; ``whole``: all are asked for, so they are made in steps."""
     text = {
         "sand_id": "sand_id", "full_name": "full_name", "profile_photo_url": "profile_photo_url", "bio": "bio",
         "education_field": "education_field_of_study",
         "description_of_living_location": "description_of_living_location",
         "type_of_disability": "type_of_disability",
     }
-    return raw.select(
-        "row_ord",
-        C.norm_str(F.col("hashed_email")).alias("hashed_email"),
-        *[C.norm_str(F.col(src)).alias(dst) for dst, src in text.items()],
-        C.norm_gender(F.col("gender")).alias("gender"),
-        C.norm_education(F.col("education_level_of_study")).alias("education_level"),
-        F.coalesce(C.parse_bool(F.col("is_placed")), F.lit(False)).alias("is_placed"),
-        F.coalesce(C.parse_bool(F.col("is_featured")), F.lit(False)).alias("is_featured"),
-        C.parse_rural(F.col("is_rural")).alias("is_rural"),
-        C.parse_bool(F.col("has_disability")).alias("has_disability"),
-        C.parse_bool(F.col("is_from_low_income_household")).alias("is_from_low_income_household"),
-        C.parse_int(F.col("snapshot_id")).alias("snapshot_id"),
-        *keep,
-    )
+    columns = {
+        "row_ord": F.col("row_ord"),
+        "hashed_email": C.norm_str(F.col("hashed_email")),
+        **{dst: C.norm_str(F.col(src)) for dst, src in text.items()},
+        "gender": C.norm_gender(F.col("gender")),
+        "education_level": C.norm_education(F.col("education_level_of_study")),
+        "is_placed": F.coalesce(C.parse_bool(F.col("is_placed")), F.lit(False)),
+        "is_featured": F.coalesce(C.parse_bool(F.col("is_featured")), F.lit(False)),
+        "is_rural": C.parse_rural(F.col("is_rural")),
+        "has_disability": C.parse_bool(F.col("has_disability")),
+        "is_from_low_income_household": C.parse_bool(F.col("is_from_low_income_household")),
+        "snapshot_id": C.parse_int(F.col("snapshot_id")),
+        **{c: F.col(c) for c in keep},
+    }
+    return parse.in_steps(raw, columns) if whole else raw.select(*[c.alias(n) for n, c in columns.items()])
 
 
 LEARNER_COLUMNS = (
@@ -95,17 +96,29 @@ LEARNER_COLUMNS = (
 )
 
 
-def learner_rows(
-    raw: DataFrame, dim: DataFrame, snapshot: str = C.SNAPSHOT_DATE, parity: bool = False, country_mode: str = "null"
-) -> DataFrame:
-    """Learner record of every raw row with codes and current states."""
-    df = with_country_code(raw, dim, "country_of_residence", "_res", country_mode)
-    df = with_country_code(df, dim, "country_of_origin", "_orig", country_mode)
+#: raw columns of a learner record, beside its key and what its jobs and placement say
+LEARNER_SOURCES = (
+    "sand_id", "full_name", "profile_photo_url", "bio", "education_field_of_study", "description_of_living_location", "type_of_disability",
+    "gender", "education_level_of_study", "is_placed", "is_featured", "is_rural", "has_disability", "is_from_low_income_household",
+    "snapshot_id", "country_of_residence", "country_of_origin", "city_of_residence", "is_graduate_learner", "is_active_learner",
+    "is_a_dropped_out", "is_running_a_venture", "is_wage_employed",
+)
+
+
+def _sources(raw: DataFrame, snapshot: str, parity: bool) -> DataFrame:
+    """The raw columns of learner records, with ``_current`` jobs and whether the placement is a ``_venture``."""
+    df = raw.select("hashed_email", "row_ord", *LEARNER_SOURCES, "employment_details", "placement_details")
     df = parse.with_placement(parse.once(df, employment_details=F.col("employment_details")))
     ends = parse_json_array(F.col("employment_details"), S.entry_array(("end_date",)))
     n_current = F.size(F.filter(ends, lambda j: C.is_current_by_date(j["end_date"], snapshot)))
     placement = F.col("entry")
     venture = F.lit(False) if parity else (placement.isNotNull() & (parse.placement_kind(placement) == "venture"))
+    return parse.once(df, _current=n_current, _venture=venture).drop("employment_details", "placement_details", "entry")
+
+
+def _records(sources: DataFrame, dim: DataFrame, country_mode: str) -> DataFrame:
+    df = with_country_code(sources, dim, "country_of_residence", "_res", country_mode)
+    df = with_country_code(df, dim, "country_of_origin", "_orig", country_mode)
     derived = {
         "country_of_residence_code": F.col("_res"),
         "country_of_origin_code": F.col("_orig"),
@@ -114,18 +127,33 @@ def learner_rows(
             C.is_set(F.col("is_graduate_learner")), C.is_set(F.col("is_active_learner")), C.is_set(F.col("is_a_dropped_out"))
         ),
         "current_professional_status": states.professional_status(
-            n_current, venture,
+            F.col("_current"), F.col("_venture"),
             C.is_set(F.col("is_running_a_venture")), C.is_set(F.col("is_wage_employed")),
         ),
     }
-    out = learner_base(df.withColumns(derived), keep=tuple(derived))
+    out = learner_base(parse.once(df, **derived), keep=tuple(derived), whole=True)
     return out.select("row_ord", *LEARNER_COLUMNS)
 
 
-def learners(raw: DataFrame, dim: DataFrame, **options) -> DataFrame:
-    """One learner per key, last row wins; rows without a key are not written."""
-    rows = learner_rows(raw, dim, **options).filter(F.col("hashed_email").isNotNull())
-    return last_by(rows, ["hashed_email"], "row_ord", list(LEARNER_COLUMNS)).select(*LEARNER_COLUMNS)
+def learner_rows(
+    raw: DataFrame, dim: DataFrame, snapshot: str = C.SNAPSHOT_DATE, parity: bool = False, country_mode: str = "null"
+) -> DataFrame:
+    """Learner record of every raw row with codes and current states."""
+    return _records(_sources(raw, snapshot, parity), dim, country_mode)
+
+
+def learners(raw: DataFrame, dim: DataFrame, snapshot: str = C.SNAPSHOT_DATE, parity: bool = False, country_mode: str = "null") -> DataFrame:
+    """One learner per key, last row wins; rows without a key are not written.
+
+    Only the last rows are cleaned, unless every country has to be known (``strict``).
+    """
+    key = F.col("hashed_email")
+    if country_mode == "strict":
+        rows = learner_rows(raw, dim, snapshot, parity, country_mode).filter(key.isNotNull())
+        return last_by(rows, ["hashed_email"], "row_ord", list(LEARNER_COLUMNS), whole=True).select(*LEARNER_COLUMNS)
+    rows = _sources(raw, snapshot, parity).withColumn("hashed_email", C.norm_str(key)).filter(key.isNotNull())
+    last = last_by(rows, ["hashed_email"], "row_ord", ["row_ord", *LEARNER_SOURCES, "_current", "_venture"], whole=True)
+    return _records(last, dim, country_mode).select(*LEARNER_COLUMNS)
 
 
 def learner_keys(raw: DataFrame) -> DataFrame:
@@ -136,7 +164,8 @@ def learner_keys(raw: DataFrame) -> DataFrame:
 def countries(raw: DataFrame, dim: DataFrame, mode: str = "null") -> DataFrame:
     """Countries of residence (with coordinates) and origin (without); first occurrence wins."""
     def side(name: str, lat: str | None, lon: str | None, rank: int) -> DataFrame:
-        df = with_country_code(raw, dim, name, "code", mode).filter(F.col("code").isNotNull())
+        cells = raw.groupBy(name, *[c for c in (lat, lon) if c]).agg(F.min("row_ord").alias("row_ord"))  # equal cells are cleaned once
+        df = with_country_code(cells, dim, name, "code", mode).filter(F.col("code").isNotNull())
         none = F.lit(None).cast("double")
         return df.select(
             "code",
@@ -154,7 +183,8 @@ def countries(raw: DataFrame, dim: DataFrame, mode: str = "null") -> DataFrame:
 
 def cities(raw: DataFrame, dim: DataFrame, mode: str = "null", parity: bool = False) -> DataFrame:
     """Cities of a known country, first occurrence of an id wins; with ``parity`` ids are three-letter prefixes."""
-    df = with_country_code(raw, dim, "country_of_residence", "country_code", mode)
+    cells = raw.groupBy("country_of_residence", "city_of_residence", "city_of_residence_latitude", "city_of_residence_longitude")
+    df = with_country_code(cells.agg(F.min("row_ord").alias("row_ord")), dim, "country_of_residence", "country_code", mode)
     df = df.select(
         C.city_id(F.col("city_of_residence"), F.col("country_code"), parity).alias("id"),
         C.norm_str(F.col("city_of_residence")).alias("name"),

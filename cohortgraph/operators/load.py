@@ -23,14 +23,14 @@ def load_graph(raw: DataFrame, dim: DataFrame, path: str, as_of: str, **options)
     """
     years, parity = options.get("years", C.YEARS), options.get("parity", False)
     entries = (
-        bucketed_table(enrolment_entries(raw, years), "load-enrolments", "learner"),
+        bucketed_table(enrolment_entries(raw, years, whole=True), "load-enrolments", "learner"),
         bucketed_table(job_entries(raw, years, parity), "load-jobs", "learner"),
     )
     return write_graph(build_graph(raw, dim, as_of, entries=entries, store=True, **options), path)
 
 
-def enrolment_entries(raw: DataFrame, years: tuple[int, int] | None) -> DataFrame:
-    return edges.typed_enrollments(parse.enrollments_raw(raw), years=years)
+def enrolment_entries(raw: DataFrame, years: tuple[int, int] | None, whole: bool = False) -> DataFrame:
+    return edges.typed_enrollments(parse.enrollments_raw(raw), years=years, whole=whole)
 
 
 def job_entries(raw: DataFrame, years: tuple[int, int] | None, parity: bool) -> DataFrame:
@@ -47,7 +47,7 @@ def last_flags(raw: DataFrame, parity: bool = False) -> DataFrame:
     rows = parse.with_placement_flags(raw.filter(F.col("hashed_email").isNotNull()).select(
         F.col("hashed_email").alias("learner"), "row_ord", "placement_details",
         *[c.alias(n) for n, c in flags.items()], (F.coalesce("employment_details", F.lit("")) == "").alias("bare")), parity)
-    return last_by(rows, ["learner"], "row_ord", [*flags, "placement_is_venture", "bare"])
+    return last_by(rows, ["learner"], "row_ord", [*flags, "placement_is_venture", "bare"], whole=True)
 
 
 def build_graph(
@@ -67,10 +67,10 @@ def build_graph(
     About a dozen outputs read the raw table, each only its own columns; store the graph
     (``load_graph``) rather than querying the returned plans again and again. ``entries`` are
     already parsed and typed (enrolments, jobs with the kind of their row's placement); ``years`` bounds usable dates;
-    ``store`` writes the learner table and the flags before the histories read them.
+    ``store`` writes the learner table and the flags before the histories read them, and the ids of skill names before the edges do;
+    as all columns are stored then, edges are found as whole rows.
     """
     enrolments, jobs = entries or (enrolment_entries(raw, years), job_entries(raw, years, parity))
-    skills = parse.learner_skills(raw)
     learner = entities.learners(raw, dim, snapshot=snapshot, parity=parity)
     learner = bucketed_table(learner, "load-learners", "hashed_email") if store else learner
     states = statuses = None
@@ -91,12 +91,12 @@ def build_graph(
         learner=learner,
         country=entities.countries(raw, dim),
         city=entities.cities(raw, dim),
-        skill=entities.skills(skills),
+        skill=entities.skills(parse.learner_skills(parse.skill_cells(raw))),
         program=entities.programs(enrolments, provider),
         company=entities.companies(jobs),
-        has_skill=edges.has_skill(skills),
-        enrolled_in=edges.enrolled_in(enrolments),
-        works_for=edges.works_for(jobs),
+        has_skill=parse.stored_skill_edges(raw) if store else edges.has_skill(parse.learner_skills(raw)),
+        enrolled_in=edges.enrolled_in(enrolments, whole=store),
+        works_for=edges.works_for(jobs, whole=store),
         has_learning_state=states,
         has_professional_status=statuses,
     )

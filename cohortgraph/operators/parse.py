@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from cohortgraph import schemas as S
 from cohortgraph.functions import cleaning as C
 from cohortgraph.functions.jsoncols import has_fields, parse_json_array
+from cohortgraph.session import work_table
 
 
 def once(df: DataFrame, **cols: Column) -> DataFrame:
@@ -23,6 +24,14 @@ def once(df: DataFrame, **cols: Column) -> DataFrame:
     return out.select(*kept, *[F.col(f"_once.{name}").alias(name) for name in cols])
 
 
+def in_steps(df: DataFrame, columns: dict[str, Column], size: int = 6) -> DataFrame:
+    """The columns, a few at a time: all at once can be a method too long for the JVM to compile. Also what nobody takes is made."""
+    names = list(columns)
+    for i in range(0, len(names), size):
+        df = once(df, **{f"_made_{n}": columns[n] for n in names[i : i + size]})
+    return df.select(*[F.col(f"_made_{n}").alias(n) for n in names])
+
+
 def entries(raw: DataFrame, column: str, schema: T.ArrayType, required: tuple[str, ...], keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per array entry that has every required key: learner, row_ord, pos, fields; and the row's ``keep`` columns."""
     rows = once(raw.select(F.col("hashed_email").alias("learner"), "row_ord", F.col(column), *keep), text=F.col(column))
@@ -130,6 +139,25 @@ def skill_array(c: Column, delimiter: str = ",", limit: int | None = None) -> Co
     )
 
 
+def skill_names(c: Column, delimiter: str = ",") -> Column:
+    """Names of one cell that count as skills."""
+    names = F.transform(F.split(c, delimiter), C.strip)
+    return F.filter(names, lambda s: (s != "") & ~F.lower(s).isin("n/a", "none", "null"))
+
+
+def stored_skill_edges(raw: DataFrame) -> DataFrame:
+    """(learner, skill_id) as ``edges.has_skill(learner_skills(raw))`` gives them; ids are made once for each name, and stored."""
+    names = raw.select(F.col("hashed_email").alias("learner"), F.explode(skill_names(F.col("skills_list"))).alias("name"))
+    ids = work_table(once(names.select("name").distinct(), skill_id=C.skill_id(F.col("name"))).filter(F.col("skill_id") != ""), "skill-names")
+    return names.filter(F.col("learner").isNotNull()).join(ids, "name").select("learner", "skill_id").distinct()
+
+
+def skill_cells(raw: DataFrame) -> DataFrame:
+    """The first row of each skills cell: enough for the skills' own table."""
+    cells = raw.groupBy("skills_list").agg(F.min("row_ord").alias("row_ord"))
+    return cells.withColumn("hashed_email", F.lit(None).cast("string"))
+
+
 def learner_skills(raw: DataFrame, delimiter: str = ",", limit: int | None = None) -> DataFrame:
     """(learner, row_ord, pos, skill_id, name, category)."""
     return raw.select(

@@ -298,7 +298,7 @@ def _stored_graph(spark, sf):
 def _load_raw(spark, sf):
     """The whole load from raw rows, twice, and the rows of the tables of the version that readers see. The rows are landed once."""
     path = _folder(spark)
-    raw = work_table(star.raw_rows(spark, sf, True), "landing")
+    raw = work_table(star.raw_rows(spark, sf, True, True), "landing")
     for _ in range(2):
         load.load_graph(raw, dim(spark, sf), path, star.AS_OF)
     manifest = writers.graph_manifest(spark, path)

@@ -5,7 +5,9 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from cohortgraph.operators import edges, entities, keyed, quality, states
+from cohortgraph.bindings import star
+from cohortgraph.functions import cleaning as C
+from cohortgraph.operators import edges, entities, keyed, parse, quality, states
 
 
 def rows(df, *order):
@@ -134,3 +136,36 @@ def test_split_is_written_in_one_pass(spark, tmp_path):
     empty = quality.write_split(df.limit(0), path).first()
     assert (empty.total, empty.good, empty.bad) == (0, 0, 0)
     assert all(t.count() == 0 for t in quality.read_split(spark, path, df.schema))
+
+
+def test_load_cleans_equal_cells_and_last_rows_once(spark):
+    """Tables made from first cells, last rows and ids of names equal those made of every row; wide columns in steps equal those made at once."""
+    sf, k = "/root/testdata/sf0.001", F.col("row_ord")
+    raw = star.raw_rows(spark, sf).withColumns({
+        "skills_list": F.when(k % 7 == 0, " Python ,PYTHON, null,N/A,c++, --- ,,project   management").when(k % 7 == 1, F.lit(None)).otherwise(F.col("skills_list")),
+        "hashed_email": F.when(k % 13 == 0, F.lit(None)).when(k % 13 == 1, F.concat(F.lit(" "), "hashed_email")).otherwise(F.col("hashed_email")),
+        "city_of_residence": F.when(k % 9 == 0, F.lit(" new town ")).otherwise(F.col("city_of_residence")),
+        "city_of_residence_latitude": (k % 17).cast("string"),
+    })
+    dim = entities.country_dim(star.country_mapping(spark, sf))
+
+    def same(a, b):
+        assert a.columns == b.columns and sorted(a.collect(), key=str) == sorted(b.collect(), key=str) != []
+
+    every = parse.learner_skills(raw)
+    same(parse.stored_skill_edges(raw), edges.has_skill(every))
+    same(entities.skills(parse.learner_skills(parse.skill_cells(raw))), entities.skills(every))
+    entries = parse.enrollments_raw(raw)
+    same(edges.typed_enrollments(entries, whole=True), edges.typed_enrollments(entries))
+    typed = edges.typed_enrollments(entries)
+    same(edges.enrolled_in(typed, whole=True), edges.enrolled_in(typed))
+    rows = entities.learner_rows(raw, dim).filter("hashed_email is not null")
+    got = entities.learners(raw, dim)
+    same(got, keyed.last_by(rows, ["hashed_email"], "row_ord", list(entities.LEARNER_COLUMNS)).select(*got.columns))
+    cities = entities.cities(raw, dim)
+    first = {}
+    for r in sorted(entities.with_country_code(raw, dim, "country_of_residence", "cc").select("row_ord", C.city_id(F.col("city_of_residence"), F.col("cc")).alias("id"), "city_of_residence_latitude").collect()):
+        first.setdefault(r.id, r)
+    assert {r.id: r.latitude for r in cities.collect()} == {i: float(r.city_of_residence_latitude) for i, r in first.items() if i}
+    plan = got._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert next(i for i, x in enumerate(plan) if "Join" in x) < next(i for i, x in enumerate(plan) if "max_by" in x)  # cleaned after the last rows are found
